@@ -34,12 +34,17 @@ def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, rf"(?U){BLANK}+", " "))
 
 
+def keep_if(c: Column, test: Callable[[Column], Column]) -> Column:
+    """``c`` where the test holds, else null. Evaluates ``c`` once."""
+    return F.get(F.filter(F.array(c), test), F.lit(0))
+
+
 def blank_to_null(c: Column) -> Column:
-    return F.when(strip(c) != "", c)
+    return keep_if(c, lambda v: strip(v) != "")
 
 
 def empty_to_null(c: Column) -> Column:
-    return F.when(c != "", c)
+    return keep_if(c, lambda v: v != "")
 
 
 def name_key(c: Column) -> Column:

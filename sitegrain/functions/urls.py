@@ -16,6 +16,8 @@ from sitegrain.functions.text import let
 
 URL_PATTERN = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
+PLAIN_PATH = r"^(?:/[A-Za-z0-9_~%,+@=!$&'()*\-][A-Za-z0-9_~%,+@=!$&'()*.\-]*)+/*$"
+
 # Schemes whose URLs have an authority, resolve relatively, or carry ;params
 # (the registry behind Python's urllib.parse).
 AUTHORITY_SCHEMES = (
@@ -59,25 +61,22 @@ def split_url(u: Column) -> Column:
     )
 
 
-def _unsplit(scheme: Column, netloc: Column, path: Column, params: Column | None = None,
-             query: Column | None = None, fragment: Column | None = None) -> Column:
-    if params is not None:
-        path = F.when(params != "", F.concat(path, F.lit(";"), params)).otherwise(path)
-    rooted = F.when((path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
-    bare_authority = path.startswith("//") | (
-        (scheme != "") & scheme.isin(*AUTHORITY_SCHEMES) & ((path == "") | path.startswith("/"))
-    )
-    body = (
-        F.when(netloc != "", F.concat(F.lit("//"), netloc, rooted))
-        .when(bare_authority, F.concat(F.lit("//"), path))
-        .otherwise(path)
+def _marked(mark: str, part: Column) -> Column:
+    return F.when(part != "", F.concat(F.lit(mark), part)).otherwise("")
+
+
+def _unsplit(scheme: Column, netloc: Column, path: Column, *tail: Column) -> Column:
+    """Join the parts; ``tail`` holds marked params, query or fragment."""
+    rooted = path.startswith("/")
+    no_authority = (
+        F.when(path.startswith("//"), "//")
+        .when((scheme != "") & scheme.isin(*AUTHORITY_SCHEMES) & ((path == "") | rooted), "//")
+        .otherwise("")
     )
-    out = F.when(scheme != "", F.concat(scheme, F.lit(":"), body)).otherwise(body)
-    if query is not None:
-        out = F.when(query != "", F.concat(out, F.lit("?"), query)).otherwise(out)
-    if fragment is not None:
-        out = F.when(fragment != "", F.concat(out, F.lit("#"), fragment)).otherwise(out)
-    return out
+    slash = F.when((path == "") | rooted, "").otherwise("/")
+    authority = F.when(netloc != "", F.concat(F.lit("//"), netloc, slash)).otherwise(no_authority)
+    lead = F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise("")
+    return F.concat(lead, authority, path, *tail)
 
 
 def _bare(path: Column) -> Column:
@@ -94,7 +93,7 @@ def normalized(p: Column) -> Column:
 
 
 def media_normalized(p: Column) -> Column:
-    return _unsplit(p.scheme, p.netloc, _bare(p.path), query=p["query"])
+    return _unsplit(p.scheme, p.netloc, _bare(p.path), _marked("?", p["query"]))
 
 
 # The functions below work on a whole column inside generated code, where Spark shares
@@ -147,30 +146,54 @@ def _remove_dot_segments(path: Column) -> Column:
     return F.when(joined == "", F.lit("/")).otherwise(joined)
 
 
-def resolve(base: Column, href: Column) -> Column:
-    """Resolve ``href`` against an already split base URL (RFC 3986 section 5.2)."""
+def resolve_parts(base: Column, href: Column) -> Column:
+    """The split form of ``href`` seen from an already split base URL (RFC 3986 section 5.2).
 
-    def join(h: Column) -> Column:
-        scheme = F.when(h.scheme == "", base.scheme).otherwise(h.scheme)
+    Made for lambdas: every shared step is bound once.
+    """
+
+    def target(h: Column) -> Column:
         folder = F.regexp_replace(base.path, r"[^/]+\z", "")
-        folder = F.when((folder == "") & (base.netloc != ""), F.lit("/")).otherwise(folder)
+        folder = F.when((folder == "") & (base.netloc != ""), "/").otherwise(folder)
         merged = F.when(h.path.startswith("/"), h.path).otherwise(
             F.regexp_replace(F.concat(folder, h.path), "/{2,}", "/")
         )
-        target = F.when(merged.rlike(r"(?:^|/)\.\.?(?:/|\z)"), _remove_dot_segments(merged)).otherwise(merged)
-        same_document = _unsplit(
-            scheme, base.netloc, base.path, base.params,
-            F.when(h["query"] == "", base["query"]).otherwise(h["query"]), h.fragment,
+        return let(
+            merged,
+            lambda m: F.when(m.rlike(r"(?:^|/)\.\.?(?:/|\z)"), _remove_dot_segments(m)).otherwise(m),
         )
-        foreign = (scheme != base.scheme) | ~scheme.isin(*RELATIVE_SCHEMES)
-        return (
-            F.when(foreign, href)
-            .when(h.netloc != "", _unsplit(scheme, h.netloc, h.path, h.params, h["query"], h.fragment))
-            .when((h.path == "") & (h.params == ""), same_document)
-            .otherwise(_unsplit(scheme, base.netloc, target, h.params, h["query"], h.fragment))
+
+    def join(h: Column) -> Column:
+        same_scheme = ((h.scheme == "") | (h.scheme == base.scheme)) & base.scheme.isin(*RELATIVE_SCHEMES)
+        relative = same_scheme & (h.netloc == "")
+        here = relative & (h.path == "") & (h.params == "")
+        return F.struct(
+            F.when(h.scheme == "", base.scheme).otherwise(h.scheme).alias("scheme"),
+            F.when(relative, base.netloc).otherwise(h.netloc).alias("netloc"),
+            F.when(here, base.path).when(relative, target(h)).otherwise(h.path).alias("path"),
+            F.when(here, base.params).otherwise(h.params).alias("params"),
+            F.when(here & (h["query"] == ""), base["query"]).otherwise(h["query"]).alias("query"),
+            h.fragment.alias("fragment"),
+            same_scheme.alias("joined"),
         )
 
-    return _given(href, let(split_url(href), join))
+    return let(split_url(href), join)
+
+
+def resolve(base: Column, href: Column) -> Column:
+    """The absolute form of ``href``; a link with a scheme of its own stays as written."""
+
+    def whole(p: Column) -> Column:
+        first = F.when((p.path == "") & (p.params != ""), "/").otherwise(p.path)
+        tail = (_marked(";", p.params), _marked("?", p["query"]), _marked("#", p.fragment))
+        return F.when(p.joined, let(first, lambda path: _unsplit(p.scheme, p.netloc, path, *tail))).otherwise(href)
+
+    return _given(href, let(resolve_parts(base, href), whole))
+
+
+def is_plain_path(href: Column) -> Column:
+    """A root-relative path with nothing to resolve or strip but trailing slashes."""
+    return href.rlike(PLAIN_PATH)
 
 
 def absolute_url(base: Column, href: Column) -> Column:
