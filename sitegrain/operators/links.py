@@ -33,35 +33,45 @@ def passes_page_rule(href: Column, rules: SiteRules) -> Column:
     return href.startswith("/") | href.contains(rules.domain)
 
 
-def _resolved(base: Column, found: Column, inside: tuple[str, ...] | None) -> Column:
-    """Normalised absolute forms, each once; with ``inside``, only those on these hosts."""
+def _resolved(base: Column, found: Column, hosts: tuple[str, ...], by_host: Column) -> Column:
+    """Normalised absolute forms, each once; where ``by_host`` holds, only those on these hosts."""
 
-    def target(href: Column) -> Column:
-        def parts(p: Column) -> Column:
-            keep = p.netloc.isin("", *inside) if inside is not None else F.lit(True)
-            return F.when(keep, normalized(p))
+    def keep(host: Column, value: Column) -> Column:
+        return F.when(~by_host | host.isin("", *hosts), value)
 
-        general = let(resolve_parts(base, href), parts)
+    def target(href: Column) -> Column:
+        general = let(resolve_parts(base, href), lambda p: keep(p.netloc, normalized(p)))
         # Most links of most pages: no need to take them apart and put them together again.
         plain = (base.netloc != "") & base.scheme.isin("http", "https") & is_plain_path(href)
         own = F.concat(base.scheme, F.lit("://"), base.netloc, F.regexp_replace(href, r"/+\z", ""))
-        own_kept = F.when(base.netloc.isin(*inside), own) if inside is not None else own
-        return F.when(plain, own_kept).otherwise(general)
+        return F.when(plain, keep(base.netloc, own)).otherwise(general)
 
     return F.array_distinct(F.filter(F.transform(found, target), lambda u: u.isNotNull()))
 
 
+def links_by_class(nodes: Column, url: Column, rules: SiteRules, is_catalog: Column) -> Column:
+    """The links of a page under the rule of its class.
+
+    Listing pages resolve a link first and keep it by host; product and house pages keep
+    it as written and then resolve it.
+    """
+
+    def build(s: Column) -> Column:
+        found = F.filter(
+            hrefs(nodes),
+            lambda h: F.when(s.catalog, is_navigable(h)).otherwise(passes_page_rule(h, rules)),
+        )
+        return _resolved(s.base, found, rules.hosts, s.catalog | F.lit(rules.strict_hosts))
+
+    return let(F.struct(split_url(url).alias("base"), is_catalog.alias("catalog")), build)
+
+
 def catalog_links(nodes: Column, url: Column, rules: SiteRules) -> Column:
-    """Links of a listing page: resolved first, then kept by host."""
-    found = F.filter(hrefs(nodes), is_navigable)
-    return let(split_url(url), lambda base: _resolved(base, found, rules.hosts))
+    return links_by_class(nodes, url, rules, F.lit(True))
 
 
 def page_links(nodes: Column, url: Column, rules: SiteRules) -> Column:
-    """Links of product and house pages: kept as written, then resolved."""
-    found = F.filter(hrefs(nodes), lambda h: passes_page_rule(h, rules))
-    inside = rules.hosts if rules.strict_hosts else None
-    return let(split_url(url), lambda base: _resolved(base, found, inside))
+    return links_by_class(nodes, url, rules, F.lit(False))
 
 
 def link_table(pages: DataFrame, links: str = "links") -> DataFrame:

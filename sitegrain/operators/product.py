@@ -9,7 +9,6 @@ from sitegrain import rules as R
 from sitegrain.functions import nodes as N
 from sitegrain.functions.text import first_number, let
 from sitegrain.functions.urls import normalized, page_path, resolve_parts, split_url
-from sitegrain.operators.media import media_items
 from sitegrain.operators.registry import Rule
 from sitegrain.rules import SiteRules
 from sitegrain.schemas import PRODUCT_PART_TYPE
@@ -125,11 +124,11 @@ def product_struct(values: dict[str, Column], name: Column, product_url: Column,
     return F.struct(*[known.get(f, F.lit(None)).alias(f) for f in fields]).cast(PRODUCT_PART_TYPE)
 
 
-def listing_cards(nodes: Column, url: Column, rules: SiteRules) -> Column:
+def listing_cards(nodes: Column, url: Column, media: Column, rules: SiteRules) -> Column:
     """``struct(product_url, name, description, media)`` of each complete card.
 
     A card needs a title and an internal link to a product page. Elements are selected
-    once for the page and given to cards by position.
+    once for the page and given to cards by position; ``media`` are the page's media items.
     """
 
     def in_card(items: Column, card: Column) -> Column:
@@ -166,7 +165,7 @@ def listing_cards(nodes: Column, url: Column, rules: SiteRules) -> Column:
             F.filter(links, lambda x: x.url.isNotNull()).alias("links"),
             N.select(nodes, R.LISTING_TITLE).alias("titles"),
             N.select(nodes, R.LISTING_SUMMARY).alias("summaries"),
-            media_items(nodes, url).alias("media"),
+            media.alias("media"),
         ),
         lambda found: read(found.links, found.titles, found.summaries, found.media),
     )

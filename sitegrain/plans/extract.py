@@ -9,11 +9,12 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitegrain.functions.nodes import first_per_key
 from sitegrain.functions.urls import normalize_url
 from sitegrain.operators import routing as T
 from sitegrain.operators.html import page_nodes
-from sitegrain.operators.links import catalog_links, page_links
-from sitegrain.operators.media import page_media
+from sitegrain.operators.links import links_by_class
+from sitegrain.operators.media import media_items
 from sitegrain.operators.product import PRODUCT_RULES, listing_cards, product_struct
 from sitegrain.operators.registry import Rule, merge_rules, rule_columns
 from sitegrain.operators.winery import WINERY_RULES
@@ -48,7 +49,7 @@ def pages_to_parse(pages: DataFrame, rules: SiteRules) -> DataFrame:
 
 @lru_cache(maxsize=16)
 def _columns(rules: SiteRules, product_rules: tuple[Rule, ...], winery_rules: tuple[Rule, ...]):
-    """The two projections of ``extract_pages``, built once per rule set and process.
+    """The projections of ``extract_pages``, built once per rule set and process.
 
     They hold a few thousand expression nodes and refer to columns by name only, so the
     same objects serve every page table.
@@ -60,11 +61,10 @@ def _columns(rules: SiteRules, product_rules: tuple[Rule, ...], winery_rules: tu
         "page_id", "seq", "final_url", "page_class", "routed", "parse_error",
         *rule_columns(product_rules, nodes, url, on=is_product),
         *rule_columns(winery_rules, nodes, url, on=is_winery),
-        F.when(is_catalog, listing_cards(nodes, url, rules)).alias("cards"),
-        F.when(is_product | is_winery, page_media(nodes, url)).alias("own_media"),
+        F.when(is_catalog, listing_cards(nodes, url, F.col("items"), rules)).alias("cards"),
+        F.when(is_product | is_winery, first_per_key(F.col("items"), lambda m: m.url)).alias("own_media"),
         F.when(F.col("routed"), T.routed_links(nodes, url, rules))
-        .when(is_catalog, catalog_links(nodes, url, rules))
-        .when(is_product | is_winery, page_links(nodes, url, rules))
+        .when(cls.isNotNull(), links_by_class(nodes, url, rules, is_catalog))
         .alias("found_links"),
     ]
 
@@ -104,7 +104,8 @@ def _columns(rules: SiteRules, product_rules: tuple[Rule, ...], winery_rules: tu
         F.when(~failed, F.coalesce(F.col("found_links"), none)).otherwise(none)
         .cast("array<string>").alias("links"),
     ]
-    return read, parts
+    items = F.when(cls.isNotNull(), media_items(nodes, url))
+    return items, read, parts
 
 
 def extract_pages(pages: DataFrame, rules: SiteRules,
@@ -119,8 +120,8 @@ def extract_pages(pages: DataFrame, rules: SiteRules,
     in_language = T.is_language_page(F.col("nodes"), F.col("final_url"), rules.routed_lang)
     parsed = page_nodes(todo).withColumn("routed", in_language & F.col("parse_error").isNull())
     classed = parsed.withColumn("page_class", F.when(~F.col("routed"), F.col("path_class")))
-    read, parts = _columns(rules, tuple(product_rules), tuple(winery_rules))
-    return classed.select(*read).select(*parts)
+    items, read, parts = _columns(rules, tuple(product_rules), tuple(winery_rules))
+    return classed.withColumn("items", items).select(*read).select(*parts)
 
 
 def split_parts(extracted: DataFrame) -> Parts:
