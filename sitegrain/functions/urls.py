@@ -41,26 +41,37 @@ def _clean(u: Column) -> Column:
     return F.ltrim(F.translate(u, "\t\r\n", ""), F.lit(_CONTROLS))
 
 
-def split_url(u: Column) -> Column:
-    """``struct(scheme, netloc, path, params, query, fragment)``; absent parts are ``''``."""
-    s = _clean(u)
-
-    def group(i: int) -> Column:
-        return F.regexp_extract(s, URL_PATTERN, i)
-
-    scheme = F.lower(group(1))
-    path = group(3)
+def _parts(scheme: Column, netloc: Column, path: Column, query: Column, fragment: Column) -> Column:
     with_params = scheme.isin(*PARAM_SCHEMES)
+    params = F.regexp_extract(path, r";([^/]*)\z", 1)
     return F.struct(
         scheme.alias("scheme"),
-        group(2).alias("netloc"),
+        netloc.alias("netloc"),
         F.when(with_params, F.regexp_replace(path, r";[^/]*\z", "")).otherwise(path).alias("path"),
-        F.when(with_params, F.regexp_extract(path, r";([^/]*)\z", 1)).otherwise("").alias("params"),
-        group(4).alias("query"),
-        group(5).alias("fragment"),
+        F.when(with_params, params).otherwise("").alias("params"),
+        query.alias("query"),
+        fragment.alias("fragment"),
     )
 
 
+def split_url(u: Column) -> Column:
+    """``struct(scheme, netloc, path, params, query, fragment)``; absent parts are ``''``."""
+    s = _clean(u)
+    scheme, *rest = [F.regexp_extract(s, URL_PATTERN, i) for i in range(1, 6)]
+    return _parts(F.lower(scheme), *rest)
+
+
+def split_url_once(u: Column) -> Column:
+    """``split_url`` for use in lambdas, where Spark does not share the five matches: one match, one split."""
+    marked = F.regexp_replace(_clean(u), URL_PATTERN, "$1\x01$2\x01$3\x01$4\x01$5")
+
+    def build(a: Column) -> Column:
+        scheme, *rest = [F.get(a, F.lit(i)) for i in range(5)]
+        return let(F.lower(scheme), lambda low: _parts(low, *rest))
+
+    return let(F.split(marked, "\x01", -1), build)
+
+
 def _marked(mark: str, part: Column) -> Column:
     return F.when(part != "", F.concat(F.lit(mark), part)).otherwise("")
 
@@ -98,7 +109,7 @@ def media_normalized(p: Column) -> Column:
 
 # The functions below work on a whole column inside generated code, where Spark shares
 # the repeated split. Inside a lambda nothing is shared: there, bind the split once with
-# ``let(split_url(u), normalized)``.
+# ``let(split_url_once(u), normalized)``.
 
 
 def normalize_url(u: Column) -> Column:
@@ -177,7 +188,7 @@ def resolve_parts(base: Column, href: Column) -> Column:
             same_scheme.alias("joined"),
         )
 
-    return let(split_url(href), join)
+    return let(split_url_once(href), join)
 
 
 def resolve(base: Column, href: Column) -> Column:
@@ -199,7 +210,7 @@ def is_plain_path(href: Column) -> Column:
 def absolute_url(base: Column, href: Column) -> Column:
     """Resolve ``href`` against ``base``; an empty href stays empty, an empty base changes nothing."""
     return F.when(base == "", F.coalesce(href, F.lit(""))).otherwise(
-        let(split_url(base), lambda b: resolve(b, href))
+        let(split_url_once(base), lambda b: resolve(b, href))
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sitegrain import rules as R
 from sitegrain.functions import nodes as N
 from sitegrain.functions.text import let
-from sitegrain.functions.urls import in_scope, is_plain_path, normalized, resolve_parts, split_url
+from sitegrain.functions.urls import in_scope, is_plain_path, normalized, resolve_parts, split_url_once
 from sitegrain.rules import SiteRules
 
 
@@ -63,7 +63,7 @@ def links_by_class(nodes: Column, url: Column, rules: SiteRules, is_catalog: Col
         )
         return _resolved(s.base, found, rules.hosts, s.catalog | F.lit(rules.strict_hosts))
 
-    return let(F.struct(split_url(url).alias("base"), is_catalog.alias("catalog")), build)
+    return let(F.struct(split_url_once(url).alias("base"), is_catalog.alias("catalog")), build)
 
 
 def catalog_links(nodes: Column, url: Column, rules: SiteRules) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sitegrain import rules as R
 from sitegrain.functions import nodes as N
 from sitegrain.functions.text import empty_to_null, let, strip
-from sitegrain.functions.urls import media_normalized, resolve_parts, split_url
+from sitegrain.functions.urls import media_normalized, resolve_parts, split_url_once
 
 IMAGE, VIDEO = "image", "video"
 # Where lazily loaded pictures keep their sources, in order of preference.
@@ -82,7 +82,7 @@ def media_items(nodes: Column, url: Column, kind: tuple[N.Sel, ...] = R.MEDIA) -
         return F.struct(node.idx.alias("idx"), F.when(video, VIDEO).otherwise(IMAGE).alias("media_type"), target.alias("url"))
 
     found = N.select(nodes, *kind)
-    items = let(split_url(url), lambda base: F.transform(found, lambda n: item(base, n)))
+    items = let(split_url_once(url), lambda base: F.transform(found, lambda n: item(base, n)))
     return F.filter(items, lambda m: m.url.isNotNull())
 
 

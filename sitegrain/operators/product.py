@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from sitegrain import rules as R
 from sitegrain.functions import nodes as N
 from sitegrain.functions.text import first_number, let
-from sitegrain.functions.urls import normalized, page_path, resolve_parts, split_url
-from sitegrain.operators.registry import Rule
+from sitegrain.functions.urls import normalized, page_path, resolve_parts, split_url_once
+from sitegrain.operators.registry import Rule, on_found
 from sitegrain.rules import SiteRules
 from sitegrain.schemas import PRODUCT_PART_TYPE
 
@@ -24,23 +24,25 @@ def product_name(nodes: Column, url: Column) -> Column:
         )
 
     def build(root: Column) -> Column:
-        headings = F.filter(N.select(nodes, N.el(None, R.HEADING)), lambda n: N.within(n, root))
+        headings = F.filter(N.select(N.subtree(nodes, root), N.el(None, R.HEADING)), lambda n: N.within(n, root))
         return let(
             headings,
             lambda hs: F.concat_ws(" ", N.last(of_tag(hs, "h1")), F.get(of_tag(hs, "p"), F.lit(0))),
         )
 
-    return F.struct(let(N.select_one(nodes, R.PRODUCT_ROOT), build).alias("name"))
+    roots = N.select(nodes, R.PRODUCT_ROOT)
+    return on_found(roots, lambda s: F.struct(let(F.get(s, F.lit(0)), build).alias("name")))
 
 
 def product_description(nodes: Column, url: Column) -> Column:
-    return F.struct(F.array_join(N.texts(nodes, N.select(nodes, R.PRODUCT_DESCRIPTION)), " ").alias("description"))
+    paragraphs = N.select(nodes, R.PRODUCT_DESCRIPTION)
+    return on_found(paragraphs, lambda ps: F.struct(F.array_join(N.texts(nodes, ps), " ").alias("description")))
 
 
-def grape_composition(nodes: Column, url: Column) -> Column:
-    """Percentages from the first pairs of the left-hand sheet; later labels win."""
+def _grapes(kv: Column) -> list[Column]:
+    """Percentages of the three grapes; later labels win."""
 
-    def share(kv: Column, test) -> Column:
+    def share(test) -> Column:
         return first_number(N.last(F.filter(kv, lambda p: test(p.k) & first_number(p.v).isNotNull())).v)
 
     def chardonnay(k):
@@ -52,26 +54,25 @@ def grape_composition(nodes: Column, url: Column) -> Column:
     def meunier(k):
         return ~chardonnay(k) & ~(k.contains("pinot") & k.contains("noir")) & k.contains("meunier")
 
-    def build(kv: Column) -> Column:
-        return F.struct(
-            share(kv, chardonnay).alias("grape_chardonnay_percent"),
-            share(kv, pinot).alias("grape_pinot_noir_percent"),
-            share(kv, meunier).alias("grape_meunier_percent"),
-        )
+    return [share(t).alias(name) for name, t in zip(GRAPES, (chardonnay, pinot, meunier))]
 
-    first_nodes = F.slice(N.select(nodes, R.TECH_LEFT), 1, 2 * R.GRAPE_PAIRS)
-    return let(N.key_values(N.pairs(N.texts(nodes, first_nodes))), build)
 
+def left_sheet(nodes: Column, url: Column) -> Column:
+    """Grapes from the first pairs of the left-hand sheet, the temperature from all of them."""
 
-def serving_temperature(nodes: Column, url: Column) -> Column:
-    complete = F.filter(
-        N.pairs(N.texts(nodes, N.select(nodes, R.TECH_LEFT))), lambda p: p.k.isNotNull() & p.v.isNotNull()
-    )
-    folded = F.transform(complete, lambda p: F.struct(F.lower(p.k).alias("k"), p.v.alias("v")))
-    return F.struct(N.find_by_patterns(folded, *R.TEMPERATURE_KEYS).alias("operating_temperature"))
+    def temperature(values: Column) -> Column:
+        complete = F.filter(N.pairs(values), lambda p: p.k.isNotNull() & p.v.isNotNull())
+        folded = F.transform(complete, lambda p: F.struct(F.lower(p.k).alias("k"), p.v.alias("v")))
+        return N.find_by_patterns(folded, *R.TEMPERATURE_KEYS)
+
+    def build(values: Column) -> Column:
+        kv = N.key_values(N.pairs(F.slice(values, 1, 2 * R.GRAPE_PAIRS)))
+        return let(kv, lambda ps: F.struct(*_grapes(ps), temperature(values).alias("operating_temperature")))
 
+    return on_found(N.select(nodes, R.TECH_LEFT), lambda s: let(N.texts(nodes, s), build))
 
-def technical_sheet(nodes: Column, url: Column) -> Column:
+
+def right_sheet(nodes: Column, url: Column) -> Column:
     def build(kv: Column) -> Column:
         return F.struct(
             first_number(N.find_by_patterns(kv, *R.DOSAGE_KEYS)).alias("dosage_g_per_l"),
@@ -80,40 +81,47 @@ def technical_sheet(nodes: Column, url: Column) -> Column:
             N.find_by_patterns(kv, *R.VINTAGE_KEYS).alias("millennium"),
         )
 
-    return let(N.key_values(N.pairs(N.texts(nodes, N.select(nodes, *R.TECH_RIGHT)))), build)
+    labels = N.select(nodes, *R.TECH_RIGHT)
+    return on_found(labels, lambda s: let(N.key_values(N.pairs(N.texts(nodes, s))), build))
 
 
 def data_sheet(nodes: Column, url: Column) -> Column:
     def target(href: Column) -> Column:
-        full = let(split_url(url), lambda base: resolve_parts(base, href))
+        full = let(split_url_once(url), lambda base: resolve_parts(base, href))
         return F.when(href != "", let(full, normalized))
 
-    return F.struct(let(N.attr(N.select_one(nodes, R.DATA_SHEET), "href"), target).alias("data_sheet_url"))
+    buttons = N.select(nodes, R.DATA_SHEET)
+    return on_found(
+        buttons, lambda s: F.struct(let(N.attr(F.get(s, F.lit(0)), "href"), target).alias("data_sheet_url"))
+    )
 
 
 def awards(nodes: Column, url: Column) -> Column:
-    values = N.texts(nodes, N.select(nodes, R.AWARDS))
-    return F.struct(N.titled_pairs(values, "title", "value").alias("awards_and_ratings"))
+    def build(s: Column) -> Column:
+        return F.struct(N.titled_pairs(N.texts(nodes, s), "title", "value").alias("awards_and_ratings"))
+
+    return on_found(N.select(nodes, R.AWARDS), build)
 
 
 def tasting_notes(nodes: Column, url: Column) -> Column:
-    values = N.texts(nodes, N.select(nodes, R.TASTING))
-    return F.struct(N.titled_pairs(values, "title", "content").alias("tasting_notes"))
+    def build(s: Column) -> Column:
+        return F.struct(N.titled_pairs(N.texts(nodes, s), "title", "content").alias("tasting_notes"))
+
+    return on_found(N.select(nodes, R.TASTING), build)
 
 
 GRAPES = ("grape_chardonnay_percent", "grape_pinot_noir_percent", "grape_meunier_percent")
 SHEET = ("dosage_g_per_l", "aging", "crus_assembles", "millennium")
 PRODUCT_RULES = (
-    Rule("product_name", (R.PRODUCT_HEADINGS,), ("name",), product_name),
-    Rule("product_description", (R.PRODUCT_DESCRIPTION,), ("description",), product_description),
-    Rule("grape_composition", (R.TECH_LEFT,), GRAPES, grape_composition, frozenset(GRAPES)),
-    Rule("operating_temperature", (R.TECH_LEFT,), ("operating_temperature",), serving_temperature),
-    Rule("right_tech_kv", (R.TECH_RIGHT,), SHEET, technical_sheet, frozenset(["dosage_g_per_l"])),
-    Rule("data_sheet", (R.DATA_SHEET,), ("data_sheet_url",), data_sheet),
-    Rule("awards", (R.AWARDS,), ("awards_and_ratings",), awards, frozenset(["awards_and_ratings"])),
+    Rule("product_name", ("name",), product_name),
+    Rule("product_description", ("description",), product_description),
+    Rule("left_sheet", (*GRAPES, "operating_temperature"), left_sheet, frozenset(GRAPES)),
+    Rule("right_sheet", SHEET, right_sheet, frozenset(["dosage_g_per_l"])),
+    Rule("data_sheet", ("data_sheet_url",), data_sheet),
+    Rule("awards", ("awards_and_ratings",), awards, frozenset(["awards_and_ratings"])),
 )
 # Not part of a product record; offered for reports and other rule lists.
-TASTING_RULE = Rule("tasting", (R.TASTING,), ("tasting_notes",), tasting_notes, frozenset(["tasting_notes"]))
+TASTING_RULE = Rule("tasting", ("tasting_notes",), tasting_notes, frozenset(["tasting_notes"]))
 
 
 def product_struct(values: dict[str, Column], name: Column, product_url: Column, page_url: Column) -> Column:
@@ -159,7 +167,7 @@ def listing_cards(nodes: Column, url: Column, media: Column, rules: SiteRules) -
         )
         return F.filter(cards, lambda c: c.product_url.isNotNull() & c["name"].isNotNull())
 
-    links = let(split_url(url), lambda base: F.transform(N.select(nodes, R.LINKS), lambda n: product_link(base, n)))
+    links = let(split_url_once(url), lambda base: F.transform(N.select(nodes, R.LINKS), lambda n: product_link(base, n)))
     return let(
         F.struct(
             F.filter(links, lambda x: x.url.isNotNull()).alias("links"),

@@ -13,7 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitegrain.functions import nodes as N
-from sitegrain.functions.text import strip
+from sitegrain.functions.text import let, strip
+
+
+def on_found(selected: Column, read: Callable[[Column], Column]) -> Column:
+    """``read(selected)`` if anything was selected, else null. Selects once."""
+    return let(selected, lambda s: F.when(F.size(s) > 0, read(s)))
 
 
 @dataclass(frozen=True)
@@ -21,15 +26,16 @@ class Rule:
     """``read(nodes, url)`` gives one struct column with the rule's ``fields``.
 
     ``needs`` lists element patterns (or tuples of alternatives) that must all occur on the
-    page, else the rule gives nothing. Fields named in ``structured`` are no texts: an empty
-    list counts as a value, where a blank text does not.
+    page, else the rule gives nothing. A rule that selects those elements anyway gives a null
+    struct itself (see ``on_found``) and needs no guard. Fields named in ``structured`` are no
+    texts: an empty list counts as a value, where a blank text does not.
     """
 
     name: str
-    needs: tuple[N.Sel | tuple[N.Sel, ...], ...]
     fields: tuple[str, ...]
     read: Callable[[Column, Column], Column]
     structured: frozenset[str] = frozenset()
+    needs: tuple[N.Sel | tuple[N.Sel, ...], ...] = ()
 
     @property
     def column(self) -> str:
@@ -51,8 +57,11 @@ def rule_columns(rules: Sequence[Rule], nodes: Column, url: Column, on: Column |
     """One struct column per rule, so that the work of a rule is done once for all its fields."""
     out = []
     for rule in rules:
-        guard = rule.applies(nodes) if on is None else on & rule.applies(nodes)
-        out.append(F.when(guard, rule.read(nodes, url)).alias(rule.column))
+        guards = [g for g in (on, rule.applies(nodes) if rule.needs else None) if g is not None]
+        value = rule.read(nodes, url)
+        for g in reversed(guards):
+            value = F.when(g, value)
+        out.append(value.alias(rule.column))
     return out
 
 

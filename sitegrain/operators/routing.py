@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sitegrain import rules as R
 from sitegrain.functions import nodes as N
 from sitegrain.functions.text import empty_to_null, let
-from sitegrain.functions.urls import absolute_url, below, canonical_page_url, normalized, page_path, split_url
+from sitegrain.functions.urls import absolute_url, below, canonical_page_url, normalized, page_path, split_url_once
 from sitegrain.rules import SiteRules
 
 PRODUCT, CATALOG, HISTORY, FAMILY, HOME = "product", "catalog", "history", "family_spirit", "winery"
@@ -97,7 +97,7 @@ def routed_links(nodes: Column, final_url: Column, rules: SiteRules) -> Column:
     """The only links of a page in the routed language: its other version, unless that is itself."""
 
     def key(u: Column) -> Column:
-        return let(split_url(u), normalized)
+        return let(split_url_once(u), normalized)
 
     other = let(language_switch_url(nodes, final_url, rules.target_lang), key)
     return F.filter(F.array(other), lambda u: u.isNotNull() & (u != "") & (u != key(final_url)))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sitegrain import rules as R
 from sitegrain.functions import nodes as N
 from sitegrain.functions.text import after_dash, capitalize_words, empty_to_null, let, unquote
-from sitegrain.operators.registry import Rule
+from sitegrain.operators.registry import Rule, on_found
 
 SKIPPED_CHILDREN = ("b", "br")
 
@@ -41,7 +41,8 @@ def house_description(nodes: Column, url: Column) -> Column:
         joined = F.array_join(_filled(F.transform(children, child_text)), " ")
         return F.coalesce(empty_to_null(joined), N.node_text(nodes, parent))
 
-    return F.struct(let(N.select_one(nodes, R.STORY), build).alias("description"))
+    stories = N.select(nodes, R.STORY)
+    return on_found(stories, lambda s: F.struct(let(F.get(s, F.lit(0)), build).alias("description")))
 
 
 def history_timeline(nodes: Column, url: Column) -> Column:
@@ -70,11 +71,16 @@ def history_timeline(nodes: Column, url: Column) -> Column:
             ),
         )
 
-    timeline = let(
-        N.select(nodes, R.TIMELINE_TEXT),
-        lambda blocks: F.transform(N.select(nodes, R.TIMELINE_TITLE), lambda t: milestone(t, blocks)),
-    )
-    return F.struct(F.filter(timeline, lambda m: m.year != "").alias("history_timeline"))
+    def build(blocks: Column) -> Column:
+        titles = N.select(nodes, R.TIMELINE_TITLE)
+        return on_found(
+            titles,
+            lambda ts: F.struct(
+                F.filter(F.transform(ts, lambda t: milestone(t, blocks)), lambda m: m.year != "").alias("history_timeline")
+            ),
+        )
+
+    return on_found(N.select(nodes, R.TIMELINE_TEXT), build)
 
 
 def family_spirit(nodes: Column, url: Column) -> Column:
@@ -94,17 +100,15 @@ def family_spirit(nodes: Column, url: Column) -> Column:
         named = F.filter(zipped, lambda e: e["name"].isNotNull() & (e["name"] != ""))
         return let(F.reverse(named), lambda es: F.map_from_entries(N.first_per_key(es, lambda e: e["name"])))
 
-    members = let(
-        F.struct(N.select(nodes, R.FAMILY_NAME).alias("n"), N.select(nodes, R.FAMILY_TEXT).alias("b")),
-        lambda s: build(s.n, s.b),
-    )
-    return F.struct(members.alias("family_spirit"))
+    def members(names: Column) -> Column:
+        blocks = N.select(nodes, R.FAMILY_TEXT)
+        return on_found(blocks, lambda bs: F.struct(build(names, bs).alias("family_spirit")))
+
+    return on_found(N.select(nodes, R.FAMILY_NAME), members)
 
 
 WINERY_RULES = (
-    Rule("winery_description", (R.STORY,), ("description",), house_description),
-    Rule("history_timeline", (R.TIMELINE_TITLE, R.TIMELINE_TEXT), ("history_timeline",), history_timeline,
-         frozenset(["history_timeline"])),
-    Rule("family_spirit", (R.FAMILY_NAME, R.FAMILY_TEXT), ("family_spirit",), family_spirit,
-         frozenset(["family_spirit"])),
+    Rule("winery_description", ("description",), house_description),
+    Rule("history_timeline", ("history_timeline",), history_timeline, frozenset(["history_timeline"])),
+    Rule("family_spirit", ("family_spirit",), family_spirit, frozenset(["family_spirit"])),
 )
