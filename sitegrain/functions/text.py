@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 BLANK = r"[\s\x1c-\x1f]"
 NUMBER = r"[0-9]+(?:[.,][0-9]+)?"
 # The spellings of "no single year" on a label.
-NON_VINTAGE_PATTERN = r"(?s).*non[- ]vintage.*"
+NON_VINTAGE_PATTERN = "non[- ]vintage"
 NON_VINTAGE_SHORT = "nv"
 
 

@@ -72,15 +72,18 @@ def expand_frontier(spark: SparkSession, pages: DataFrame, links: DataFrame, see
     def stored(name: str, schema: str) -> DataFrame:
         return spark.read.schema(schema).parquet(f"{state}/{name}")
 
-    def add(rows: DataFrame, name: str, wave: int) -> int:
+    def write(rows: DataFrame, name: str, wave: int) -> str:
         path = f"{state}/{name}/wave={wave}"
         rows.write.parquet(path)
-        return spark.read.schema(rows.schema).parquet(path).count()
+        return path
+
+    def add(rows: DataFrame, name: str, wave: int) -> int:
+        return spark.read.schema(rows.schema).parquet(write(rows, name, wave)).count()
 
     n_seeds = seeds.count()
     waiting = add(seeds.select("key").distinct(), "found", 0)
-    spark.createDataFrame([], DONE).drop("wave").write.parquet(f"{state}/done/wave=-1")
-    spark.createDataFrame([], FOUND).drop("wave").write.parquet(f"{state}/taken/wave=-1")
+    write(spark.createDataFrame([], DONE).drop("wave"), "done", -1)
+    write(spark.createDataFrame([], FOUND).drop("wave"), "taken", -1)
     wave = 0
     while waiting:
         found, done = stored("found", FOUND), stored("done", DONE)
@@ -94,7 +97,7 @@ def expand_frontier(spark: SparkSession, pages: DataFrame, links: DataFrame, see
         first = F.min(F.struct("seq", "page_id", "key")).alias("f")
         reached = join_pages(frontier, index).groupBy("canon").agg(first)
         fresh = reached.join(done.select("canon"), "canon", "left_anti")
-        add(fresh.select("canon", "f.page_id", "f.seq", "f.key"), "done", wave)
+        write(fresh.select("canon", "f.page_id", "f.seq", "f.key"), "done", wave)
         current = stored("done", DONE).where(F.col("wave") == wave).select("page_id")
         targets = edges.join(current, "page_id", "left_semi").select("key")
         added = add(new_urls(targets, found), "found", wave + 1)

@@ -35,7 +35,8 @@ def with_rates(counts: DataFrame) -> DataFrame:
 
 def ingest_metrics(fetch_log: DataFrame, elapsed_s: Column | None = None) -> DataFrame:
     """One row for the run. Without a given duration the log's own time span counts."""
-    span = F.max(F.unix_micros("ts")) - F.min(F.unix_micros("ts"))
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = F.max(micros) - F.min(micros)
     counts = fetch_log.agg(
         *attempt_counts(),
         F.count_distinct("url").alias("crawled_pages"),

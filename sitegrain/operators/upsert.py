@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,16 +82,16 @@ def merge_wineries(batch: DataFrame, stored: DataFrame, now: Column, refresh: bo
     A house is looked up under its trimmed name and written under the name it came with.
     """
     b, e = batch.alias("b"), stored.alias("e")
+    new = F.col("e.name").isNull()
+
+    def merged(c: str, merge: Callable[[Column, Column], Column]) -> Column:
+        return F.when(new, F.col(f"b.{c}")).otherwise(merge(F.col(f"e.{c}"), F.col(f"b.{c}"))).alias(c)
+
     found = b.join(e, strip(F.col("b.name")) == F.col("e.name"), "left").select(
         F.coalesce(F.when(F.col("b.name") == F.col("e.name"), F.col("e.id")), stable_id(F.col("b.name"))).alias("id"),
         "b.name",
-        *[merge_scalar(F.col(f"e.{c}"), F.col(f"b.{c}")).alias(c)
-          for c in ("website_url", "source_page_url", "description")],
-        merge_map(F.col("e.family_spirit"), F.col("b.family_spirit")).alias("family_spirit"),
-        F.when(F.col("e.name").isNull(), F.col("b.history_timeline"))
-        .otherwise(merge_list(F.col("e.history_timeline"), F.col("b.history_timeline")))
-        .alias("history_timeline"),
-        *_stamps("e", now, refresh),
+        *[merged(c, merge_scalar) for c in ("website_url", "source_page_url", "description")],
+        merged("family_spirit", merge_map), merged("history_timeline", merge_list), *_stamps("e", now, refresh),
     )
     rest = stored.join(found.select("name"), "name", "left_anti").select(*WINERY.fieldNames())
     return _typed(found, WINERY).unionByName(rest)
@@ -105,7 +107,8 @@ def merge_products(batch: DataFrame, stored: DataFrame, now: Column, refresh: bo
     new, old = F.col("b.url_key").isNotNull(), F.col("e.product_url").isNotNull()
 
     def merged(c: str) -> Column:
-        return merge_scalar(F.col(f"e.{c}"), F.col(f"b.{c}"), PRODUCT[c].dataType).alias(c)
+        value = merge_scalar(F.col(f"e.{c}"), F.col(f"b.{c}"), PRODUCT[c].dataType)
+        return F.when(old, value).otherwise(F.col(f"b.{c}")).alias(c)
 
     awards = (
         F.when(~new, F.col("e.awards_and_ratings"))
@@ -170,39 +173,39 @@ class EntityStore:
         self.pages = Snapshot(f"{path}/pages", pages, "canon", buckets)
 
     def upsert_wineries(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> None:
-        if self.wineries.has_batch(self.spark, run_id, batch_id):
+        table = self.wineries.load(self.spark)
+        if table.has_batch(run_id, batch_id):
             return
         batch = group_wineries(parts).persist(StorageLevel.DISK_ONLY)
-        touched = self.wineries.touched(batch.select("name"), batch.select(strip(F.col("name")).alias("name")))
-        stored = self.wineries.read(self.spark, touched)
-        self.wineries.commit(merge_wineries(batch, stored, _now(now)), touched, run_id, batch_id)
+        touched = table.touched(batch.select("name"), batch.select(strip(F.col("name")).alias("name")))
+        table.commit(merge_wineries(batch, table.read(touched), _now(now)), touched, run_id, batch_id)
         batch.unpersist()
 
     def upsert_products(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> None:
-        if self.products.has_batch(self.spark, run_id, batch_id):
+        table = self.products.load(self.spark)
+        if table.has_batch(run_id, batch_id):
             return
         default = default_winery_id(winery_ids(self.wineries.read(self.spark)), self.rules)
         batch = resolve_parent(group_products(parts), default).persist(StorageLevel.DISK_ONLY)
-        touched = self.products.touched(batch.select("url_key"))
-        stored = self.products.read(self.spark, touched)
-        self.products.commit(merge_products(batch, stored, _now(now)), touched, run_id, batch_id)
+        touched = table.touched(batch.select("url_key"))
+        table.commit(merge_products(batch, table.read(touched), _now(now)), touched, run_id, batch_id)
         batch.unpersist()
 
     def upsert_media(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> None:
-        if self.media.has_batch(self.spark, run_id, batch_id):
+        table = self.media.load(self.spark)
+        if table.has_batch(run_id, batch_id):
             return
         batch = prepare_media(parts).persist(StorageLevel.DISK_ONLY)
-        touched = self.media.touched(batch.select("url"))
-        stored = self.media.read(self.spark, touched)
-        self.media.commit(merge_media(batch, stored, _now(now), run_id), touched, run_id, batch_id)
+        touched = table.touched(batch.select("url"))
+        table.commit(merge_media(batch, table.read(touched), _now(now), run_id), touched, run_id, batch_id)
         batch.unpersist()
 
     def delete_wineries(self, ids: DataFrame, run_id: str, batch_id: int = 0) -> None:
         """Remove houses and, with them, their products."""
-        products = delete_cascade(self.products.read(self.spark), ids)
-        self.products.commit(products, range(self.products.buckets), run_id, batch_id)
-        left = self.wineries.read(self.spark).join(ids.select("id"), "id", "left_anti")
-        self.wineries.commit(left.select(*WINERY.fieldNames()), range(self.wineries.buckets), run_id, batch_id)
+        products, wineries = self.products.load(self.spark), self.wineries.load(self.spark)
+        products.commit(delete_cascade(products.read(), ids), range(self.products.buckets), run_id, batch_id)
+        left = wineries.read().join(ids.select("id"), "id", "left_anti")
+        wineries.commit(left.select(*WINERY.fieldNames()), range(self.wineries.buckets), run_id, batch_id)
 
 
 def delete_cascade(products: DataFrame, deleted_ids: DataFrame) -> DataFrame:

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,58 +29,64 @@ class Snapshot:
     def bucket(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
-    def _newest(self, spark: SparkSession) -> list[Row]:
-        """The manifest rows of the newest commit: at most one per bucket."""
+    def load(self, spark: SparkSession) -> Version:
+        """The newest version: its manifest has at most one row per bucket."""
         try:
             rows = spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return []
-        newest = rows.agg(F.max("version").alias("v")).first().v
-        return rows.where(F.col("version") == newest).collect()
+            return Version(spark, self, 0, "", -1, {})
+        newest = rows.where(F.col("version") == rows.agg(F.max("version")).scalar()).collect()
+        head = newest[0]
+        folders = {r.bucket: r.folder for r in newest if r.folder}
+        return Version(spark, self, head.version, head.run_id, head.batch_id, folders)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self.load(spark).read()
 
-    def _folders(self, spark: SparkSession) -> dict[int, str]:
-        return {r.bucket: r.folder for r in self._newest(spark) if r.folder}
 
-    def has_batch(self, spark: SparkSession, run_id: str, batch_id: int) -> bool:
-        """The newest commit belongs to this run and took this batch or a later one."""
-        return any(r.run_id == run_id and r.batch_id >= batch_id for r in self._newest(spark)[:1])
+@dataclass(frozen=True)
+class Version:
+    """One state of a snapshot: which folder holds each bucket, and the batch that made it."""
+
+    spark: SparkSession
+    table: Snapshot
+    number: int
+    run_id: str
+    batch_id: int
+    folders: dict[int, str]
 
-    def read(self, spark: SparkSession, buckets: Iterable[int] | None = None) -> DataFrame:
+    def has_batch(self, run_id: str, batch_id: int) -> bool:
+        """Made by this run, by this batch or a later one."""
+        return self.run_id == run_id and self.batch_id >= batch_id
+
+    def read(self, buckets: Iterable[int] | None = None) -> DataFrame:
         """All rows, or those of some buckets."""
-        folders = self._folders(spark)
-        wanted = folders if buckets is None else {b: folders[b] for b in buckets if b in folders}
+        wanted = self.folders if buckets is None else {b: self.folders[b] for b in buckets if b in self.folders}
         if not wanted:
-            return spark.createDataFrame([], self.schema)
-        paths = [f"{self.path}/{folder}/bucket={b}" for b, folder in wanted.items()]
-        return spark.read.schema(self.schema).parquet(*paths)
+            return self.spark.createDataFrame([], self.table.schema)
+        paths = [f"{self.table.path}/{folder}/bucket={b}" for b, folder in wanted.items()]
+        return self.spark.read.schema(self.table.schema).parquet(*paths)
 
     def touched(self, *keys: DataFrame) -> list[int]:
-        """The buckets that hold these keys: bounded by the number of buckets."""
-        ids = keys[0].select(self.bucket(F.col(keys[0].columns[0])).alias("b"))
-        for k in keys[1:]:
-            ids = ids.unionAll(k.select(self.bucket(F.col(k.columns[0])).alias("b")))
-        return sorted(r.b for r in ids.distinct().collect())
-
-    def commit(self, rows: DataFrame, buckets: Iterable[int], run_id: str, batch_id: int) -> int:
-        """Replace the given buckets by ``rows`` and publish a new version."""
-        spark = rows.sparkSession
-        newest = self._newest(spark)
-        version = newest[0].version + 1 if newest else 1
-        folders = {r.bucket: r.folder for r in newest if r.folder}
-        folder = f"data/version={version:08d}"
-        out = rows.select(*self.schema.fieldNames()).withColumn("bucket", self.bucket(F.col(self.key)))
-        out.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{folder}")
+        """The buckets that hold these keys: never more than there are buckets."""
+        ids = [k.select(self.table.bucket(F.col(k.columns[0])).alias("b")) for k in keys]
+        return sorted(r.b for r in reduce(DataFrame.unionAll, ids).distinct().collect())
+
+    def commit(self, rows: DataFrame, buckets: Iterable[int], run_id: str, batch_id: int) -> None:
+        """Replace the given buckets by ``rows`` and publish the next version."""
+        number, path = self.number + 1, self.table.path
+        folder = f"data/version={number:08d}"
+        out = rows.select(*self.table.schema.fieldNames())
+        out = out.withColumn("bucket", self.table.bucket(F.col(self.table.key)))
+        out.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/{folder}")
         # With a schema given, a folder without a single file reads as empty.
-        written = spark.read.schema("bucket int").parquet(f"{self.path}/{folder}")
+        written = self.spark.read.schema("bucket int").parquet(f"{path}/{folder}")
         filled = {r.bucket for r in written.distinct().collect()}
-        for b in buckets:
-            folders.pop(b, None)
-            if b in filled:
-                folders[b] = folder
-        entries = [(b, f, run_id, batch_id, version) for b, f in folders.items()]
-        entries = entries or [(-1, None, run_id, batch_id, version)]
-        manifest = spark.createDataFrame(entries, MANIFEST).coalesce(1)
-        manifest.write.mode("append").parquet(f"{self.path}/manifest")
-        return version
+        folders = {b: f for b, f in self.folders.items() if b not in set(buckets)}
+        folders |= {b: folder for b in buckets if b in filled}
+        entries = [(b, f, run_id, batch_id, number) for b, f in folders.items()]
+        entries = entries or [(-1, None, run_id, batch_id, number)]
+        manifest = self.spark.createDataFrame(entries, MANIFEST).coalesce(1)
+        manifest.write.mode("append").parquet(f"{path}/manifest")
