@@ -29,7 +29,7 @@ from sitegrain.plans.extract import extract_pages, split_parts
 from sitegrain.rules import SiteRules
 from sitegrain.schemas import PRODUCT, WINERY
 from sitegrain.session import work_dir
-from sitegrain.sources.pages import read_pages, seed_urls
+from sitegrain.sources.pages import PAGE_SCHEMA, read_pages, seed_urls, spread, stream_pages
 from sitegrain.streaming.ingest import live_metrics, stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -441,7 +441,7 @@ def _line_products(spark: SparkSession, sf: str) -> DataFrame:
         return F.when(c("l_returnflag") == flag, value)
 
     order = F.struct("l_shipdate", "l_orderkey", *LINE_ORDER)
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem"), "l_orderkey").select(
         order.alias("o"), F.concat(F.lit("part "), c("l_partkey")).alias("name"),
         F.concat(F.lit("https://h.example.com/p/"), c("l_partkey"), F.when(c("l_linenumber") % 2 == 0, "/").otherwise("?x=1")).alias("product_url"),
         F.concat(F.lit("https://h.example.com/o/"), c("l_orderkey")).alias("source_page_url"),
@@ -473,7 +473,7 @@ def required_fields(spark, sf):
 
 @query
 def dedupe_run_products(spark, sf):
-    rows = table(spark, sf, "lineitem").select(
+    rows = spread(table(spark, sf, "lineitem"), "l_orderkey").select(
         F.struct("l_shipdate", *LINE_ORDER).alias("o"), "l_orderkey", "l_quantity",
         F.concat(F.lit("https://h.example.com/p/"), c("l_partkey") % 10, F.lit("/")).alias("product_url"),
         F.concat(F.lit("https://h.example.com/o/"), c("l_orderkey"), F.lit("#x")).alias("source_page_url"),
@@ -733,8 +733,6 @@ def stream_ingest_run(spark, sf):
     """The run of ``ingest_run`` as a stream of page files: the store must end up the same."""
     folder = work_dir(spark, "arriving")
     R.site_pages(spark, sf).repartition(16, "page_id").write.parquet(f"{folder}/pages")
-    from sitegrain.sources.pages import PAGE_SCHEMA, stream_pages
-
     store = UP.EntityStore(spark, f"{folder}/store", R.RULES, buckets=8)
     pages = stream_pages(spark, f"{folder}/pages", PAGE_SCHEMA, files_per_batch=8)
     stream_ingest(pages, store, f"{folder}/checkpoint", "r1", R.RULES, _now()).awaitTermination()

@@ -18,6 +18,13 @@ URL_PATTERN = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:
 
 PLAIN_PATH = r"^(?:/[A-Za-z0-9_~%,+@=!$&'()*\-][A-Za-z0-9_~%,+@=!$&'()*.\-]*)+/*$"
 
+# Web URLs as nearly all are written: one match gives their stem (1), path (2) and query (3).
+# Anything odd (other schemes, capitals, params, control characters, blanks in front) takes the long way.
+WEB_URL = (
+    r"^(https?://[^/?#\x00-\x20]+((?:/[^?#;\t\r\n]*[^/?#;\t\r\n])?))/*"
+    r"(\?[^#\t\r\n]+)?\??(?:#[^\t\r\n]*)?\z"
+)
+
 # Schemes whose URLs have an authority, resolve relatively, or carry ;params
 # (the registry behind Python's urllib.parse).
 AUTHORITY_SCHEMES = (
@@ -112,25 +119,30 @@ def media_normalized(p: Column) -> Column:
 # ``let(split_url_once(u), normalized)``.
 
 
+def _quick(u: Column, short: str, long: Column) -> Column:
+    """``short``, a replacement for a plain web URL, else the long way."""
+    return F.when(u.rlike(WEB_URL), F.regexp_replace(u, WEB_URL, short)).otherwise(_given(u, long))
+
+
 def normalize_url(u: Column) -> Column:
     """Scheme, authority and path without trailing slashes, params, query or fragment."""
-    return _given(u, normalized(split_url(u)))
+    return _quick(u, "$1", normalized(split_url(u)))
 
 
 def normalize_media_url(u: Column) -> Column:
     """As ``normalize_url`` but the query names a different file, so it stays."""
-    return _given(u, media_normalized(split_url(u)))
+    return _quick(u, "$1$3", media_normalized(split_url(u)))
 
 
 def canonical_page_url(u: Column, host: str) -> Column:
     """One name per page of the site: https, the main host and the bare path."""
-    bare = page_path(u)
-    rooted = F.when((bare != "") & ~bare.startswith("/"), F.concat(F.lit("/"), bare)).otherwise(bare)
-    return _given(u, F.concat(F.lit(f"https://{host}"), rooted))
+    path = page_path(u)
+    rooted = F.when((path != "") & ~path.startswith("/"), "/").otherwise("")
+    return _given(u, F.concat(F.lit(f"https://{host}"), rooted, path))
 
 
 def page_path(u: Column) -> Column:
-    return _bare(split_url(u).path)
+    return F.when(u.rlike(WEB_URL), F.regexp_replace(u, WEB_URL, "$2")).otherwise(_bare(split_url(u).path))
 
 
 def slug(u: Column) -> Column:

@@ -131,6 +131,9 @@ class _NodeLists(HTMLParser):
                 depth -= 1
             self._close_down_to(depth)
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def handle_starttag(self, tag, attrs):
         self._open(tag, attrs)
         if tag in VOID:
