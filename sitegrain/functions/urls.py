@@ -40,6 +40,11 @@ PARAM_SCHEMES = (
     "", "ftp", "hdl", "prospero", "http", "https", "shttp", "rtsp", "rtsps", "rtspu", "sip",
     "sips", "mms", "sftp", "tel",
 )
+# A parsed scheme is lower-case letters, digits and "+.-", so one pattern tests a whole list.
+_AUTHORITY, _RELATIVE, _PARAMS = (
+    "^(?:" + "|".join(s.replace("+", "[+]") for s in names) + r")\z"
+    for names in (AUTHORITY_SCHEMES, RELATIVE_SCHEMES, PARAM_SCHEMES)
+)
 _CONTROLS = "".join(chr(i) for i in range(0x21))
 
 
@@ -49,7 +54,7 @@ def _clean(u: Column) -> Column:
 
 
 def _parts(scheme: Column, netloc: Column, path: Column, query: Column, fragment: Column) -> Column:
-    with_params = scheme.isin(*PARAM_SCHEMES)
+    with_params = scheme.rlike(_PARAMS)
     params = F.regexp_extract(path, r";([^/]*)\z", 1)
     return F.struct(
         scheme.alias("scheme"),
@@ -88,7 +93,7 @@ def _unsplit(scheme: Column, netloc: Column, path: Column, *tail: Column) -> Col
     rooted = path.startswith("/")
     no_authority = (
         F.when(path.startswith("//"), "//")
-        .when((scheme != "") & scheme.isin(*AUTHORITY_SCHEMES) & ((path == "") | rooted), "//")
+        .when((scheme != "") & scheme.rlike(_AUTHORITY) & ((path == "") | rooted), "//")
         .otherwise("")
     )
     slash = F.when((path == "") | rooted, "").otherwise("/")
@@ -187,7 +192,7 @@ def resolve_parts(base: Column, href: Column) -> Column:
         )
 
     def join(h: Column) -> Column:
-        same_scheme = ((h.scheme == "") | (h.scheme == base.scheme)) & base.scheme.isin(*RELATIVE_SCHEMES)
+        same_scheme = ((h.scheme == "") | (h.scheme == base.scheme)) & base.scheme.rlike(_RELATIVE)
         relative = same_scheme & (h.netloc == "")
         here = relative & (h.path == "") & (h.params == "")
         return F.struct(

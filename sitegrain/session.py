@@ -20,6 +20,8 @@ def local_session(cores: int | str = "*", name: str = "sitegrain", partitions: i
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Remembering the call site of every column expression costs more than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # Pages are wide rows: keep the Arrow hand-over to Python small.
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
         .getOrCreate()

@@ -49,7 +49,7 @@ def _records(rng, n):
 def test_group_wineries_equals_the_fold_whatever_the_partitioning(spark):
     rng = random.Random(7)
     rows = _records(rng, 300)
-    names = [f.name for f in T.DataType.fromDDL(FIELDS).fields] if hasattr(T.DataType, "fromDDL") else FIELDS
+    names = T.DataType.fromDDL(FIELDS).fieldNames()
     groups = {}
     for r in rows:
         groups.setdefault(r[3].strip().lower(), []).append(dict(zip(names, r)))
