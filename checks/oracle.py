@@ -217,6 +217,8 @@ ORACLE: dict[str, str] = {
  union all select 'media.media_type known', count(*), min(url) from m where media_type = 'audio'
  union all select 'product.winery_id references winery', count(*), min(product_url) from p where winery_id not in (select id from w)
  union all select 'winery names alike', count(*), min(n) from (select lower(name) as n from w group by 1 having count(*) > 1)""",
+    "number_overflow": """select 'dosage_g_per_l' as field, count(*) as n, min(l_extendedprice) as smallest from lineitem where l_extendedprice >= 9999.995
+ union all select 'grape_meunier_percent', count(*), min(l_quantity * 25) from lineitem where l_quantity * 25 >= 999.995""",
     "cascade_delete": """select s_suppkey, case when s_suppkey % 5 > 0 then cast(s_nationkey as varchar) end as winery_id from supplier
  where s_suppkey % 5 = 0 or s_nationkey not in (select n_nationkey from nation where n_regionkey = 2)""",
     "frontier_closure": f"""with recursive {CLOSURE} select '{SITE}/fr/part-0' as key, 0 as wave

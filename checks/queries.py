@@ -630,6 +630,15 @@ def constraint_audit(spark, sf):
     return I.constraint_audit(wineries, products, media)
 
 
+@query
+def number_overflow(spark, sf):
+    rows = table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("product_url"),
+        c("l_extendedprice").alias("dosage_g_per_l"), (c("l_quantity") * 25).alias("grape_meunier_percent"),
+    )
+    return I.overflowing_numbers(rows).groupBy("field").agg(F.count("*").alias("n"), F.min("value").alias("smallest"))
+
+
 @query
 def cascade_delete(spark, sf):
     gone = table(spark, sf, "nation").where("n_regionkey = 2").select(c("n_nationkey").cast("string").alias("id"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sitegrain.functions.urls import canonical_page_url, in_scope, normalize_url
@@ -72,13 +72,13 @@ def expand_frontier(spark: SparkSession, pages: DataFrame, links: DataFrame, see
     def stored(name: str, schema: str) -> DataFrame:
         return spark.read.schema(schema).parquet(f"{state}/{name}")
 
-    def write(rows: DataFrame, name: str, wave: int) -> str:
-        path = f"{state}/{name}/wave={wave}"
-        rows.write.parquet(path)
-        return path
+    def write(rows: DataFrame, name: str, wave: int) -> None:
+        rows.write.parquet(f"{state}/{name}/wave={wave}")
 
     def add(rows: DataFrame, name: str, wave: int) -> int:
-        return spark.read.schema(rows.schema).parquet(write(rows, name, wave)).count()
+        counted = Observation()
+        write(rows.observe(counted, F.count(F.lit(1)).alias("n")), name, wave)
+        return counted.get["n"]
 
     n_seeds = seeds.count()
     waiting = add(seeds.select("key").distinct(), "found", 0)

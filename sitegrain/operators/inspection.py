@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitegrain.functions.text import name_key
+from sitegrain.schemas import PRODUCT_NUMBERS
 
 LISTED = (
     "name", "product_url", "source_page_url", "description", "dosage_g_per_l", "aging",
@@ -76,3 +77,13 @@ def constraint_audit(wineries: DataFrame, products: DataFrame, media: DataFrame)
         _finding(twins, "winery names alike", F.col("k")),
     ]
     return reduce(DataFrame.unionByName, findings)
+
+
+def overflowing_numbers(parts: DataFrame) -> DataFrame:
+    """``product_url, field, value`` of extracted numbers their stored column cannot hold; stored as null."""
+    fields = F.array(*[
+        F.struct(F.lit(c).alias("field"), F.col(c).alias("value"), F.col(c).try_cast(t).isNull().alias("lost"))
+        for c, t in PRODUCT_NUMBERS.items() if c in parts.columns
+    ])
+    rows = parts.select("product_url", F.explode(fields).alias("f")).where("f.lost and f.value is not null")
+    return rows.select("product_url", "f.field", "f.value")

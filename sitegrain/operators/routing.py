@@ -70,7 +70,7 @@ def is_language_page(nodes: Column, final_url: Column, lang: str) -> Column:
 
 def may_be_language_page(html: Column, final_url: Column, lang: str) -> Column:
     """Every page of a language and perhaps others, told from the raw text before parsing."""
-    said = html.rlike(rf"(?i)\blang\s*=\s*[\"']?\s*(?:{lang}|&)")
+    said = html.rlike(rf"(?i)\blang\s*=\s*[\"']?[^\"'<>a-z&]*(?:{lang}|&)")
     return said | below(page_path(final_url), f"/{lang}")
 
 

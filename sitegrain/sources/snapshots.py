@@ -11,7 +11,6 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +18,11 @@ from pyspark.sql import types as T
 MANIFEST = "bucket int, folder string, run_id string, batch_id long, version long"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 @dataclass(frozen=True)
 class Snapshot:
     path: str
@@ -31,12 +35,9 @@ class Snapshot:
 
     def load(self, spark: SparkSession) -> Version:
         """The newest version: its manifest has at most one row per bucket."""
-        try:
-            rows = spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not _exists(spark, f"{self.path}/manifest"):
             return Version(spark, self, 0, "", -1, {})
+        rows = spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest")
         newest = rows.where(F.col("version") == rows.agg(F.max("version")).scalar()).collect()
         head = newest[0]
         folders = {r.bucket: r.folder for r in newest if r.folder}

@@ -6,7 +6,7 @@ from sitegrain.plans.ingest import ingest, process_pages, store_parts
 from sitegrain.rules import SiteRules
 from sitegrain.session import work_dir
 from sitegrain.sources.pages import PAGE_SCHEMA, stream_pages
-from sitegrain.streaming.ingest import ingest_batch, live_metrics, stream_dedupe, stream_ingest
+from sitegrain.streaming.ingest import ingest_batch, keep_latest, live_metrics, stream_dedupe, stream_ingest
 from tests.fixtures.site import page_snapshot
 
 RULES = SiteRules()
@@ -121,3 +121,10 @@ def test_stream_dedupe_and_live_metrics(spark):
         q.awaitTermination()
     assert spark.table("seen_urls").count() == 5 and spark.table("seen_late").count() == 5
     assert tuple(spark.table("rates").first()) == (40, 30, 10, 0.25)
+
+
+def test_latest_attempts_over_batches_are_those_of_the_whole_log(spark):
+    log = spark.range(50).select(F.col("id").alias("attempt_id"), F.timestamp_seconds(F.col("id") % 7).alias("ts"))
+    kept = keep_latest(keep_latest(log.limit(0), log.where("attempt_id % 2 = 0"), 10), log.where("attempt_id % 2 = 1"), 10)
+    whole = keep_latest(log.limit(0), log, 10)
+    assert {r.attempt_id for r in kept.collect()} == {r.attempt_id for r in whole.collect()}
