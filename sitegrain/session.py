@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -28,14 +29,16 @@ def local_session(cores: int | str = "*", name: str = "sitegrain", partitions: i
     )
 
 
+@lru_cache(maxsize=1)
+def _temporary_root() -> str:
+    return tempfile.mkdtemp(prefix="sitegrain-")
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for one run below the cluster's shared checkpoint folder.
 
-    The folder is the one named by ``spark.checkpoint.dir``. Only a session that
-    names none (tests, a laptop) gets a temporary folder of its own.
+    The folder is the one named by ``spark.checkpoint.dir``. Only where a session names none
+    (tests, a laptop) is it a temporary folder of this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="sitegrain-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _temporary_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
