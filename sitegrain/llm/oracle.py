@@ -9,3 +9,33 @@ with d as (select doc_id, coalesce(text, '') as text from documents)
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(text) as text_sha256
 from (select *, max(doc_id) over (partition by text) as keep_id, count(*) over (partition by text) as group_size from d)
 """
+
+# Words taken have a closed form: whole rounds of the source's line, and the head of one more.
+ORACLE["op4_mixing"] = r"""
+with d as (
+  select doc_id, coalesce('0' || source, '1') as s, md5(coalesce(cast(doc_id as varchar), '')) as h,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size
+  from documents
+), src as (
+  select s, cast(sum(size) as bigint) as source_size,
+         [5, 2, 1][(row_number() over (order by encode(s)) - 1) % 3 + 1] as w
+  from d group by s
+), o as (
+  select *, 3 * source_size as lim, row_number() over (order by 3 * source_size / w, encode(s)) as place,
+         cast(sum(source_size) over () as bigint)
+           - coalesce(cast(sum(3 * source_size) over (order by 3 * source_size / w, encode(s) rows between unbounded preceding and 1 preceding) as bigint), 0) as rest,
+         cast(sum(w) over (order by 3 * source_size / w, encode(s) rows between current row and unbounded following) as bigint) as shares
+  from src
+), f as (select min_by(rest, place) as rest, min_by(shares, place) as shares, min(place) as place from o where lim * shares >= rest * w),
+t as (
+  select s, source_size, case when o.place < f.place then cast(lim as double) else cast(w * f.rest as double) / f.shares end as target
+  from o, f
+), l as (
+  select doc_id, s, size, coalesce(cast(sum(size) over (partition by s order by h, size rows between unbounded preceding and 1 preceding) as bigint), 0) as start
+  from d
+), w as (select *, cast(floor(target + 0.5) as bigint) as words from t)
+select doc_id, size, source_size, target,
+       case when size = 0 then 0 else
+       (words // source_size) * size + greatest(0, least(start + size, words % source_size) - start) end as taken
+from l join w using (s)
+"""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sitegrain.llm.exact_dedup import exact_dedup
+from sitegrain.llm.mixing import mix_sources
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,3 +24,8 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, documents(spark, sf_dir))
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(spark, documents(spark, sf_dir)).drop("uid")
