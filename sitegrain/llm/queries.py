@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sitegrain.llm.exact_dedup import exact_dedup
 from sitegrain.llm.mixing import mix_sources
+from sitegrain.llm.secret_scan import scan_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -29,3 +30,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(spark, documents(spark, sf_dir)).drop("uid")
+
+
+@query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(spark, documents(spark, sf_dir))
