@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from sitegrain.llm.licenses import oracle_sql
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["op10_exact_dedup"] = """
@@ -39,3 +41,5 @@ select doc_id, size, source_size, target,
        (words // source_size) * size + greatest(0, least(start + size, words % source_size) - start) end as taken
 from l join w using (s)
 """
+
+ORACLE["op9_licenses"] = oracle_sql()

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sitegrain.llm.exact_dedup import exact_dedup
+from sitegrain.llm.licenses import scan_licenses
 from sitegrain.llm.mixing import mix_sources
 from sitegrain.llm.secret_scan import scan_secrets
 
@@ -35,3 +36,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(spark, documents(spark, sf_dir))
+
+
+@query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(spark, documents(spark, sf_dir))
