@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sitegrain.llm.exact_dedup import exact_dedup
 from sitegrain.llm.licenses import scan_licenses
 from sitegrain.llm.mixing import mix_sources
+from sitegrain.llm.pii import scan_pii
 from sitegrain.llm.secret_scan import scan_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +42,8 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(spark, documents(spark, sf_dir))
+
+
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_pii(spark, documents(spark, sf_dir))
