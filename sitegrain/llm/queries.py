@@ -10,6 +10,7 @@ from sitegrain.llm.exact_dedup import exact_dedup
 from sitegrain.llm.licenses import scan_licenses
 from sitegrain.llm.mixing import mix_sources
 from sitegrain.llm.pii import scan_pii
+from sitegrain.llm.quality import quality
 from sitegrain.llm.secret_scan import scan_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +48,8 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_pii(spark, documents(spark, sf_dir))
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir))
