@@ -49,7 +49,7 @@ ORACLE["op3_quality"] = rf"""
 with d as (select doc_id, coalesce(text, '') as text from documents),
 s as (
   select doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as ws,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
   from d
 ), w as (select doc_id, unnest(ws) as word, unnest(range(len(ws))) as pos from s),
 g as (
@@ -59,10 +59,10 @@ g as (
 ), r as (select doc_id, pos from (select *, count(*) over (partition by doc_id, gram) as n from g where whole) where n > 1),
 rw as (select doc_id, count(distinct pos + k) as n from r, range(5) o(k) group by doc_id),
 m as (
-  select s.doc_id, len(ws) as n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0) as word_chars,
+  select s.doc_id, len(ws) as n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) as word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
          len(ls) - len(list_distinct(ls)) as n_dup_lines, coalesce(rw.n, 0) as n_repeat_words, len(ls) as n_lines,
-         len(list_filter(ws, x -> regexp_matches(x, '[A-Z]') and not regexp_matches(x, '[a-z]'))) as n_caps_words,
+         len(list_filter(ws, lambda x: regexp_matches(x, '[A-Z]') and not regexp_matches(x, '[a-z]'))) as n_caps_words,
          len(regexp_extract_all(text, '!!')) as n_shouts, len(list_distinct(ws)) as n_distinct_words
   from s left join rw using (doc_id)
 ), l as (select *, {' + '.join(f"case when {r.fails} then {1 << r.bit} else 0 end" for r in RULES)} as failures from m)
