@@ -12,6 +12,7 @@ from sitegrain.llm.mixing import mix_sources
 from sitegrain.llm.pii import scan_pii
 from sitegrain.llm.quality import quality
 from sitegrain.llm.secret_scan import scan_secrets
+from sitegrain.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -53,3 +54,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
