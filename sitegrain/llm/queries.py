@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sitegrain.llm.exact_dedup import exact_dedup
@@ -12,6 +13,7 @@ from sitegrain.llm.mixing import mix_sources
 from sitegrain.llm.pii import scan_pii
 from sitegrain.llm.quality import quality
 from sitegrain.llm.secret_scan import scan_secrets
+from sitegrain.llm.tokencount import count_tokens
 from sitegrain.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +61,8 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(spark, documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
