@@ -13,6 +13,7 @@ from sitegrain.llm.mixing import mix_sources
 from sitegrain.llm.pii import scan_pii
 from sitegrain.llm.quality import quality
 from sitegrain.llm.secret_scan import scan_secrets
+from sitegrain.llm.simhash import near_duplicates
 from sitegrain.llm.tokencount import count_tokens
 from sitegrain.llm.toxicity import score_toxicity
 
@@ -66,3 +67,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(spark, documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark, documents(spark, sf_dir))
