@@ -92,17 +92,15 @@ def measure(text: str | None) -> tuple[int, ...]:
     )
 
 
-def _measure_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        measured = pd.DataFrame([measure(t) for t in batch["text"]], columns=list(MEASURES), dtype="int64")
-        yield pd.concat([batch[["doc_id"]].reset_index(drop=True), measured], axis=1)
+def _measure_all(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for batch in texts:
+        yield pd.DataFrame([measure(t) for t in batch], columns=list(MEASURES), dtype="int64")
 
 
 def ledger(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, the measurements, and ``failures``, a bit for each failed rule."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInPandas(
-        _measure_all, "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES)
-    )
+    measured = F.pandas_udf(_measure_all, ", ".join(f"{m} long" for m in MEASURES))(whole_text())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), measured.alias("m")).select("doc_id", "m.*")
     bits = [F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(F.lit(0)) for r in RULES]
     failures = bits[0]
     for b in bits[1:]:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sitegrain.llm.exact_dedup import exact_dedup
 from sitegrain.llm.licenses import scan_licenses
 from sitegrain.llm.mixing import mix_sources
+from sitegrain.llm.packing import pack
 from sitegrain.llm.pii import scan_pii
 from sitegrain.llm.quality import quality
 from sitegrain.llm.secret_scan import scan_secrets
@@ -72,3 +73,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, documents(spark, sf_dir))
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(spark, documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))

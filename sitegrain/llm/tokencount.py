@@ -241,11 +241,14 @@ def count_tokens(spark: SparkSession, docs: DataFrame, model: str, limit: int =
         return group[["doc_id", "n_bytes"]].head(1).assign(n_tokens=total)
 
     short = rows.where(~long).select("doc_id", "n_bytes", F.pandas_udf(whole, "long")("text").alias("n_tokens"))
-    parts = rows.where(long).withColumn("uid", F.monotonically_increasing_id()).mapInPandas(
-        cut, "uid long, doc_id long, n_bytes long, k long, part string"
-    )
+    # Ids pass as text: a batch with a null one would turn them into floats.
+    parts = rows.where(long).select(
+        F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("string").alias("doc_id"), "text", "n_bytes"
+    ).mapInPandas(cut, "uid long, doc_id string, n_bytes long, k long, part string")
     maps = parts.repartition("uid", "k").mapInPandas(
-        mapped, "uid long, doc_id long, n_bytes long, k long, head string, count long, tail string"
+        mapped, "uid long, doc_id string, n_bytes long, k long, head string, count long, tail string"
+    )
+    cut_up = maps.groupBy("uid").applyInPandas(folded, "doc_id string, n_bytes long, n_tokens long").withColumn(
+        "doc_id", F.col("doc_id").cast("long")
     )
-    cut_up = maps.groupBy("uid").applyInPandas(folded, "doc_id long, n_bytes long, n_tokens long")
     return short.unionByName(cut_up).withColumn("over_limit", F.col("n_tokens") > limit)
