@@ -60,13 +60,13 @@ def running_start(df: DataFrame, group: str, bucket: str, order: list[str], amou
 
 
 def keep_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is in the one column of ``ids``, each id once.
+    """The rows of ``docs`` whose ``doc_id`` is in the one column of ``ids``; repeated rows once.
 
-    ``ids`` lists an id as often as ``docs`` holds it. Repeated ids (rows that are in the
-    table twice) are the only rows that are compared as a whole.
+    ``ids`` lists an id as often as ``docs`` holds it. Only rows of repeated ids are compared by
+    their texts.
     """
     wanted = ids.toDF("__id").groupBy("__id").count()
-    hit = docs["doc_id"].eqNullSafe(F.col("__id"))
-    once = docs.join(wanted.where("count = 1"), hit, "left_semi")
-    again = docs.join(wanted.where("count > 1"), hit, "left_semi").dropDuplicates(["doc_id"])
+    single, repeated = wanted.where("count = 1"), wanted.where("count > 1")
+    once = docs.join(single, docs["doc_id"].eqNullSafe(single["__id"]), "left_semi")
+    again = docs.join(repeated, docs["doc_id"].eqNullSafe(repeated["__id"]), "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(again)

@@ -188,22 +188,19 @@ def apply_mix(spark: SparkSession, docs: DataFrame) -> DataFrame:
     Where a source's target ends inside a document, that round holds only its first words.
     ``n_chars``, where there is such a column, follows the text. Columns stay as they are.
     """
-    names = docs.columns
-    held = stored(spark, docs.withColumn("__uid", F.monotonically_increasing_id()), "mixing-docs")
-    rows = stored(spark, sized(held, F.col("__uid")), "mixing-rows")
-    taken = taken_words(spark, rows).where("taken > 0").select(
-        F.col("uid").alias("__uid"), F.col("size").alias("__size"), F.col("taken").alias("__taken")
+    held = stored(spark, docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("uid")), "mixing-docs")
+    rows = stored(spark, sized(held.select("doc.doc_id", "doc.source", "doc.text", "uid"), F.col("uid")), "mixing-rows")
+    taken = taken_words(spark, rows).where("taken > 0").select("uid", "size", "taken")
+    rounds = held.join(taken, "uid").withColumn(
+        "round", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size"))))
     )
-    rounds = held.join(taken, "__uid").withColumn(
-        "__round", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size"))))
+    words = F.least(F.col("size"), F.col("taken") - (F.col("round") - 1) * F.col("size"))
+    text = F.col("doc.text")
+    head = F.array_join(
+        F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.lit(1), words.cast("int")), ""
     )
-    words = F.least(F.col("__size"), F.col("__taken") - (F.col("__round") - 1) * F.col("__size"))
-    cut = F.when(
-        words < F.col("__size"),
-        F.array_join(F.slice(F.regexp_extract_all(whole_text(), F.lit("[\\x20\\x09-\\x0D]*" + WORD), F.lit(0)), F.lit(1), words.cast("int")), ""),
-    ).otherwise(F.col("text"))
-    out = rounds.withColumn("text", cut)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*names)
-
+    cut = F.when(words < F.col("size"), head).otherwise(text)
+    doc = F.col("doc").withField("text", cut)
+    if "n_chars" in docs.columns:
+        doc = doc.withField("n_chars", F.length(cut).cast(docs.schema["n_chars"].dataType))
+    return rounds.select(doc.alias("doc")).select("doc.*")
