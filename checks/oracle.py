@@ -62,9 +62,10 @@ CLOSURE = f"""closure(k, wave) as (
   select p.{K}, t.wave + 1 from closure t join part p on p.{K} in (2 * t.k + 1, 2 * t.k + 2) where t.k % 17 <> 5)"""
 FIRST_LINES = f"""(select l_orderkey, l_returnflag, l_linestatus, min({LINE_ROW}) as o, arg_min(l_quantity, {LINE_ROW}) as q
  from lineitem group by all)"""
+PAGE_ERRORS = f"select {K} as page_id, {PRODUCT_URL} as url, 'product' as stage, 'product page without a name' as message from part where not ({NAMED})"
 STORED = f"""(select sha256('https://h.example.com/p/' || {K}) as id, p_name as name, 'https://h.example.com/p/' || {K} as product_url,
  'https://h.example.com/p/' || {K} || '?old' as source_page_url, p_type as description, p_size as dosage,
- case when {K} % 5 = 0 then p_brand end as aging, {K}, p_brand from part where {K} % 3 <> 0)"""
+ case when {K} % 5 = 0 then p_brand end as aging, {K}, p_brand from part)"""
 
 
 def _path_rows() -> str:
@@ -124,13 +125,14 @@ ORACLE: dict[str, str] = {
     "product_roundtrip": f"""select {K}, {NAME} as name, {PRODUCT_URL} as product_url, {PRODUCT_URL} as source_page_url,
  p_type || ' size ' || p_size || ' cm' as description, cast({DOSAGE} as double) as dosage_g_per_l, ({K} % 7 + 1) || ' years' as aging,
  '8-' || (p_size % 5 + 9) || ' C' as operating_temperature, p_type as crus_assembles, cast({K} % 20 + 2000 as varchar) as millennium,
- cast(p_size as double) as grape_chardonnay_percent, p_size + 1.5::double as grape_pinot_noir_percent,
+ 99.0::double as grape_chardonnay_percent, p_size + 1.5::double as grape_pinot_noir_percent,
  case when {K} % 3 <> 0 then cast(p_size + 2 as double) end as grape_meunier_percent,
  case when {K} % 9 <> 0 then '{SITE}/docs/part-' || {K} || '.pdf' end as data_sheet_url from part where {NAMED}""",
+    "product_grape_pairs": f"select {K}, cast(p_size as double) as grape_chardonnay_percent from part where {NAMED}",
     "awards_roundtrip": f"""select {K}, 0 as n, p_brand as title, cast(p_retailprice as varchar) as value from part where {NAMED}
  union all select {K}, 1, 'Guide', '' from part where {NAMED}""",
     "tasting_roundtrip": f"select {K}, 'Nose' as title, p_type as content from part",
-    "page_errors": f"select {K} as page_id, {PRODUCT_URL} as url, 'product' as stage, 'product page without a name' as message from part where not ({NAMED})",
+    "page_errors": PAGE_ERRORS,
     "media_roundtrip": f"select {K}, media_type, url from {MEDIA}",
     "media_kinds": f"select {K} as page_id, 4 as media_count, 3 as images, 1 as videos, 1 as backgrounds from part",
     "media_type_counts": f"select media_type, count(*) as n from {MEDIA} group by 1",
@@ -183,7 +185,7 @@ ORACLE: dict[str, str] = {
     "completeness_score": f"""select {K}, cast(p_size % 2 = 0 and p_name <> '' as int) + cast(p_size % 3 = 0 as int) + 1 + cast(p_size % 5 = 0 as int) as score from part""",
     "upsert_merge": f"""with b as (select {K} as k, 'w2' as winery_id, p_name || ' new' as name, 's' as source_page_url, case when {K} % 2 = 0 then '' else 'fresh' end as description,
  case when {K} % 4 = 0 then round(p_size + 0.13, 2) end as dosage, '2 years' as aging, p_brand as brand from part where {K} % 3 <> 1),
- e as (select {K} as k, * from {STORED})
+ e as (select {K} as k, * from {STORED} where {K} % 3 <> 0)
  select sha256('https://h.example.com/p/' || coalesce(b.k, e.k)) as id, coalesce(b.winery_id, 'w1') as winery_id, coalesce(b.name, e.name) as name,
  'https://h.example.com/p/' || coalesce(b.k, e.k) as product_url, coalesce(b.source_page_url, e.source_page_url) as source_page_url,
  case when e.k is null then b.description else coalesce(nullif(b.description, ''), e.description) end as description, cast(coalesce(b.dosage, e.dosage) as double) as dosage, coalesce(b.aging, e.aging) as aging,
@@ -196,7 +198,8 @@ ORACLE: dict[str, str] = {
  case when not new then cast(k as varchar) when not old then cast(k % 2 as varchar) when k = k % 2 then cast(k as varchar) else k || ',' || (k % 2) end as years from r""",
     "upsert_replace": """select s_suppkey, case when s_suppkey % 2 = 0 then s_name || '*' else s_name end as s_name,
  case when s_suppkey % 2 = 0 then s_nationkey + 100 else s_nationkey end as s_nationkey,
- case when s_suppkey % 3 = 0 then 0.0 else s_acctbal end as s_acctbal from supplier where s_suppkey % 2 = 0 or s_suppkey % 3 <> 0""",
+ s_acctbal from supplier
+ union all select s_suppkey + 1000000, s_name || '*', s_nationkey + 100, 0.0 from supplier where s_suppkey % 2 = 1""",
     "resolve_parent": "select s_suppkey, case when s_suppkey % 2 = 0 then cast(s_nationkey as varchar) else '7' end as winery_id from supplier",
     "read_existing": "select c_custkey, c_name from customer where c_custkey in (select o_custkey from orders where o_orderpriority = '1-URGENT')",
     "resolve_ids": f"select product_url, id from {STORED}",
@@ -226,12 +229,14 @@ ORACLE: dict[str, str] = {
     "frontier_accounting": f"""with recursive {CLOSURE}, live as (select k from closure where k % 17 <> 5),
  targets as (select cast(2 * k + i as varchar) as t from live, range(1, 3) r(i) union all select 'en' from live union all select '0')
  select count(*) + 1 as seen, count(distinct t) + 1 as unique_urls, count(*) - count(distinct t) as duplicates from targets""",
-    "frontier_add_many": f"""select count(distinct url) as added from {LINKS} where url not in (select {_bare('url')} from pages where page_id % 2 = 0
- union all select {ORIGIN} || '/the' from pages where page_id % 2 = 0)""",
+    "frontier_add_many": f"""select count(distinct url) as added from {LINKS} where url not in (select {_bare('url')} from pages
+ union all select {ORIGIN} || '/the' from pages)""",
     "ingest_metrics": """select count(*) as total_requests, count(*) filter (event_type <> 'error') as success_requests, count(*) filter (event_type = 'error') as failed_requests,
- count(distinct user_id) as crawled_pages, round(count(*) filter (event_type = 'error') / count(*), 6) as error_rate,
+ count(distinct user_id) filter (event_type <> 'error') as crawled_pages, round(count(*) filter (event_type = 'error') / count(*), 6) as error_rate,
  round(count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6), 6) as requests_per_s,
- (select round(quantile_cont(value, 0.95), 6) from (select value from events order by ts desc, event_id desc limit 10000)) as p95_latency_s from events""",
+ round(quantile_cont(value, 0.95), 6) as p95_latency_s from events""",
+    "ingest_metrics_last_n": """select count(distinct user_id) filter (event_type <> 'error') as crawled_pages,
+ (select round(quantile_cont(value, 0.95), 6) from (select value from events order by ts desc, event_id desc limit 500)) as p95_latency_last_500_s from events""",
     "p95_latency_last_n": "select round(quantile_cont(value, 0.95), 6) as p95 from (select value from events order by ts desc, event_id desc limit 10000)",
     "latest_attempts": "select event_id as attempt_id, value as latency_s from events order by ts desc, event_id desc limit 50",
     "processed_pages": f"select count(*) filter ({NAMED}) as pages from part",
@@ -243,6 +248,11 @@ ORACLE: dict[str, str] = {
  case when {NAMED} then p_type || ' size ' || p_size || ' cm' else 'listed ' || p_type end as description,
  case when {NAMED} then cast({DOSAGE} as double) end as dosage, case when {NAMED} then ({K} % 7 + 1) || ' years' end as aging,
  case when {NAMED} then 2 else 0 end as n_awards, true as has_house from part where {NAMED} or ({CARD})""",
+    "run_errors": f"{PAGE_ERRORS}",
+    "stream_run_errors": f"{PAGE_ERRORS}",
+    "media_upsert": f"""with p as (select {K} as k, 'https://h/i/' || {K} || '.png' as url from part)
+ select sha256(url) as id, url, case when k % 3 <> 1 then 'b' when k % 2 = 0 then 'c' else 'a' end as source_page_url,
+ case when k % 3 <> 1 or k % 2 = 0 then 'r2' else 'r1' end as run_id from p""",
     "ingest_house": f"""with m as (select ({S} % 200 + 1800) || ' - Start' as y, s_name || ' opens' as e from supplier
  union select ({S} % 200 + 1810) || ' - Cellar', s_name || ' opens' from supplier where {S} % 2 = 0
  union select ({S} % 200 + 1820) || ' - Award', 'Medal ' || {S} from supplier where {S} % 3 = 0)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import rendered as R
-from checks.rendered import table
+from checks.rendered import spread, table
 from sitegrain import rules as SR
 from sitegrain.functions import nodes as N
 from sitegrain.functions import text as X
@@ -22,14 +22,14 @@ from sitegrain.operators import metrics as MT
 from sitegrain.operators import routing as RT
 from sitegrain.operators import upsert as UP
 from sitegrain.operators.html import page_nodes
-from sitegrain.operators.product import PRODUCT_RULES, TASTING_RULE
+from sitegrain.operators.product import TASTING_RULE, product_rules_of
 from sitegrain.operators.registry import extraction_report, rule_columns
 from sitegrain.plans import ingest as P
 from sitegrain.plans.extract import extract_pages, split_parts
 from sitegrain.rules import SiteRules
 from sitegrain.schemas import PRODUCT, WINERY
 from sitegrain.session import work_dir
-from sitegrain.sources.pages import PAGE_SCHEMA, read_pages, seed_urls, spread, stream_pages
+from sitegrain.sources.pages import PAGE_SCHEMA, read_pages, seed_urls, stream_pages
 from sitegrain.streaming.ingest import live_metrics, stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,6 +265,13 @@ def product_roundtrip(spark, sf):
     return p.drop("seq", "pos", "awards_and_ratings").withColumnRenamed("page_id", "p_partkey")
 
 
+@query
+def product_grape_pairs(spark, sf):
+    """Grapes from the first three pairs of the sheet only, as a site may ask for."""
+    p = split_parts(extract_pages(R.product_pages(spark, sf), R.RULES.with_(grape_pairs=3))).product
+    return p.select(c("page_id").alias("p_partkey"), "grape_chardonnay_percent")
+
+
 @query
 def awards_roundtrip(spark, sf):
     p = split_parts(_products(spark, sf)).product
@@ -358,7 +365,7 @@ def house_family(spark, sf):
 @query
 def rule_report(spark, sf):
     pages = page_nodes(R.product_pages(spark, sf))
-    return extraction_report(pages, [*PRODUCT_RULES, TASTING_RULE])
+    return extraction_report(pages, [*product_rules_of(R.RULES), TASTING_RULE])
 
 
 # --- merging --------------------------------------------------------------------------
@@ -509,7 +516,7 @@ def completeness_score(spark, sf):
 # --- upsert ---------------------------------------------------------------------------
 
 def _stored_products(spark: SparkSession, sf: str) -> DataFrame:
-    """Two thirds of the parts as a stored product table."""
+    """The parts as a stored product table."""
     k = c("p_partkey")
     url = F.concat(F.lit("https://h.example.com/p/"), k)
     values = {
@@ -520,7 +527,7 @@ def _stored_products(spark: SparkSession, sf: str) -> DataFrame:
         "created_at": _now(), "updated_at": _now(),
     }
     columns = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in PRODUCT.fields]
-    return table(spark, sf, "part").where(k % 3 != 0).select(*columns)
+    return table(spark, sf, "part").select(*columns)
 
 
 @query
@@ -540,7 +547,8 @@ def upsert_merge(spark, sf):
         F.lit("w2").alias("winery_id"), F.struct(k.alias("k")).alias("o"), *[v.alias(n) for n, v in values.items()],
         *[F.lit(None).cast("string").alias(n) for n in blank], *[F.lit(None).cast("double").alias(n) for n in grapes],
     )
-    merged = UP.merge_products(G.group_products(batch, c("o")), _stored_products(spark, sf), _now())
+    stored = _stored_products(spark, sf).where(F.substring_index("product_url", "/", -1).cast("long") % 3 != 0)
+    merged = UP.merge_products(G.group_products(batch, c("o")), stored, _now())
     awards = F.transform("awards_and_ratings", lambda a: F.concat_ws("=", a.title, a.value))
     return merged.select(
         "id", "winery_id", "name", "product_url", "source_page_url", "description",
@@ -574,10 +582,12 @@ def upsert_wineries(spark, sf):
 @query
 def upsert_replace(spark, sf):
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    batch = supplier.where("s_suppkey % 2 = 0").select(
-        "s_suppkey", F.concat(c("s_name"), F.lit("*")).alias("s_name"), (c("s_nationkey") + 100).alias("s_nationkey"), F.lit(0.0).alias("s_acctbal")
+    # Even suppliers are replaced; odd ones come under a new key as well.
+    key = F.when(c("s_suppkey") % 2 == 0, c("s_suppkey")).otherwise(c("s_suppkey") + 1_000_000)
+    batch = supplier.select(
+        key.alias("s_suppkey"), F.concat(c("s_name"), F.lit("*")).alias("s_name"), (c("s_nationkey") + 100).alias("s_nationkey"), F.lit(0.0).alias("s_acctbal")
     )
-    return UP.replace_rows(batch, supplier.where("s_suppkey % 3 <> 0"), "s_suppkey", keep=("s_acctbal",))
+    return UP.replace_rows(batch, supplier, "s_suppkey", keep=("s_acctbal",))
 
 
 @query
@@ -667,7 +677,7 @@ def frontier_accounting(spark, sf):
 @query
 def frontier_add_many(spark, sf):
     offered = _page_links(spark, sf).select(c("url").alias("key"))
-    known = _urls(spark, sf).where("page_id % 2 = 0").select(
+    known = _urls(spark, sf).select(
         F.explode(F.array(U.normalize_url(c("url")), F.concat(F.substring_index("url", "/", 3), F.lit("/the")))).alias("key")
     )
     return FR.count_new(offered, known)
@@ -677,17 +687,28 @@ def frontier_add_many(spark, sf):
 
 def _fetch_log(events: DataFrame) -> DataFrame:
     return events.select(
-        c("event_id").alias("attempt_id"), F.concat(F.lit("https://h/"), c("user_id")).alias("url"), "ts",
+        c("event_id").alias("attempt_id"), F.concat(F.lit("https://h/at/"), c("event_id")).alias("url"),
+        F.when(c("event_id") % 4 == 0, F.concat(F.lit("http://www.h/u/"), c("user_id"), F.lit("/")))
+        .when(c("event_id") % 4 == 1, F.concat(F.lit("https://h/u/"), c("user_id"), F.lit("?from="), c("event_id")))
+        .when(c("event_id") % 4 == 2, F.concat(F.lit("https://h/u/"), c("user_id"), F.lit("#top")))
+        .otherwise(F.concat(F.lit("https://h/u/"), c("user_id"))).alias("final_url"), "ts",
         (c("event_type") != "error").alias("ok"), c("value").alias("latency_s"),
     )
 
 
 @query
 def ingest_metrics(spark, sf):
-    m = MT.ingest_metrics(_fetch_log(table(spark, sf, "events")))
+    """Pages are fetched under many spellings; those that only failed count as none."""
+    m = MT.ingest_metrics(_fetch_log(table(spark, sf, "events")), "h")
     return m.select(*m.columns[:4], *[F.round(x, 6).alias(x) for x in m.columns[4:]])
 
 
+@query
+def ingest_metrics_last_n(spark, sf):
+    m = MT.ingest_metrics(_fetch_log(table(spark, sf, "events")), "h", latencies=500)
+    return m.select("crawled_pages", F.round("p95_latency_last_500_s", 6).alias("p95_latency_last_500_s"))
+
+
 @query
 def p95_latency_last_n(spark, sf):
     return MT.p95_latency(_fetch_log(table(spark, sf, "events"))).select(F.round("p95_latency_s", 6).alias("p95"))
@@ -726,6 +747,29 @@ def ingest_run(spark, sf):
     return _shown(store, spark)
 
 
+@query
+def run_errors(spark, sf):
+    """What a run could not read is kept in its store."""
+    store = UP.EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
+    P.ingest(spark, R.product_pages(spark, sf), store, R.RULES, run_id="r1", now=_now())
+    return store.notes("errors").select("page_id", "url", "stage", "message")
+
+
+@query
+def media_upsert(spark, sf):
+    """Media of two runs: the second replaces rows of the first, and in a run the first one stays."""
+    k = c("p_partkey")
+    store = UP.EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
+    for run, batch, text in (("r1", 0, "a"), ("r2", 0, "b"), ("r2", 1, "c")):
+        share = {"a": k % 3 != 0, "b": k % 3 != 1, "c": k % 2 == 0}[text]
+        rows = table(spark, sf, "part").select(
+            k.alias("page_id"), k.alias("seq"), F.lit(0).alias("pos"), F.lit("image").alias("media_type"),
+            F.when(share, F.concat(F.lit("https://h/i/"), k, F.lit(f".png?{text}"))).alias("url"), F.lit(text).alias("source_page_url"),
+        )
+        store.upsert_media(rows, run, batch, _now())
+    return store.media.read(spark).select("id", "url", "source_page_url", "run_id")
+
+
 @query
 def ingest_house(spark, sf):
     store = UP.EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
@@ -748,6 +792,17 @@ def stream_ingest_run(spark, sf):
     return _shown(store, spark).select("product_url", "has_house")
 
 
+@query
+def stream_run_errors(spark, sf):
+    """The errors of all micro-batches are those of one run."""
+    folder = work_dir(spark, "arriving")
+    R.product_pages(spark, sf).repartition(4, "page_id").write.parquet(f"{folder}/pages")
+    store = UP.EntityStore(spark, f"{folder}/store", R.RULES, buckets=8)
+    pages = stream_pages(spark, f"{folder}/pages", PAGE_SCHEMA, files_per_batch=2)
+    stream_ingest(pages, store, f"{folder}/checkpoint", "r1", R.RULES, _now()).awaitTermination()
+    return store.notes("errors").select("page_id", "url", "stage", "message")
+
+
 @query
 def stream_live_metrics(spark, sf):
     folder = work_dir(spark, "log")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegrain.rules import SiteRules
-from sitegrain.sources.pages import page_table, spread
+from sitegrain.sources.pages import page_table
 
 RULES = SiteRules(catalog_path=r"^/en/list/[0-9]+/?$")
 SITE = f"https://{RULES.host}"
@@ -18,6 +18,11 @@ HOUSE_IDS = 3_000_000_000
 CARDS_PER_LIST = 10
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The test tables are single files: deal their rows to all cores."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitegrain.functions.urls import canonical_page_url
+
 LATENCIES_KEPT = 10_000
 
 
@@ -33,21 +35,34 @@ def with_rates(counts: DataFrame) -> DataFrame:
     return counts.withColumn("error_rate", F.try_divide("failed_requests", "total_requests"))
 
 
-def ingest_metrics(fetch_log: DataFrame, elapsed_s: Column | None = None) -> DataFrame:
-    """One row for the run. Without a given duration the log's own time span counts."""
+def crawled_pages(host: str) -> Column:
+    """How many pages were fetched: successful attempts, by the canonical name of their final URL."""
+    return F.count_distinct(F.when(F.col("ok"), canonical_page_url(F.coalesce("final_url", "url"), host)))
+
+
+def ingest_metrics(fetch_log: DataFrame, host: str, elapsed_s: Column | None = None, latencies: int | None = None) -> DataFrame:
+    """One row for the run. Without a given duration the log's own time span counts.
+
+    ``fetch_log``: attempt_id, url, final_url, ts, ok, latency_s. The percentile covers all
+    latencies (``p95_latency_s``), or the newest ``latencies`` (``p95_latency_last_n_s``).
+    """
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     span = F.max(micros) - F.min(micros)
     counts = fetch_log.agg(
         *attempt_counts(),
-        F.count_distinct("url").alias("crawled_pages"),
+        crawled_pages(host).alias("crawled_pages"),
         (span / F.lit(1e6)).alias("span_s"),
+        F.percentile("latency_s", F.lit(0.95)).alias("p95_all"),
     )
     seconds = F.col("span_s") if elapsed_s is None else elapsed_s
-    p95 = p95_latency(fetch_log).scalar()
+    if latencies is None:
+        p95 = F.col("p95_all").alias("p95_latency_s")
+    else:
+        p95 = p95_latency(fetch_log, latencies).scalar().alias("p95_latency_last_n_s")
     return with_rates(counts).select(
         "total_requests", "success_requests", "failed_requests", "crawled_pages", "error_rate",
         F.try_divide("total_requests", F.when(seconds > 0, seconds)).alias("requests_per_s"),
-        p95.alias("p95_latency_s"),
+        p95,
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache, partial
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,8 +59,8 @@ def _grapes(kv: Column) -> list[Column]:
     return [share(t).alias(name) for name, t in zip(GRAPES, (chardonnay, pinot, meunier))]
 
 
-def left_sheet(nodes: Column, url: Column) -> Column:
-    """Grapes from the first pairs of the left-hand sheet, the temperature from all of them."""
+def left_sheet(nodes: Column, url: Column, grape_pairs: int | None = None) -> Column:
+    """Grapes and temperature from the left-hand sheet; ``grape_pairs`` limits where grapes are looked for."""
 
     def temperature(values: Column) -> Column:
         complete = F.filter(N.pairs(values), lambda p: p.k.isNotNull() & p.v.isNotNull())
@@ -66,7 +68,7 @@ def left_sheet(nodes: Column, url: Column) -> Column:
         return N.find_by_patterns(folded, *R.TEMPERATURE_KEYS)
 
     def build(values: Column) -> Column:
-        kv = N.key_values(N.pairs(F.slice(values, 1, 2 * R.GRAPE_PAIRS)))
+        kv = N.key_values(N.pairs(values if grape_pairs is None else F.slice(values, 1, 2 * grape_pairs)))
         return let(kv, lambda ps: F.struct(*_grapes(ps), temperature(values).alias("operating_temperature")))
 
     return on_found(N.select(nodes, R.TECH_LEFT), lambda s: let(N.texts(nodes, s), build))
@@ -112,14 +114,22 @@ def tasting_notes(nodes: Column, url: Column) -> Column:
 
 GRAPES = ("grape_chardonnay_percent", "grape_pinot_noir_percent", "grape_meunier_percent")
 SHEET = ("dosage_g_per_l", "aging", "crus_assembles", "millennium")
-PRODUCT_RULES = (
-    Rule("product_name", ("name",), product_name),
-    Rule("product_description", ("description",), product_description),
-    Rule("left_sheet", (*GRAPES, "operating_temperature"), left_sheet, frozenset(GRAPES)),
-    Rule("right_sheet", SHEET, right_sheet, frozenset(["dosage_g_per_l"])),
-    Rule("data_sheet", ("data_sheet_url",), data_sheet),
-    Rule("awards", ("awards_and_ratings",), awards, frozenset(["awards_and_ratings"])),
-)
+
+
+@lru_cache(maxsize=16)
+def product_rules_of(rules: SiteRules) -> tuple[Rule, ...]:
+    """The rules of a product page; the same objects for the same site."""
+    sheet = partial(left_sheet, grape_pairs=rules.grape_pairs)
+    return (
+        Rule("product_name", ("name",), product_name),
+        Rule("product_description", ("description",), product_description),
+        Rule("left_sheet", (*GRAPES, "operating_temperature"), sheet, frozenset(GRAPES)),
+        Rule("right_sheet", SHEET, right_sheet, frozenset(["dosage_g_per_l"])),
+        Rule("data_sheet", ("data_sheet_url",), data_sheet),
+        Rule("awards", ("awards_and_ratings",), awards, frozenset(["awards_and_ratings"])),
+    )
+
+
 # Not part of a product record; offered for reports and other rule lists.
 TASTING_RULE = Rule("tasting", ("tasting_notes",), tasting_notes, frozenset(["tasting_notes"]))
 

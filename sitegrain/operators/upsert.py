@@ -17,7 +17,7 @@ from sitegrain.operators.merge import (
 )
 from sitegrain.rules import SiteRules
 from sitegrain.schemas import MEDIA, PRODUCT, PRODUCT_DETAILS, PRODUCT_NUMBERS, WINERY
-from sitegrain.sources.snapshots import Snapshot
+from sitegrain.sources.snapshots import CommitConflict, Snapshot, Version, exists
 
 # Media rows remember the run that wrote them: within a run the first one stays.
 STORED_MEDIA = T.StructType([*MEDIA.fields, T.StructField("run_id", T.StringType())])
@@ -165,47 +165,90 @@ class EntityStore:
     """The three entity tables and the list of pages a run has processed."""
 
     def __init__(self, spark: SparkSession, path: str, rules: SiteRules, buckets: int = 64) -> None:
-        self.spark, self.rules = spark, rules
+        self.spark, self.rules, self.path = spark, rules, path
         pages = T.StructType().add("canon", "string").add("run_id", "string").add("page_id", "long").add("batch_id", "long")
         self.wineries = Snapshot(f"{path}/wineries", WINERY, "name", max(1, buckets // 8))
         self.products = Snapshot(f"{path}/products", PRODUCT, "product_url", buckets)
         self.media = Snapshot(f"{path}/media", STORED_MEDIA, "url", buckets)
         self.pages = Snapshot(f"{path}/pages", pages, "canon", buckets)
 
-    def upsert_wineries(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> None:
-        table = self.wineries.load(self.spark)
-        if table.has_batch(run_id, batch_id):
-            return
+    def _upsert(self, snapshot: Snapshot, run_id: str, batch_id: int, merge: Callable[[Version], tuple[DataFrame, list[int]]]) -> bool:
+        """Merge a batch into the newest version; once more if another writer published one meanwhile.
+
+        Returns whether the batch was taken: one stored before is not.
+        """
+        while True:
+            table = snapshot.load(self.spark)
+            if table.has_batch(run_id, batch_id):
+                return False
+            rows, touched = merge(table)
+            try:
+                table.commit(rows, touched, run_id, batch_id)
+                return True
+            except CommitConflict:
+                continue
+
+    def upsert_wineries(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> bool:
         batch = group_wineries(parts).persist(StorageLevel.DISK_ONLY)
-        touched = table.touched(batch.select("name"), batch.select(strip(F.col("name")).alias("name")))
-        table.commit(merge_wineries(batch, table.read(touched), _now(now)), touched, run_id, batch_id)
-        batch.unpersist()
-
-    def upsert_products(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> None:
-        table = self.products.load(self.spark)
-        if table.has_batch(run_id, batch_id):
-            return
+
+        def merge(table: Version) -> tuple[DataFrame, list[int]]:
+            touched = table.touched(batch.select("name"), batch.select(strip(F.col("name")).alias("name")))
+            return merge_wineries(batch, table.read(touched), _now(now)), touched
+
+        try:
+            return self._upsert(self.wineries, run_id, batch_id, merge)
+        finally:
+            batch.unpersist()
+
+    def upsert_products(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> bool:
         default = default_winery_id(winery_ids(self.wineries.read(self.spark)), self.rules)
         batch = resolve_parent(group_products(parts), default).persist(StorageLevel.DISK_ONLY)
-        touched = table.touched(batch.select("url_key"))
-        table.commit(merge_products(batch, table.read(touched), _now(now)), touched, run_id, batch_id)
-        batch.unpersist()
-
-    def upsert_media(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> None:
-        table = self.media.load(self.spark)
-        if table.has_batch(run_id, batch_id):
-            return
+
+        def merge(table: Version) -> tuple[DataFrame, list[int]]:
+            touched = table.touched(batch.select("url_key"))
+            return merge_products(batch, table.read(touched), _now(now)), touched
+
+        try:
+            return self._upsert(self.products, run_id, batch_id, merge)
+        finally:
+            batch.unpersist()
+
+    def upsert_media(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> bool:
         batch = prepare_media(parts).persist(StorageLevel.DISK_ONLY)
-        touched = table.touched(batch.select("url"))
-        table.commit(merge_media(batch, table.read(touched), _now(now), run_id), touched, run_id, batch_id)
-        batch.unpersist()
+
+        def merge(table: Version) -> tuple[DataFrame, list[int]]:
+            touched = table.touched(batch.select("url"))
+            return merge_media(batch, table.read(touched), _now(now), run_id), touched
+
+        try:
+            return self._upsert(self.media, run_id, batch_id, merge)
+        finally:
+            batch.unpersist()
+
+    def note(self, name: str, rows: DataFrame, run_id: str, batch_id: int) -> None:
+        """Keep what a batch reports (errors, overflows, links); a batch that has been kept whole is left alone."""
+        folder = f"{self.path}/{name}/run_id={run_id}/batch_id={batch_id}"
+        if not exists(self.spark, f"{folder}/_SUCCESS"):
+            rows.write.mode("overwrite").parquet(folder)
+
+    def notes(self, name: str) -> DataFrame:
+        """All rows kept under a name, with run_id and batch_id."""
+        return self.spark.read.parquet(f"{self.path}/{name}")
 
     def delete_wineries(self, ids: DataFrame, run_id: str, batch_id: int = 0) -> None:
-        """Remove houses and, with them, their products."""
-        products, wineries = self.products.load(self.spark), self.wineries.load(self.spark)
-        products.commit(delete_cascade(products.read(), ids), range(self.products.buckets), run_id, batch_id)
-        left = wineries.read().join(ids.select("id"), "id", "left_anti")
-        wineries.commit(left.select(*WINERY.fieldNames()), range(self.wineries.buckets), run_id, batch_id)
+        """Remove houses and, with them, their products.
+
+        Houses go last: if a run ends in between, the same call finishes the job.
+        """
+        def products(table: Version) -> tuple[DataFrame, list[int]]:
+            return delete_cascade(table.read(), ids), list(range(self.products.buckets))
+
+        def wineries(table: Version) -> tuple[DataFrame, list[int]]:
+            left = table.read().join(ids.select("id"), "id", "left_anti")
+            return left.select(*WINERY.fieldNames()), list(range(self.wineries.buckets))
+
+        self._upsert(self.products, run_id, batch_id, products)
+        self._upsert(self.wineries, run_id, batch_id, wineries)
 
 
 def delete_cascade(products: DataFrame, deleted_ids: DataFrame) -> DataFrame:

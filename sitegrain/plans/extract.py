@@ -15,7 +15,7 @@ from sitegrain.operators import routing as T
 from sitegrain.operators.html import page_nodes
 from sitegrain.operators.links import links_by_class
 from sitegrain.operators.media import media_items
-from sitegrain.operators.product import PRODUCT_RULES, listing_cards, product_struct
+from sitegrain.operators.product import listing_cards, product_rules_of, product_struct
 from sitegrain.operators.registry import Rule, merge_rules, rule_columns
 from sitegrain.operators.winery import WINERY_RULES
 from sitegrain.rules import SiteRules
@@ -109,7 +109,7 @@ def _columns(rules: SiteRules, product_rules: tuple[Rule, ...], winery_rules: tu
 
 
 def extract_pages(pages: DataFrame, rules: SiteRules,
-                  product_rules: Sequence[Rule] = PRODUCT_RULES,
+                  product_rules: Sequence[Rule] | None = None,
                   winery_rules: Sequence[Rule] = WINERY_RULES) -> DataFrame:
     """One row per page that may yield something: its class, parts, links, media and error.
 
@@ -120,6 +120,7 @@ def extract_pages(pages: DataFrame, rules: SiteRules,
     in_language = T.is_language_page(F.col("nodes"), F.col("final_url"), rules.routed_lang)
     parsed = page_nodes(todo).withColumn("routed", in_language & F.col("parse_error").isNull())
     classed = parsed.withColumn("page_class", F.when(~F.col("routed"), F.col("path_class")))
+    product_rules = product_rules_of(rules) if product_rules is None else product_rules
     items, read, parts = _columns(rules, tuple(product_rules), tuple(winery_rules))
     return classed.withColumn("items", items).select(*read).select(*parts)
 

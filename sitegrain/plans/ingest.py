@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrain.functions.urls import canonical_page_url
+from sitegrain.functions.urls import in_scope, normalize_url
 from sitegrain.operators.frontier import Closure, expand_frontier
+from sitegrain.operators.inspection import overflowing_numbers
 from sitegrain.operators.merge import dedupe_media, dedupe_products, dedupe_wineries
 from sitegrain.operators.routing import first_per_final_url
 from sitegrain.operators.upsert import EntityStore, seed_winery
@@ -16,34 +17,30 @@ from sitegrain.plans.extract import Parts, extract_pages, split_parts
 from sitegrain.rules import SiteRules
 from sitegrain.session import work_dir
 
-# Ids of repeated pages are sent to all tasks up to this many (about 100 MB), else joined.
-SMALL_ID_SET = 5_000_000
-
 
 @dataclass(frozen=True)
 class Run:
+    """``stored`` tells whether the store took the run; it does not take a run id and batch twice."""
+
     parts: Parts
     extracted: DataFrame
     closure: Closure | None = None
+    stored: bool = False
 
 
 def drop_repeated_pages(pages: DataFrame, rules: SiteRules) -> DataFrame:
     """Only the first page of each canonical name.
 
     Page bodies are many times larger than everything else, so they should not be shuffled
-    for this: the repeats are found on narrow columns and, while their ids are few, removed
-    where the pages lie. More repeats than that are worth a shuffle, as parsing them costs more.
+    for this: the repeats are found on narrow columns and written; by the size written Spark
+    removes them where the pages lie or, if they are many, by a shuffle.
     """
     spark = pages.sparkSession
     folder = work_dir(spark, "repeats")
     keys = pages.select("page_id", "final_url", "seq")
     first = first_per_final_url(keys, rules).select("page_id")
     keys.select("page_id").join(first, "page_id", "left_anti").write.parquet(folder)
-    repeats = spark.read.parquet(folder)
-    n = repeats.count()
-    if n == 0:
-        return pages
-    return pages.join(F.broadcast(repeats) if n <= SMALL_ID_SET else repeats, "page_id", "left_anti")
+    return pages.join(spark.read.parquet(folder), "page_id", "left_anti")
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
@@ -63,8 +60,13 @@ def crawl(spark: SparkSession, pages: DataFrame, seeds: DataFrame, rules: SiteRu
           budget: int | None = None) -> Run:
     """Parts of the pages reached from the seeds.
 
-    All pages are parsed once up front; following links then is joins over narrow tables.
+    Only seeds and pages in scope can be reached, so the others are left out by their URL before
+    parsing. What is left is parsed once; following links then is joins over narrow tables.
     """
+    key = normalize_url(F.col("url"))
+    first = seeds.select(F.col("key").alias("seed_key")).distinct()
+    reachable = in_scope(key, rules.scope) | F.col("seed_key").isNotNull()
+    pages = pages.join(first, key == F.col("seed_key"), "left").where(reachable).drop("seed_key")
     extracted = materialize(extract_pages(pages, rules), "extracted")
     links = extracted.select("page_id", F.explode("links").alias("url"))
     closure = expand_frontier(spark, pages.drop("html"), links, seeds, rules, budget)
@@ -75,21 +77,30 @@ def crawl(spark: SparkSession, pages: DataFrame, seeds: DataFrame, rules: SiteRu
     return Run(split_parts(ordered), ordered, closure)
 
 
-def store_parts(store: EntityStore, parts: Parts, run_id: str, batch_id: int = 0, now: Column | None = None) -> None:
-    """In-run dedupe, then houses before products (their parents), then media."""
-    store.upsert_wineries(dedupe_wineries(parts.winery), run_id, batch_id, now)
-    store.upsert_products(dedupe_products(parts.product), run_id, batch_id, now)
-    store.upsert_media(dedupe_media(parts.media), run_id, batch_id, now)
+def store_parts(store: EntityStore, parts: Parts, run_id: str, batch_id: int = 0, now: Column | None = None) -> bool:
+    """In-run dedupe, then houses before products (their parents), then media, then what went wrong and the links.
+
+    Returns whether any table took the batch: one that has been stored under this run and number
+    before is left alone, whatever it holds now.
+    """
+    taken = [
+        store.upsert_wineries(dedupe_wineries(parts.winery), run_id, batch_id, now),
+        store.upsert_products(products := dedupe_products(parts.product), run_id, batch_id, now),
+        store.upsert_media(dedupe_media(parts.media), run_id, batch_id, now),
+    ]
+    store.note("errors", parts.errors, run_id, batch_id)
+    store.note("overflows", overflowing_numbers(products), run_id, batch_id)
+    store.note("links", parts.links, run_id, batch_id)
+    return any(taken)
 
 
 def ingest(spark: SparkSession, pages: DataFrame, store: EntityStore, rules: SiteRules, run_id: str,
            seeds: DataFrame | None = None, now: Column | None = None) -> Run:
-    """A batch run into the store, the bare house record first. A finished run is not repeated."""
+    """A batch run into the store, the bare house record first. A finished run is not repeated (see ``Run.stored``)."""
     run = process_pages(pages, rules) if seeds is None else crawl(spark, pages, seeds, rules)
     winery = seed_winery(spark, rules).unionByName(run.parts.winery)
     parts = Parts(winery, run.parts.product, run.parts.media, run.parts.links, run.parts.errors)
-    store_parts(store, parts, run_id, now=now)
-    return run
+    return replace(run, stored=store_parts(store, parts, run_id, now=now))
 
 
 def written_counts(parts: Parts) -> DataFrame:
@@ -102,6 +113,3 @@ def written_counts(parts: Parts) -> DataFrame:
     rows = [t.agg(F.lit(n).alias("entity"), F.count("*").alias("written")) for n, t in tables.items()]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
-
-def canonical_keys(pages: DataFrame, rules: SiteRules) -> DataFrame:
-    return pages.select("page_id", "seq", "final_url", canonical_page_url(F.col("final_url"), rules.host).alias("canon"))

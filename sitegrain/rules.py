@@ -60,7 +60,6 @@ FAMILY_TEXT = el("div", "elementor-widget-container").inside(
 )
 
 # Label patterns of the technical sheet.
-GRAPE_PAIRS = 3
 TEMPERATURE_KEYS = ("temperature",)
 DOSAGE_KEYS = ("dosage",)
 AGING_KEYS = ("aging", "ageing", "maturation", "vieillissement")
@@ -93,6 +92,8 @@ class SiteRules:
     strict_hosts: bool = False
     root_is_home: bool = False
     extra_hosts: tuple[str, ...] = field(default=())
+    # Grapes are read from so many pairs of the left-hand sheet, from the first on; None reads all.
+    grape_pairs: int | None = None
 
     @property
     def hosts(self) -> tuple[str, ...]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -37,8 +38,12 @@ def _temporary_root() -> str:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for one run below the cluster's shared checkpoint folder.
 
-    The folder is the one named by ``spark.checkpoint.dir``. Only where a session names none
-    (tests, a laptop) is it a temporary folder of this machine.
+    The folder is the one named by ``spark.checkpoint.dir``. Only a local session may name none
+    (tests, a laptop) and gets a temporary folder of this machine; a cluster's executors could
+    not see it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _temporary_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    root = root or _temporary_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"

@@ -31,18 +31,10 @@ def page_table(raw: DataFrame) -> DataFrame:
     return raw.select("page_id", "url", final.alias("final_url"), seq.cast("long").alias("seq"), "html")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core for a scan that comes in fewer splits than there are cores.
-
-    Parsing is bound by CPU, so a small single-split file would run on one core. A large
-    table has splits enough and is left where it is: no shuffle of the page bodies.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return page_table(spread(spark.read.parquet(path), "page_id"))
+def read_pages(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Pages where they lie. ``partitions`` asks for a shuffle of the bodies, for a table of few, large splits."""
+    raw = spark.read.parquet(path)
+    return page_table(raw if partitions is None else raw.repartition(partitions, "page_id"))
 
 
 def stream_pages(spark: SparkSession, path: str, schema: T.StructType = PAGE_SCHEMA,

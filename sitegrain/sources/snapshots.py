@@ -1,12 +1,17 @@
 """A table kept as versioned Parquet folders, rewritten bucket by bucket.
 
-A commit writes only the buckets its batch touches into a new folder, then adds one small
-manifest file that names the folder of every bucket. Readers follow the newest manifest, so
-they see a whole commit or none of it, and a batch that is replayed is recognised.
+A commit writes only the buckets its batch touches into a new folder of its own, then claims the
+next version by creating that version's manifest, one small file that names the folder of every
+bucket and the batches taken so far. Only one writer can create it; another that started from the
+same version gets ``CommitConflict`` and must merge again. Readers follow the newest manifest, so
+they see a whole commit or none of it, and a batch that is replayed is recognised, whatever other
+runs wrote in between.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -15,12 +20,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MANIFEST = "bucket int, folder string, run_id string, batch_id long, version long"
+class CommitConflict(RuntimeError):
+    """Another writer has published this version first."""
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, name = _fs(spark, path)
+    return fs.exists(name)
 
 
 @dataclass(frozen=True)
@@ -34,14 +46,16 @@ class Snapshot:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
     def load(self, spark: SparkSession) -> Version:
-        """The newest version: its manifest has at most one row per bucket."""
-        if not _exists(spark, f"{self.path}/manifest"):
-            return Version(spark, self, 0, "", -1, {})
-        rows = spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest")
-        newest = rows.where(F.col("version") == rows.agg(F.max("version")).scalar()).collect()
-        head = newest[0]
-        folders = {r.bucket: r.folder for r in newest if r.folder}
-        return Version(spark, self, head.version, head.run_id, head.batch_id, folders)
+        """The newest version. Manifests are found by name; only the newest one is read."""
+        fs, folder = _fs(spark, f"{self.path}/manifest")
+        if not fs.exists(folder):
+            return Version(spark, self, 0, {}, {})
+        numbers = [int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit()]
+        if not numbers:
+            return Version(spark, self, 0, {}, {})
+        (line,) = spark.read.text(f"{self.path}/manifest/{max(numbers):010d}").collect()
+        held = json.loads(line[0])
+        return Version(spark, self, max(numbers), held["taken"], {int(b): f for b, f in held["folders"].items()})
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self.load(spark).read()
@@ -49,18 +63,17 @@ class Snapshot:
 
 @dataclass(frozen=True)
 class Version:
-    """One state of a snapshot: which folder holds each bucket, and the batch that made it."""
+    """One state of a snapshot: which folder holds each bucket, and the last batch taken of each run."""
 
     spark: SparkSession
     table: Snapshot
     number: int
-    run_id: str
-    batch_id: int
+    taken: dict[str, int]
     folders: dict[int, str]
 
     def has_batch(self, run_id: str, batch_id: int) -> bool:
-        """Made by this run, by this batch or a later one."""
-        return self.run_id == run_id and self.batch_id >= batch_id
+        """Whether this batch of the run, or a later one, has been taken."""
+        return self.taken.get(run_id, -1) >= batch_id
 
     def read(self, buckets: Iterable[int] | None = None) -> DataFrame:
         """All rows, or those of some buckets."""
@@ -76,18 +89,53 @@ class Version:
         return sorted(r.b for r in reduce(DataFrame.unionAll, ids).distinct().collect())
 
     def commit(self, rows: DataFrame, buckets: Iterable[int], run_id: str, batch_id: int) -> None:
-        """Replace the given buckets by ``rows`` and publish the next version."""
+        """Replace the given buckets by ``rows`` and publish the next version, or raise ``CommitConflict``.
+
+        Rows are dealt by bucket; Spark splits a large bucket into several files.
+        """
         number, path = self.number + 1, self.table.path
-        folder = f"data/version={number:08d}"
+        folder = f"data/version={number:08d}-{uuid.uuid4().hex[:12]}"
         out = rows.select(*self.table.schema.fieldNames())
         out = out.withColumn("bucket", self.table.bucket(F.col(self.table.key)))
-        out.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/{folder}")
+        out.hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(f"{path}/{folder}")
         # With a schema given, a folder without a single file reads as empty.
         written = self.spark.read.schema("bucket int").parquet(f"{path}/{folder}")
         filled = {r.bucket for r in written.distinct().collect()}
         folders = {b: f for b, f in self.folders.items() if b not in set(buckets)}
         folders |= {b: folder for b in buckets if b in filled}
-        entries = [(b, f, run_id, batch_id, number) for b, f in folders.items()]
-        entries = entries or [(-1, None, run_id, batch_id, number)]
-        manifest = self.spark.createDataFrame(entries, MANIFEST).coalesce(1)
-        manifest.write.mode("append").parquet(f"{path}/manifest")
+        taken = self.taken | {run_id: max(batch_id, self.taken.get(run_id, -1))}
+        self._claim(number, json.dumps({"taken": taken, "folders": folders}))
+
+    def _claim(self, number: int, content: str) -> None:
+        """Create the manifest of a version; it must not be there yet."""
+        fs, name = _fs(self.spark, f"{self.table.path}/manifest/{number:010d}")
+        if fs.exists(name):
+            raise CommitConflict(f"{self.table.path} is at version {number} already")
+        # Written under another name first: a manifest is whole once it can be seen.
+        _, draft = _fs(self.spark, f"{self.table.path}/manifest/.draft-{uuid.uuid4().hex}")
+        stream = fs.create(draft, False)
+        stream.write(bytearray(content, "utf-8"))
+        stream.close()
+        if fs.exists(name) or not fs.rename(draft, name):
+            fs.delete(draft, False)
+            raise CommitConflict(f"{self.table.path} is at version {number} already")
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete the data folders that the newest ``keep`` manifests do not name, and older manifests.
+
+        Call it when no reader or writer still works on an older version. Returns the folders deleted.
+        """
+        fs, folder = _fs(self.spark, f"{self.table.path}/manifest")
+        numbers = sorted(int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit())
+        named: set[str] = set()
+        for n in numbers[-keep:]:
+            (line,) = self.spark.read.text(f"{self.table.path}/manifest/{n:010d}").collect()
+            named |= set(json.loads(line[0])["folders"].values())
+        for n in numbers[:-keep]:
+            fs.delete(_fs(self.spark, f"{self.table.path}/manifest/{n:010d}")[1], False)
+        gone = 0
+        for f in fs.listStatus(_fs(self.spark, f"{self.table.path}/data")[1]):
+            if f"data/{f.getPath().getName()}" not in named:
+                fs.delete(f.getPath(), True)
+                gone += 1
+        return gone

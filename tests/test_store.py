@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,7 @@ from sitegrain.operators.upsert import EntityStore, delete_cascade
 from sitegrain.plans.ingest import ingest, process_pages, store_parts
 from sitegrain.rules import SiteRules
 from sitegrain.session import work_dir
+from sitegrain.sources.snapshots import CommitConflict, Snapshot
 from sitegrain.sources.pages import PAGE_SCHEMA, stream_pages
 from sitegrain.streaming.ingest import ingest_batch, keep_latest, live_metrics, stream_dedupe, stream_ingest
 from tests.fixtures.site import page_snapshot
@@ -98,6 +101,45 @@ def test_product_without_a_house_is_dropped(spark):
     assert store.products.read(spark).count() == 0
 
 
+def test_two_stale_writers_lose_nothing(spark):
+    """Both start from one version: the first publishes the next, the second is told to merge again."""
+    schema = spark.range(1).schema
+    table = Snapshot(work_dir(spark, "snapshot"), schema, "id", buckets=4)
+    first, second = table.load(spark), table.load(spark)
+    first.commit(spark.range(10), range(4), "a", 0)
+    with pytest.raises(CommitConflict):
+        second.commit(spark.range(10, 20), range(4), "b", 0)
+    again = table.load(spark)
+    again.commit(again.read().unionByName(spark.range(10, 20)), range(4), "b", 0)
+    now = table.load(spark)
+    assert now.read().count() == 20 and now.has_batch("a", 0) and now.has_batch("b", 0) and not now.has_batch("a", 1)
+    assert now.vacuum(keep=1) == 2 and table.read(spark).count() == 20
+
+
+def test_a_reused_run_says_so_and_losses_are_kept(spark):
+    store = _store(spark)
+    part = spark.createDataFrame([(1, 1, 0, "n", "https://h/p", "s", 123456.0)], "page_id long, seq long, pos int, name string, product_url string, source_page_url string, dosage_g_per_l double")
+    blank = process_pages(page_snapshot(spark).limit(0), RULES).parts
+    rows = part.select(*[c if c in part.columns else F.lit(None).cast(blank.product.schema[c].dataType).alias(c) for c in blank.product.columns])
+    rows = rows.withColumn("winery_id", F.lit("w")) if "winery_id" in rows.columns else rows
+    parts = replace(blank, product=rows)
+    assert store_parts(store, parts, "r") is True
+    assert [(r.product_url, r.field) for r in store.notes("overflows").collect()] == [("https://h/p", "dosage_g_per_l")]
+    assert store_parts(store, parts, "r") is False
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Session:
+        class sparkContext:
+            master = "yarn"
+
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(Session, "x")
+
+
 def test_delete_takes_products_along(spark, batch_result):
     store, _ = batch_result
     ids = store.wineries.read(spark).select("id")
