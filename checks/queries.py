@@ -764,7 +764,7 @@ def media_upsert(spark, sf):
         share = {"a": k % 3 != 0, "b": k % 3 != 1, "c": k % 2 == 0}[text]
         rows = table(spark, sf, "part").select(
             k.alias("page_id"), k.alias("seq"), F.lit(0).alias("pos"), F.lit("image").alias("media_type"),
-            F.when(share, F.concat(F.lit("https://h/i/"), k, F.lit(f".png?{text}"))).alias("url"), F.lit(text).alias("source_page_url"),
+            F.when(share, F.concat(F.lit("https://h/i/"), k, F.lit(".png"))).alias("url"), F.lit(text).alias("source_page_url"),
         )
         store.upsert_media(rows, run, batch, _now())
     return store.media.read(spark).select("id", "url", "source_page_url", "run_id")

@@ -139,10 +139,6 @@ def texts(nodes: Column, selected: Column) -> Column:
     return F.transform(selected, lambda n: node_text(nodes, n))
 
 
-def first_filled(values: Column) -> Column:
-    return F.get(F.filter(values, lambda v: v.isNotNull()), F.lit(0))
-
-
 def last(values: Column) -> Column:
     return F.try_element_at(values, F.lit(-1))
 

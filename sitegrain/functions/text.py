@@ -39,10 +39,6 @@ def keep_if(c: Column, test: Callable[[Column], Column]) -> Column:
     return F.get(F.filter(F.array(c), test), F.lit(0))
 
 
-def blank_to_null(c: Column) -> Column:
-    return keep_if(c, lambda v: strip(v) != "")
-
-
 def empty_to_null(c: Column) -> Column:
     return keep_if(c, lambda v: v != "")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sitegrain.functions.text import name_key
 from sitegrain.schemas import PRODUCT_NUMBERS
 
+# The columns that a listing and a product's view show, in their order.
 LISTED = (
     "name", "product_url", "source_page_url", "description", "dosage_g_per_l", "aging",
     "operating_temperature", "crus_assembles", "millennium", "grape_chardonnay_percent",
@@ -38,14 +39,25 @@ def _finding(rows: DataFrame, constraint: str, sample: Column) -> DataFrame:
     )
 
 
-def not_null(table: DataFrame, name: str, columns: tuple[str, ...], sample: str) -> list[DataFrame]:
-    """One pass over the table for all its columns."""
-    bad = [F.struct(F.lit(f"{name}.{c} not null").alias("constraint"), F.col(c).isNull().alias("bad")) for c in columns]
-    flags = table.select(F.col(sample).cast("string").alias("sample"), F.explode(F.array(*bad)).alias("c"))
-    out = flags.groupBy(F.col("c.constraint").alias("constraint")).agg(
-        F.count_if("c.bad").alias("violations"), F.min(F.when(F.col("c.bad"), F.col("sample"))).alias("sample")
+def row_rules(table: DataFrame, rules: dict[str, tuple[Column, str]]) -> DataFrame:
+    """Findings of rules on single rows: one pass and one aggregation for all of them.
+
+    ``rules``: by the constraint's name what breaks it, and the column that names a row.
+    """
+    flags = [(F.coalesce(bad, F.lit(False)), F.col(sample).cast("string")) for bad, sample in rules.values()]
+    counts = table.agg(
+        *(F.count_if(bad).alias(f"n{i}") for i, (bad, _) in enumerate(flags)),
+        *(F.min(F.when(bad, sample)).alias(f"s{i}") for i, (bad, sample) in enumerate(flags)),
     )
-    return [out]
+    rows = F.array(*(
+        F.struct(F.lit(name).alias("constraint"), F.col(f"n{i}").alias("violations"), F.col(f"s{i}").alias("sample"))
+        for i, name in enumerate(rules)
+    ))
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def not_null(name: str, columns: tuple[str, ...], sample: str) -> dict[str, tuple[Column, str]]:
+    return {f"{name}.{c} not null": (F.col(c).isNull(), sample) for c in columns}
 
 
 def unique(table: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -57,22 +69,22 @@ def unique(table: DataFrame, name: str, *columns: str) -> DataFrame:
 def constraint_audit(wineries: DataFrame, products: DataFrame, media: DataFrame) -> DataFrame:
     """``constraint, violations, sample`` for every constraint of the three tables.
 
+    A table is read once for all rules on its rows, and once for each key that must be unique.
     The last finding is no constraint: houses whose names differ in case or padding only.
     """
     orphans = products.where("winery_id is not null").join(
         wineries.select(F.col("id").alias("winery_id")), "winery_id", "left_anti"
     )
-    kinds = media.where(~F.col("media_type").isin(*MEDIA_TYPES))
+    known = {"media.media_type known": (~F.col("media_type").isin(*MEDIA_TYPES), "url")}
     twins = wineries.groupBy(name_key(F.col("name")).alias("k")).agg(F.count("*").alias("n")).where("n > 1")
     findings = [
-        *not_null(wineries, "winery", ("name", "website_url", "source_page_url", "family_spirit", "history_timeline"), "id"),
-        *not_null(products, "product", ("name", "product_url", "source_page_url", "awards_and_ratings"), "id"),
-        *not_null(media, "media", ("media_type", "url", "source_page_url"), "id"),
+        row_rules(wineries, not_null("winery", ("name", "website_url", "source_page_url", "family_spirit", "history_timeline"), "id")),
+        row_rules(products, not_null("product", ("name", "product_url", "source_page_url", "awards_and_ratings"), "id")),
+        row_rules(media, not_null("media", ("media_type", "url", "source_page_url"), "id") | known),
         unique(wineries, "winery", "name"),
         unique(products, "product", "product_url"),
         unique(products, "product", "winery_id", "name"),
         unique(media, "media", "url"),
-        _finding(kinds, "media.media_type known", F.col("url")),
         _finding(orphans, "product.winery_id references winery", F.col("product_url")),
         _finding(twins, "winery names alike", F.col("k")),
     ]

@@ -91,11 +91,5 @@ def page_media(nodes: Column, url: Column, kind: tuple[N.Sel, ...] = R.MEDIA) ->
     return let(media_items(nodes, url, kind), lambda items: N.first_per_key(items, lambda m: m.url))
 
 
-def media_table(pages: DataFrame, media: str = "media") -> DataFrame:
-    """One row per page and media URL, with its place on the page."""
-    rows = pages.select("page_id", "seq", F.col("final_url").alias("source_page_url"), F.posexplode(media).alias("pos", "m"))
-    return rows.select("page_id", "seq", "pos", "m.media_type", "m.url", "source_page_url")
-
-
 def media_type_counts(media: DataFrame) -> DataFrame:
     return media.groupBy("media_type").agg(F.count("*").alias("n"))

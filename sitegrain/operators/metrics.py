@@ -58,7 +58,7 @@ def ingest_metrics(fetch_log: DataFrame, host: str, elapsed_s: Column | None = N
     if latencies is None:
         p95 = F.col("p95_all").alias("p95_latency_s")
     else:
-        p95 = p95_latency(fetch_log, latencies).scalar().alias("p95_latency_last_n_s")
+        p95 = p95_latency(fetch_log, latencies).scalar().alias(f"p95_latency_last_{latencies}_s")
     return with_rates(counts).select(
         "total_requests", "success_requests", "failed_requests", "crawled_pages", "error_rate",
         F.try_divide("total_requests", F.when(seconds > 0, seconds)).alias("requests_per_s"),
