@@ -121,10 +121,13 @@ def merge_records(rows: DataFrame, key: str, order: Column, scalars: Sequence[st
     lists = lists or {}
     kinds = {f.name: f.dataType for f in rows.schema.fields}
     structured = [*lists, *maps]
-    aggs = [F.min_by(c, order).alias(c) for c in first]
-    aggs += [last_non_empty(F.col(c), order, kinds[c]).alias(c) for c in scalars]
-    aggs += [F.min_by(c, order).alias(f"first_{c}") for c in structured]
-    out = rows.groupBy(key).agg(*aggs, F.count("*").alias("n_records"))
+    # The first record is kept whole, once, and serves every column that falls back to it.
+    head = F.min_by(F.struct(*first, *scalars, *structured), order).alias("head")
+    last = [F.max_by(c, F.when(filled(F.col(c), kinds[c]), order)).alias(c) for c in scalars]
+    out = rows.groupBy(key).agg(head, *last, F.count("*").alias("n_records")).select(
+        key, *(F.col(f"head.{c}").alias(c) for c in first), *(F.coalesce(c, f"head.{c}").alias(c) for c in scalars),
+        *(F.col(f"head.{c}").alias(f"first_{c}") for c in structured), "n_records",
+    )
     for c, fields in lists.items():
         united = union_lists(rows, key, c, order, fields)
         empty = F.array().cast(kinds[c])
