@@ -125,10 +125,10 @@ ORACLE: dict[str, str] = {
     "product_roundtrip": f"""select {K}, {NAME} as name, {PRODUCT_URL} as product_url, {PRODUCT_URL} as source_page_url,
  p_type || ' size ' || p_size || ' cm' as description, cast({DOSAGE} as double) as dosage_g_per_l, ({K} % 7 + 1) || ' years' as aging,
  '8-' || (p_size % 5 + 9) || ' C' as operating_temperature, p_type as crus_assembles, cast({K} % 20 + 2000 as varchar) as millennium,
- 99.0::double as grape_chardonnay_percent, p_size + 1.5::double as grape_pinot_noir_percent,
+ cast(p_size as double) as grape_chardonnay_percent, p_size + 1.5::double as grape_pinot_noir_percent,
  case when {K} % 3 <> 0 then cast(p_size + 2 as double) end as grape_meunier_percent,
  case when {K} % 9 <> 0 then '{SITE}/docs/part-' || {K} || '.pdf' end as data_sheet_url from part where {NAMED}""",
-    "product_grape_pairs": f"select {K}, cast(p_size as double) as grape_chardonnay_percent from part where {NAMED}",
+    "product_grape_pairs": f"select {K}, 99.0::double as grape_chardonnay_percent from part where {NAMED}",
     "awards_roundtrip": f"""select {K}, 0 as n, p_brand as title, cast(p_retailprice as varchar) as value from part where {NAMED}
  union all select {K}, 1, 'Guide', '' from part where {NAMED}""",
     "tasting_roundtrip": f"select {K}, 'Nose' as title, p_type as content from part",

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from sitegrain.rules import SiteRules
 from sitegrain.sources.pages import page_table
 
-RULES = SiteRules(catalog_path=r"^/en/list/[0-9]+/?$")
+# The rendered sheets name a grape again in a later pair; this site reads the first three only.
+RULES = SiteRules(catalog_path=r"^/en/list/[0-9]+/?$", grape_pairs=3)
 SITE = f"https://{RULES.host}"
 FRENCH_IDS = 1_000_000_000
 LIST_IDS = 2_000_000_000

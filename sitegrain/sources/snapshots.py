@@ -53,10 +53,14 @@ class Snapshot:
         numbers = [int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit()]
         if not numbers:
             return Version(spark, self, 0, {}, {})
-        (line,) = spark.read.text(f"{self.path}/manifest/{max(numbers):010d}").collect()
-        held = json.loads(line[0])
+        held = self.manifest(spark, max(numbers))
         return Version(spark, self, max(numbers), held["taken"], {int(b): f for b, f in held["folders"].items()})
 
+    def manifest(self, spark: SparkSession, number: int) -> dict:
+        """Folders by bucket, and the last batch taken of each run."""
+        (line,) = spark.read.text(f"{self.path}/manifest/{number:010d}").collect()
+        return json.loads(line[0])
+
     def read(self, spark: SparkSession) -> DataFrame:
         return self.load(spark).read()
 
@@ -129,8 +133,7 @@ class Version:
         numbers = sorted(int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit())
         named: set[str] = set()
         for n in numbers[-keep:]:
-            (line,) = self.spark.read.text(f"{self.table.path}/manifest/{n:010d}").collect()
-            named |= set(json.loads(line[0])["folders"].values())
+            named |= set(self.table.manifest(self.spark, n)["folders"].values())
         for n in numbers[:-keep]:
             fs.delete(_fs(self.spark, f"{self.table.path}/manifest/{n:010d}")[1], False)
         gone = 0

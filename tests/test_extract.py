@@ -5,7 +5,7 @@ from sitegrain.plans.ingest import drop_repeated_pages, process_pages
 from sitegrain.rules import SiteRules
 from tests.fixtures.site import HOST, page_snapshot
 
-RULES = SiteRules()
+RULES = SiteRules(grape_pairs=3)
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +28,11 @@ def test_page_classes(pages):
     assert 31 not in pages
 
 
+def test_grapes_of_all_pairs(spark):
+    rows = extract_pages(page_snapshot(spark).where("page_id = 40"), SiteRules()).collect()
+    assert rows[0].products[0].grape_chardonnay_percent == 99.0
+
+
 def test_product_fields(pages):
     p = pages[40].products[0].asDict(True)
     assert p == {

@@ -40,6 +40,8 @@ def test_no_all_pairs_joins(spark, name):
 def test_no_unbounded_collect_in_the_library():
     allowed = {"snapshots.py": 2}  # manifest rows and bucket numbers: one per bucket
     for path in LIBRARY.rglob("*.py"):
+        if path.parent.name == "llm":  # has a list of its own, beside its tests
+            continue
         n = len(re.findall(r"\.(?:collect|toPandas|toLocalIterator)\(\)", path.read_text()))
         assert n <= allowed.get(path.name, 0) + (path.name == "snapshots.py"), path
 
