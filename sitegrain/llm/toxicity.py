@@ -48,7 +48,7 @@ class Settings:
 class Hasher:
     """Turns texts into places of features; remembers the hashes of words for a while."""
 
-    def __init__(self, bits: int = BITS, remembered: int = 500_000):
+    def __init__(self, bits: int = BITS, remembered: int = 150_000):
         self.mask, self.remembered = np.uint64((1 << bits) - 1), remembered
         self.words: dict[str, tuple[int, ...]] = {}
 
@@ -83,8 +83,11 @@ def valued(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.append(at, BIAS), np.append(np.log1p(count, dtype=np.float32), np.float32(1))
 
 
-def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings = Settings(), bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """FTRL-proximal over ``(places, values, label)``: the places and weights that are not zero."""
+def fit(examples: list[tuple[bytes, bytes, int]], settings: Settings = Settings(), bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """FTRL-proximal over ``(places, counts, label)``: the places and weights that are not zero.
+
+    Examples stay packed, as 32-bit places and 16-bit counts, until their turn.
+    """
     s = settings
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
 
@@ -95,7 +98,9 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings =
         return np.where(np.abs(zi) <= l1, 0.0, w)
 
     for _ in range(s.epochs):
-        for at, x, y in examples:
+        for places, counts, y in examples:
+            at = np.append(np.frombuffer(places, np.uint32).astype(np.int64), BIAS)
+            x = np.append(np.log1p(np.frombuffer(counts, np.uint16), dtype=np.float32), np.float32(1))
             w = weights(at)
             p = 1.0 / (1.0 + np.exp(-np.clip(w @ x, -30, 30)))
             g = (p - y) * x
@@ -169,10 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, max_training_rows: int = 10_000, s
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         examples = []
         for batch in batches:
-            for places, counts, toxic in zip(batch["places"], batch["counts"], batch["toxic"], strict=True):
-                at = np.append(np.frombuffer(places, np.uint32).astype(np.int64), BIAS)
-                x = np.append(np.log1p(np.frombuffer(counts, np.uint16), dtype=np.float32), np.float32(1))
-                examples.append((at, x, toxic))
+            examples += zip(batch["places"], batch["counts"], batch["toxic"], strict=True)
         place, weight = fit(examples, settings)
         yield pd.DataFrame({"place": place.astype("int64"), "weight": weight.astype("float64")})
 
