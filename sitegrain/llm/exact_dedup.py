@@ -25,7 +25,8 @@ from sitegrain.session import work_dir
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
     # Else every partition's store reserves some megabytes of disk before it holds a row.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
