@@ -36,7 +36,7 @@ GRANULE = 256  # tokens a queue is served at once
 QUEUES = 1024  # with more sources than this, sources share queues by a hash
 MOST_WINDOWS = 1 << 27  # beyond 4e12 tokens windows grow, so that the sums stay in 64 bits
 END = 1
-REMEMBERED = 1_000_000
+REMEMBERED = 1_000_000  # words whose ids a Python worker keeps, some 250 bytes each
 # No token spans a single blank between two other characters; a blank belongs to what follows it.
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
@@ -123,7 +123,7 @@ def cut(rounds: Rounds, queue: np.ndarray, start: np.ndarray, length: np.ndarray
     return doc[run], token[run] + low - place[run], high - low, s, low - begin(s)
 
 
-def tokenised(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
+def tokenised(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int = END, remembered: int = REMEMBERED) -> DataFrame:
     """Stored rows: uid, doc_id, source, shuffle key, tokens, ids (little-endian, 16 bits where they suffice).
 
     ``tokenizer`` is a file on the driver; its content travels to the tasks.
@@ -142,7 +142,7 @@ def tokenised(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int = E
             from tokenizers import Tokenizer
 
             held["tokenizer"], held["known"] = Tokenizer.from_str(held["content"]), {}
-        if len(held["known"]) > REMEMBERED:
+        if len(held["known"]) > remembered:
             held["known"] = {}
         known = held["known"]
         parts = []
@@ -173,9 +173,11 @@ def tokenised(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int = E
     return stored(spark, rows.withColumn("tokens", (F.octet_length("ids") / size).cast("long")), "packing-ids")
 
 
-def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, window: int = WINDOW) -> DataFrame:
+def pack(
+    spark: SparkSession, docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, window: int = WINDOW, remembered: int = REMEMBERED,
+) -> DataFrame:
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    rows = tokenised(spark, docs, tokenizer)
+    rows = tokenised(spark, docs, tokenizer, remembered=remembered)
     names = [r[0] for r in rows.select("source").distinct().limit(QUEUES + 1).collect()]
     key = F.col("source") if len(names) <= QUEUES else F.pmod(F.xxhash64("source"), F.lit(QUEUES)).cast("string")
     narrow = rows.select("uid", key.alias("source"), "tokens", "shuffle")
