@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import duckdb
-from sitegrain.llm import licenses, pii, quality, secret_scan
+from sitegrain.llm import licenses, pii, quality, secret_scan, spans
 from sitegrain.llm.oracle import ORACLE
 from tests.llm import brute
 from tests.llm.conftest import ODD, rows_of
@@ -31,6 +31,14 @@ def test_pii(spark, odd, none):
     assert pii.scan_pii(spark, none).count() == 0
 
 
+def test_addresses_without_at_sign_are_proposed(spark):
+    """Every separator of the pattern passes the gate, also where the text holds no '@' and no spelled-out dot."""
+    values = ["jane.doe (at) example.com", "jane [at] example.com", "jane at example.com", "jane(AT)example.com", "jane at example dot com"]
+    docs = rows_of(spark, [(i, f"write: {v}", "a") for i, v in enumerate(values)])
+    rows = spans.located(docs, pii.all_matches()).where("kind = 4").collect()
+    assert sorted((r["doc_id"], r["value"], r["start"]) for r in rows) == [(i, v, 7) for i, v in enumerate(values)]
+
+
 def test_luhn_and_octets(spark):
     values = spark.createDataFrame([(v,) for v in ("4111111111111111", "4111111111111112", "378282246310005", "0000000000000")], "v string")
     assert [r[0] for r in values.select(pii.luhn(F.col("v"))).collect()] == [True, False, True, True]
