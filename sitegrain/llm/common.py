@@ -59,6 +59,29 @@ def running_start(df: DataFrame, group: str, bucket: str, order: list[str], amou
     )
 
 
+def text_sha() -> Column:
+    """The SHA-256 of the text's bytes."""
+    return F.unhex(F.sha2(whole_text(), 256))
+
+
+def keep_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """A row of ``docs`` for each pair of ``doc_id`` and digest of the text in ``wanted``'s two columns.
+
+    ``wanted`` lists a pair as often as ``docs`` holds it. Only rows of repeated pairs are compared by
+    their texts.
+    """
+    pairs = wanted.toDF("__id", "__sha").groupBy("__id", "__sha").count()
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    digest = F.unhex(F.sha2(text, 256))
+
+    def rows(some: DataFrame) -> DataFrame:
+        return docs.join(some, docs["doc_id"].eqNullSafe(some["__id"]) & (digest == some["__sha"]), "left_semi")
+
+    name = "_" + max(docs.columns, key=len)  # no column of docs
+    again = rows(pairs.where("count > 1")).withColumn(name, whole_text()).dropDuplicates(["doc_id", name]).drop(name)
+    return rows(pairs.where("count = 1")).unionByName(again)
+
+
 def keep_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is in the one column of ``ids``; repeated rows once.
 
