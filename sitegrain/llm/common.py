@@ -80,16 +80,3 @@ def keep_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     name = "_" + max(docs.columns, key=len)  # no column of docs
     again = rows(pairs.where("count > 1")).withColumn(name, whole_text()).dropDuplicates(["doc_id", name]).drop(name)
     return rows(pairs.where("count = 1")).unionByName(again)
-
-
-def keep_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is in the one column of ``ids``; repeated rows once.
-
-    ``ids`` lists an id as often as ``docs`` holds it. Only rows of repeated ids are compared by
-    their texts.
-    """
-    wanted = ids.toDF("__id").groupBy("__id").count()
-    single, repeated = wanted.where("count = 1"), wanted.where("count > 1")
-    once = docs.join(single, docs["doc_id"].eqNullSafe(single["__id"]), "left_semi")
-    again = docs.join(repeated, docs["doc_id"].eqNullSafe(repeated["__id"]), "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(again)

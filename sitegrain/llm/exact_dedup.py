@@ -19,7 +19,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrain.llm.common import keep_ids, stored, whole_text
+from sitegrain.llm.common import keep_rows, stored, whole_text
 from sitegrain.session import work_dir
 
 ROCKSDB = {
@@ -153,4 +153,4 @@ def exact_dedup(
 
 def drop_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` without the copies: of equal texts one row stays, that with the largest ``doc_id``."""
-    return keep_ids(docs, exact_dedup(spark, docs).where("kept").select("doc_id"))
+    return keep_rows(docs, exact_dedup(spark, docs).where("kept").select("doc_id", F.unhex("text_sha256")))

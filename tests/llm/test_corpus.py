@@ -72,6 +72,13 @@ def test_drop_copies_keeps_columns(spark, odd):
     assert sorted(r["text"] or "" for r in out.collect()) == sorted(classes(ODD))
 
 
+def test_drop_copies_with_null_and_shared_ids(spark):
+    for i in (None, 5):
+        rows = [(i, "x", "a"), (i, "y", "a"), (8, "x", "a"), (9, None, "a"), (9, "", "a")]
+        out = exact_dedup.drop_copies(spark, rows_of(spark, rows)).collect()
+        assert sorted((str(r["doc_id"]), r["text"] or "") for r in out) == sorted([(str(i), "y"), ("8", "x"), ("9", "")])
+
+
 # SimHash
 
 
