@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrain.llm.common import stored, whole_text
+from sitegrain.llm.common import keep_rows, stored, text_sha, whole_text
 from sitegrain.llm.components import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -64,10 +64,10 @@ def _fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series(np.array([fingerprint(t) for t in batch], np.uint64).view(np.int64))
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and the fingerprint as a long."""
+def fingerprints(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, the fingerprint as a long, and ``more``."""
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.pandas_udf(_fingerprints, "long")(whole_text()).alias("fp")
+        F.col("doc_id").cast("long").alias("doc_id"), F.pandas_udf(_fingerprints, "long")(whole_text()).alias("fp"), *more
     )
 
 
@@ -236,15 +236,36 @@ def links(spark: SparkSession, nodes: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
-    rows = stored(spark, fingerprints(docs), "simhash-rows")
+def _roots(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """fp, first (its smallest doc_id) and root (a fingerprint that names the component) of every fingerprint in ``rows``."""
     # A node's name is its fingerprint; its documents count through the smallest id.
     nodes = stored(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
     roots = components(spark, links(spark, nodes.select("fp")))
-    named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+    rows = stored(spark, fingerprints(docs), "simhash-rows")
+    named = _roots(spark, rows)
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = named.select("fp", "root").join(smallest, "root").select("fp", "component_id")
     return rows.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest ``doc_id``, a null one last.
+
+    Rows that share this ``doc_id`` are told apart by the digest of their text; of wholly repeated ones one stays.
+    """
+    rows = stored(spark, fingerprints(docs, text_sha().alias("sha")), "simhash-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "sha")
+    # The best row of a fingerprint first, so that a hot one is a row for each task.
+    best = rows.groupBy("fp").agg(F.min(order).alias("best")).join(_roots(spark, rows).select("fp", "root"), "fp")
+    best = best.groupBy("root").agg(F.min("best").alias("best")).select("best.doc_id", "best.sha")
+    wanted = rows.select("doc_id", "sha").alias("r").join(
+        best.alias("b"), F.col("r.sha").eqNullSafe(F.col("b.sha")) & F.col("r.doc_id").eqNullSafe(F.col("b.doc_id")), "left_semi"
+    )
+    return keep_rows(docs, wanted)
