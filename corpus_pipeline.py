@@ -15,7 +15,7 @@ from sitegrain.llm.common import stored
 from sitegrain.llm.exact_dedup import drop_copies
 from sitegrain.llm.mixing import apply_mix
 from sitegrain.llm.packing import pack
-from sitegrain.llm.similar import drop_similar
+from sitegrain.llm.simhash import drop_near_duplicates
 from sitegrain.llm.toxicity import drop_toxic
 
 # The Python workers that pack have run the other stages before, so they keep less than by default.
@@ -33,8 +33,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of texts with a Jaccard similarity of 0.8 or more on shingles of five words one document stays."""
-    return drop_similar(spark, docs)
+    """Of every group of texts whose SimHash fingerprints link one document stays."""
+    return drop_near_duplicates(spark, docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
