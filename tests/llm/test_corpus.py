@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import compare, connect
-from sitegrain.llm import common, components, exact_dedup, mixing, packing, similar, simhash, tokencount, toxicity
+from sitegrain.llm import common, components, exact_dedup, mixing, packing, simhash, tokencount, toxicity
 from sitegrain.llm.oracle import ORACLE
 from sitegrain.llm.queries import QUERIES
 from tests.llm.conftest import DOCS, ODD, rows_of
@@ -174,75 +174,23 @@ def test_components_of_long_chains(spark):
     assert got == {**{i: 0 for i in range(1, 61)}, **{i: 151 for i in range(152, 201)}}
 
 
-# Similar texts
+# Dropping near duplicates
 
 
-def plain_similar(rows):
-    """Pairs of distinct texts that share 0.8 of their shingles of five words, by comparing all that share one."""
-    sets, by_shingle, pairs = {}, {}, set()
-    for text in sorted({t or "" for _, t, _ in rows}):
-        words = text.translate(str.maketrans(common.UPPER, common.LOWER)).encode().split()
-        sets[text] = {b" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
-        for s in sets[text]:
-            by_shingle.setdefault(s, []).append(text)
-    for group in by_shingle.values():
-        pairs.update((a, b) for a in group for b in group if a < b)
-    return [(a, b) for a, b in pairs if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])], sets
-
-
-def check_similar(spark, rows):
-    pairs, nodes = plain_similar(rows)
-    root = plain_components(pairs, nodes)
-    best = {}
-    for i, t, _ in rows:
-        best.setdefault(root[t or ""], []).append((i is None, i or 0))
-    out = similar.drop_similar(spark, rows_of(spark, rows))
-    got = {}
-    for r in out.collect():
-        assert root[r["text"] or ""] not in got
-        got[root[r["text"] or ""]] = (r["doc_id"] is None, r["doc_id"] or 0)
-    assert got == {k: min(v) for k, v in best.items()}
-    return len(pairs)
-
-
-@pytest.mark.parametrize("group", [similar.GROUP, 7])
-def test_drop_similar(spark, none, monkeypatch, group):
-    """Around the threshold, in one group of a cluster or many; null, shared and repeated ids."""
-    monkeypatch.setattr(similar, "GROUP", group)
-    rng = random.Random(4)
-    words = [f"w{i}" for i in range(300)]
-    rows = [*ODD, (None, SENTENCE_A, "a"), (None, SENTENCE_A + " end", "a"), (5, SENTENCE_B, "a"), (5, SENTENCE_B + " end", "a"), (6, SENTENCE_B, "a")]
-    for i in range(40):
-        base = [rng.choice(words) for _ in range(100)]
-        for k in range(4):
-            # Of 96 + n shingles two texts share 96 at least.
-            rows.append((100 + 4 * i + k, " ".join(base + [f"x{i}-{k}-{n}" for n in range(8 + i % 8)]), "a"))
-    hot = [rng.choice(words) for _ in range(100)]
-    rows += [(1000 + i, " ".join(hot[:i] + ["other"] + hot[i + 1:]), "a") for i in range(60)]
-    assert check_similar(spark, rows) > 100
-    assert similar.drop_similar(spark, none).count() == 0
-    assert similar.drop_similar(spark, rows_of(spark, rows)).columns == none.columns
-
-
-def test_bands_find_pairs_at_the_threshold():
-    """A pair of just 0.8 shares a bucket, in each of 300 trials."""
-    rng = np.random.default_rng(2)
-    bands = similar.band_count(0.8)
-    for _ in range(300):
-        h = rng.integers(0, 1 << 63, 100, dtype=np.uint64)
-        assert (similar.sketch(h[:90], bands) == similar.sketch(h[10:], bands)).any()
-
-
-def test_pipeline_drops_similar_texts(spark):
-    docs = exact_dedup.drop_copies(spark, spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
-    rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
-    pairs, nodes = plain_similar(rows)
-    root = plain_components(pairs, nodes)
+def test_drop_near_duplicates(spark, odd, none):
+    """One row of each component; null, shared and repeated ids, and rows repeated whole."""
+    rows = [*ODD, (None, SENTENCE_A, "a"), (None, SENTENCE_A, "a"), (5, SENTENCE_B, "a"), (6, SENTENCE_B, "a"), (6, SENTENCE_B, "a"), (2, SENTENCE_B, "z")]
+    fps = [plain_fingerprint(t or "") for _, t, _ in rows]
+    root = plain_components([(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 4], set(fps))
     best = {}
-    for i, t, _ in rows:
-        best[root[t or ""]] = min(i, best.get(root[t or ""], i))
-    near = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF)
-    assert sorted(r["doc_id"] for r in near.collect()) == sorted(best.values()) and len(pairs) == 5
+    for (i, _, _), f in zip(rows, fps, strict=True):
+        best.setdefault(root[f], []).append((i is None, i or 0))
+    docs = rows_of(spark, rows)
+    out = simhash.drop_near_duplicates(spark, docs)
+    assert out.columns == docs.columns
+    got = [(root[plain_fingerprint(r["text"] or "")], (r["doc_id"] is None, r["doc_id"] or 0)) for r in out.collect()]
+    assert sorted(got) == sorted((k, min(v)) for k, v in best.items())
+    assert simhash.drop_near_duplicates(spark, none).count() == 0
 
 
 # Mixing
