@@ -59,6 +59,20 @@ def running_start(df: DataFrame, group: str, bucket: str, order: list[str], amou
     )
 
 
+HOT = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str, total: int, how: str = "left") -> DataFrame:
+    """Join to each of ``total`` stored rows the row of its group, which holds the group's size in ``count``.
+
+    Groups of more than a thousandth of all rows are broadcast: there are fewer than a thousand of
+    them. So no task meets the rows of a hot group, and any other is small.
+    """
+    hot, cold = (groups.where(f"{count} {sign} {total // HOT}") for sign in (">", "<="))
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(rest.join(cold, key, how))
+
+
 def text_sha() -> Column:
     """The SHA-256 of the text's bytes."""
     return F.unhex(F.sha2(whole_text(), 256))

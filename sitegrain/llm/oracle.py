@@ -71,3 +71,14 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
        failures & {mask(BASE)} <> 0 as base_failed, failures = 0 as kept
 from l
 """
+
+# Base32 takes five bits at a time; five hex digits are four characters.
+ORACLE["op13_warc"] = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select *, sha1(html) as h, max(page_id) over (partition by html) as first, row_number() over (partition by html order by page_id desc) as place from p)
+select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes,
+       array_to_string(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::int >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') as payload_digest,
+       case when place = 1 then 'response' else 'revisit' end as record_type, case when place > 1 then first end as refers_to
+from d
+"""

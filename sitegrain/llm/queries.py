@@ -1,4 +1,4 @@
-"""The dealt queries: each applies its operator to the whole of ``documents``."""
+"""The dealt queries: each applies its operator to the whole of its table."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ from sitegrain.llm.secret_scan import scan_secrets
 from sitegrain.llm.simhash import near_duplicates
 from sitegrain.llm.tokencount import count_tokens
 from sitegrain.llm.toxicity import score_toxicity
+from sitegrain.llm.warc import page_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -78,3 +79,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(spark, documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_records(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
