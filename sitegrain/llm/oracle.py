@@ -82,3 +82,36 @@ select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes,
        case when place = 1 then 'response' else 'revisit' end as record_type, case when place > 1 then first end as refers_to
 from d
 """
+
+# The CRC's table, and the CRC of a text of ASCII letters in the column ``s``.
+CRC_TABLE = """(select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+  lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as crc)"""
+CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(s, ''), lambda x: ascii(x)::bigint)),
+  lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])))"""
+
+ORACLE["op11_prefix_trie"] = rf"""
+with t as (
+  select conv_id as c, turn, substr(sha256(concat(length(role), ':', role, text)), 1, 32) as d,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as w
+  from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null)
+), own as (
+  select c, cast(c as varchar) as s, list({{'d': d, 'w': w}} order by turn nulls first, d) as ts from t group by c
+), heads as (select own.*, {CRC} % 4 as h from own, {CRC_TABLE}),
+rebuilt as (
+  select a.c, list_concat(coalesce(b.ts[1:a.h], []), a.ts[a.h + 1:]) as ts from heads a left join own b on b.c = a.c - a.c % 20
+), steps as (select c, ts, unnest(range(len(ts) + 1)) as depth from rebuilt),
+members as (
+  select c, depth, array_to_string(list_transform(ts[1:depth], lambda x: x.d), '') as p,
+         case when depth > 0 then ts[depth].w else 0 end as w, depth = len(ts) as ends
+  from steps
+), nodes as (
+  select p, depth, min(c) as conv_id, count(*) as n_convs, (count(*) - 1) * max(w) as saved,
+         sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (where ends), '')) as ends_sha256
+  from members group by p, depth
+), kids as (select substr(p, 1, 32 * (depth - 1)) as p, count(*) as n from nodes where depth > 0 group by 1),
+up as (select nodes.*, coalesce(kids.n, 0) as n_children, unnest(range(depth + 1)) as k from nodes left join kids using (p)),
+sums as (select substr(p, 1, 32 * k) as p, sum(saved) as saved_tokens, count(*) filter (where n_children = 0) as n_leaves from up group by 1)
+select n.conv_id, n.depth, case when n.depth > 0 then a.conv_id end as parent_conv_id, n.n_convs, coalesce(kids.n, 0) as n_children,
+       sums.n_leaves, cast(sums.saved_tokens as bigint) as saved_tokens, n.ends_sha256
+from nodes n join sums using (p) left join kids using (p) left join nodes a on a.depth = n.depth - 1 and a.p = substr(n.p, 1, 32 * (n.depth - 1))
+"""

@@ -17,6 +17,7 @@ from sitegrain.llm.secret_scan import scan_secrets
 from sitegrain.llm.simhash import near_duplicates
 from sitegrain.llm.tokencount import count_tokens
 from sitegrain.llm.toxicity import score_toxicity
+from sitegrain.llm.trie import conversation_trie
 from sitegrain.llm.warc import page_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +85,8 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
