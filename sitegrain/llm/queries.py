@@ -13,6 +13,7 @@ from sitegrain.llm.mixing import mix_sources
 from sitegrain.llm.packing import pack
 from sitegrain.llm.pii import scan_pii
 from sitegrain.llm.quality import quality
+from sitegrain.llm.repair import repair_conversations
 from sitegrain.llm.secret_scan import scan_secrets
 from sitegrain.llm.simhash import near_duplicates
 from sitegrain.llm.tokencount import count_tokens
@@ -90,3 +91,8 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))

@@ -2,13 +2,15 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
+from itertools import product
 from zlib import crc32
 
 import pytest
 
 from checks.compare import compare, connect
-from sitegrain.llm import trie
+from sitegrain.llm import repair, trie
 from sitegrain.llm.oracle import ORACLE
 from sitegrain.llm.queries import QUERIES
 
@@ -105,3 +107,163 @@ def test_trie_of_nothing(spark):
 
 def test_trie_against_sql(spark):
     assert compare(spark, connect(SF), SF, "op11_prefix_trie", QUERIES["op11_prefix_trie"], ORACLE["op11_prefix_trie"]) == ""
+
+
+# Repair
+
+BLANK = "[ \t-\r]"
+
+
+def plain_rows(rows):
+    """Damage in plain Python: the rows of each conversation in order."""
+    out = {}
+    for c, turn, role, text in rows:
+        kept = out.setdefault(c, [])
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = crc32(f"{' ' if c is None else c}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        role = "user" if kind == 4 else role
+        kept += [(turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    return {c: sorted(kept, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode())) for c, kept in out.items()}
+
+
+def plain_faults(rows):
+    out = []
+    for i, (_, role, text) in enumerate(rows):
+        visible = re.sub(BLANK, "", text)
+        if not visible:
+            out.append("blank")
+        elif any(r[1:] == (role, text) for r in rows[:i]):
+            out.append("duplicate")
+        else:
+            out.append("" if visible[-1] in ".!?" else "truncated")
+    return out
+
+
+def every_repair(rows, faults, inserts=2):
+    """The best of all repairs with up to two inserts in a row: (cost, audit, repaired rows)."""
+    gaps = [[(5 * n, "I" * n, way) for n in range(inserts + 1) for way in product("ua", repeat=n)]]
+    steps = list(gaps)
+    for (_, role, text), fault in zip(rows, faults, strict=True):
+        more = 5 if fault == "truncated" else 0
+        ways = [(2, "D", ())]
+        if fault not in ("blank", "duplicate"):
+            ways += [(more, "K", ((role, text),)), *[(1 + more, "R", ((r, text),)) for r in ("user", "assistant")]]
+        steps += [ways, *gaps]
+    best = None
+    for way in product(*steps):
+        turns = [({"u": "user", "a": "assistant"}[t], "") if isinstance(t, str) else t for _, _, ts in way for t in ts]
+        if re.fullmatch("(s?(ua)+)?", "".join(r[:1] or "?" for r, _ in turns)):
+            found = (sum(c for c, _, _ in way), "".join(a for _, a, _ in way), turns)
+            best = found if best is None or found[:2] < best[:2] else best
+    return best
+
+
+def automaton_repair(rows, faults):
+    """The same by the plain automaton of the role pattern, for any length."""
+    moves = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    def put(tops, state, found):
+        if state is not None and (state not in tops or found[:2] < tops[state][:2]):
+            tops[state] = found
+            return True
+    def inserted(tops):
+        for _ in range(4):
+            for state, (cost, audit, turns) in list(tops.items()):
+                for r in ("user", "assistant"):
+                    put(tops, moves.get((state, r[0])), (cost + 5, audit + "I", [*turns, (r, "")]))
+        return tops
+    tops = inserted({"": (0, "", [])})
+    for (_, role, text), fault in zip(rows, faults, strict=True):
+        more, after = 5 if fault == "truncated" else 0, {}
+        for state, (cost, audit, turns) in tops.items():
+            put(after, state, (cost + 2, audit + "D", turns))
+            if fault not in ("blank", "duplicate"):
+                put(after, moves.get((state, role[:1])), (cost + more, audit + "K", [*turns, (role, text)]))
+                for r in ("user", "assistant"):
+                    put(after, moves.get((state, r[0])), (cost + 1 + more, audit + "R", [*turns, (r, text)]))
+        tops = inserted(after)
+    return min((tops[s] for s in ("", "a") if s in tops), key=lambda t: t[:2])
+
+
+def plain_repair(rows, best_of):
+    out = []
+    for c, kept in plain_rows(rows).items():
+        faults = plain_faults(kept)
+        turns = [t for t, _, _ in kept if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        pairs = [a[1][:1] + b[1][:1] for a, b in zip(kept, kept[1:])]
+        cost, audit, fixed = best_of(kept, faults)
+        digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in fixed).encode()).hexdigest()
+        counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+        out.append((c, gaps, *counts, sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, digest))
+    return Counter(out)
+
+
+def damaged_rows(seed, count, longest):
+    rng = random.Random(seed)
+    rows = []
+    for c in range(count):
+        for turn in range(rng.randint(0, longest)):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None, "upper", "Pair", "$", "s"])
+            text = rng.choice(["one.", "two", "three! \t", None, "", " \n", "four?", "äö 😀.", f"{c} {turn}.", "x"])
+            rows.append((c - 5, rng.choice([turn, turn, turn + 3, None, 2]), role, text))
+    return rows + [(None, 1, "user", "a."), (None, None, None, None), (900, None, "user", "only."), (901, 2**60, "user", "far."), (901, -4, "system", "s.")]
+
+
+def test_tables_are_of_the_grammar():
+    """Every word of up to seven roles is accepted or refused as the role pattern does."""
+    rules = repair.tables()
+    for n in range(8):
+        for word in product("sua", repeat=n):
+            parser = repair.Parser(rules)
+            cell = repair.Cell(0, None)
+            for x in (*word, "$"):
+                cell = cell and parser.advance(cell, x)
+            assert (cell is not None) == bool(re.fullmatch("(s?(ua)+)?", "".join(word)))
+
+
+def test_best_repair_of_all():
+    """Short conversations against every possible repair."""
+    rng = random.Random(5)
+    rules = repair.tables()
+    for _ in range(150):
+        rows = [(i, rng.choice(["user", "assistant", "system", "tool"]), f"{i}") for i in range(rng.randint(0, 3))]
+        faults = [rng.choice(["", "", "blank", "truncated"]) for _ in rows]
+        one = repair.Repair(rules, 1)
+        for row, fault in zip(rows, faults, strict=True):
+            one.row(*row, fault or None)
+        cost, audit, fixed = every_repair(rows, faults)
+        digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in fixed).encode()).hexdigest()
+        assert one.result()[-3:] == (cost, audit, digest)
+        assert automaton_repair(rows, faults)[:2] == (cost, audit)
+
+
+@pytest.mark.parametrize("held", [1, 256])
+def test_repair(spark, monkeypatch, held):
+    monkeypatch.setattr(repair, "HELD", held)
+    rows = damaged_rows(1, 250, 9)
+    got = repair.repair_conversations(table(spark, rows))
+    assert got.columns == [c.split()[0] for c in repair.SEEN.split(", ")]
+    assert Counter(map(tuple, got.collect())) == plain_repair(rows, automaton_repair)
+
+
+def test_repair_of_long_conversations(spark):
+    """Held rows stay few, and letters agree with the plain automaton over thousands of rows."""
+    rng = random.Random(2)
+    rows = [(7, t, rng.choice(["user", "assistant"]), f"{t}" + rng.choice(["", ".", "!"])) for t in range(3000)]
+    rows += [(8, t, ("user", "assistant")[t % 2], "same.") for t in range(2000)]
+    got = repair.repair_conversations(table(spark, rows))
+    assert Counter(map(tuple, got.collect())) == plain_repair(rows, automaton_repair)
+    one = repair.Repair(repair.tables(), 7)
+    for _, turn, role, text in rows[:3000]:
+        one.row(turn, role, text, None if text[-1] in ".!" else "truncated")
+        assert len(one.held) <= repair.HELD + 16
+
+
+def test_repair_query_against_plain(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert Counter(map(tuple, QUERIES["op12_repair"](spark, SF).collect())) == plain_repair(rows, automaton_repair)
+
+
+def test_repair_of_nothing(spark):
+    assert repair.repair_conversations(table(spark, tree_rows()).where("false")).count() == 0
