@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitegrain.functions.urls import canonical_page_url
+from sitegrain.operators.percentile import percentile
 
 LATENCIES_KEPT = 10_000
 
@@ -44,7 +45,8 @@ def ingest_metrics(fetch_log: DataFrame, host: str, elapsed_s: Column | None = N
     """One row for the run. Without a given duration the log's own time span counts.
 
     ``fetch_log``: attempt_id, url, final_url, ts, ok, latency_s. The percentile covers all
-    latencies (``p95_latency_s``), or the newest ``latencies`` (``p95_latency_last_n_s``).
+    latencies (``p95_latency_s``, selected by a few jobs that run at once), or the newest
+    ``latencies`` (``p95_latency_last_n_s``).
     """
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     span = F.max(micros) - F.min(micros)
@@ -52,11 +54,10 @@ def ingest_metrics(fetch_log: DataFrame, host: str, elapsed_s: Column | None = N
         *attempt_counts(),
         crawled_pages(host).alias("crawled_pages"),
         (span / F.lit(1e6)).alias("span_s"),
-        F.percentile("latency_s", F.lit(0.95)).alias("p95_all"),
     )
     seconds = F.col("span_s") if elapsed_s is None else elapsed_s
     if latencies is None:
-        p95 = F.col("p95_all").alias("p95_latency_s")
+        p95 = F.lit(percentile(fetch_log, "latency_s", 0.95)).cast("double").alias("p95_latency_s")
     else:
         p95 = p95_latency(fetch_log, latencies).scalar().alias(f"p95_latency_last_{latencies}_s")
     return with_rates(counts).select(
