@@ -150,10 +150,17 @@ ORACLE: dict[str, str] = {
  select '{SITE}/en/maison/histoire/' || {S} as source_page_url, row_number() over (partition by {S} order by i) - 1 as n, year, event from m""",
     "house_family": f"""select '{SITE}/en/maison/famille/' || {S} as source_page_url, 'Jean-claude S' || lower(s_name[2:]) as member, 'first' || chr(10) || s_name as text from supplier
  union all select '{SITE}/en/maison/famille/' || {S}, 'Anne', 'late ' || {S} from supplier""",
-    "rule_report": f"""with r(rule, applies, filled) as (select unnest(['product_name', 'product_description', 'left_sheet', 'right_sheet', 'data_sheet', 'awards', 'tasting']),
- unnest([n, n, n, n, sheets, n, n]), unnest([named, n, n, n, sheets, n, n])
+    "rule_report": f"""with r(rule, applies, filled, media, links) as (
+ select unnest(['product_name', 'product_description', 'left_sheet', 'right_sheet', 'data_sheet', 'awards', 'tasting', 'media', 'page_links']),
+ unnest([n, n, n, n, sheets, n, n, n, n]), unnest([named, n, n, n, sheets, n, n, 0, 0]), unnest([0, 0, 0, 0, 0, 0, 0, 4 * n, 0]),
+ unnest([0, 0, 0, 0, 0, 0, 0, 0, 4 * n + sheets])
  from (select count(*) as n, count(*) filter ({NAMED}) as named, count(*) filter ({K} % 9 <> 0) as sheets from part))
- select rule, (select count(*) from part) as pages, applies, filled from r""",
+ select rule, (select count(*) from part) as pages, applies, filled, media, links, 0 as failed from r""",
+    "custom_rule": f"""select {K}, 'field' as kind, 'size ' || p_size as value from part where {NAMED}
+ union all select {K}, 'media', '{SITE}/plain/' || p_size || '.png' from part where {NAMED}
+ union all select {K}, 'link', '{SITE}/size/' || p_size from part where {NAMED}""",
+    "rule_errors": f"""select {K}, 'aging' as kind, case when p_size % 5 = 0 then ({K} % 7 + 1) || ' years' else (100 // (p_size % 5)) || ' months' end as value
+ from part where {NAMED} union all select {K}, 'rule months', 'ZeroDivisionError' from part where p_size % 5 = 0""",
     "last_non_empty": f"""select o_custkey, coalesce(arg_max(status, {O_ROW}) filter (status <> ''), '') as status,
  arg_max(o_orderpriority, {O_ROW}) as priority from {ORDERS} group by 1""",
     "union_list_by_key": f"""select l_orderkey, string_agg(l_returnflag || '-' || l_linestatus || '-' || q, ' ' order by o) as items from {FIRST_LINES} group by 1""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,11 @@ from sitegrain.operators import merge as G
 from sitegrain.operators import metrics as MT
 from sitegrain.operators import routing as RT
 from sitegrain.operators import upsert as UP
-from sitegrain.operators.html import page_nodes
+from sitegrain.operators.html import Result, page_nodes
 from sitegrain.operators.product import TASTING_RULE, product_rules_of
-from sitegrain.operators.registry import extraction_report, rule_columns
+from sitegrain.operators.registry import PythonRule, extraction_report, rule_columns
 from sitegrain.plans import ingest as P
-from sitegrain.plans.extract import extract_pages, split_parts
+from sitegrain.plans.extract import extract_pages, page_rules, split_parts
 from sitegrain.rules import SiteRules
 from sitegrain.schemas import PRODUCT, WINERY
 from sitegrain.session import work_dir
@@ -62,8 +63,11 @@ def _urls(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", "url")
 
 
-def _nodes(spark: SparkSession, sf: str) -> DataFrame:
-    return page_nodes(_pages(spark, sf).select("page_id", "final_url", "html"))
+def _read(pages: DataFrame, *columns: Callable[[N.Page], Column]) -> DataFrame:
+    """``page_id`` and what each of ``columns`` reads of a page."""
+    page = N.Page()
+    built = [f(page) for f in columns]
+    return page_nodes(pages.select("page_id", "final_url", "html"), page).select("page_id", "final_url", *built)
 
 
 # --- URLs -----------------------------------------------------------------------------
@@ -116,8 +120,7 @@ def url_in_scope(spark, sf):
 # --- links ----------------------------------------------------------------------------
 
 def _page_links(spark: SparkSession, sf: str) -> DataFrame:
-    found = L.page_links(c("nodes"), c("final_url"), PAGES_RULES).alias("links")
-    return L.link_table(_nodes(spark, sf).select("page_id", "final_url", found))
+    return L.link_table(_read(_pages(spark, sf), lambda p: L.page_links(p, c("final_url"), PAGES_RULES).alias("links")))
 
 
 @query
@@ -127,8 +130,8 @@ def links_discovered(spark, sf):
 
 @query
 def links_catalog_rule(spark, sf):
-    found = L.catalog_links(c("nodes"), c("final_url"), PAGES_RULES).alias("links")
-    return L.link_table(_nodes(spark, sf).select("page_id", "final_url", found)).select("page_id", "url")
+    found = _read(_pages(spark, sf), lambda p: L.catalog_links(p, c("final_url"), PAGES_RULES).alias("links"))
+    return L.link_table(found).select("page_id", "url")
 
 
 @query
@@ -160,11 +163,11 @@ def link_report(spark, sf):
 
 @query
 def page_language(spark, sf):
-    n, u = c("nodes"), c("final_url")
-    return _nodes(spark, sf).select(
-        "page_id", RT.page_language(n).alias("lang"),
-        RT.is_language_page(n, u, "fr").alias("is_fr"), RT.is_language_page(n, u, "en").alias("is_en"),
-    )
+    u = c("final_url")
+    return _read(
+        _pages(spark, sf), lambda p: RT.page_language(p).alias("lang"),
+        lambda p: RT.is_language_page(p, u, "fr").alias("is_fr"), lambda p: RT.is_language_page(p, u, "en").alias("is_en"),
+    ).drop("final_url")
 
 
 @query
@@ -175,8 +178,8 @@ def route_language(spark, sf):
 
 @query
 def language_switch_german(spark, sf):
-    switch = RT.language_switch_url(c("nodes"), c("final_url"), "de")
-    return page_nodes(R.french_pages(spark, sf)).select("page_id", switch.alias("target"))
+    found = _read(R.french_pages(spark, sf), lambda p: RT.language_switch_url(p, c("final_url"), "de").alias("target"))
+    return found.select("page_id", "target")
 
 
 @query
@@ -217,29 +220,34 @@ def dedupe_final_url(spark, sf):
 
 # --- HTML -----------------------------------------------------------------------------
 
-def _tag_text(tag: str) -> Column:
-    return X.let(N.select_one(c("nodes"), N.el(tag)), lambda n: N.node_text(c("nodes"), n))
+def _tag_text(spark: SparkSession, sf: str, tag: str, name: str) -> DataFrame:
+    def text(page: N.Page) -> Column:
+        return X.let(page.select_one(N.el(tag)), lambda n: N.node_text(page.nodes, n)).alias(name)
+
+    return _read(_pages(spark, sf), text).select("page_id", name)
 
 
 @query
 def page_title(spark, sf):
-    return _nodes(spark, sf).select("page_id", _tag_text("title").alias("title"))
+    return _tag_text(spark, sf, "title", "title")
 
 
 @query
 def page_heading(spark, sf):
-    return _nodes(spark, sf).select("page_id", _tag_text("h1").alias("heading"))
+    return _tag_text(spark, sf, "h1", "heading")
 
 
 @query
 def page_paragraph_count(spark, sf):
-    found = N.select(c("nodes"), N.el("p").inside(N.el("article")))
-    return _nodes(spark, sf).select("page_id", F.size(found).cast("long").alias("paragraphs"))
+    inside = N.el("p").inside(N.el("article"))
+    found = _read(_pages(spark, sf), lambda p: F.size(p.select(inside)).cast("long").alias("paragraphs"))
+    return found.select("page_id", "paragraphs")
 
 
 @query
 def page_element_counts(spark, sf):
-    tags = _nodes(spark, sf).select(F.explode("nodes").alias("n")).select(c("n.tag").alias("tag"))
+    pages = page_nodes(_pages(spark, sf).select("html"))
+    tags = pages.select(F.explode("nodes").alias("n")).select(c("n.tag").alias("tag"))
     return tags.where(~c("tag").startswith("#")).groupBy("tag").agg(F.count("*").alias("n"))
 
 
@@ -282,8 +290,7 @@ def awards_roundtrip(spark, sf):
 
 @query
 def tasting_roundtrip(spark, sf):
-    pages = page_nodes(R.product_pages(spark, sf))
-    notes = pages.select("page_id", *rule_columns([TASTING_RULE], c("nodes"), c("final_url")))
+    notes = _read(R.product_pages(spark, sf), lambda p: rule_columns([TASTING_RULE], p, c("final_url"))[0])
     rows = notes.select(c("page_id").alias("p_partkey"), F.explode(TASTING_RULE.value("tasting_notes")).alias("t"))
     return rows.select("p_partkey", "t.title", "t.content")
 
@@ -301,14 +308,12 @@ def media_roundtrip(spark, sf):
 
 @query
 def media_kinds(spark, sf):
-    n, u = c("nodes"), c("final_url")
-    pages = page_nodes(R.product_pages(spark, sf))
-    return pages.select(
-        "page_id", F.size(M.page_media(n, u)).cast("long").alias("media_count"),
-        F.size(M.page_media(n, u, SR.IMAGES)).cast("long").alias("images"),
-        F.size(M.page_media(n, u, SR.VIDEOS)).cast("long").alias("videos"),
-        F.size(M.page_media(n, u, SR.BACKGROUNDS)).cast("long").alias("backgrounds"),
-    )
+    kinds = {"media_count": SR.MEDIA, "images": SR.IMAGES, "videos": SR.VIDEOS, "backgrounds": SR.BACKGROUNDS}
+
+    def counted(name: str, kind: tuple[N.Sel, ...]) -> Callable[[N.Page], Column]:
+        return lambda p: F.size(M.page_media(p, c("final_url"), kind)).cast("long").alias(name)
+
+    return _read(R.product_pages(spark, sf), *[counted(n, k) for n, k in kinds.items()]).drop("final_url")
 
 
 @query
@@ -364,8 +369,48 @@ def house_family(spark, sf):
 
 @query
 def rule_report(spark, sf):
-    pages = page_nodes(R.product_pages(spark, sf))
-    return extraction_report(pages, [*product_rules_of(R.RULES), TASTING_RULE])
+    rules = [*product_rules_of(R.RULES), TASTING_RULE, *page_rules(R.RULES)]
+    return extraction_report(R.product_pages(spark, sf), rules)
+
+
+def _sizes(url: str, paragraphs: list) -> Result:
+    """A rule of a user: a field that overrides another rule's, a picture and a link by the size in the story."""
+    size = int(paragraphs[1].text.split()[1])
+    site = url.split("/en/")[0]
+    return Result({"millennium": f"size {size}"}, [("image", f"{site}/plain/{size}.png")], [f"{site}/size/{size}"])
+
+
+def _months(url: str, paragraphs: list) -> Result:
+    """Divides by zero on every fifth size."""
+    return Result({"aging": f"{100 // (int(paragraphs[1].text.split()[1]) % 5)} months"})
+
+
+def _with_rule(spark: SparkSession, sf: str, name: str, field: str, read: Callable) -> DataFrame:
+    rule = PythonRule(name, {field: "string"}, ((SR.PRODUCT_DESCRIPTION,),), read)
+    return extract_pages(R.product_pages(spark, sf), R.RULES, (*product_rules_of(R.RULES), rule))
+
+
+def _kinds(*tables: tuple[DataFrame, Column, Column]) -> DataFrame:
+    rows = [t.select(c("page_id").alias("p_partkey"), kind.alias("kind"), value.alias("value")) for t, kind, value in tables]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def custom_rule(spark, sf):
+    """What a rule in Python adds to the fields, media and links of a page."""
+    parts = split_parts(_with_rule(spark, sf, "sizes", "millennium", _sizes))
+    return _kinds(
+        (parts.product, F.lit("field"), c("millennium")), (parts.media.where("url like '%/plain/%'"), F.lit("media"), c("url")),
+        (parts.links.where("url like '%/size/%'"), F.lit("link"), c("url")),
+    )
+
+
+@query
+def rule_errors(spark, sf):
+    """A rule that fails on some pages leaves the fields of the others and is reported."""
+    parts = split_parts(_with_rule(spark, sf, "months", "aging", _months))
+    failed = parts.errors.where("stage like 'rule %'")
+    return _kinds((parts.product, F.lit("aging"), c("aging")), (failed, c("stage"), F.substring_index("message", ":", 1)))
 
 
 # --- merging --------------------------------------------------------------------------

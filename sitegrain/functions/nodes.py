@@ -1,24 +1,24 @@
-"""Element selection and text over the ``nodes`` column of a parsed page.
+"""Element selection and text over a parsed page.
 
-``nodes`` lists a page in document order; the array position of a node is its ``idx``
-and its subtree is the slice ``idx..end``. A selector therefore is an array filter, and
-"inside" is an interval test. Nothing here leaves the JVM.
+``nodes`` lists a page in document order; the array position of a node is its ``idx`` and its
+subtree is the slice ``idx..end``. Which nodes a selector finds, what lies inside what and what is
+nearest is looked up by the parser in its one pass over the page (see ``operators.html``): a
+``Page`` collects these requests while expressions are built, and the column ``found`` holds an
+array of positions for each. No expression searches the nodes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sitegrain.functions.text import empty_to_null, let, strip
 
-NODE_TYPE = (
-    "array<struct<idx:int,parent:int,end:int,type_pos:int,prev_sib:int,tag:string,"
-    "classes:array<string>,attrs:map<string,string>,text:string>>"
-)
+NODE_TYPE = "array<struct<idx:int,parent:int,end:int,tag:string,attrs:map<string,string>,text:string>>"
+FOUND_TYPE = "array<array<int>>"
 TEXT = "#text"
 COMMENT = "#comment"
 
@@ -73,59 +73,74 @@ def within(node: Column, root: Column) -> Column:
     return (root.idx < node.idx) & (node.idx <= root.end)
 
 
-def matches(nodes: Column, node: Column, sel: Sel) -> Column:
-    """The element tests of ``sel``, without its scope."""
-    tests = [node.tag == sel.tag] if sel.tag else [~node.tag.startswith("#")]
-    if sel.id:
-        tests.append(raw_attr(node, "id") == sel.id)
-    tests += [F.array_contains(node.classes, name) for name in sel.classes]
-    for name, test, value in sel.attrs:
-        found = raw_attr(node, name)
-        tests.append({"has": found.isNotNull(), "=": found == value, "*=": found.contains(value)}[test])
-    if sel.first_of_type:
-        tests.append(node.type_pos == 1)
-    if sel.previous:
-        tests.append(let(F.get(nodes, node.prev_sib), lambda p: p.isNotNull() & matches(nodes, p, sel.previous)))
-    if sel.having:
-        below = F.slice(nodes, node.idx + 2, node.end - node.idx)
-        tests.append(F.exists(below, lambda x: matches(nodes, x, sel.having)))
-    out = tests[0]
-    for t in tests[1:]:
-        out = out & t
-    return F.coalesce(out, F.lit(False))
+Alternatives = tuple[Sel, ...]
 
 
-def select(nodes: Column, *alternatives: Sel) -> Column:
-    """The elements matching any alternative, in document order."""
-    scopes = list(dict.fromkeys(s.scope for s in alternatives if s.scope))
+@dataclass(frozen=True)
+class Hits:
+    """The positions of the elements matching any alternative, in document order."""
+
+    of: Alternatives
+
+    def groups(self) -> tuple[Alternatives, ...]:
+        return (self.of,)
+
+
+@dataclass(frozen=True)
+class Spans:
+    """For each block in turn: how many items come before the first one inside it, and how many lie inside."""
+
+    blocks: Alternatives
+    items: Alternatives
+
+    def groups(self) -> tuple[Alternatives, ...]:
+        return self.blocks, self.items
 
-    def keep(bound: dict[Sel, Column]) -> Column:
-        def test(node: Column) -> Column:
-            hit = F.lit(False)
-            for s in alternatives:
-                one = matches(nodes, node, s)
-                if s.scope:
-                    one = one & F.exists(bound[s.scope], lambda root: within(node, root))
-                hit = hit | one
-            return hit
 
-        return F.filter(nodes, test)
+@dataclass(frozen=True)
+class Nearest:
+    """For each element the number of the first item in the smallest element around it that holds one, else 0."""
+
+    of: Alternatives
+    items: Alternatives
+
+    def groups(self) -> tuple[Alternatives, ...]:
+        return self.of, self.items
+
 
-    def bind(rest: list[Sel], bound: dict[Sel, Column]) -> Column:
-        if not rest:
-            return keep(bound)
-        return let(select(nodes, rest[0]), lambda roots: bind(rest[1:], {**bound, rest[0]: roots}))
+@dataclass
+class Page:
+    """The columns of a parsed page, and the requests that its expressions make to the parser.
 
-    return bind(scopes, {})
+    Build expressions first, then parse with ``page_nodes(pages, page)``.
+    """
 
+    nodes: Column = field(default_factory=lambda: F.col("nodes"))
+    found: Column = field(default_factory=lambda: F.col("found"))
+    requests: dict[Hits | Spans | Nearest, int] = field(default_factory=dict)
 
-def select_one(nodes: Column, *alternatives: Sel) -> Column:
-    return F.get(select(nodes, *alternatives), F.lit(0))
+    def ask(self, request: Hits | Spans | Nearest) -> Column:
+        """The positions that answer a request."""
+        return F.get(self.found, F.lit(self.requests.setdefault(request, len(self.requests))))
 
+    def select(self, *alternatives: Sel) -> Column:
+        """The elements matching any alternative, in document order."""
+        return F.transform(self.ask(Hits(alternatives)), lambda i: F.get(self.nodes, i))
 
-def found(nodes: Column, *alternatives: Sel) -> Column:
-    """At least one element matches."""
-    return F.size(select(nodes, *alternatives)) > 0
+    def select_one(self, *alternatives: Sel) -> Column:
+        return F.get(self.nodes, F.get(self.ask(Hits(alternatives)), F.lit(0)))
+
+    def has(self, *alternatives: Sel) -> Column:
+        """At least one element matches."""
+        return F.size(self.ask(Hits(alternatives))) > 0
+
+    def inside(self, blocks: Alternatives, items: Alternatives, of_items: Column) -> Column:
+        """For each block the part of ``of_items``, an array in step with the items, that lies inside it."""
+        def cut(both: Column) -> Column:
+            starts = F.filter(both.spans, lambda x, i: i % 2 == 0)
+            return F.transform(starts, lambda at, n: F.slice(both["items"], at + 1, F.get(both.spans, 2 * n + 1)))
+
+        return let(F.struct(self.ask(Spans(blocks, items)).alias("spans"), of_items.alias("items")), cut)
 
 
 def node_text(nodes: Column, node: Column) -> Column:
@@ -156,15 +171,16 @@ def pairs(values: Column) -> Column:
 def key_values(paired: Column) -> Column:
     """Complete pairs with folded keys; a repeated key keeps its first place and last value."""
 
-    def build(ps: Column) -> Column:
-        firsts = F.filter(ps, lambda p, i: F.array_position(F.transform(ps, lambda q: q.k), p.k) == i + 1)
-        return F.transform(
-            firsts,
-            lambda p: F.struct(p.k.alias("k"), last(F.filter(ps, lambda q: q.k == p.k)).v.alias("v")),
-        )
+    def build(s: Column) -> Column:
+        # Sorted by key and place: the first of a run has the place, the last one the value.
+        firsts = F.filter(s, lambda x, i: (i == 0) | (x.k != F.get(s, i - 1).k))
+        lasts = F.filter(s, lambda x, i: (i + 1 == F.size(s)) | (x.k != F.get(s, i + 1).k))
+        kept = F.zip_with(firsts, lasts, lambda a, z: F.struct(a.place.alias("place"), a.k.alias("k"), z.v.alias("v")))
+        return F.transform(F.array_sort(kept), lambda x: F.struct(x.k.alias("k"), x.v.alias("v")))
 
     complete = F.filter(paired, lambda p: p.k.isNotNull() & p.v.isNotNull())
-    return let(F.transform(complete, lambda p: F.struct(F.lower(p.k).alias("k"), p.v.alias("v"))), build)
+    keyed = F.transform(complete, lambda p, i: F.struct(F.lower(p.k).alias("k"), i.alias("place"), p.v.alias("v")))
+    return let(F.array_sort(keyed), build)
 
 
 def find_by_patterns(kv: Column, *patterns: str) -> Column:
@@ -188,10 +204,12 @@ def titled_pairs(values: Column, title: str, content: str) -> Column:
 
 
 def first_per_key(items: Column, key: Callable[[Column], Column]) -> Column:
-    """Keep the first item of each key, order kept."""
-    return let(
-        F.transform(items, key),
-        lambda keys: F.filter(items, lambda x, i: F.array_position(keys, key(x)) == i + 1),
-    )
+    """Keep the first item of each key, order kept. Sorts, never compares all pairs."""
 
+    def build(s: Column) -> Column:
+        firsts = F.filter(s, lambda x, i: (i == 0) | ~x.key.eqNullSafe(F.get(s, i - 1).key))
+        kept = F.array_sort(F.transform(firsts, lambda x: F.struct(x.place.alias("place"), x["item"].alias("item"))))
+        return F.transform(kept, lambda x: x["item"])
 
+    keyed = F.transform(items, lambda x, i: F.struct(key(x).alias("key"), i.alias("place"), x.alias("item")))
+    return let(F.array_sort(keyed), build)

@@ -1,22 +1,34 @@
-"""HTML pages to node arrays: the one step that needs Python, an Arrow-batched map."""
+"""HTML pages to node arrays: the one step that needs Python, an Arrow-batched map.
+
+While a page is parsed each new element is tested against the element patterns that ask for its
+tag, id, class or attribute. What a pattern wants around or below an element is then settled over
+the short lists of hits, by their intervals: a page costs in proportion to its size and its hits.
+"""
 
 from __future__ import annotations
 
 import html
+import json
 import sys
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass, replace
+from functools import partial
 from html.entities import html5
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from sitegrain.functions.nodes import COMMENT, NODE_TYPE, TEXT
+from sitegrain.functions import nodes as N
+from sitegrain.functions.nodes import COMMENT, FOUND_TYPE, NODE_TYPE, TEXT, Hits, Nearest, Page, Sel, Spans
 
 # Send the parser along with the task, so that executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(N)
 
 # Elements without content, and elements whose text is not page text.
 VOID = frozenset(
@@ -24,7 +36,149 @@ VOID = frozenset(
     "basefont bgsound command frame image isindex nextid spacer".split()
 )
 NOT_TEXT = frozenset(["script", "style", "template", "rt", "rp"])
-ROWS_PER_BATCH = 128
+ROWS_PER_BATCH, BYTES_PER_BATCH = 128, 1 << 24
+
+
+# Selection
+
+
+def _pattern(sel: Sel) -> Sel:
+    """What of a selector can be told from the element alone."""
+    return replace(sel, having=None, scope=None, previous=None)
+
+
+class Matcher:
+    """Answers the requests of a page's expressions.
+
+    ``start`` a page, ``test`` its elements in document order, then ask for ``answers``.
+    """
+
+    def __init__(self, requests: Sequence[Hits | Spans | Nearest]):
+        self.patterns: list[Sel] = []
+        # Selectors by number: their pattern, and the numbers of their scope, previous sibling and inner element.
+        self.numbers: dict[Sel, int] = {}
+        self.sels: list[tuple[int, int | None, int | None, int | None]] = []
+        # The patterns to test on an element, under the rarest thing they ask for.
+        self.by_tag: dict[str | None, list[int]] = {}
+        self.by_id: dict[str, list[int]] = {}
+        self.by_class: dict[str, list[int]] = {}
+        self.by_attr: dict[str, list[int]] = {}
+        self.requests = [(type(r), *[tuple(self._add(s) for s in group) for group in r.groups()]) for r in requests]
+        self.start()
+
+    def _add(self, sel: Sel | None) -> int | None:
+        if sel is None or sel in self.numbers:
+            return None if sel is None else self.numbers[sel]
+        around = [self._add(other) for other in (sel.scope, sel.previous, sel.having)]
+        pattern = _pattern(sel)
+        if pattern not in self.patterns:
+            self.patterns.append(pattern)
+            if sel.id:
+                kind, key = self.by_id, sel.id
+            elif sel.classes:
+                kind, key = self.by_class, sel.classes[0]
+            elif sel.attrs:
+                kind, key = self.by_attr, sel.attrs[0][0]
+            else:
+                kind, key = self.by_tag, sel.tag
+            kind.setdefault(key, []).append(len(self.patterns) - 1)
+        self.numbers[sel] = len(self.sels)
+        self.sels.append((self.patterns.index(pattern), *around))
+        return self.numbers[sel]
+
+    def start(self) -> None:
+        self.hits: list[list[int]] = [[] for _ in self.patterns]
+
+    def test(self, idx: int, tag: str, attrs: dict[str, str], classes: list[str], nth: int) -> None:
+        """``nth``: the element's place among its siblings of the same tag, from 1."""
+        candidates = [*self.by_tag.get(tag, ()), *self.by_tag.get(None, ())]
+        if attrs:
+            candidates += self.by_id.get(attrs.get("id", ""), ())
+            for name in classes:
+                candidates += self.by_class.get(name, ())
+            for name in attrs:
+                candidates += self.by_attr.get(name, ())
+        for number in candidates:
+            hits = self.hits[number]
+            if (not hits or hits[-1] != idx) and self._fits(self.patterns[number], tag, attrs, classes, nth):
+                hits.append(idx)
+
+    @staticmethod
+    def _fits(p: Sel, tag: str, attrs: dict[str, str], classes: list[str], nth: int) -> bool:
+        if (p.tag and p.tag != tag) or (p.id and attrs.get("id") != p.id) or (p.first_of_type and nth != 1):
+            return False
+        if any(name not in classes for name in p.classes):
+            return False
+        for name, test, value in p.attrs:
+            found = attrs.get(name)
+            if found is None or (test == "=" and found != value) or (test == "*=" and value not in found):
+                return False
+        return True
+
+    def answers(self, parent: list[int], end: list[int], prev_sib: list[int]) -> list[list[int]]:
+        """A list of positions for each request, given the page's node columns."""
+        known: dict[int, list[int]] = {}
+
+        def alone(sel: int) -> list[int]:
+            """The elements that fit without regard to what is around them."""
+            pattern, _, previous, having = self.sels[sel]
+            out = self.hits[pattern]
+            if out and previous is not None:
+                before = set(alone(previous))
+                out = [i for i in out if prev_sib[i] in before]
+            if out and having is not None:
+                below = alone(having)
+                out = [i for i in out if holds(below, i) is not None]
+            return out
+
+        def holds(items: list[int], block: int) -> int | None:
+            """The number of the first item inside a block."""
+            at = bisect_right(items, block)
+            return at if at < len(items) and items[at] <= end[block] else None
+
+        def one(sel: int) -> list[int]:
+            if sel not in known:
+                out, scope = alone(sel), self.sels[sel][1]
+                if out and scope is not None:
+                    blocks, at, reach, kept = one(scope), 0, -1, []
+                    for i in out:
+                        while at < len(blocks) and blocks[at] < i:
+                            reach = max(reach, end[blocks[at]])
+                            at += 1
+                        if i <= reach:
+                            kept.append(i)
+                    out = kept
+                known[sel] = out
+            return known[sel]
+
+        def union(sels: tuple[int, ...]) -> list[int]:
+            return one(sels[0]) if len(sels) == 1 else sorted({i for s in sels for i in one(s)})
+
+        out = []
+        for kind, first, *rest in self.requests:
+            of = union(first)
+            if kind is Hits:
+                out.append(of)
+                continue
+            items = union(rest[0])
+            if kind is Spans:
+                starts = [bisect_right(items, block) for block in of]
+                out.append([n for block, at in zip(of, starts, strict=True) for n in (at, bisect_right(items, end[block]) - at)])
+                continue
+            near, numbers = {-1: 0}, []
+            for i in of:
+                at, way = parent[i], []
+                while at not in near:
+                    number = holds(items, at)
+                    if number is not None:
+                        near[at] = number
+                    else:
+                        way.append(at)
+                        at = parent[at]
+                near.update(dict.fromkeys(way, near[at]))
+                numbers.append(near[at])
+            out.append(numbers)
+        return out
 
 
 class _NodeLists(HTMLParser):
@@ -34,16 +188,14 @@ class _NodeLists(HTMLParser):
     that name, an unmatched end tag is ignored and nothing is closed implicitly.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, matcher: Matcher) -> None:
         super().__init__(convert_charrefs=False)
+        self.matcher = matcher
         self.parent: list[int] = []
         self.end: list[int] = []
-        self.type_pos: list[int] = []
         self.prev_sib: list[int] = []
         self.tag: list[str] = []
         self.text: list[str | None] = []
-        self.class_offsets: list[int] = [0]
-        self.classes: list[str] = []
         self.attr_offsets: list[int] = [0]
         self.attr_names: list[str] = []
         self.attr_values: list[str] = []
@@ -52,6 +204,7 @@ class _NodeLists(HTMLParser):
         """Add one page. A page that cannot be read adds no nodes; returns its error."""
         start = len(self.tag)
         self.reset()
+        self.matcher.start()
         self.start = start
         self.open: list[int] = []
         self.open_names: dict[str, int] = {}
@@ -67,10 +220,9 @@ class _NodeLists(HTMLParser):
             self._close_down_to(0)
             return None
         except Exception as e:  # a broken page must not fail the job
-            for column in (self.parent, self.end, self.type_pos, self.prev_sib, self.tag, self.text):
+            self.matcher.start()
+            for column in (self.parent, self.end, self.prev_sib, self.tag, self.text):
                 del column[start:]
-            del self.class_offsets[start + 1:]
-            del self.classes[self.class_offsets[-1]:]
             del self.attr_offsets[start + 1:]
             del self.attr_names[self.attr_offsets[-1]:]
             del self.attr_values[self.attr_offsets[-1]:]
@@ -85,16 +237,13 @@ class _NodeLists(HTMLParser):
         if text is None:
             last, counts = self.children[-1]
             counts[tag] = counts.get(tag, 0) + 1
-            self.type_pos.append(counts[tag])
             self.prev_sib.append(last[0])
             last[0] = idx
-            self.classes.extend(attrs.get("class", "").split())
+            self.matcher.test(idx, tag, attrs, attrs.get("class", "").split(), counts[tag])
             self.attr_names.extend(attrs.keys())
             self.attr_values.extend(attrs.values())
         else:
-            self.type_pos.append(0)
             self.prev_sib.append(-1)
-        self.class_offsets.append(len(self.classes))
         self.attr_offsets.append(len(self.attr_names))
         return idx
 
@@ -178,25 +327,90 @@ class _NodeLists(HTMLParser):
             self._flush()
 
 
-def _nodes_array(pages: pa.Array) -> tuple[pa.Array, pa.Array]:
-    lists = _NodeLists()
-    errors, offsets, idx = [], [0], []
-    for page in pages:
+    def answers(self) -> list[list[int]]:
+        """The matcher's answers for the page added last."""
+        return self.matcher.answers(self.parent[self.start:], self.end[self.start:], self.prev_sib[self.start:])
+
+
+# Rules in Python
+
+
+@dataclass(frozen=True)
+class Element:
+    """An element as a rule in Python sees it; ``text`` are the text runs below it, joined by one space."""
+
+    tag: str
+    attrs: dict[str, str]
+    text: str
+
+
+@dataclass(frozen=True)
+class Result:
+    """What a rule in Python may return: data by field, media as (type, url), links."""
+
+    data: dict = None
+    media: Sequence[tuple[str, str]] = ()
+    links: Sequence[str] = ()
+
+
+@dataclass(frozen=True)
+class Call:
+    """A rule in Python: ``read(url, *elements)`` gets a list of elements for each of ``needs`` if none is empty."""
+
+    name: str
+    needs: tuple[tuple[Sel, ...], ...]
+    read: Callable[..., Result]
+
+
+USER_TYPE = "array<struct<rule:string,applies:boolean,data:string,media:array<struct<media_type:string,url:string>>,links:array<string>,error:string>>"
+
+
+def _run(call: Call, places: list[int], lists: _NodeLists, answers: list[list[int]], url: str | None) -> dict:
+    """One rule on one page. Whatever it raises becomes its error."""
+    out = {"rule": call.name, "applies": False, "data": None, "media": None, "links": None, "error": None}
+    try:
+        if not all(answers[at] for at in places):
+            return out
+        out["applies"] = True
+        base = lists.start
+
+        def element(i: int) -> Element:
+            a, z = lists.attr_offsets[base + i:base + i + 2]
+            below = range(base + i, base + lists.end[base + i] + 1)
+            text = " ".join(lists.text[j] for j in below if lists.tag[j] == TEXT)
+            return Element(lists.tag[base + i], dict(zip(lists.attr_names[a:z], lists.attr_values[a:z], strict=True)), text)
+
+        got = call.read(url, *[[element(i) for i in answers[at]] for at in places])
+        out["data"] = json.dumps(got.data or {})
+        out["media"] = [{"media_type": str(kind), "url": str(to)} for kind, to in got.media]
+        out["links"] = [str(to) for to in got.links]
+    except Exception as e:  # a rule that fails must not take the others along
+        out |= {"data": None, "media": None, "links": None, "error": f"{type(e).__name__}: {e}"}
+    return out
+
+
+# Batches
+
+
+def _parsed(pages: pa.Array, urls: pa.Array, requests: tuple, calls: tuple[Call, ...]) -> list[pa.Array]:
+    matcher = Matcher(requests)
+    places = [[requests.index(Hits(need)) for need in call.needs] for call in calls]
+    lists = _NodeLists(matcher)
+    errors, offsets, idx, found, users = [], [0], [], [], []
+    for page, url in zip(pages, urls, strict=True):
         errors.append(lists.page(page.as_py()))
         size = len(lists.tag) - offsets[-1]
         idx.extend(range(size))
         offsets.append(len(lists.tag))
+        answers = lists.answers()
+        found.append(answers)
+        users.append([_run(call, at, lists, answers, url.as_py()) for call, at in zip(calls, places, strict=True)])
     strings = pa.string()
     fields = {
         "idx": pa.array(idx, pa.int32()),
         "parent": pa.array(lists.parent, pa.int32()),
         "end": pa.array(lists.end, pa.int32()),
-        "type_pos": pa.array(lists.type_pos, pa.int32()),
-        "prev_sib": pa.array(lists.prev_sib, pa.int32()),
         "tag": pa.array(lists.tag, strings),
-        "classes": pa.ListArray.from_arrays(
-            pa.array(lists.class_offsets, pa.int32()), pa.array(lists.classes, strings)
-        ),
         "attrs": pa.MapArray.from_arrays(
             pa.array(lists.attr_offsets, pa.int32()),
             pa.array(lists.attr_names, strings),
@@ -206,26 +420,50 @@ def _nodes_array(pages: pa.Array) -> tuple[pa.Array, pa.Array]:
     }
     structs = pa.StructArray.from_arrays(list(fields.values()), names=list(fields))
     nodes = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
-    return nodes, pa.array(errors, strings)
-
-
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    user = pa.list_(pa.struct([
+        ("rule", strings), ("applies", pa.bool_()), ("data", strings),
+        ("media", pa.list_(pa.struct([("media_type", strings), ("url", strings)]))), ("links", pa.list_(strings)), ("error", strings),
+    ]))
+    return [nodes, pa.array(found, pa.list_(pa.list_(pa.int32()))), pa.array(users, user), pa.array(errors, strings)]
+
+
+def _cuts(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of limited number and bytes; a larger page comes alone."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and (i - start >= ROWS_PER_BATCH or held + size > BYTES_PER_BATCH):
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def _parse(batches: Iterator[pa.RecordBatch], requests: tuple, calls: tuple[Call, ...], kept: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, ROWS_PER_BATCH):
-            part = batch.slice(at, ROWS_PER_BATCH)
-            keep = [n for n in part.schema.names if n != "html"]
-            nodes, errors = _nodes_array(part.column("html"))
+        sizes = pc.fill_null(pc.binary_length(batch.column("html")), 0).to_pylist()
+        for start, stop in _cuts(sizes):
+            part = batch.slice(start, stop - start)
+            urls = part.column("final_url") if "final_url" in part.schema.names else pa.nulls(part.num_rows, pa.string())
+            columns = _parsed(part.column("html"), urls, requests, calls)
             yield pa.RecordBatch.from_arrays(
-                [part.column(n) for n in keep] + [nodes, errors], names=[*keep, "nodes", "parse_error"]
+                [part.column(n) for n in kept] + columns, names=[*kept, "nodes", "found", "user", "parse_error"]
             )
 
 
-def page_nodes(pages: DataFrame) -> DataFrame:
-    """Replace ``html`` by ``nodes`` (document order) and ``parse_error``.
+def page_nodes(pages: DataFrame, page: Page | None = None, calls: Sequence[Call] = ()) -> DataFrame:
+    """Replace ``html`` by ``nodes`` (document order), ``found``, ``user`` and ``parse_error``.
 
-    Column pruning does not reach through a Python step: select only the columns later
-    steps need before calling this.
+    ``found`` answers the requests made to ``page`` so far, so build the expressions first. ``user``
+    holds what each of ``calls`` gave or how it failed. Column pruning does not reach through a
+    Python step: select only the columns later steps need before calling this.
     """
+    page = page or Page()
+    for call in calls:
+        for need in call.needs:
+            page.ask(Hits(need))
     kept = [f for f in pages.schema.fields if f.name != "html"]
-    schema = T.StructType(kept).add("nodes", T.DataType.fromDDL(NODE_TYPE)).add("parse_error", T.StringType())
-    return pages.mapInArrow(_parse, schema)
+    schema = T.StructType(list(kept)).add("nodes", T.DataType.fromDDL(NODE_TYPE)).add("found", T.DataType.fromDDL(FOUND_TYPE))
+    schema = schema.add("user", T.DataType.fromDDL(USER_TYPE)).add("parse_error", T.StringType())
+    parse = partial(_parse, requests=tuple(page.requests), calls=tuple(calls), kept=[f.name for f in kept])
+    return pages.mapInArrow(parse, schema)

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from sitegrain import rules as R
 from sitegrain.functions import nodes as N
+from sitegrain.functions.nodes import Page
 from sitegrain.functions.text import let
 from sitegrain.functions.urls import in_scope, is_plain_path, normalized, resolve_parts, split_url_once
 from sitegrain.rules import SiteRules
 
 
-def hrefs(nodes: Column) -> Column:
+def hrefs(page: Page) -> Column:
     """Every non-empty link target of the page, as written and once each."""
-    found = F.transform(N.select(nodes, R.LINKS), lambda a: N.attr(a, "href"))
+    found = F.transform(page.select(R.LINKS), lambda a: N.attr(a, "href"))
     return F.array_distinct(F.filter(found, lambda h: h != ""))
 
 
@@ -49,7 +50,7 @@ def _resolved(base: Column, found: Column, hosts: tuple[str, ...], by_host: Colu
     return F.array_distinct(F.filter(F.transform(found, target), lambda u: u.isNotNull()))
 
 
-def links_by_class(nodes: Column, url: Column, rules: SiteRules, is_catalog: Column) -> Column:
+def links_by_class(page: Page, url: Column, rules: SiteRules, is_catalog: Column) -> Column:
     """The links of a page under the rule of its class.
 
     Listing pages resolve a link first and keep it by host; product and house pages keep
@@ -58,7 +59,7 @@ def links_by_class(nodes: Column, url: Column, rules: SiteRules, is_catalog: Col
 
     def build(s: Column) -> Column:
         found = F.filter(
-            hrefs(nodes),
+            hrefs(page),
             lambda h: F.when(s.catalog, is_navigable(h)).otherwise(passes_page_rule(h, rules)),
         )
         return _resolved(s.base, found, rules.hosts, s.catalog | F.lit(rules.strict_hosts))
@@ -66,12 +67,12 @@ def links_by_class(nodes: Column, url: Column, rules: SiteRules, is_catalog: Col
     return let(F.struct(split_url_once(url).alias("base"), is_catalog.alias("catalog")), build)
 
 
-def catalog_links(nodes: Column, url: Column, rules: SiteRules) -> Column:
-    return links_by_class(nodes, url, rules, F.lit(True))
+def catalog_links(page: Page, url: Column, rules: SiteRules) -> Column:
+    return links_by_class(page, url, rules, F.lit(True))
 
 
-def page_links(nodes: Column, url: Column, rules: SiteRules) -> Column:
-    return links_by_class(nodes, url, rules, F.lit(False))
+def page_links(page: Page, url: Column, rules: SiteRules) -> Column:
+    return links_by_class(page, url, rules, F.lit(False))
 
 
 def link_table(pages: DataFrame, links: str = "links") -> DataFrame:

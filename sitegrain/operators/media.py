@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sitegrain import rules as R
 from sitegrain.functions import nodes as N
+from sitegrain.functions.nodes import Page
 from sitegrain.functions.text import empty_to_null, let, strip
 from sitegrain.functions.urls import media_normalized, resolve_parts, split_url_once
 
@@ -15,7 +16,6 @@ IMAGE, VIDEO = "image", "video"
 SRCSET_ATTRS = ("srcset", "data-srcset", "data-lazy-srcset")
 SRC_ATTRS = ("src", "data-src", "data-lazy-src", "data-original")
 STYLE_URL = r"""url\(["']?([^\n]*?)["']?\)"""
-ITEM_TYPE = "array<struct<idx:int,media_type:string,url:string>>"
 
 
 def best_srcset(srcset: Column) -> Column:
@@ -43,8 +43,9 @@ def best_image_url(img: Column) -> Column:
     return F.coalesce(listed, *[empty_to_null(N.attr(img, n)) for n in SRC_ATTRS])
 
 
-def media_items(nodes: Column, url: Column, kind: tuple[N.Sel, ...] = R.MEDIA) -> Column:
-    """``struct(idx, media_type, url)`` of every media element, repeats included."""
+def media_items(page: Page, url: Column, kind: tuple[N.Sel, ...] = R.MEDIA) -> Column:
+    """``struct(media_type, url)`` of every media element of the kind, in step with its elements; without a URL, null."""
+    nodes = page.nodes
 
     def in_video(video: Column) -> Column:
         sources = F.filter(
@@ -79,16 +80,20 @@ def media_items(nodes: Column, url: Column, kind: tuple[N.Sel, ...] = R.MEDIA) -
         )
         video = (node.tag == "video") | ((node.tag == "source") & (above == "video"))
         target = let(raw, lambda h: F.when(h.isNotNull(), let(resolve_parts(base, h), media_normalized)))
-        return F.struct(node.idx.alias("idx"), F.when(video, VIDEO).otherwise(IMAGE).alias("media_type"), target.alias("url"))
+        kinds = F.when(video, VIDEO).otherwise(IMAGE).alias("media_type")
+        return let(target, lambda t: F.when(t.isNotNull(), F.struct(kinds, t.alias("url"))))
 
-    found = N.select(nodes, *kind)
-    items = let(split_url_once(url), lambda base: F.transform(found, lambda n: item(base, n)))
-    return F.filter(items, lambda m: m.url.isNotNull())
+    return let(split_url_once(url), lambda base: F.transform(page.select(*kind), lambda n: item(base, n)))
 
 
-def page_media(nodes: Column, url: Column, kind: tuple[N.Sel, ...] = R.MEDIA) -> Column:
+def unique_media(items: Column) -> Column:
+    """Each media URL once, at its first place."""
+    return N.first_per_key(F.filter(items, lambda m: m.isNotNull()), lambda m: m.url)
+
+
+def page_media(page: Page, url: Column, kind: tuple[N.Sel, ...] = R.MEDIA) -> Column:
     """Each media URL of the page once, at its first place."""
-    return let(media_items(nodes, url, kind), lambda items: N.first_per_key(items, lambda m: m.url))
+    return unique_media(media_items(page, url, kind))
 
 
 def media_type_counts(media: DataFrame) -> DataFrame:

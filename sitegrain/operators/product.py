@@ -9,36 +9,38 @@ from pyspark.sql import functions as F
 
 from sitegrain import rules as R
 from sitegrain.functions import nodes as N
+from sitegrain.functions.nodes import Page
 from sitegrain.functions.text import first_number, let
 from sitegrain.functions.urls import normalized, page_path, resolve_parts, split_url_once
+from sitegrain.operators.media import unique_media
 from sitegrain.operators.registry import Rule, on_found
 from sitegrain.rules import SiteRules
 from sitegrain.schemas import PRODUCT_PART_TYPE
 
 
-def product_name(nodes: Column, url: Column) -> Column:
+def product_name(page: Page, url: Column) -> Column:
     """The last filled main heading and the first filled paragraph heading of the product block."""
 
     def of_tag(headings: Column, tag: str) -> Column:
         return F.filter(
-            F.transform(F.filter(headings, lambda n: n.tag == tag), lambda n: N.node_text(nodes, n)),
+            F.transform(F.filter(headings, lambda n: n.tag == tag), lambda n: N.node_text(page.nodes, n)),
             lambda t: t.isNotNull(),
         )
 
     def build(root: Column) -> Column:
-        headings = F.filter(N.select(N.subtree(nodes, root), N.el(None, R.HEADING)), lambda n: N.within(n, root))
+        headings = F.filter(page.select(R.PRODUCT_HEADINGS), lambda n: N.within(n, root))
         return let(
             headings,
             lambda hs: F.concat_ws(" ", N.last(of_tag(hs, "h1")), F.get(of_tag(hs, "p"), F.lit(0))),
         )
 
-    roots = N.select(nodes, R.PRODUCT_ROOT)
+    roots = page.select(R.PRODUCT_ROOT)
     return on_found(roots, lambda s: F.struct(let(F.get(s, F.lit(0)), build).alias("name")))
 
 
-def product_description(nodes: Column, url: Column) -> Column:
-    paragraphs = N.select(nodes, R.PRODUCT_DESCRIPTION)
-    return on_found(paragraphs, lambda ps: F.struct(F.array_join(N.texts(nodes, ps), " ").alias("description")))
+def product_description(page: Page, url: Column) -> Column:
+    paragraphs = page.select(R.PRODUCT_DESCRIPTION)
+    return on_found(paragraphs, lambda ps: F.struct(F.array_join(N.texts(page.nodes, ps), " ").alias("description")))
 
 
 def _grapes(kv: Column) -> list[Column]:
@@ -59,7 +61,7 @@ def _grapes(kv: Column) -> list[Column]:
     return [share(t).alias(name) for name, t in zip(GRAPES, (chardonnay, pinot, meunier))]
 
 
-def left_sheet(nodes: Column, url: Column, grape_pairs: int | None = None) -> Column:
+def left_sheet(page: Page, url: Column, grape_pairs: int | None = None) -> Column:
     """Grapes and temperature from the left-hand sheet; ``grape_pairs`` limits where grapes are looked for."""
 
     def temperature(values: Column) -> Column:
@@ -71,10 +73,10 @@ def left_sheet(nodes: Column, url: Column, grape_pairs: int | None = None) -> Co
         kv = N.key_values(N.pairs(values if grape_pairs is None else F.slice(values, 1, 2 * grape_pairs)))
         return let(kv, lambda ps: F.struct(*_grapes(ps), temperature(values).alias("operating_temperature")))
 
-    return on_found(N.select(nodes, R.TECH_LEFT), lambda s: let(N.texts(nodes, s), build))
+    return on_found(page.select(R.TECH_LEFT), lambda s: let(N.texts(page.nodes, s), build))
 
 
-def right_sheet(nodes: Column, url: Column) -> Column:
+def right_sheet(page: Page, url: Column) -> Column:
     def build(kv: Column) -> Column:
         return F.struct(
             first_number(N.find_by_patterns(kv, *R.DOSAGE_KEYS)).alias("dosage_g_per_l"),
@@ -83,33 +85,33 @@ def right_sheet(nodes: Column, url: Column) -> Column:
             N.find_by_patterns(kv, *R.VINTAGE_KEYS).alias("millennium"),
         )
 
-    labels = N.select(nodes, *R.TECH_RIGHT)
-    return on_found(labels, lambda s: let(N.key_values(N.pairs(N.texts(nodes, s))), build))
+    labels = page.select(*R.TECH_RIGHT)
+    return on_found(labels, lambda s: let(N.key_values(N.pairs(N.texts(page.nodes, s))), build))
 
 
-def data_sheet(nodes: Column, url: Column) -> Column:
+def data_sheet(page: Page, url: Column) -> Column:
     def target(href: Column) -> Column:
         full = let(split_url_once(url), lambda base: resolve_parts(base, href))
         return F.when(href != "", let(full, normalized))
 
-    buttons = N.select(nodes, R.DATA_SHEET)
+    buttons = page.select(R.DATA_SHEET)
     return on_found(
         buttons, lambda s: F.struct(let(N.attr(F.get(s, F.lit(0)), "href"), target).alias("data_sheet_url"))
     )
 
 
-def awards(nodes: Column, url: Column) -> Column:
+def awards(page: Page, url: Column) -> Column:
     def build(s: Column) -> Column:
-        return F.struct(N.titled_pairs(N.texts(nodes, s), "title", "value").alias("awards_and_ratings"))
+        return F.struct(N.titled_pairs(N.texts(page.nodes, s), "title", "value").alias("awards_and_ratings"))
 
-    return on_found(N.select(nodes, R.AWARDS), build)
+    return on_found(page.select(R.AWARDS), build)
 
 
-def tasting_notes(nodes: Column, url: Column) -> Column:
+def tasting_notes(page: Page, url: Column) -> Column:
     def build(s: Column) -> Column:
-        return F.struct(N.titled_pairs(N.texts(nodes, s), "title", "content").alias("tasting_notes"))
+        return F.struct(N.titled_pairs(N.texts(page.nodes, s), "title", "content").alias("tasting_notes"))
 
-    return on_found(N.select(nodes, R.TASTING), build)
+    return on_found(page.select(R.TASTING), build)
 
 
 GRAPES = ("grape_chardonnay_percent", "grape_pinot_noir_percent", "grape_meunier_percent")
@@ -142,50 +144,30 @@ def product_struct(values: dict[str, Column], name: Column, product_url: Column,
     return F.struct(*[known.get(f, F.lit(None)).alias(f) for f in fields]).cast(PRODUCT_PART_TYPE)
 
 
-def listing_cards(nodes: Column, url: Column, media: Column, rules: SiteRules) -> Column:
+def listing_cards(page: Page, url: Column, media: Column, rules: SiteRules) -> Column:
     """``struct(product_url, name, description, media)`` of each complete card.
 
-    A card needs a title and an internal link to a product page. Elements are selected
-    once for the page and given to cards by position; ``media`` are the page's media items.
+    A card needs a title and an internal link to a product page. ``media`` are the page's media
+    items in step with ``R.MEDIA``; every kind of element is given to the cards by position.
     """
 
-    def in_card(items: Column, card: Column) -> Column:
-        return F.filter(items, lambda x: N.within(x, card))
-
     def product_link(base: Column, node: Column) -> Column:
         def check(p: Column) -> Column:
             key = normalized(p)
             fits = p.netloc.isin("", *rules.hosts) & let(key, lambda k: page_path(k).rlike(f"(?iu){rules.product_path}"))
             return F.when(fits, key)
 
-        href = N.attr(node, "href")
-        target = let(href, lambda h: F.when(h != "", let(resolve_parts(base, h), check)))
-        return F.struct(node.idx.alias("idx"), target.alias("url"))
-
-    def first_text(selected: Column, card: Column) -> Column:
-        return let(F.get(in_card(selected, card), F.lit(0)), lambda n: N.node_text(nodes, n))
-
-    def read(links: Column, titles: Column, summaries: Column, media: Column) -> Column:
-        cards = F.transform(
-            N.select(nodes, R.LISTING_CARD),
-            lambda card: F.struct(
-                F.get(in_card(links, card), F.lit(0)).url.alias("product_url"),
-                first_text(titles, card).alias("name"),
-                first_text(summaries, card).alias("description"),
-                N.first_per_key(in_card(media, card), lambda m: m.url).alias("media"),
-            ),
-        )
-        return F.filter(cards, lambda c: c.product_url.isNotNull() & c["name"].isNotNull())
-
-    links = let(split_url_once(url), lambda base: F.transform(N.select(nodes, R.LINKS), lambda n: product_link(base, n)))
-    return let(
-        F.struct(
-            F.filter(links, lambda x: x.url.isNotNull()).alias("links"),
-            N.select(nodes, R.LISTING_TITLE).alias("titles"),
-            N.select(nodes, R.LISTING_SUMMARY).alias("summaries"),
-            media.alias("media"),
-        ),
-        lambda found: read(found.links, found.titles, found.summaries, found.media),
-    )
+        return let(N.attr(node, "href"), lambda h: F.when(h != "", let(resolve_parts(base, h), check)))
 
+    def texts(selected: Column) -> Column:
+        return F.transform(selected, lambda n: N.node_text(page.nodes, F.get(n, F.lit(0))))
 
+    cards = (R.LISTING_CARD,)
+    links = let(split_url_once(url), lambda base: F.transform(page.select(R.LINKS), lambda n: product_link(base, n)))
+    parts = F.arrays_zip(
+        F.transform(page.inside(cards, (R.LINKS,), links), lambda us: F.get(F.filter(us, lambda u: u.isNotNull()), F.lit(0))).alias("product_url"),
+        texts(page.inside(cards, (R.LISTING_TITLE,), page.select(R.LISTING_TITLE))).alias("name"),
+        texts(page.inside(cards, (R.LISTING_SUMMARY,), page.select(R.LISTING_SUMMARY))).alias("description"),
+        F.transform(page.inside(cards, R.MEDIA, media), unique_media).alias("media"),
+    )
+    return F.filter(parts, lambda c: c.product_url.isNotNull() & c["name"].isNotNull())

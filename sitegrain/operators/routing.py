@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sitegrain import rules as R
 from sitegrain.functions import nodes as N
+from sitegrain.functions.nodes import Page
 from sitegrain.functions.text import empty_to_null, let
 from sitegrain.functions.urls import absolute_url, below, canonical_page_url, normalized, page_path, split_url_once
 from sitegrain.rules import SiteRules
@@ -59,13 +60,13 @@ def page_class(url: Column, rules: SiteRules) -> Column:
     )
 
 
-def page_language(nodes: Column) -> Column:
-    return F.lower(N.attr(N.select_one(nodes, N.el("html")), "lang"))
+def page_language(page: Page) -> Column:
+    return F.lower(N.attr(page.select_one(N.el("html")), "lang"))
 
 
-def is_language_page(nodes: Column, final_url: Column, lang: str) -> Column:
+def is_language_page(page: Page, final_url: Column, lang: str) -> Column:
     """The page says so in ``<html lang>``, or its path lies below ``/{lang}``."""
-    return page_language(nodes).startswith(lang) | below(page_path(final_url), f"/{lang}")
+    return page_language(page).startswith(lang) | below(page_path(final_url), f"/{lang}")
 
 
 def may_be_language_page(html: Column, final_url: Column, lang: str) -> Column:
@@ -74,7 +75,7 @@ def may_be_language_page(html: Column, final_url: Column, lang: str) -> Column:
     return said | below(page_path(final_url), f"/{lang}")
 
 
-def language_switch_url(nodes: Column, url: Column, lang: str = "en") -> Column:
+def language_switch_url(page: Page, url: Column, lang: str = "en") -> Column:
     """Where the page's menu leads for another language; null when it does not say.
 
     Tried in order: the menu entry of the language, any language entry with ``/{lang}/``
@@ -82,7 +83,7 @@ def language_switch_url(nodes: Column, url: Column, lang: str = "en") -> Column:
     """
 
     def hrefs(*sels: N.Sel) -> Column:
-        return F.transform(N.select(nodes, *sels), lambda a: N.attr(a, "href"))
+        return F.transform(page.select(*sels), lambda a: N.attr(a, "href"))
 
     entry = F.get(hrefs(R.menu_links(lang)), F.lit(0))
     listed = F.get(F.filter(hrefs(R.MENU_LANGUAGE_LINKS), lambda h: h.contains(f"/{lang}/")), F.lit(0))
@@ -93,13 +94,13 @@ def language_switch_url(nodes: Column, url: Column, lang: str = "en") -> Column:
     return let(chosen, lambda h: F.when(h.isNotNull(), absolute_url(url, h)))
 
 
-def routed_links(nodes: Column, final_url: Column, rules: SiteRules) -> Column:
+def routed_links(page: Page, final_url: Column, rules: SiteRules) -> Column:
     """The only links of a page in the routed language: its other version, unless that is itself."""
 
     def key(u: Column) -> Column:
         return let(split_url_once(u), normalized)
 
-    other = let(language_switch_url(nodes, final_url, rules.target_lang), key)
+    other = let(language_switch_url(page, final_url, rules.target_lang), key)
     return F.filter(F.array(other), lambda u: u.isNotNull() & (u != "") & (u != key(final_url)))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sitegrain import rules as R
 from sitegrain.functions import nodes as N
+from sitegrain.functions.nodes import Page
 from sitegrain.functions.text import after_dash, capitalize_words, empty_to_null, let, unquote
 from sitegrain.operators.registry import Rule, on_found
 
@@ -17,19 +18,21 @@ def _filled(values: Column) -> Column:
     return F.filter(values, lambda v: v.isNotNull() & (v != ""))
 
 
-def _paragraphs(nodes: Column, block: Column, glue: str) -> Column:
-    """The unquoted paragraphs below a block, or its whole text when it has none."""
+def _paragraphs(page: Page, blocks: tuple[N.Sel, ...], glue: str) -> Column:
+    """For each block its unquoted paragraphs, or its whole text when it has none."""
+    inner = (N.el("p"),)
 
-    def build(ps: Column) -> Column:
-        parts = _filled(F.transform(ps, lambda p: unquote(N.node_text(nodes, p))))
-        return F.when(F.size(ps) > 0, F.array_join(parts, glue)).otherwise(unquote(N.node_text(nodes, block)))
+    def text(block: Column, ps: Column) -> Column:
+        parts = _filled(F.transform(ps, lambda p: unquote(N.node_text(page.nodes, p))))
+        joined = F.when(F.size(ps) > 0, F.array_join(parts, glue)).otherwise(unquote(N.node_text(page.nodes, block)))
+        return empty_to_null(joined)
 
-    below = F.filter(F.slice(nodes, block.idx + 2, block.end - block.idx), lambda n: n.tag == "p")
-    return F.when(block.isNotNull(), empty_to_null(let(below, build)))
+    return F.zip_with(page.select(*blocks), page.inside(blocks, inner, page.select(*inner)), text)
 
 
-def house_description(nodes: Column, url: Column) -> Column:
+def house_description(page: Page, url: Column) -> Column:
     """The direct parts of the first story paragraph, without its bold lead-in."""
+    nodes = page.nodes
 
     def child_text(child: Column) -> Column:
         return unquote(F.when(child.tag.startswith("#"), child.text).otherwise(N.node_text(nodes, child)))
@@ -41,70 +44,52 @@ def house_description(nodes: Column, url: Column) -> Column:
         joined = F.array_join(_filled(F.transform(children, child_text)), " ")
         return F.coalesce(empty_to_null(joined), N.node_text(nodes, parent))
 
-    stories = N.select(nodes, R.STORY)
+    stories = page.select(R.STORY)
     return on_found(stories, lambda s: F.struct(let(F.get(s, F.lit(0)), build).alias("description")))
 
 
-def history_timeline(nodes: Column, url: Column) -> Column:
+def history_timeline(page: Page, url: Column) -> Column:
     """Title and text of each milestone.
 
     The text is the first one in the smallest block around the title that holds a text at
     all, so a milestone without its own text takes the first of the larger block.
     """
+    titles, texts = (R.TIMELINE_TITLE,), (R.TIMELINE_TEXT,)
 
-    def text_of(title: Column, blocks: Column) -> Column:
-        around = F.filter(
-            nodes, lambda n: N.within(title, n) & F.exists(blocks, lambda b: N.within(b, n))
-        )
-
-        def pick(block: Column) -> Column:
-            inside = F.filter(blocks, lambda b: block.isNull() | N.within(b, block))
-            return let(F.get(inside, F.lit(0)), lambda b: _paragraphs(nodes, b, " "))
-
-        return let(N.last(around), pick)
-
-    def milestone(title: Column, blocks: Column) -> Column:
+    def milestone(title: Column, text: Column) -> Column:
         return let(
-            unquote(N.node_text(nodes, title)),
-            lambda label: F.struct(
-                label.alias("year"), F.coalesce(text_of(title, blocks), after_dash(label)).alias("event")
-            ),
+            unquote(N.node_text(page.nodes, title)),
+            lambda label: F.struct(label.alias("year"), F.coalesce(text, after_dash(label)).alias("event")),
         )
 
-    def build(blocks: Column) -> Column:
-        titles = N.select(nodes, R.TIMELINE_TITLE)
-        return on_found(
-            titles,
-            lambda ts: F.struct(
-                F.filter(F.transform(ts, lambda t: milestone(t, blocks)), lambda m: m.year != "").alias("history_timeline")
-            ),
+    def build(events: Column) -> Column:
+        rows = F.zip_with(
+            page.select(*titles), page.ask(N.Nearest(titles, texts)), lambda t, n: milestone(t, F.get(events, n))
         )
+        return F.struct(F.filter(rows, lambda m: m.year != "").alias("history_timeline"))
 
-    return on_found(N.select(nodes, R.TIMELINE_TEXT), build)
+    both = page.has(*titles) & page.has(*texts)
+    return F.when(both, let(_paragraphs(page, texts, " "), build))
 
 
-def family_spirit(nodes: Column, url: Column) -> Column:
+def family_spirit(page: Page, url: Column) -> Column:
     """Names and texts paired by position; the shorter list ends it, a repeated name keeps its last text."""
 
-    def entry(name: Column, block: Column) -> Column:
+    def entry(name: Column, text: Column) -> Column:
         return F.struct(
-            capitalize_words(unquote(N.node_text(nodes, name))).alias("name"),
-            F.coalesce(_paragraphs(nodes, block, "\n"), F.lit("")).alias("text"),
+            capitalize_words(unquote(N.node_text(page.nodes, name))).alias("name"), F.coalesce(text, F.lit("")).alias("text")
         )
 
-    def build(names: Column, blocks: Column) -> Column:
-        zipped = F.transform(
-            F.slice(names, F.lit(1), F.least(F.size(names), F.size(blocks))),
-            lambda n, i: entry(n, F.get(blocks, i)),
+    def build(blocks: Column) -> Column:
+        names = page.select(R.FAMILY_NAME)
+        both = F.slice(names, F.lit(1), F.least(F.size(names), F.size(blocks)))
+        named = F.filter(
+            F.transform(both, lambda n, i: entry(n, F.get(blocks, i))), lambda e: e["name"].isNotNull() & (e["name"] != "")
         )
-        named = F.filter(zipped, lambda e: e["name"].isNotNull() & (e["name"] != ""))
-        return let(F.reverse(named), lambda es: F.map_from_entries(N.first_per_key(es, lambda e: e["name"])))
-
-    def members(names: Column) -> Column:
-        blocks = N.select(nodes, R.FAMILY_TEXT)
-        return on_found(blocks, lambda bs: F.struct(build(names, bs).alias("family_spirit")))
+        return F.struct(let(F.reverse(named), lambda es: F.map_from_entries(N.first_per_key(es, lambda e: e["name"]))).alias("family_spirit"))
 
-    return on_found(N.select(nodes, R.FAMILY_NAME), members)
+    found = page.has(R.FAMILY_NAME) & page.has(R.FAMILY_TEXT)
+    return F.when(found, let(_paragraphs(page, (R.FAMILY_TEXT,), "\n"), build))
 
 
 WINERY_RULES = (

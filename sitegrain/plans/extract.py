@@ -6,22 +6,24 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitegrain.functions.nodes import first_per_key
+from sitegrain.functions.nodes import Page
+from sitegrain.functions.text import let
 from sitegrain.functions.urls import normalize_url
 from sitegrain.operators import routing as T
 from sitegrain.operators.html import page_nodes
-from sitegrain.operators.links import links_by_class
-from sitegrain.operators.media import media_items
+from sitegrain.operators.links import catalog_links, page_links
+from sitegrain.operators.media import media_items, unique_media
 from sitegrain.operators.product import listing_cards, product_rules_of, product_struct
-from sitegrain.operators.registry import Rule, merge_rules, rule_columns
+from sitegrain.operators.registry import (
+    LINKS_TYPE, MEDIA_TYPE, AnyRule, Rule, calls, merge_rules, rule_columns, rule_failures, united,
+)
 from sitegrain.operators.winery import WINERY_RULES
 from sitegrain.rules import SiteRules
 from sitegrain.schemas import PRODUCT_PART_TYPE
 
-MEDIA_TYPE = "array<struct<media_type:string,url:string>>"
 WINERY_PART_TYPE = (
     "struct<name:string,website_url:string,source_page_url:string,description:string,"
     "family_spirit:map<string,string>,history_timeline:array<struct<year:string,event:string>>>"
@@ -47,41 +49,82 @@ def pages_to_parse(pages: DataFrame, rules: SiteRules) -> DataFrame:
     return pages.withColumn("path_class", cls).where(cls.isNotNull() | maybe)
 
 
+def media_rule(page: Page, url: Column) -> Column:
+    """Every media element of a page, each URL once."""
+    return F.struct(unique_media(media_items(page, url)).alias("media"))
+
+
+MEDIA_RULE = Rule("media", (), media_rule, media=True)
+
+
+@lru_cache(maxsize=16)
+def page_rules(rules: SiteRules) -> tuple[Rule, ...]:
+    """What product and house pages yield besides their fields."""
+
+    def links(page: Page, url: Column) -> Column:
+        return F.struct(page_links(page, url, rules).alias("links"))
+
+    return MEDIA_RULE, Rule("page_links", (), links, links=True)
+
+
+@lru_cache(maxsize=16)
+def listing_rules(rules: SiteRules) -> tuple[Rule, ...]:
+    """What listings yield: cards with their media, and links."""
+
+    def cards(page: Page, url: Column) -> Column:
+        def build(found: Column) -> Column:
+            media = F.flatten(F.transform(found, lambda c: c.media))
+            return F.struct(found.alias("cards"), media.alias("media"))
+
+        return let(listing_cards(page, url, media_items(page, url), rules), build)
+
+    def links(page: Page, url: Column) -> Column:
+        return F.struct(catalog_links(page, url, rules).alias("links"))
+
+    return (
+        Rule("cards", ("cards",), cards, frozenset(["cards"]), media=True),
+        Rule("listing_links", (), links, links=True),
+    )
+
+
 @lru_cache(maxsize=16)
-def _columns(rules: SiteRules, product_rules: tuple[Rule, ...], winery_rules: tuple[Rule, ...]):
+def route_rule(rules: SiteRules) -> Rule:
+    """A page in the routed language yields the link to its other version only."""
+
+    def links(page: Page, url: Column) -> Column:
+        return F.struct(T.routed_links(page, url, rules).alias("links"))
+
+    return Rule("route", (), links, links=True)
+
+
+@lru_cache(maxsize=16)
+def _columns(rules: SiteRules, product_rules: tuple[AnyRule, ...], winery_rules: tuple[AnyRule, ...]):
     """The projections of ``extract_pages``, built once per rule set and process.
 
-    They hold a few thousand expression nodes and refer to columns by name only, so the
-    same objects serve every page table.
+    They refer to columns by name only, so the same objects serve every page table.
     """
-    nodes, url, cls = F.col("nodes"), F.col("final_url"), F.col("page_class")
+    page = Page()
+    url, cls, routed = F.col("final_url"), F.col("page_class"), F.col("routed")
     is_product, is_catalog = cls == T.PRODUCT, cls == T.CATALOG
     is_winery = cls.isin(*T.WINERY_CLASSES)
+    listing, route, common = listing_rules(rules), route_rule(rules), page_rules(rules)
+    groups = [(is_product, product_rules), (is_winery, winery_rules), (is_product | is_winery, common), (is_catalog, listing), (routed, [route])]
+    in_language = T.is_language_page(page, url, rules.routed_lang)
     read = [
         "page_id", "seq", "final_url", "page_class", "routed", "parse_error",
-        *rule_columns(product_rules, nodes, url, on=is_product),
-        *rule_columns(winery_rules, nodes, url, on=is_winery),
-        F.when(is_catalog, listing_cards(nodes, url, F.col("items"), rules)).alias("cards"),
-        F.when(is_product | is_winery, first_per_key(F.col("items"), lambda m: m.url)).alias("own_media"),
-        F.when(F.col("routed"), T.routed_links(nodes, url, rules))
-        .when(cls.isNotNull(), links_by_class(nodes, url, rules, is_catalog))
-        .alias("found_links"),
+        *[column for on, some in groups for column in rule_columns(some, page, url, on=on)],
     ]
 
     fields, house = merge_rules(product_rules), merge_rules(winery_rules)
     name = fields.pop("name")
     failed = F.coalesce(is_product & name.isNull(), F.lit(False))
     fields["awards_and_ratings"] = F.coalesce(fields["awards_and_ratings"], F.array())
-    product = product_struct(fields, name, normalize_url(url), url)
+    known = {f: v for f, v in fields.items() if f in PRODUCT_PART_TYPE}
+    product = product_struct(known, name, normalize_url(url), url)
     listed = F.transform(
-        F.col("cards"),
+        F.col("rule_cards.cards"),
         lambda c: product_struct({"description": c.description}, c["name"], c.product_url, url),
     )
-    card_media = F.flatten(F.transform(F.col("cards"), lambda c: c.media))
-    only_type = F.transform(
-        F.when(is_catalog, card_media).otherwise(F.col("own_media")),
-        lambda m: F.struct(m.media_type.alias("media_type"), m.url.alias("url")),
-    )
     empty_map = F.create_map().cast("map<string,string>")
     timeline = F.coalesce(house["history_timeline"], F.array())
     winery = F.struct(
@@ -93,6 +136,10 @@ def _columns(rules: SiteRules, product_rules: tuple[Rule, ...], winery_rules: tu
         .otherwise(empty_map).alias("family_spirit"),
         F.when(cls == T.HISTORY, timeline).otherwise(F.array()).alias("history_timeline"),
     ).cast(WINERY_PART_TYPE)
+    # A column of a rule that is not for the page's class is null and adds nothing.
+    every = [r for _, some in groups for r in some]
+    media = unique_media(united(every, "media", MEDIA_TYPE))
+    links = F.array_distinct(united(every, "links", LINKS_TYPE))
     none = F.array()
     parts = [
         "page_id", "seq", "final_url", "page_class", "routed",
@@ -100,29 +147,36 @@ def _columns(rules: SiteRules, product_rules: tuple[Rule, ...], winery_rules: tu
         F.when(is_winery, winery).alias("winery"),
         F.when(is_product & ~failed, F.array(product)).when(is_catalog, listed)
         .otherwise(none).cast(f"array<{PRODUCT_PART_TYPE}>").alias("products"),
-        F.when(~failed, F.coalesce(only_type, none)).otherwise(none).cast(MEDIA_TYPE).alias("media"),
-        F.when(~failed, F.coalesce(F.col("found_links"), none)).otherwise(none)
-        .cast("array<string>").alias("links"),
+        F.when(~failed, media).otherwise(none).cast(MEDIA_TYPE).alias("media"),
+        F.when(~failed, links).otherwise(none).cast(LINKS_TYPE).alias("links"),
+        rule_failures(every).alias("rule_errors"),
     ]
-    items = F.when(cls.isNotNull(), media_items(nodes, url))
-    return items, read, parts
+    return page, in_language, read, parts
 
 
 def extract_pages(pages: DataFrame, rules: SiteRules,
-                  product_rules: Sequence[Rule] | None = None,
-                  winery_rules: Sequence[Rule] = WINERY_RULES) -> DataFrame:
-    """One row per page that may yield something: its class, parts, links, media and error.
+                  product_rules: Sequence[AnyRule] | None = None,
+                  winery_rules: Sequence[AnyRule] = WINERY_RULES) -> DataFrame:
+    """One row per page that may yield something: its class, parts, links, media and errors.
 
     Write or persist the result when more than one of its parts is used: it is small, and
     everything up to here costs a pass over the page bodies.
     """
     todo = pages_to_parse(pages, rules).select("page_id", "final_url", "seq", "path_class", "html")
-    in_language = T.is_language_page(F.col("nodes"), F.col("final_url"), rules.routed_lang)
-    parsed = page_nodes(todo).withColumn("routed", in_language & F.col("parse_error").isNull())
-    classed = parsed.withColumn("page_class", F.when(~F.col("routed"), F.col("path_class")))
-    product_rules = product_rules_of(rules) if product_rules is None else product_rules
-    items, read, parts = _columns(rules, tuple(product_rules), tuple(winery_rules))
-    return classed.withColumn("items", items).select(*read).select(*parts)
+    product_rules = tuple(product_rules_of(rules) if product_rules is None else product_rules)
+    page, in_language, read, parts = _columns(rules, product_rules, tuple(winery_rules))
+    parsed = page_nodes(todo, page, calls([*product_rules, *winery_rules]))
+    routed = parsed.withColumn("routed", in_language & F.col("parse_error").isNull())
+    classed = routed.withColumn("page_class", F.when(~F.col("routed"), F.col("path_class")))
+    return classed.select(*read).select(*parts)
+
+
+def _errors() -> Column:
+    """What went wrong with the page itself, and with single rules."""
+    stage = F.coalesce("page_class", F.lit("page"))
+    whole = F.when(F.col("error").isNotNull(), F.array(F.struct(stage.alias("stage"), F.col("error").alias("message"))))
+    single = F.transform("rule_errors", lambda e: F.struct(F.concat(F.lit("rule "), e.rule).alias("stage"), e.message.alias("message")))
+    return F.concat(F.coalesce(whole, F.array().cast("array<struct<stage:string,message:string>>")), single)
 
 
 def split_parts(extracted: DataFrame) -> Parts:
@@ -138,8 +192,5 @@ def split_parts(extracted: DataFrame) -> Parts:
         product=product,
         media=media,
         links=extracted.select(*order, page_url.alias("src_url"), F.explode("links").alias("url")),
-        errors=extracted.where("error is not null").select(
-            "page_id", page_url.alias("url"), F.coalesce("page_class", F.lit("page")).alias("stage"),
-            F.col("error").alias("message"),
-        ),
+        errors=extracted.select("page_id", page_url.alias("url"), F.explode(_errors()).alias("e")).select("page_id", "url", "e.*"),
     )

@@ -111,3 +111,36 @@ def test_parts_are_narrow_tables(spark):
     assert {r.page_id for r in parts.winery.collect()} == {10, 20, 21, 22}
     assert [(r.page_id, r.stage) for r in parts.errors.collect()] == [(41, "product")]
     assert split_parts(extract_pages(page_snapshot(spark), RULES)).product.count() == 4
+
+
+def test_python_rules(spark):
+    """Typed data, media and links of a rule; a later rule overrides; a failing one is an error row and nothing else."""
+    from sitegrain import rules as R
+    from sitegrain.operators.html import Result
+    from sitegrain.operators.product import product_rules_of
+    from sitegrain.operators.registry import PythonRule, extraction_report
+
+    def good(url, headings):
+        return Result({"dosage_g_per_l": 1.5, "aging": "by hand", "other": 1}, [("image", "https://h/x.png")], [url + "#l"])
+
+    def bad(url, headings):
+        return Result({"aging": 1 // (len(headings) - len(headings))})
+
+    def strange(url, headings):
+        return Result({"aging": object()})
+
+    need = ((R.PRODUCT_HEADINGS,),)
+    rules = [
+        PythonRule("good", {"dosage_g_per_l": "double", "aging": "string"}, need, good), PythonRule("bad", {"aging": "string"}, need, bad),
+        PythonRule("strange", {"aging": "string"}, need, strange), PythonRule("absent", {"aging": "string"}, ((R.FAMILY_NAME,),), bad),
+    ]
+    snapshot = page_snapshot(spark)
+    row = extract_pages(snapshot, RULES, [*product_rules_of(RULES), *rules]).where("page_id = 40").first()
+    plain = extract_pages(snapshot, RULES).where("page_id = 40").first()
+    assert row.error is None and (row.products[0].dosage_g_per_l, row.products[0].aging) == (1.5, "by hand")
+    assert row.products[0].name == plain.products[0].name
+    assert [m.url for m in row.media] == ["https://h/x.png", *[m.url for m in plain.media]]
+    assert set(row.links) == {*plain.links, row.final_url + "#l"}
+    assert [e.rule for e in row.rule_errors] == ["bad", "strange"] and row.rule_errors[0].message.startswith("ZeroDivisionError")
+    report = {r.rule: r for r in extraction_report(snapshot.where("page_id = 40"), rules).collect()}
+    assert (report["good"].filled, report["good"].media, report["good"].links, report["bad"].failed, report["absent"].applies) == (1, 1, 1, 1, 0)

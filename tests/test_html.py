@@ -1,17 +1,18 @@
+import random
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from sitegrain import rules as R
 from sitegrain.functions import nodes as N
+from sitegrain.operators import html as H
 from sitegrain.operators.html import page_nodes
 
 
-
-
-def _page(spark, html):
-    return page_nodes(spark.createDataFrame([(1, html)], "page_id long, html string"))
-
-
 def _texts(spark, html, *sels):
-    return _page(spark, html).select(N.texts(F.col("nodes"), N.select(F.col("nodes"), *sels)).alias("t")).first().t
+    page = N.Page()
+    texts = N.texts(page.nodes, page.select(*sels)).alias("t")
+    return page_nodes(spark.createDataFrame([(1, html)], "page_id long, html string"), page).select(texts).first().t
 
 
 def test_malformed_markup(spark):
@@ -58,3 +59,108 @@ def test_pairs_and_keys(spark):
     assert [tuple(x) for x in got.p] == [("K", "1"), ("b", None), ("k", "2")]
     assert [tuple(x) for x in got.kv] == [("k", "2")]
     assert [tuple(x) for x in got.tc] == [("K", "1"), ("b", ""), ("k", "2")]
+
+
+def plain_hits(nodes, sel):
+    """A selector by its definition: every node is looked at, and everything around it."""
+
+    def alone(i, s):
+        n = nodes[i]
+        attrs, classes = dict(n["attrs"] or []), dict(n["attrs"] or []).get("class", "").split()
+        same = [j for j, m in enumerate(nodes[:i + 1]) if m["parent"] == n["parent"] and m["tag"] == n["tag"]]
+        before = [j for j, m in enumerate(nodes[:i]) if m["parent"] == n["parent"] and not m["tag"].startswith("#")]
+        return (
+            not n["tag"].startswith("#") and (not s.tag or n["tag"] == s.tag) and (not s.id or attrs.get("id") == s.id)
+            and all(c in classes for c in s.classes) and (not s.first_of_type or same == [i])
+            and all(k in attrs and (t == "has" or (t == "=" and attrs[k] == v) or (t == "*=" and v in attrs[k])) for k, t, v in s.attrs)
+            and (not s.previous or (before and alone(before[-1], s.previous)))
+            and (not s.having or any(alone(j, s.having) for j in range(i + 1, n["end"] + 1)))
+        )
+
+    scopes = plain_hits(nodes, sel.scope) if sel.scope else None
+    return [
+        i for i in range(len(nodes)) if alone(i, sel) and (scopes is None or any(s < i <= nodes[s]["end"] for s in scopes))
+    ]
+
+
+def random_html(rng):
+    out, open_ = [], []
+    for _ in range(rng.randint(5, 60)):
+        if open_ and rng.random() < 0.35:
+            out.append(f"</{rng.choice([open_.pop(), 'p'])}>")
+            continue
+        tag = rng.choice(["div", "p", "a", "h3", "span", "li", "br"])
+        attrs = "".join(
+            f' {k}="{v}"' for k, v in [("class", rng.choice(["x", "x y", "y x x", "elementor-heading-title", ""])), ("id", rng.choice(["a", "b"])), ("href", rng.choice(["/en/1", "/z"]))]
+            if rng.random() < 0.4
+        )
+        out.append(f"<{tag}{attrs}>" + rng.choice(["", "text", "<!-- c -->"]))
+        open_ += [tag] if tag != "br" else []
+    return "".join(out)
+
+
+def test_matcher_as_by_definition():
+    """Selectors, spans and nearest items on random pages, several pages through one matcher."""
+    el = N.el
+    sels = [
+        el("p"), el(None, "x"), el(None, "x", "y"), el(id="a"), el(), el("a", has=("href",)), el("a", contain={"href": "/en/"}), el("a", equal={"href": "/z"}),
+        el("p", first_of_type=True), el("div", having=el("p")), el("p").inside(el("div")), el("p").inside(el("div", "x").inside(el("span"))),
+        el("p").inside(el("div", having=el(None, "elementor-heading-title"))), el("p").inside(el("div").after(el(id="a"))), el(None, "y").after(el("p", having=el("a"))),
+    ]
+    spans = [N.Spans((a,), (b,)) for a in (el("div"), el("p")) for b in (el("a"), el("p"), el())]
+    near = [N.Nearest((el("h3"),), (el("p"),)), N.Nearest((el("p"),), (el("a"), el(None, "x")))]
+    requests = (*[N.Hits((s,)) for s in sels], N.Hits((sels[0], sels[1], sels[5])), *spans, *near)
+    rng = random.Random(7)
+    pages = [random_html(rng) for _ in range(150)]
+    nodes, found, _, errors = H._parsed(pa.array(pages), pa.nulls(len(pages), pa.string()), requests, ())
+    for page, answers, error in zip(nodes.to_pylist(), found.to_pylist(), errors.to_pylist(), strict=True):
+        assert error is None
+        got = dict(zip(requests, answers, strict=True))
+
+        def hits(group):
+            return sorted({i for s in group for i in plain_hits(page, s)})
+
+        for request, answer in got.items():
+            if isinstance(request, N.Hits):
+                assert answer == hits(request.of), request
+            elif isinstance(request, N.Spans):
+                items = hits(request.items)
+                inside = [[i for i in items if b < i <= page[b]["end"]] for b in hits(request.blocks)]
+                assert [items[at:at + n] for at, n in zip(answer[::2], answer[1::2], strict=True)] == inside
+            else:
+                items, want = hits(request.items), []
+                for i in hits(request.of):
+                    around = [a for a in range(i) if a < i <= page[a]["end"] and any(a < j <= page[a]["end"] for j in items)]
+                    want.append(next(n for n, j in enumerate(items) if a_in(page, around, j)) if around else 0)
+                assert answer == want
+
+
+def a_in(page, around, j):
+    return around[-1] < j <= page[around[-1]]["end"]
+
+
+def test_pages_of_many_bytes_are_cut():
+    sizes = [H.BYTES_PER_BATCH * 2, 10, 10, H.BYTES_PER_BATCH, *[1] * 300]
+    cuts = list(H._cuts(sizes))
+    assert [i for a, b in cuts for i in range(a, b)] == list(range(len(sizes)))
+    assert all(b - a <= H.ROWS_PER_BATCH and (b - a == 1 or sum(sizes[a:b]) <= H.BYTES_PER_BATCH) for a, b in cuts)
+
+
+def test_large_pages_cost_in_proportion(spark):
+    """16,000 cards, and 50,000 images of which half repeat, in seconds."""
+    import time
+
+    from sitegrain.plans.extract import extract_pages
+
+    rules = R.SiteRules()
+    card = '<div data-elementor-type="loop-item"><p class="elementor-heading-title"><a href="/en/champagnes-cuvees/{0}">n{0}</a></p><img src="/i{0}.jpg"></div>'
+    rows = [
+        (1, "https://www.example.com/en/champagnes", "".join(card.format(i) for i in range(16_000))),
+        (2, "https://www.example.com/en/maison", "".join(f'<img src="/{i % 25_000}.jpg">' for i in range(50_000))),
+    ]
+    pages = spark.createDataFrame([(i, u, u, i, h) for i, u, h in rows], "page_id long, url string, final_url string, seq long, html string")
+    start = time.time()
+    got = {r.page_id: r for r in extract_pages(pages, rules).collect()}
+    assert (len(got[1].products), len(got[1].media), len(got[2].media)) == (16_000, 16_000, 25_000)
+    assert got[1].products[77].name == "n77" and got[1].products[77].product_url.endswith("/77")
+    assert time.time() - start < 60
