@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.queries import PATHS
+from checks.queries import BUDGET, PATHS
 
 SITE = "https://www.example.com"
 HOSTS = "('blog.tionsh.example.net', 'thther.example.org')"
@@ -60,6 +60,11 @@ P_ROW = _row("l_shipdate", "l_orderkey", LINE_ORDER)
 CLOSURE = f"""closure(k, wave) as (
   select cast(0 as bigint), 1 union
   select p.{K}, t.wave + 1 from closure t join part p on p.{K} in (2 * t.k + 1, 2 * t.k + 2) where t.k % 17 <> 5)"""
+# The links of the page under the URL x.k, where there is one and it yields anything.
+NUMBER = "cast(nullif(regexp_extract(x.k, '/part-([0-9]+)$', 1), '') as bigint)"
+CHILDREN = f"""case when x.k like '%/fr/%' then ['{SITE}/en/champagnes-et-cuvees/part-0']
+ when list_contains(ks, {NUMBER}) and {NUMBER} % 17 <> 5 then ['{SITE}/en/champagnes-et-cuvees/part-' || (2 * {NUMBER} + 1),
+ '{SITE}/en/champagnes-et-cuvees/part-' || (2 * {NUMBER} + 2), '{SITE}/en'] else [] end"""
 FIRST_LINES = f"""(select l_orderkey, l_returnflag, l_linestatus, min({LINE_ROW}) as o, arg_min(l_quantity, {LINE_ROW}) as q
  from lineitem group by all)"""
 PAGE_ERRORS = f"select {K} as page_id, {PRODUCT_URL} as url, 'product' as stage, 'product page without a name' as message from part where not ({NAMED})"
@@ -236,6 +241,12 @@ ORACLE: dict[str, str] = {
     "frontier_accounting": f"""with recursive {CLOSURE}, live as (select k from closure where k % 17 <> 5),
  targets as (select cast(2 * k + i as varchar) as t from live, range(1, 3) r(i) union all select 'en' from live union all select '0')
  select count(*) + 1 as seen, count(distinct t) + 1 as unique_urls, count(*) - count(distinct t) as duplicates from targets""",
+    "frontier_budget": f"""with recursive r(wave, pending, known) as (
+ select 0, [{{'w': 0, 'h': md5('{SITE}/fr/part-0'), 'k': '{SITE}/fr/part-0'}}], ['{SITE}/fr/part-0']
+ union all select wave + 1, list_concat(s[{BUDGET} + 1:], list_transform(fresh, lambda u: {{'w': wave + 1, 'h': md5(u), 'k': u}})), list_concat(known, fresh)
+ from (select wave, s, known, list_filter(list_distinct(flatten(list_transform(s[1:{BUDGET}], lambda x: {CHILDREN}))), lambda u: not list_contains(known, u)) as fresh
+  from (select wave, list_sort(pending) as s, known, ks from r, (select list({K}) as ks from part) where len(pending) > 0)))
+ select t.k as key, wave from (select wave, unnest(list_sort(pending)[1:{BUDGET}]) as t from r where len(pending) > 0)""",
     "frontier_add_many": f"""select count(distinct url) as added from {LINKS} where url not in (select {_bare('url')} from pages
  union all select {ORIGIN} || '/the' from pages)""",
     "ingest_metrics": """select count(*) as total_requests, count(*) filter (event_type <> 'error') as success_requests, count(*) filter (event_type = 'error') as failed_requests,

@@ -703,10 +703,10 @@ def cascade_delete(spark, sf):
 
 # --- frontier -------------------------------------------------------------------------
 
-def _closure(spark: SparkSession, sf: str) -> FR.Closure:
+def _closure(spark: SparkSession, sf: str, budget: int | None = None) -> FR.Closure:
     seeds = seed_urls(spark, [f"{R.SITE}/fr/part-0"])
     pages = R.product_pages(spark, sf).unionByName(R.french_pages(spark, sf))
-    return P.crawl(spark, pages, seeds, R.RULES).closure
+    return P.crawl(spark, pages, seeds, R.RULES, budget).closure
 
 
 @query
@@ -719,6 +719,15 @@ def frontier_accounting(spark, sf):
     return FR.frontier_accounting(_closure(spark, sf))
 
 
+BUDGET = 200
+
+
+@query
+def frontier_budget(spark, sf):
+    """Which wave takes which URL when a wave takes 200 of them."""
+    return _closure(spark, sf, BUDGET).taken.select("key", "wave")
+
+
 @query
 def frontier_add_many(spark, sf):
     offered = _page_links(spark, sf).select(c("url").alias("key"))

@@ -119,9 +119,8 @@ def media_normalized(p: Column) -> Column:
     return _unsplit(p.scheme, p.netloc, _bare(p.path), _marked("?", p["query"]))
 
 
-# The functions below work on a whole column inside generated code, where Spark shares
-# the repeated split. Inside a lambda nothing is shared: there, bind the split once with
-# ``let(split_url_once(u), normalized)``.
+# Most URLs are plain web URLs, which one match settles. The long way binds the split once and is
+# evaluated only for the others; spelled out for generated code it would exceed a method's size.
 
 
 def _quick(u: Column, short: str, long: Column) -> Column:
@@ -131,12 +130,12 @@ def _quick(u: Column, short: str, long: Column) -> Column:
 
 def normalize_url(u: Column) -> Column:
     """Scheme, authority and path without trailing slashes, params, query or fragment."""
-    return _quick(u, "$1", normalized(split_url(u)))
+    return _quick(u, "$1", let(split_url_once(u), normalized))
 
 
 def normalize_media_url(u: Column) -> Column:
     """As ``normalize_url`` but the query names a different file, so it stays."""
-    return _quick(u, "$1$3", media_normalized(split_url(u)))
+    return _quick(u, "$1$3", let(split_url_once(u), media_normalized))
 
 
 def canonical_page_url(u: Column, host: str) -> Column:
@@ -147,7 +146,7 @@ def canonical_page_url(u: Column, host: str) -> Column:
 
 
 def page_path(u: Column) -> Column:
-    return F.when(u.rlike(WEB_URL), F.regexp_replace(u, WEB_URL, "$2")).otherwise(_bare(split_url(u).path))
+    return F.when(u.rlike(WEB_URL), F.regexp_replace(u, WEB_URL, "$2")).otherwise(let(split_url_once(u), lambda p: _bare(p.path)))
 
 
 def slug(u: Column) -> Column:
@@ -244,7 +243,15 @@ def in_scope(u: Column, prefixes: Sequence[str]) -> Column:
     """The path equals an allowed prefix or lies below one. The host is not looked at."""
     # Normalising twice matters for ``/x;p/``: the slash goes first, then the params.
     path = _bare(F.regexp_replace(page_path(u), r";[^/]*\z", ""))
+    # One pattern, so that the path is computed once.
+    return path.rlike("^(?:" + "|".join(rf"\Q{prefix}\E" for prefix in prefixes) + r")(?:/|\z)") if prefixes else F.lit(False)
+
+
+def may_be_in_scope(u: Column, prefixes: Sequence[str]) -> Column:
+    """Every URL in scope and perhaps others, told from the raw text: cheap enough to test page bodies with."""
+    text = F.translate(u, "\t\r\n", "")
     hit = F.lit(False)
     for prefix in prefixes:
-        hit = hit | below(path, prefix)
+        if not any(prefix != other and other in prefix for other in prefixes):
+            hit = hit | text.contains(prefix)
     return hit

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sitegrain.functions.urls import canonical_page_url, in_scope, normalize_url
@@ -13,16 +14,21 @@ from sitegrain.session import work_dir
 
 FOUND = "key string, wave int"
 DONE = "canon string, page_id long, seq long, key string, wave int"
+FEW = 10_000  # so many URLs are ranked by sorting them
 
 
 @dataclass(frozen=True)
 class Closure:
-    """``found``: every URL that was queued, with the wave that found it. ``done``: the pages processed."""
+    """``found``: every URL that was queued, with the wave that found it. ``done``: the pages processed.
+
+    ``taken`` tells, under a budget, which wave took which URL.
+    """
 
     found: DataFrame
     done: DataFrame
     links: DataFrame
     n_seeds: int
+    taken: DataFrame | None = None
 
 
 def new_urls(candidates: DataFrame, *known: DataFrame) -> DataFrame:
@@ -50,60 +56,138 @@ def join_pages(frontier: DataFrame, index: DataFrame) -> DataFrame:
     return frontier.join(index, "key")
 
 
+class Buckets:
+    """Tables of the catalog over files below ``state``, bucketed by the column they are joined on.
+
+    Spark joins two of them on that column without an exchange, and deals only the other side of a
+    join with anything else. Rows come in parts, one partition ``wave`` for each.
+    """
+
+    def __init__(self, spark: SparkSession, state: str, buckets: int):
+        self.spark, self.state, self.buckets, self.tag = spark, state, buckets, uuid.uuid4().hex[:12]
+        self.names: set[str] = set()
+
+    def write(self, name: str, rows: DataFrame, key: str, wave: int | None = None) -> int:
+        """Add rows and return their number."""
+        counted = Observation()
+        # Above the exchange: what lies below is left out of the plan when a wave turns out empty.
+        dealt = rows.repartition(self.buckets, key).observe(counted, F.count(F.lit(1)).alias("n"))
+        self._append(name, dealt, key, wave)
+        return counted.get["n"]
+
+    def create(self, name: str, schema: str, key: str) -> None:
+        """An empty table with a first part that no wave has."""
+        self._append(name, self.spark.createDataFrame([], schema).drop("wave"), key, -1)
+
+    def _append(self, name: str, rows: DataFrame, key: str, wave: int | None) -> None:
+        writer = (rows if wave is None else rows.withColumn("wave", F.lit(wave))).write.format("parquet")
+        if wave is not None:
+            writer = writer.partitionBy("wave")
+        writer = writer.bucketBy(self.buckets, key).sortBy(key).option("path", f"{self.state}/{name}")
+        writer.mode("append").saveAsTable(f"{name}_{self.tag}")
+        self.names.add(name)
+
+    def read(self, name: str, wave: int | None = None) -> DataFrame:
+        rows = self.spark.table(f"{name}_{self.tag}")
+        return rows if wave is None else rows.where(F.col("wave") == wave)
+
+    def close(self) -> None:
+        """Take the tables out of the catalog; their files stay."""
+        for name in self.names:
+            self.spark.sql(f"drop table if exists {name}_{self.tag}")
+
+
+def first_in_line(waiting: DataFrame, budget: int) -> DataFrame:
+    """The first ``budget`` of ``wave, key``, by wave, then by a hash of the key.
+
+    The last one's place is found by counting: waves first, then ever longer prefixes of the hash in
+    the wave that is cut, until few enough rows are left to sort. All others are told by a filter.
+    """
+    rows = waiting.withColumn("hash", F.md5("key"))
+
+    def cut(counts: dict) -> tuple | None:
+        nonlocal budget
+        for place in sorted(counts):
+            if counts[place] > budget:
+                return place, counts[place]
+            budget -= counts[place]
+        return None
+
+    def counted(some: DataFrame, place) -> dict:
+        return {r["p"]: r["n"] for r in some.groupBy(place.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    split = cut(counted(rows, F.col("wave")))
+    if split is None:
+        return waiting
+    (wave, left), prefix = split, ""
+    rest = rows.where(F.col("wave") == wave)
+    while left > FEW and len(prefix) < 32:
+        under = rest.where(F.col("hash").startswith(prefix))
+        prefix, left = cut(counted(under, F.substring("hash", 1, len(prefix) + 2)))
+    whole = rows.where((F.col("wave") < wave) | ((F.col("wave") == wave) & (F.substring("hash", 1, len(prefix)) < prefix)))
+    ranked = rest.where(F.col("hash").startswith(prefix)).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("wave").orderBy("hash", "key"))
+    )
+    return whole.select("wave", "key").unionByName(ranked.where(F.col("rank") <= budget).select("wave", "key"))
+
+
 def expand_frontier(spark: SparkSession, pages: DataFrame, links: DataFrame, seeds: DataFrame,
-                    rules: SiteRules, budget: int | None = None, state: str | None = None) -> Closure:
+                    rules: SiteRules, budget: int | None = None, state: str | None = None,
+                    buckets: int | None = None) -> Closure:
     """All pages reached from the seeds over in-scope links.
 
     ``pages`` needs ``page_id, url, final_url, seq``; ``links`` holds ``page_id, url`` of all
     candidate pages, so HTML is read before, once. A URL enters once. Of pages with one
     canonical name only the first that is reached is processed; the others add no links.
-    ``budget`` limits how many URLs one wave takes; the rest wait their turn.
+    ``budget`` limits how many URLs one wave takes (see ``first_in_line``); the rest wait their turn.
 
-    Each wave is written below ``state`` (the cluster's shared folder), which ends lineage.
-    Hot link targets are reduced to one row before any join, and the written sizes let
-    Spark broadcast a small wave and shuffle a large one. Only row counts reach the driver.
+    The index of pages, the links, and what was found and done are bucketed by the column they are
+    joined on, so a wave moves its own rows only. Each wave is written below ``state`` (the cluster's
+    shared folder), which ends lineage. Hot link targets are reduced to one row before any join.
+    Only row counts reach the driver.
     """
     state = state or work_dir(spark, "frontier")
-    page_index(pages, rules).write.parquet(f"{state}/index")
-    scoped = links.where(in_scope(F.col("url"), rules.scope)).select("page_id", F.col("url").alias("key")).distinct()
-    scoped.write.parquet(f"{state}/links")
-    index, edges = spark.read.parquet(f"{state}/index"), spark.read.parquet(f"{state}/links")
-
-    def stored(name: str, schema: str) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{state}/{name}")
+    tables = Buckets(spark, state, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        return _expand(spark, tables, pages, links, seeds, rules, budget)
+    finally:
+        tables.close()
 
-    def write(rows: DataFrame, name: str, wave: int) -> None:
-        rows.write.parquet(f"{state}/{name}/wave={wave}")
-
-    def add(rows: DataFrame, name: str, wave: int) -> int:
-        counted = Observation()
-        write(rows.observe(counted, F.count(F.lit(1)).alias("n")), name, wave)
-        return counted.get["n"]
 
+def _expand(spark: SparkSession, tables: Buckets, pages: DataFrame, links: DataFrame, seeds: DataFrame,
+            rules: SiteRules, budget: int | None) -> Closure:
+    tables.write("index", page_index(pages, rules), "key")
+    scoped = links.where(in_scope(F.col("url"), rules.scope)).select("page_id", F.col("url").alias("key")).distinct()
+    tables.write("links", scoped, "page_id")
     n_seeds = seeds.count()
-    waiting = add(seeds.select("key").distinct(), "found", 0)
-    write(spark.createDataFrame([], DONE).drop("wave"), "done", -1)
-    write(spark.createDataFrame([], FOUND).drop("wave"), "taken", -1)
+    waiting = tables.write("found", seeds.select("key").distinct(), "key", 0)
+    tables.create("done", DONE, "canon")
+    tables.create("taken", FOUND, "key")
     wave = 0
     while waiting:
-        found, done = stored("found", FOUND), stored("done", DONE)
         if budget is None:
-            frontier = found.where(F.col("wave") == wave).select("key")
+            frontier = tables.read("found", wave)
         else:
-            left = found.join(stored("taken", FOUND).select("key"), "key", "left_anti")
-            frontier = left.orderBy("wave", "key").limit(budget).select("key")
-            waiting -= add(frontier, "taken", wave)
-            frontier = stored("taken", FOUND).where(F.col("wave") == wave).select("key")
+            left = tables.read("found").join(tables.read("taken").select("key"), "key", "left_anti")
+            waiting -= tables.write("taken", first_in_line(left, budget).select("key"), "key", wave)
+            frontier = tables.read("taken", wave)
         first = F.min(F.struct("seq", "page_id", "key")).alias("f")
-        reached = join_pages(frontier, index).groupBy("canon").agg(first)
-        fresh = reached.join(done.select("canon"), "canon", "left_anti")
-        write(fresh.select("canon", "f.page_id", "f.seq", "f.key"), "done", wave)
-        current = stored("done", DONE).where(F.col("wave") == wave).select("page_id")
-        targets = edges.join(current, "page_id", "left_semi").select("key")
-        added = add(new_urls(targets, found), "found", wave + 1)
+        reached = join_pages(frontier.select("key"), tables.read("index")).groupBy("canon").agg(first)
+        fresh = reached.join(tables.read("done").select("canon"), "canon", "left_anti")
+        tables.write("done", fresh.select("canon", "f.page_id", "f.seq", "f.key"), "canon", wave)
+        current = tables.read("done", wave).select("page_id")
+        targets = tables.read("links").join(current, "page_id", "left_semi").select("key")
+        added = tables.write("found", new_urls(targets, tables.read("found")), "key", wave + 1)
         waiting = added if budget is None else waiting + added
         wave += 1
-    return Closure(stored("found", FOUND), stored("done", DONE), edges, n_seeds)
+
+    def written(name: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{tables.state}/{name}")
+
+    return Closure(
+        written("found", FOUND), written("done", DONE), written("links", "page_id long, key string"), n_seeds,
+        None if budget is None else written("taken", FOUND),
+    )
 
 
 def frontier_accounting(closure: Closure) -> DataFrame:

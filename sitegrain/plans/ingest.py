@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrain.functions.urls import in_scope, normalize_url
+from sitegrain.functions.urls import in_scope, may_be_in_scope, normalize_url
 from sitegrain.operators.frontier import Closure, expand_frontier
 from sitegrain.operators.inspection import overflowing_numbers
 from sitegrain.operators.merge import dedupe_media, dedupe_products, dedupe_wineries
@@ -61,15 +61,18 @@ def crawl(spark: SparkSession, pages: DataFrame, seeds: DataFrame, rules: SiteRu
     """Parts of the pages reached from the seeds.
 
     Only seeds and pages in scope can be reached, so the others are left out by their URL before
-    parsing. What is left is parsed once; following links then is joins over narrow tables.
+    parsing: those in scope by a test of the raw text, seeds out of scope by their number, which are
+    as few as such seeds. What is left is parsed once; following links then is joins over narrow tables.
     """
-    key = normalize_url(F.col("url"))
-    first = seeds.select(F.col("key").alias("seed_key")).distinct()
-    reachable = in_scope(key, rules.scope) | F.col("seed_key").isNotNull()
-    pages = pages.join(first, key == F.col("seed_key"), "left").where(reachable).drop("seed_key")
-    extracted = materialize(extract_pages(pages, rules), "extracted")
+    # Written first: the names computed from a URL use it many times over.
+    narrow = materialize(pages.select("page_id", "url", "final_url", "seq"), "page-urls")
+    keys = narrow.select("page_id", normalize_url(F.col("url")).alias("key"))
+    outside = seeds.select("key").distinct().where(~in_scope(F.col("key"), rules.scope))
+    named = materialize(keys.join(outside, "key", "left_semi").select("page_id", F.lit(True).alias("is_seed")), "seed-pages")
+    near = pages.join(named, "page_id", "left").where(may_be_in_scope(F.col("url"), rules.scope) | F.col("is_seed")).drop("is_seed")
+    extracted = materialize(extract_pages(near, rules), "extracted")
     links = extracted.select("page_id", F.explode("links").alias("url"))
-    closure = expand_frontier(spark, pages.drop("html"), links, seeds, rules, budget)
+    closure = expand_frontier(spark, narrow, links, seeds, rules, budget)
     wave = closure.done.select("page_id", F.col("wave").cast("long").alias("wave"))
     reached = extracted.join(wave, "page_id")
     # Waves come before pages in the order of arrival.

@@ -1,5 +1,8 @@
+import hashlib
+
 from pyspark.sql import functions as F
 
+from sitegrain.operators import frontier as FR
 from sitegrain.operators.frontier import expand_frontier, frontier_accounting
 from sitegrain.rules import SiteRules
 from sitegrain.sources.pages import seed_urls
@@ -51,3 +54,32 @@ def test_seeds_pass_without_scope(spark):
     closure = expand_frontier(spark, pages, links, seed_urls(spark, [SITE + "/other", ""]), SiteRules())
     assert closure.found.count() == 1 and closure.done.count() == 0
     assert closure.links.where(F.col("key").contains("/fr/")).count() == 0
+
+
+def test_first_in_line(spark, monkeypatch):
+    """The cut is found by counting prefixes of the hash; every budget gives the head of the line."""
+    monkeypatch.setattr(FR, "FEW", 3)
+    rows = [(w, f"u{w}-{i}") for w in (0, 2, 5) for i in range(300)]
+    line = sorted(rows, key=lambda r: (r[0], hashlib.md5(r[1].encode()).hexdigest(), r[1]))
+    waiting = spark.createDataFrame(rows, "wave int, key string")
+    for budget in (1, 299, 300, 301, 640, 899, 900, 5000):
+        assert sorted(tuple(r) for r in FR.first_in_line(waiting, budget).collect()) == sorted(line[:budget])
+    assert "TakeOrdered" not in FR.first_in_line(waiting, 640)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_buckets_join_without_exchange(spark, tmp_path):
+    tables = FR.Buckets(spark, str(tmp_path), 4)
+    tables.write("index", spark.range(1000).select(F.col("id").cast("string").alias("key"), "id"), "key")
+    for wave in (0, 1):
+        assert tables.write("found", spark.range(500).select((F.col("id") * 2 + wave).cast("string").alias("key")), "key", wave) == 500
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for joined in (
+            tables.read("found", 1).select("key").join(tables.read("index"), "key"),
+            tables.read("index").join(tables.read("found").select("key"), "key", "left_anti"),
+        ):
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        tables.close()

@@ -38,7 +38,8 @@ def test_no_all_pairs_joins(spark, name):
 
 
 def test_no_unbounded_collect_in_the_library():
-    allowed = {"snapshots.py": 2}  # manifest rows and bucket numbers: one per bucket
+    # Manifest rows and bucket numbers: one per bucket. Counts by pivot, and by wave or hash prefix.
+    allowed = {"snapshots.py": 2, "percentile.py": 1, "frontier.py": 1}
     for path in LIBRARY.rglob("*.py"):
         if path.parent.name == "llm":  # has a list of its own, beside its tests
             continue

@@ -9,7 +9,7 @@ from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # Whole runs take a minute or more together; the comparison tool covers them at every scale.
-LONG = {"frontier_closure", "frontier_accounting", "ingest_run", "ingest_house", "stream_ingest_run", "written_counts"}
+LONG = {"frontier_closure", "frontier_accounting", "frontier_budget", "ingest_run", "ingest_house", "stream_ingest_run", "written_counts"}
 
 
 @pytest.fixture(scope="module")
