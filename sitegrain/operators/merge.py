@@ -117,31 +117,66 @@ def merge_records(rows: DataFrame, key: str, order: Column, scalars: Sequence[st
     ``first`` columns keep the first record's value, ``scalars`` fold to the last value that
     is not empty, ``lists`` (with their key fields) and ``maps`` are united. A key with one
     record keeps its list untouched, repeats included.
+
+    The input is read once: each record becomes a row of its scalars and a row for every list item
+    and map entry, tagged by column. These are combined per key, tag and item before they are dealt,
+    so a key with very many records costs a row per distinct item, and then meet once by key.
     """
     lists = lists or {}
     kinds = {f.name: f.dataType for f in rows.schema.fields}
     structured = [*lists, *maps]
-    # The first record is kept whole, once, and serves every column that falls back to it.
-    head = F.min_by(F.struct(*first, *scalars, *structured), order).alias("head")
-    last = [F.max_by(c, F.when(filled(F.col(c), kinds[c]), order)).alias(c) for c in scalars]
-    out = rows.groupBy(key).agg(head, *last, F.count("*").alias("n_records")).select(
+    width = max([len(f) for f in lists.values()] + [1])
+    none = F.lit(None).cast("string")
+
+    def tagged(tag: int, names: Sequence[Column], place: Column, **parts: Column) -> Column:
+        keys = [*names, *[none] * (width - len(names))]
+        values = [parts.get(n, F.lit(None).cast(t)).alias(n) for n, t in types.items()]
+        return F.struct(F.lit(tag).alias("tag"), *[k.alias(f"k{n}") for n, k in enumerate(keys)], place.alias("place"), *values)
+
+    record = F.struct(*first, *scalars, *structured)
+    types = {"record": rows.select(record).schema[0].dataType}
+    types |= {f"item_{c}": kinds[c].elementType for c in lists} | {f"value_{c}": kinds[c].valueType for c in maps}
+    def listed(tag: int, c: str) -> Column:
+        return F.transform(c, lambda x, i: tagged(tag, _item_key(x, lists[c]), i, **{f"item_{c}": x}))
+
+    def mapped(tag: int, c: str) -> Column:
+        entries = F.filter(F.map_entries(c), lambda e: filled(e.value))
+        return F.transform(entries, lambda e: tagged(tag, [e.key], F.lit(0), **{f"value_{c}": e.value}))
+
+    offers = [F.array(tagged(0, [], F.lit(0), record=record))]
+    offers += [(listed if c in lists else mapped)(tag, c) for tag, c in enumerate(structured, 1)]
+    offers = [F.coalesce(o, F.array().cast(rows.select(offers[0]).schema[0].dataType)) for o in offers]
+    spread = rows.select(key, order.alias("o"), F.explode(F.concat(*offers)).alias("t")).select(key, "o", "t.*")
+
+    names = ["tag", *[f"k{n}" for n in range(width)]]
+    folds = [F.min_by("record", "o").alias("head"), F.count("record").alias("n")]
+    folds += [F.max_by(f"record.{c}", F.when(filled(F.col(f"record.{c}"), kinds[c]), F.col("o"))).alias(f"last_{c}") for c in scalars]
+    folds += [F.min(F.when(F.col("tag") == 1 + n, F.struct("o", "place", f"item_{c}"))).alias(f"item_{c}") for n, c in enumerate(lists)]
+    folds += [F.max(F.when(F.col("tag") == 1 + len(lists) + n, F.struct("o", f"value_{c}"))).alias(f"value_{c}") for n, c in enumerate(maps)]
+    items = spread.groupBy(key, *names).agg(*folds)
+
+    def only(c: str) -> Column:
+        """The value of the one row of scalars."""
+        return F.first(F.when(F.col("tag") == 0, F.col(c)), ignorenulls=True)
+
+    met = items.groupBy(key).agg(
+        only("head").alias("head"), F.sum("n").alias("n_records"), *[only(f"last_{c}").alias(c) for c in scalars],
+        *[F.collect_list(f"item_{c}").alias(f"item_{c}") for c in lists],
+        *[F.collect_list(F.when(F.col(f"value_{c}").isNotNull(), F.struct("k0", f"value_{c}.value_{c}"))).alias(f"value_{c}") for c in maps],
+    )
+
+    def united(c: str) -> Column:
+        if c in lists:
+            many = F.transform(F.array_sort(f"item_{c}"), lambda s: s[f"item_{c}"])
+            single = F.coalesce(F.col(f"head.{c}"), F.array().cast(kinds[c]))
+            return F.when(F.col("n_records") == 1, single).otherwise(many)
+        base = F.coalesce(F.col(f"head.{c}"), F.create_map().cast(kinds[c]))
+        return F.map_zip_with(base, F.map_from_entries(f"value_{c}"), lambda k, a, b: F.coalesce(b, a))
+
+    return met.select(
         key, *(F.col(f"head.{c}").alias(c) for c in first), *(F.coalesce(c, f"head.{c}").alias(c) for c in scalars),
-        *(F.col(f"head.{c}").alias(f"first_{c}") for c in structured), "n_records",
+        "n_records", *(united(c).alias(c) for c in structured),
     )
-    for c, fields in lists.items():
-        united = union_lists(rows, key, c, order, fields)
-        empty = F.array().cast(kinds[c])
-        out = out.join(united, key, "left").withColumn(
-            c, F.coalesce(F.when(F.col("n_records") == 1, F.col(f"first_{c}")), F.col(c), empty)
-        )
-    for c in maps:
-        united = union_maps(rows, key, c, order)
-        empty = F.create_map().cast(kinds[c])
-        base, more = F.coalesce(F.col(f"first_{c}"), empty), F.coalesce(F.col(c), empty)
-        out = out.join(united, key, "left").withColumn(
-            c, F.map_zip_with(base, more, lambda k, a, b: F.coalesce(b, a))
-        )
-    return out.drop(*[f"first_{c}" for c in structured])
 
 
 def first_per_key(rows: DataFrame, key: Column, order: Column) -> DataFrame:
