@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +16,8 @@ from sitegrain.operators.merge import (
 )
 from sitegrain.rules import SiteRules
 from sitegrain.schemas import MEDIA, PRODUCT, PRODUCT_DETAILS, PRODUCT_NUMBERS, WINERY
-from sitegrain.sources.snapshots import CommitConflict, Snapshot, Version, exists
+from sitegrain.session import work_dir
+from sitegrain.sources.tables import Table, exists
 
 # Media rows remember the run that wrote them: within a run the first one stays.
 STORED_MEDIA = T.StructType([*MEDIA.fields, T.StructField("run_id", T.StringType())])
@@ -162,68 +162,80 @@ def prepare_media(parts: DataFrame) -> DataFrame:
 
 
 class EntityStore:
-    """The three entity tables and the list of pages a run has processed."""
+    """The three entity tables, the list of pages a run has processed, and the batches taken. One writer at a time."""
 
     def __init__(self, spark: SparkSession, path: str, rules: SiteRules, buckets: int = 64) -> None:
         self.spark, self.rules, self.path = spark, rules, path
         pages = T.StructType().add("canon", "string").add("run_id", "string").add("page_id", "long").add("batch_id", "long")
-        self.wineries = Snapshot(f"{path}/wineries", WINERY, "name", max(1, buckets // 8))
-        self.products = Snapshot(f"{path}/products", PRODUCT, "product_url", buckets)
-        self.media = Snapshot(f"{path}/media", STORED_MEDIA, "url", buckets)
-        self.pages = Snapshot(f"{path}/pages", pages, "canon", buckets)
-
-    def _upsert(self, snapshot: Snapshot, run_id: str, batch_id: int, merge: Callable[[Version], tuple[DataFrame, list[int]]]) -> bool:
-        """Merge a batch into the newest version; once more if another writer published one meanwhile.
-
-        Returns whether the batch was taken: one stored before is not.
+        self.wineries = Table(f"{path}/wineries", WINERY, "name", max(1, buckets // 8))
+        self.products = Table(f"{path}/products", PRODUCT, "product_url", buckets)
+        self.media = Table(f"{path}/media", STORED_MEDIA, "url", buckets)
+        self.pages = Table(f"{path}/pages", pages, "canon", buckets)
+
+    def taken(self, table: Table, run_id: str, batch_id: int) -> bool:
+        """Whether the table took this batch of the run, or a later one."""
+        folder = f"{self.path}/batches"
+        if not exists(self.spark, folder):
+            return False
+        rows = self.spark.read.schema("path string, run_id string, batch_id long").parquet(folder)
+        mine = (F.col("path") == table.path) & (F.col("run_id") == run_id) & (F.col("batch_id") >= batch_id)
+        return not rows.where(mine).isEmpty()
+
+    def take(self, table: Table, run_id: str, batch_id: int) -> None:
+        """Remember that the table took the batch."""
+        row = self.spark.createDataFrame([(table.path, run_id, batch_id)], "path string, run_id string, batch_id long")
+        row.coalesce(1).write.mode("append").parquet(f"{self.path}/batches")
+
+    def _upsert(self, table: Table, run_id: str, batch_id: int, merge: Callable[[], tuple[DataFrame, list[int]]]) -> bool:
+        """Merge a batch into the table; returns whether it was taken: one stored before is not.
+
+        The merged buckets are written aside first. A run that ends while they are moved into place
+        is completed from there when the batch comes again; its old rows are not needed any more.
         """
-        while True:
-            table = snapshot.load(self.spark)
-            if table.has_batch(run_id, batch_id):
-                return False
-            rows, touched = merge(table)
-            try:
-                table.commit(rows, touched, run_id, batch_id)
-                return True
-            except CommitConflict:
-                continue
+        if self.taken(table, run_id, batch_id):
+            return False
+        aside = f"{table.path}-merged/{run_id}-{batch_id}"
+        if not exists(self.spark, f"{aside}/touched/_SUCCESS"):
+            rows, touched = merge()
+            rows.write.mode("overwrite").parquet(f"{aside}/rows")
+            marks = self.spark.createDataFrame([(b,) for b in touched], "bucket int")
+            marks.coalesce(1).write.mode("overwrite").parquet(f"{aside}/touched")
+        else:
+            touched = [r.bucket for r in self.spark.read.parquet(f"{aside}/touched").collect()]
+        table.replace(self.spark.read.schema(table.schema).parquet(f"{aside}/rows"), touched)
+        self.take(table, run_id, batch_id)
+        return True
+
+    def _stored(self, batch: DataFrame) -> DataFrame:
+        """A batch is read twice: for the buckets it touches, and for the merge."""
+        folder = work_dir(self.spark, "batch")
+        batch.write.parquet(folder)
+        return self.spark.read.schema(batch.schema).parquet(folder)
 
     def upsert_wineries(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> bool:
-        batch = group_wineries(parts).persist(StorageLevel.DISK_ONLY)
-
-        def merge(table: Version) -> tuple[DataFrame, list[int]]:
-            touched = table.touched(batch.select("name"), batch.select(strip(F.col("name")).alias("name")))
-            return merge_wineries(batch, table.read(touched), _now(now)), touched
+        def merge() -> tuple[DataFrame, list[int]]:
+            batch = self._stored(group_wineries(parts))
+            touched = self.wineries.touched(batch.select("name"), batch.select(strip(F.col("name")).alias("name")))
+            return merge_wineries(batch, self.wineries.read(self.spark, touched), _now(now)), touched
 
-        try:
-            return self._upsert(self.wineries, run_id, batch_id, merge)
-        finally:
-            batch.unpersist()
+        return self._upsert(self.wineries, run_id, batch_id, merge)
 
     def upsert_products(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> bool:
-        default = default_winery_id(winery_ids(self.wineries.read(self.spark)), self.rules)
-        batch = resolve_parent(group_products(parts), default).persist(StorageLevel.DISK_ONLY)
+        def merge() -> tuple[DataFrame, list[int]]:
+            default = default_winery_id(winery_ids(self.wineries.read(self.spark)), self.rules)
+            batch = self._stored(resolve_parent(group_products(parts), default))
+            touched = self.products.touched(batch.select("url_key"))
+            return merge_products(batch, self.products.read(self.spark, touched), _now(now)), touched
 
-        def merge(table: Version) -> tuple[DataFrame, list[int]]:
-            touched = table.touched(batch.select("url_key"))
-            return merge_products(batch, table.read(touched), _now(now)), touched
-
-        try:
-            return self._upsert(self.products, run_id, batch_id, merge)
-        finally:
-            batch.unpersist()
+        return self._upsert(self.products, run_id, batch_id, merge)
 
     def upsert_media(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> bool:
-        batch = prepare_media(parts).persist(StorageLevel.DISK_ONLY)
-
-        def merge(table: Version) -> tuple[DataFrame, list[int]]:
-            touched = table.touched(batch.select("url"))
-            return merge_media(batch, table.read(touched), _now(now), run_id), touched
+        def merge() -> tuple[DataFrame, list[int]]:
+            batch = self._stored(prepare_media(parts))
+            touched = self.media.touched(batch.select("url"))
+            return merge_media(batch, self.media.read(self.spark, touched), _now(now), run_id), touched
 
-        try:
-            return self._upsert(self.media, run_id, batch_id, merge)
-        finally:
-            batch.unpersist()
+        return self._upsert(self.media, run_id, batch_id, merge)
 
     def note(self, name: str, rows: DataFrame, run_id: str, batch_id: int) -> None:
         """Keep what a batch reports (errors, overflows, links); a batch that has been kept whole is left alone."""
@@ -240,11 +252,11 @@ class EntityStore:
 
         Houses go last: if a run ends in between, the same call finishes the job.
         """
-        def products(table: Version) -> tuple[DataFrame, list[int]]:
-            return delete_cascade(table.read(), ids), list(range(self.products.buckets))
+        def products() -> tuple[DataFrame, list[int]]:
+            return delete_cascade(self.products.read(self.spark), ids), list(range(self.products.buckets))
 
-        def wineries(table: Version) -> tuple[DataFrame, list[int]]:
-            left = table.read().join(ids.select("id"), "id", "left_anti")
+        def wineries() -> tuple[DataFrame, list[int]]:
+            left = self.wineries.read(self.spark).join(ids.select("id"), "id", "left_anti")
             return left.select(*WINERY.fieldNames()), list(range(self.wineries.buckets))
 
         self._upsert(self.products, run_id, batch_id, products)

@@ -21,23 +21,19 @@ def ingest_batch(store: EntityStore, pages: DataFrame, batch_id: int, run_id: st
     Every table remembers the last batch it took, so a batch that is run again after a
     failure continues where it stopped.
     """
-    spark = store.spark
     keys = pages.select("page_id", "final_url", "seq")
     fresh = materialize(first_per_final_url(keys, rules), "batch-keys")
-    table = store.pages.load(spark)
-    touched = table.touched(fresh.select("canon"))
-    stored = table.read(touched)
+    stored = store.pages.read(store.spark, store.pages.touched(fresh.select("canon")))
     # A replayed batch must see the pages as its first attempt did: those of other batches.
     known = stored.where((F.col("run_id") == run_id) & (F.col("batch_id") != batch_id))
     new = materialize(fresh.join(known.select("canon"), "canon", "left_anti"), "batch-new")
     bodies = pages.join(new.select("page_id"), "page_id", "left_semi")
     parts = split_parts(materialize(extract_pages(bodies, rules), "batch-extracted"))
-    winery = seed_winery(spark, rules).unionByName(parts.winery) if batch_id == 0 else parts.winery
+    winery = seed_winery(store.spark, rules).unionByName(parts.winery) if batch_id == 0 else parts.winery
     store_parts(store, Parts(winery, parts.product, parts.media, parts.links, parts.errors), run_id, batch_id, now)
-    if not table.has_batch(run_id, batch_id):
-        mine = new.select("canon", F.lit(run_id).alias("run_id"), "page_id", F.lit(batch_id).cast("long").alias("batch_id"))
-        others = stored.join(mine.select("canon"), "canon", "left_anti")
-        table.commit(others.unionByName(mine), touched, run_id, batch_id)
+    if not store.taken(store.pages, run_id, batch_id):
+        store.pages.append(new.select("canon", F.lit(run_id).alias("run_id"), "page_id", F.lit(batch_id).cast("long").alias("batch_id")))
+        store.take(store.pages, run_id, batch_id)
 
 
 def stream_ingest(pages: DataFrame, store: EntityStore, checkpoint: str, run_id: str, rules: SiteRules,
