@@ -174,6 +174,15 @@ ORACLE: dict[str, str] = {
  select * from (select o.o_custkey, o_orderpriority as priority,
  coalesce(arg_max(status, {O_ROW}) filter (status <> ''), max(status) filter ({O_ROW} = first)) as status from {ORDERS} o join f using (o_custkey) group by 1, 2)
  where status is not null""",
+    "merge_by_type": f"""select {K}, case when {K} % 2 = 0 then p_brand else p_type end as text, case when {K} % 3 = 0 then 0.0 else cast(p_size as double) end as number,
+ concat_ws(',', '1', case when p_size <> 1 then p_size end, case when {K} % 5 not in (1, p_size) then {K} % 5 end) as years,
+ case when {K} % 2 = 0 then p_brand else 'x' end as a, 'y' as b from part""",
+    "seeded_house": f"""select 'Example House' as name, '{SITE}/' as website_url, '{SITE}/en/maison/famille/' || max({S}) as source_page_url,
+ 'House of ' || arg_max(s_name, {S}) || ' since ' || (max({S}) % 200 + 1800) as description, 3 * count(*) + 1 as n_records from supplier""",
+    "table_defaults": "select n_name as name, 0 as members, 0 as milestones, cast(null as varchar) as description, true as created, true as fresh from nation",
+    "batch_flushes": f"""select 'r1' as run_id, 3 as batch_flushes, 0 as written_wineries, 0 as written_products,
+ cast(sum(n) as bigint) as written_media from (select count(distinct {K} // 2) as n from part, range(3) b(i) where {K} % 3 >= i group by i)""",
+    "stream_dedupe_first": f"select url, any_value(media_type) as media_type, '{SITE}/en/champagnes-et-cuvees/part-' || min({K}) as source_page_url from {MEDIA} group by 1",
     "merge_two_maps": f"""with h as (select o_custkey, o_orderpriority as priority, min(status) filter (o_orderkey % 2 = 0) as a, min(status) filter (o_orderkey % 2 = 1) as b
  from {ORDERS} group by 1, 2) select o_custkey, priority, coalesce(nullif(b, ''), a) as status from h where a is not null or b <> ''""",
     "group_wineries": f"""with p as (select {S} as s, case when {S} % 2 = 0 then upper(n_name) else lower(n_name) end as n, lower('house ' || n_name) as name_key,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,10 +30,10 @@ from sitegrain.operators.registry import PythonRule, extraction_report, rule_col
 from sitegrain.plans import ingest as P
 from sitegrain.plans.extract import extract_pages, page_rules, split_parts
 from sitegrain.rules import SiteRules
-from sitegrain.schemas import PRODUCT, WINERY
+from sitegrain.schemas import PRODUCT, WINERY, create_table
 from sitegrain.session import work_dir
 from sitegrain.sources.pages import PAGE_SCHEMA, read_pages, seed_urls, stream_pages
-from sitegrain.streaming.ingest import live_metrics, stream_ingest
+from sitegrain.streaming.ingest import corrected, live_metrics, stream_first, stream_ingest, write_corrections
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -460,9 +462,31 @@ def merge_map(spark, sf):
     return merged.select("o_custkey", F.explode("m").alias("priority", "status"))
 
 
+@query
+def merge_by_type(spark, sf):
+    """One merge for each type of column: text, number, list and map."""
+    k = c("p_partkey")
+
+    def listed(a: Column, b: Column) -> Column:
+        return F.array(F.struct(a.alias("year"), F.lit("e").alias("event")), F.struct(b.alias("year"), F.lit(" e").alias("event")))
+
+    rows = table(spark, sf, "part").select(
+        "p_partkey", c("p_brand").alias("old_text"), F.when(k % 2 == 0, "").otherwise(c("p_type")).alias("new_text"),
+        c("p_size").cast("double").alias("old_number"), F.when(k % 3 == 0, 0.0).alias("new_number"),
+        listed(F.lit("1"), c("p_size").cast("string")).alias("old_list"), listed(F.lit("1"), (k % 5).cast("string")).alias("new_list"),
+        F.create_map(F.lit("a"), c("p_brand")).alias("old_map"), F.create_map(F.lit("a"), F.when(k % 2 == 0, "").otherwise("x"), F.lit("b"), F.lit("y")).alias("new_map"),
+    )
+    merged = {n: G.merge_value(c(f"old_{n}"), c(f"new_{n}"), rows.schema[f"old_{n}"].dataType) for n in ("text", "number", "list", "map")}
+    years = F.array_join(F.transform(merged["list"], lambda x: x.year), ",")
+    return rows.select(
+        "p_partkey", merged["text"].alias("text"), merged["number"].alias("number"), years.alias("years"),
+        merged["map"]["a"].alias("a"), merged["map"]["b"].alias("b"),
+    )
+
+
 @query
 def merge_two_maps(spark, sf):
-    orders = _order_rows(spark, sf).where("o_orderstatus is not null")
+    orders = _order_rows(spark, sf)
     halves = []
     for n in (0, 1):
         rows = orders.where(c("o_orderkey") % 2 == n).groupBy("o_custkey", "o_orderpriority").agg(F.min("status").alias("s"))
@@ -575,6 +599,31 @@ def _stored_products(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select(*columns)
 
 
+@query
+def seeded_house(spark, sf):
+    """The bare house record comes first; pages fill it in and never replace its name."""
+    parts = UP.seed_winery(spark, R.RULES).unionByName(split_parts(extract_pages(R.house_pages(spark, sf), R.RULES)).winery)
+    return G.group_wineries(parts).select("name", "website_url", "source_page_url", "description", "n_records")
+
+
+@query
+def table_defaults(spark, sf):
+    """Rows written without lists, maps and times get the table's defaults."""
+    name, rows = f"wineries_{uuid.uuid4().hex[:12]}", table(spark, sf, "nation")
+    create_table(spark, name, WINERY, f"{work_dir(spark, 'tables')}/wineries")
+    spark.sql(
+        f"insert into {name} (id, name, website_url, source_page_url) "
+        "select cast(n_nationkey as string), n_name, 'w', 's' from {rows}", rows=rows,
+    )
+    out = spark.table(name).select(
+        "name", F.size("family_spirit").cast("long").alias("members"), F.size("history_timeline").cast("long").alias("milestones"),
+        "description", (c("created_at") <= F.current_timestamp()).alias("created"), (c("updated_at") <= F.current_timestamp()).alias("fresh"),
+    )
+    out.write.parquet(folder := work_dir(spark, "defaults"))
+    spark.sql(f"drop table {name}")
+    return spark.read.parquet(folder)
+
+
 @query
 def upsert_merge(spark, sf):
     k = c("p_partkey")
@@ -824,6 +873,21 @@ def media_upsert(spark, sf):
     return store.media.read(spark).select("id", "url", "source_page_url", "run_id")
 
 
+@query
+def batch_flushes(spark, sf):
+    """Batches written by a run, and records handed to the writer after in-run dedupe."""
+    k, none = c("p_partkey"), P.process_pages(R.house_pages(spark, sf).where("false"), R.RULES).parts
+    store = UP.EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
+    for batch in range(3):
+        rows = table(spark, sf, "part").where(k % 3 >= batch).select(
+            k.alias("page_id"), k.alias("seq"), F.lit(0).alias("pos"), F.lit("image").alias("media_type"),
+            F.concat(F.lit("https://h/i/"), F.floor(k / 2), F.lit(".png")).alias("url"), F.lit("s").alias("source_page_url"),
+        )
+        P.store_parts(store, replace(none, media=rows), "r1", batch, _now())
+    P.store_parts(store, replace(none, media=rows), "r1", batch, _now())  # comes again: counts once
+    return store.flushes()
+
+
 @query
 def ingest_house(spark, sf):
     store = UP.EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
@@ -857,6 +921,18 @@ def stream_run_errors(spark, sf):
     return store.notes("errors").select("page_id", "url", "stage", "message")
 
 
+@query
+def stream_dedupe_first(spark, sf):
+    """Media as a stream of files in any order: the first arrival of each URL stays, as in a batch."""
+    folder = work_dir(spark, "arriving")
+    media = split_parts(_products(spark, sf)).media
+    media.repartition(6, F.xxhash64("page_id", "pos")).write.parquet(f"{folder}/media")
+    rows = spark.readStream.schema(media.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/media")
+    first = stream_first(rows, U.normalize_media_url(c("url")), G.arrival())
+    write_corrections(first, f"{folder}/first", f"{folder}/checkpoint").awaitTermination()
+    return corrected(spark.read.parquet(f"{folder}/first")).select("url", "media_type", "source_page_url")
+
+
 @query
 def stream_live_metrics(spark, sf):
     folder = work_dir(spark, "log")

@@ -247,6 +247,12 @@ class EntityStore:
         """All rows kept under a name, with run_id and batch_id."""
         return self.spark.read.parquet(f"{self.path}/{name}")
 
+    def flushes(self) -> DataFrame:
+        """Per run the batches written, and the records handed to the writer by entity."""
+        return self.notes("flushes").groupBy("run_id").agg(
+            F.count_distinct("batch_id").alias("batch_flushes"), *[F.sum(f"written_{n}").alias(f"written_{n}") for n in ("wineries", "products", "media")]
+        )
+
     def delete_wineries(self, ids: DataFrame, run_id: str, batch_id: int = 0) -> None:
         """Remove houses and, with them, their products.
 

@@ -86,14 +86,17 @@ def store_parts(store: EntityStore, parts: Parts, run_id: str, batch_id: int = 0
     Returns whether any table took the batch: one that has been stored under this run and number
     before is left alone, whatever it holds now.
     """
+    wineries, products, media = dedupe_wineries(parts.winery), dedupe_products(parts.product), dedupe_media(parts.media)
     taken = [
-        store.upsert_wineries(dedupe_wineries(parts.winery), run_id, batch_id, now),
-        store.upsert_products(products := dedupe_products(parts.product), run_id, batch_id, now),
-        store.upsert_media(dedupe_media(parts.media), run_id, batch_id, now),
+        store.upsert_wineries(wineries, run_id, batch_id, now),
+        store.upsert_products(products, run_id, batch_id, now),
+        store.upsert_media(media, run_id, batch_id, now),
     ]
     store.note("errors", parts.errors, run_id, batch_id)
     store.note("overflows", overflowing_numbers(products), run_id, batch_id)
     store.note("links", parts.links, run_id, batch_id)
+    counts = written_counts(parts)
+    store.note("flushes", counts.agg(*[F.sum(F.when(F.col("entity") == n, F.col("written"))).alias(f"written_{n}") for n in ("wineries", "products", "media")]), run_id, batch_id)
     return any(taken)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 YEAR_EVENT = T.StructType().add("year", "string").add("event", "string")
@@ -69,3 +70,18 @@ PRODUCT_PART_TYPE = (
     "grape_meunier_percent:double,awards_and_ratings:array<struct<title:string,value:string>>,"
     "data_sheet_url:string>"
 )
+
+# What a column holds where a row does not say.
+DEFAULTS = {
+    "family_spirit": "cast(map() as map<string,string>)", "history_timeline": "cast(array() as array<struct<year:string,event:string>>)",
+    "awards_and_ratings": "cast(array() as array<struct<title:string,value:string>>)",
+    "created_at": "current_timestamp()", "updated_at": "current_timestamp()",
+}
+
+
+def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str) -> None:
+    """A Parquet table of the catalog at ``path``, with the defaults above. Nothing happens if it is there."""
+    columns = [
+        f"`{f.name}` {f.dataType.simpleString()}" + (f" default {DEFAULTS[f.name]}" if f.name in DEFAULTS else "") for f in schema.fields
+    ]
+    spark.sql(f"create table if not exists {name} ({', '.join(columns)}) using parquet location '{path}'")

@@ -58,6 +58,31 @@ def stream_dedupe(rows: DataFrame, *keys: str, watermark: tuple[str, str] | None
     return rows.withWatermark(*watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
+def stream_first(rows: DataFrame, key: Column, order: Column) -> DataFrame:
+    """The first row of each key by ``order``, whenever it comes (update mode).
+
+    The state holds the smallest arrival of a key; an earlier one that comes later is emitted as a
+    correction. So what is kept does not depend on files or batches, as it does with ``stream_dedupe``.
+    """
+    first = F.min_by(F.struct(*rows.columns), order).alias("row")
+    return rows.groupBy(key.alias("key")).agg(first).select("key", "row.*")
+
+
+def write_corrections(first: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Write what ``stream_first`` emits, a part for each batch; a batch that is run again replaces its part."""
+    def keep(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+    writer = first.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def corrected(corrections: DataFrame) -> DataFrame:
+    """The last row written for each key."""
+    columns = [c for c in corrections.columns if c not in ("key", "batch")]
+    return corrections.groupBy("key").agg(F.max_by(F.struct(*columns), "batch").alias("row")).select("row.*")
+
+
 def live_metrics(fetch_log: DataFrame) -> DataFrame:
     """Counters and error rate so far (update or complete mode)."""
     return with_rates(fetch_log.groupBy().agg(*attempt_counts()))

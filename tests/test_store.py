@@ -9,7 +9,9 @@ from sitegrain.rules import SiteRules
 from sitegrain.session import work_dir
 from sitegrain.sources.pages import PAGE_SCHEMA, stream_pages
 from sitegrain.sources.tables import Table
-from sitegrain.streaming.ingest import ingest_batch, keep_latest, live_metrics, stream_dedupe, stream_ingest
+from sitegrain.streaming.ingest import (
+    corrected, ingest_batch, keep_latest, live_metrics, stream_dedupe, stream_first, stream_ingest, write_corrections,
+)
 from tests.fixtures.site import page_snapshot
 
 RULES = SiteRules()
@@ -202,3 +204,20 @@ def test_latest_attempts_over_batches_are_those_of_the_whole_log(spark):
     kept = keep_latest(keep_latest(log.limit(0), log.where("attempt_id % 2 = 0"), 10), log.where("attempt_id % 2 = 1"), 10)
     whole = keep_latest(log.limit(0), log, 10)
     assert {r.attempt_id for r in kept.collect()} == {r.attempt_id for r in whole.collect()}
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 2, 0)])
+def test_stream_first_does_not_depend_on_the_order_of_files(spark, order):
+    """Earlier arrivals that come later are corrections; nulls and repeated rows; a batch written again."""
+    folder = work_dir(spark, "first")
+    rows = [(i % 5 if i % 7 else None, i, f"v{i}") for i in range(60)] + [(1, 1, "v1")]
+    schema = "k long, seq long, v string"
+    for n, part in enumerate(order):
+        spark.createDataFrame(rows[part::3], schema).coalesce(1).write.mode("append").parquet(f"{folder}/rows/part={n}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/rows/*")
+    write_corrections(stream_first(stream, F.col("k"), F.col("seq")), f"{folder}/first", f"{folder}/cp").awaitTermination()
+    got = {(r.k, r.seq) for r in corrected(spark.read.parquet(f"{folder}/first")).collect()}
+    want = {}
+    for k, seq, _ in rows:
+        want[k] = min(seq, want.get(k, seq))
+    assert got == set(want.items())
