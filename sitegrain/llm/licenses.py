@@ -29,7 +29,7 @@ PHRASES = (
     (("apache", "license"), "apache"),
     (("general", "public", "license"), "gpl"),
 )
-# Short forms and opening sentences of public license notices.
+# Short forms, opening sentences and whole texts of public license notices.
 TEMPLATES = (
     ("mit", "Released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -46,11 +46,45 @@ TEMPLATES = (
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
             "the following conditions are met"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    # Whole notices.
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+            "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+            "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
+            "notice and this permission notice shall be included in all copies or substantial portions of the Software. THE "
+            "SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+            "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+            "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+            "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("apache", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
+               "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless "
+               "required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+               "\"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+               "specific language governing permissions and limitations under the License."),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+            "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+            "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+            "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more "
+            "details. You should have received a copy of the GNU General Public License along with this program. If not, see "
+            "https://www.gnu.org/licenses/."),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+            "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+            "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+            "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+            "distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+            "promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY "
+            "THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, "
+            "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+            "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+            "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+            "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT "
+            "(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+            "POSSIBILITY OF SUCH DAMAGE."),
 )
 LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 THRESHOLD = 0.9
-STRIDES = (16, 64)  # a template belongs to the first stride that holds its words; a block is two strides long
+STRIDE = 16  # the smallest stride; a template belongs to the first of 16, 64, 256, ... that holds its words, a block is two strides long
 
 
 def words_of(text: str) -> list[str]:
@@ -58,6 +92,13 @@ def words_of(text: str) -> list[str]:
     return re.findall(LETTERS, text.lower())
 
 
+def stride_of(text: str) -> int:
+    stride = STRIDE
+    while stride < len(words_of(text)):
+        stride *= 4
+    return stride
+
+
 def required(size: int, threshold: float) -> int:
     return math.ceil(size * threshold - 1e-9)
 
@@ -79,9 +120,8 @@ def template_rows(frequency: dict[str, int], threshold: float = THRESHOLD, templ
     """(template, label, stride, words rarest first, required) of each template."""
     rows = []
     for i, (label, text) in enumerate(templates):
-        words = words_of(text)
-        ordered = sorted(set(words), key=lambda w: (frequency[w], w))
-        rows.append((i, label, next(s for s in STRIDES if len(words) <= s), ordered, required(len(ordered), threshold)))
+        ordered = sorted(set(words_of(text)), key=lambda w: (frequency[w], w))
+        rows.append((i, label, stride_of(text), ordered, required(len(ordered), threshold)))
     return rows
 
 
@@ -117,7 +157,7 @@ def scan_licenses(spark: SparkSession, docs: DataFrame, threshold: float = THRES
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     rows = template_rows(word_frequency(docs, vocabulary(templates)), threshold, templates)
     prefix = {i: words[: len(words) - need + 1] for i, _, _, words, need in rows}
-    prefixes = {s: sorted({w for i, _, stride, _, _ in rows if stride == s for w in prefix[i]}) for s in STRIDES}
+    prefixes = {s: sorted({w for i, _, stride, _, _ in rows if stride == s for w in prefix[i]}) for s in sorted({row[2] for row in rows})}
     prefixes = {s: tokens for s, tokens in prefixes.items() if tokens}
     index = F.broadcast(spark.createDataFrame(
         [(stride, token, label, words, place, need)
@@ -179,10 +219,11 @@ def scan_licenses(spark: SparkSession, docs: DataFrame, threshold: float = THRES
 def oracle_sql(threshold: float = THRESHOLD, templates=TEMPLATES) -> str:
     """The same result in SQL, every block compared with every template."""
     values = ", ".join(
-        f"({i}, '{label}', {next(s for s in STRIDES if len(words_of(t)) <= s)}, {sorted(set(words_of(t)))}, "
+        f"({i}, '{label}', {stride_of(t)}, {sorted(set(words_of(t)))}, "
         f"{len(set(words_of(t)))}, {required(len(set(words_of(t))), threshold)})"
         for i, (label, t) in enumerate(templates)
     )
+    strides = ", ".join(f"({s})" for s in sorted({stride_of(t) for _, t in templates}))
     phrases = ", ".join(f"({list(p)}, '{label}')" for p, label in PHRASES)
     return f"""
 with d as (
@@ -196,7 +237,7 @@ places as (
   select doc_id, count(*) as n_base, min(pos) as first_word, max(pos) as last_word, list(distinct label) as labels from places group by doc_id
 ), b as (
   select distinct doc_id, stride, pos // stride - k as block, word
-  from w, (values (16), (64)) s(stride), (values (0), (1)) o(k) where pos // stride - k >= 0
+  from w, (values {strides}) s(stride), (values (0), (1)) o(k) where pos // stride - k >= 0
 ), m as (
   select doc_id, tpl.i, tpl.label, tpl.size, tpl.need, block, count(*) as hit
   from b join tpl on b.stride = tpl.stride and list_contains(tpl.ws, b.word) group by all

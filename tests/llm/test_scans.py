@@ -101,6 +101,18 @@ def test_license_join_finds_every_block(spark):
     assert found[100] == found[101] == ("", "", 0.0)
 
 
+@pytest.mark.parametrize("size", [64, 65, 300])
+def test_license_templates_of_any_length(spark, size):
+    """A notice of ``size`` words is found with a tenth of them missing, across any block border, and not with more."""
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(size)]
+    templates = (*licenses.TEMPLATES[:2], ("own", " ".join(words)))
+    few = [w for i, w in enumerate(words) if i % 11]
+    rows = [(k, "x " * (k * 37) + " ".join(few if k % 2 else words), "a") for k in range(12)]
+    rows += [(50, " ".join(w for i, w in enumerate(words) if i % 5), "a"), (51, " ".join(words[:size // 2]), "a")]
+    found = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(spark, rows_of(spark, rows), templates=templates).collect()}
+    assert found == {**dict.fromkeys(range(12), "own"), 50: "", 51: ""}
+
+
 def test_quality_policies_and_ablation(spark, odd):
     rows = quality.ledger(odd).cache()
     kept = rows.where(quality.passes("v1")).count()
