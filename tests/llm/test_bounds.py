@@ -11,6 +11,7 @@ COLLECTS = {
     "packing.py": 2,  # source names and totals, QUEUES at most
     "pii.py": 2,  # two classes; 101 score bins for each of two generators
     "secret_scan.py": 1,  # 2 x 94 x 94 transitions
+    "trie.py": 1,  # splitters: fewer than shards, each cut at SPLITTER_TURNS
     "toxicity.py": 1,  # weights, 2 ** BITS at most
 }
 

@@ -1,5 +1,6 @@
 """Dedup, mixing, packing, token counts, toxicity and the pipeline against plain counterparts."""
 
+import hashlib
 import math
 import random
 from functools import reduce
@@ -53,6 +54,29 @@ def test_exact_dedup(spark, odd, none, weak):
     assert exact_dedup.exact_dedup(spark, none).count() == 0
 
 
+def test_the_state_decides(spark, odd, monkeypatch):
+    """The row that stays and the size of a group are those of the stream's state."""
+    real = exact_dedup.digest_state
+
+    def other(*args, **kwargs):
+        state = real(*args, **kwargs)
+        keeper = F.col("keeper").withField("doc_id", F.lit(-7).cast("long"))
+        return state.withColumn("keeper", keeper).withColumn("rows", F.when(F.col("rows") > 1, F.col("rows") + 100).otherwise(F.col("rows")))
+
+    monkeypatch.setattr(exact_dedup, "digest_state", other)
+    want = classes(ODD)
+    for r in exact_dedup.exact_dedup(spark, odd).collect():
+        size = next(n for t, (_, n) in want.items() if hashlib.sha256(t.encode()).hexdigest() == r["text_sha256"])
+        assert (r["keep_id"], r["group_size"]) == ((-7, size + 100) if size > 1 else (r["doc_id"], 1))
+
+
+def test_hits_are_found_by_the_bitmap(spark):
+    rows = spark.range(3000).select(F.md5(F.col("id").cast("string")).alias("key"), "id")
+    got = exact_dedup.among(rows, rows.where("id % 7 = 0").select("key"))
+    assert sorted(r["id"] for r in got.collect()) == list(range(0, 3000, 7)) and got.columns == rows.columns
+    assert exact_dedup.among(rows, rows.where("false").select("key")).count() == 0
+
+
 def test_state_goes_on(spark, odd, tmp_path):
     """A second run over the same checkpoint takes new files only, and remembers the old ones."""
     source, held = str(tmp_path / "rows"), str(tmp_path / "state")
