@@ -19,7 +19,7 @@ from sitegrain.llm.simhash import drop_near_duplicates
 from sitegrain.llm.toxicity import drop_toxic
 
 # The Python workers that pack have run the other stages before, so they keep less than by default.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
