@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 BLANK = r"[\s\x1c-\x1f]"
 NUMBER = r"[0-9]+(?:[.,][0-9]+)?"
 # The spellings of "no single year" on a label.
-NON_VINTAGE_PATTERN = "non[- ]vintage"
+NON_VINTAGE = ("non-vintage", "non vintage")
 NON_VINTAGE_SHORT = "nv"
 
 
@@ -71,7 +71,9 @@ def first_year(c: Column) -> Column:
 def vintage_year(c: Column) -> Column:
     """The year on a label; null where the label says the wine has none."""
     low = F.lower(c)
-    none = low.rlike(NON_VINTAGE_PATTERN) | (strip(low) == NON_VINTAGE_SHORT)
+    none = strip(low) == NON_VINTAGE_SHORT
+    for spelling in NON_VINTAGE:
+        none = none | low.contains(spelling)
     return F.when(~none, first_year(c))
 
 

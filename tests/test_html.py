@@ -163,4 +163,4 @@ def test_large_pages_cost_in_proportion(spark):
     got = {r.page_id: r for r in extract_pages(pages, rules).collect()}
     assert (len(got[1].products), len(got[1].media), len(got[2].media)) == (16_000, 16_000, 25_000)
     assert got[1].products[77].name == "n77" and got[1].products[77].product_url.endswith("/77")
-    assert time.time() - start < 60
+    assert time.time() - start < 200  # minutes or hours if anything were compared in pairs
