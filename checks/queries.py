@@ -26,6 +26,7 @@ from sitegrain.operators import routing as RT
 from sitegrain.operators import upsert as UP
 from sitegrain.operators.html import Result, page_nodes
 from sitegrain.operators.product import TASTING_RULE, product_rules_of
+from sitegrain.operators.store import EntityStore
 from sitegrain.operators.registry import PythonRule, extraction_report, rule_columns
 from sitegrain.plans import ingest as P
 from sitegrain.plans.extract import extract_pages, page_rules, split_parts
@@ -835,7 +836,7 @@ def written_counts(spark, sf):
 
 # --- whole runs -----------------------------------------------------------------------
 
-def _shown(store: UP.EntityStore, spark: SparkSession) -> DataFrame:
+def _shown(store: EntityStore, spark: SparkSession) -> DataFrame:
     p = store.products.read(spark)
     return p.select(
         "name", "product_url", "source_page_url", "description", c("dosage_g_per_l").cast("double").alias("dosage"),
@@ -845,7 +846,7 @@ def _shown(store: UP.EntityStore, spark: SparkSession) -> DataFrame:
 
 @query
 def ingest_run(spark, sf):
-    store = UP.EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
+    store = EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
     P.ingest(spark, R.site_pages(spark, sf), store, R.RULES, run_id="r1", now=_now())
     return _shown(store, spark)
 
@@ -853,7 +854,7 @@ def ingest_run(spark, sf):
 @query
 def run_errors(spark, sf):
     """What a run could not read is kept in its store."""
-    store = UP.EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
+    store = EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
     P.ingest(spark, R.product_pages(spark, sf), store, R.RULES, run_id="r1", now=_now())
     return store.notes("errors").select("page_id", "url", "stage", "message")
 
@@ -862,7 +863,7 @@ def run_errors(spark, sf):
 def media_upsert(spark, sf):
     """Media of two runs: the second replaces rows of the first, and in a run the first one stays."""
     k = c("p_partkey")
-    store = UP.EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
+    store = EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
     for run, batch, text in (("r1", 0, "a"), ("r2", 0, "b"), ("r2", 1, "c")):
         share = {"a": k % 3 != 0, "b": k % 3 != 1, "c": k % 2 == 0}[text]
         rows = table(spark, sf, "part").select(
@@ -877,7 +878,7 @@ def media_upsert(spark, sf):
 def batch_flushes(spark, sf):
     """Batches written by a run, and records handed to the writer after in-run dedupe."""
     k, none = c("p_partkey"), P.process_pages(R.house_pages(spark, sf).where("false"), R.RULES).parts
-    store = UP.EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
+    store = EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
     for batch in range(3):
         rows = table(spark, sf, "part").where(k % 3 >= batch).select(
             k.alias("page_id"), k.alias("seq"), F.lit(0).alias("pos"), F.lit("image").alias("media_type"),
@@ -890,9 +891,9 @@ def batch_flushes(spark, sf):
 
 @query
 def ingest_house(spark, sf):
-    store = UP.EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
+    store = EntityStore(spark, work_dir(spark, "store"), R.RULES, buckets=8)
     P.ingest(spark, R.house_pages(spark, sf), store, R.RULES, run_id="r1", now=_now())
-    w = store.wineries.read(spark)
+    w = store.houses()
     return w.select(
         "name", "website_url", F.size("history_timeline").cast("long").alias("milestones"), F.size("family_spirit").cast("long").alias("members"),
         "description", "source_page_url",
@@ -904,7 +905,7 @@ def stream_ingest_run(spark, sf):
     """The run of ``ingest_run`` as a stream of page files: the store must end up the same."""
     folder = work_dir(spark, "arriving")
     R.site_pages(spark, sf).repartition(16, "page_id").write.parquet(f"{folder}/pages")
-    store = UP.EntityStore(spark, f"{folder}/store", R.RULES, buckets=8)
+    store = EntityStore(spark, f"{folder}/store", R.RULES, buckets=8)
     pages = stream_pages(spark, f"{folder}/pages", PAGE_SCHEMA, files_per_batch=8)
     stream_ingest(pages, store, f"{folder}/checkpoint", "r1", R.RULES, _now()).awaitTermination()
     return _shown(store, spark).select("product_url", "has_house")
@@ -915,7 +916,7 @@ def stream_run_errors(spark, sf):
     """The errors of all micro-batches are those of one run."""
     folder = work_dir(spark, "arriving")
     R.product_pages(spark, sf).repartition(4, "page_id").write.parquet(f"{folder}/pages")
-    store = UP.EntityStore(spark, f"{folder}/store", R.RULES, buckets=8)
+    store = EntityStore(spark, f"{folder}/store", R.RULES, buckets=8)
     pages = stream_pages(spark, f"{folder}/pages", PAGE_SCHEMA, files_per_batch=2)
     stream_ingest(pages, store, f"{folder}/checkpoint", "r1", R.RULES, _now()).awaitTermination()
     return store.notes("errors").select("page_id", "url", "stage", "message")

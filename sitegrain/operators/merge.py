@@ -45,7 +45,7 @@ def merge_map(old: Column, new: Column) -> Column:
     return let(F.coalesce(old, nothing), build)
 
 
-def _item_key(item: Column, fields: Sequence[str]) -> list[Column]:
+def item_key(item: Column, fields: Sequence[str]) -> list[Column]:
     return [strip(F.coalesce(item[f].cast("string"), F.lit(""))) for f in fields]
 
 
@@ -56,7 +56,7 @@ def merge_list(old: Column, new: Column, fields: Sequence[str] = TIMELINE_KEY) -
         return F.array_sort(
             F.transform(
                 items,
-                lambda x, i: F.struct(F.struct(*_item_key(x, fields)).alias("key"), i.alias("place"), x.alias("item")),
+                lambda x, i: F.struct(F.struct(*item_key(x, fields)).alias("key"), i.alias("place"), x.alias("item")),
             )
         )
 
@@ -91,7 +91,7 @@ def last_non_empty(value: Column, order: Column, kind: T.DataType | None = None)
 def union_lists(rows: DataFrame, key: str, items: str, order: Column, fields: Sequence[str]) -> DataFrame:
     """``key, items``: all lists of a key in order, the first item of each item key only."""
     single = rows.select(key, order.alias("o"), F.posexplode(items).alias("i", "item"))
-    keys = [k.alias(f"k{n}") for n, k in enumerate(_item_key(F.col("item"), fields))]
+    keys = [k.alias(f"k{n}") for n, k in enumerate(item_key(F.col("item"), fields))]
     firsts = (
         single.select(key, *keys, F.struct("o", "i", "item").alias("s"))
         .groupBy(key, *[f"k{n}" for n in range(len(fields))])
@@ -137,7 +137,7 @@ def merge_records(rows: DataFrame, key: str, order: Column, scalars: Sequence[st
     types = {"record": rows.select(record).schema[0].dataType}
     types |= {f"item_{c}": kinds[c].elementType for c in lists} | {f"value_{c}": kinds[c].valueType for c in maps}
     def listed(tag: int, c: str) -> Column:
-        return F.transform(c, lambda x, i: tagged(tag, _item_key(x, lists[c]), i, **{f"item_{c}": x}))
+        return F.transform(c, lambda x, i: tagged(tag, item_key(x, lists[c]), i, **{f"item_{c}": x}))
 
     def mapped(tag: int, c: str) -> Column:
         entries = F.filter(F.map_entries(c), lambda e: filled(e.value))

@@ -11,16 +11,10 @@ from pyspark.sql import types as T
 from sitegrain.functions.text import name_key, strip
 from sitegrain.functions.urls import normalize_media_url
 from sitegrain.operators.merge import (
-    dedupe_media, group_products, group_wineries, merge_awards, merge_list,
-    merge_map, merge_scalar, required,
+    dedupe_media, merge_awards, merge_list, merge_map, merge_scalar, required,
 )
 from sitegrain.rules import SiteRules
-from sitegrain.schemas import MEDIA, PRODUCT, PRODUCT_DETAILS, PRODUCT_NUMBERS, WINERY
-from sitegrain.session import work_dir
-from sitegrain.sources.tables import Table, exists
-
-# Media rows remember the run that wrote them: within a run the first one stays.
-STORED_MEDIA = T.StructType([*MEDIA.fields, T.StructField("run_id", T.StringType())])
+from sitegrain.schemas import PRODUCT, PRODUCT_DETAILS, PRODUCT_NUMBERS, WINERY
 
 
 def stable_id(key: Column) -> Column:
@@ -65,7 +59,7 @@ def resolve_parent(products: DataFrame, default_id: DataFrame) -> DataFrame:
     return products.withColumn("winery_id", F.coalesce(own, default_id.scalar())).where("winery_id is not null")
 
 
-def _stamps(old: str | None, now: Column, refresh: bool) -> list[Column]:
+def stamps(old: str | None, now: Column, refresh: bool) -> list[Column]:
     if old is None:
         return [now.alias("created_at"), now.alias("updated_at")]
     updated = now if refresh else F.coalesce(F.col(f"{old}.updated_at"), now)
@@ -91,7 +85,7 @@ def merge_wineries(batch: DataFrame, stored: DataFrame, now: Column, refresh: bo
         F.coalesce(F.when(F.col("b.name") == F.col("e.name"), F.col("e.id")), stable_id(F.col("b.name"))).alias("id"),
         "b.name",
         *[merged(c, merge_scalar) for c in ("website_url", "source_page_url", "description")],
-        merged("family_spirit", merge_map), merged("history_timeline", merge_list), *_stamps("e", now, refresh),
+        merged("family_spirit", merge_map), merged("history_timeline", merge_list), *stamps("e", now, refresh),
     )
     rest = stored.join(found.select("name"), "name", "left_anti").select(*WINERY.fieldNames())
     return _typed(found, WINERY).unionByName(rest)
@@ -116,16 +110,16 @@ def merge_products(batch: DataFrame, stored: DataFrame, now: Column, refresh: bo
         .otherwise(merge_awards(F.col("e.awards_and_ratings"), F.col("b.awards_and_ratings")))
     )
     details = [awards.alias(c) if c == "awards_and_ratings" else merged(c) for c in PRODUCT_DETAILS]
-    stamps = _stamps("e", now, refresh)
+    times = stamps("e", now, refresh)
     if refresh:
-        stamps[1] = F.when(new, now).otherwise(F.col("e.updated_at")).alias("updated_at")
+        times[1] = F.when(new, now).otherwise(F.col("e.updated_at")).alias("updated_at")
     return _typed(
         both.select(
             F.coalesce("e.id", stable_id(F.col("b.url_key"))).alias("id"),
             F.coalesce("b.winery_id", "e.winery_id").alias("winery_id"),
             F.coalesce("b.name", "e.name").alias("name"),
             F.coalesce("b.url_key", "e.product_url").alias("product_url"),
-            merged("source_page_url"), *details, *stamps,
+            merged("source_page_url"), *details, *times,
         ),
         PRODUCT,
     )
@@ -161,119 +155,7 @@ def prepare_media(parts: DataFrame) -> DataFrame:
     return first.withColumn("url", normalize_media_url(F.col("url")))
 
 
-class EntityStore:
-    """The three entity tables, the list of pages a run has processed, and the batches taken. One writer at a time."""
-
-    def __init__(self, spark: SparkSession, path: str, rules: SiteRules, buckets: int = 64) -> None:
-        self.spark, self.rules, self.path = spark, rules, path
-        pages = T.StructType().add("canon", "string").add("run_id", "string").add("page_id", "long").add("batch_id", "long")
-        self.wineries = Table(f"{path}/wineries", WINERY, "name", max(1, buckets // 8))
-        self.products = Table(f"{path}/products", PRODUCT, "product_url", buckets)
-        self.media = Table(f"{path}/media", STORED_MEDIA, "url", buckets)
-        self.pages = Table(f"{path}/pages", pages, "canon", buckets)
-
-    def taken(self, table: Table, run_id: str, batch_id: int) -> bool:
-        """Whether the table took this batch of the run, or a later one."""
-        folder = f"{self.path}/batches"
-        if not exists(self.spark, folder):
-            return False
-        rows = self.spark.read.schema("path string, run_id string, batch_id long").parquet(folder)
-        mine = (F.col("path") == table.path) & (F.col("run_id") == run_id) & (F.col("batch_id") >= batch_id)
-        return not rows.where(mine).isEmpty()
-
-    def take(self, table: Table, run_id: str, batch_id: int) -> None:
-        """Remember that the table took the batch."""
-        row = self.spark.createDataFrame([(table.path, run_id, batch_id)], "path string, run_id string, batch_id long")
-        row.coalesce(1).write.mode("append").parquet(f"{self.path}/batches")
-
-    def _upsert(self, table: Table, run_id: str, batch_id: int, merge: Callable[[], tuple[DataFrame, list[int]]]) -> bool:
-        """Merge a batch into the table; returns whether it was taken: one stored before is not.
-
-        The merged buckets are written aside first. A run that ends while they are moved into place
-        is completed from there when the batch comes again; its old rows are not needed any more.
-        """
-        if self.taken(table, run_id, batch_id):
-            return False
-        aside = f"{table.path}-merged/{run_id}-{batch_id}"
-        if not exists(self.spark, f"{aside}/touched/_SUCCESS"):
-            rows, touched = merge()
-            rows.write.mode("overwrite").parquet(f"{aside}/rows")
-            marks = self.spark.createDataFrame([(b,) for b in touched], "bucket int")
-            marks.coalesce(1).write.mode("overwrite").parquet(f"{aside}/touched")
-        else:
-            touched = [r.bucket for r in self.spark.read.parquet(f"{aside}/touched").collect()]
-        table.replace(self.spark.read.schema(table.schema).parquet(f"{aside}/rows"), touched)
-        self.take(table, run_id, batch_id)
-        return True
-
-    def _stored(self, batch: DataFrame) -> DataFrame:
-        """A batch is read twice: for the buckets it touches, and for the merge."""
-        folder = work_dir(self.spark, "batch")
-        batch.write.parquet(folder)
-        return self.spark.read.schema(batch.schema).parquet(folder)
-
-    def upsert_wineries(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> bool:
-        def merge() -> tuple[DataFrame, list[int]]:
-            batch = self._stored(group_wineries(parts))
-            touched = self.wineries.touched(batch.select("name"), batch.select(strip(F.col("name")).alias("name")))
-            return merge_wineries(batch, self.wineries.read(self.spark, touched), _now(now)), touched
-
-        return self._upsert(self.wineries, run_id, batch_id, merge)
-
-    def upsert_products(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> bool:
-        def merge() -> tuple[DataFrame, list[int]]:
-            default = default_winery_id(winery_ids(self.wineries.read(self.spark)), self.rules)
-            batch = self._stored(resolve_parent(group_products(parts), default))
-            touched = self.products.touched(batch.select("url_key"))
-            return merge_products(batch, self.products.read(self.spark, touched), _now(now)), touched
-
-        return self._upsert(self.products, run_id, batch_id, merge)
-
-    def upsert_media(self, parts: DataFrame, run_id: str, batch_id: int, now: Column | None = None) -> bool:
-        def merge() -> tuple[DataFrame, list[int]]:
-            batch = self._stored(prepare_media(parts))
-            touched = self.media.touched(batch.select("url"))
-            return merge_media(batch, self.media.read(self.spark, touched), _now(now), run_id), touched
-
-        return self._upsert(self.media, run_id, batch_id, merge)
-
-    def note(self, name: str, rows: DataFrame, run_id: str, batch_id: int) -> None:
-        """Keep what a batch reports (errors, overflows, links); a batch that has been kept whole is left alone."""
-        folder = f"{self.path}/{name}/run_id={run_id}/batch_id={batch_id}"
-        if not exists(self.spark, f"{folder}/_SUCCESS"):
-            rows.write.mode("overwrite").parquet(folder)
-
-    def notes(self, name: str) -> DataFrame:
-        """All rows kept under a name, with run_id and batch_id."""
-        return self.spark.read.parquet(f"{self.path}/{name}")
-
-    def flushes(self) -> DataFrame:
-        """Per run the batches written, and the records handed to the writer by entity."""
-        return self.notes("flushes").groupBy("run_id").agg(
-            F.count_distinct("batch_id").alias("batch_flushes"), *[F.sum(f"written_{n}").alias(f"written_{n}") for n in ("wineries", "products", "media")]
-        )
-
-    def delete_wineries(self, ids: DataFrame, run_id: str, batch_id: int = 0) -> None:
-        """Remove houses and, with them, their products.
-
-        Houses go last: if a run ends in between, the same call finishes the job.
-        """
-        def products() -> tuple[DataFrame, list[int]]:
-            return delete_cascade(self.products.read(self.spark), ids), list(range(self.products.buckets))
-
-        def wineries() -> tuple[DataFrame, list[int]]:
-            left = self.wineries.read(self.spark).join(ids.select("id"), "id", "left_anti")
-            return left.select(*WINERY.fieldNames()), list(range(self.wineries.buckets))
-
-        self._upsert(self.products, run_id, batch_id, products)
-        self._upsert(self.wineries, run_id, batch_id, wineries)
-
-
 def delete_cascade(products: DataFrame, deleted_ids: DataFrame) -> DataFrame:
     """Products whose house stays. Orphans without any house stay, too."""
     gone = deleted_ids.select(F.col("id").alias("winery_id"))
     return products.join(gone, "winery_id", "left_anti").select(*products.columns)
-
-
-def _now(now: Column | None) -> Column:
-    return F.current_timestamp() if now is None else now

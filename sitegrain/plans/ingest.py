@@ -12,7 +12,8 @@ from sitegrain.operators.frontier import Closure, expand_frontier
 from sitegrain.operators.inspection import overflowing_numbers
 from sitegrain.operators.merge import dedupe_media, dedupe_products, dedupe_wineries
 from sitegrain.operators.routing import first_per_final_url
-from sitegrain.operators.upsert import EntityStore, seed_winery
+from sitegrain.operators.store import EntityStore
+from sitegrain.operators.upsert import seed_winery
 from sitegrain.plans.extract import Parts, extract_pages, split_parts
 from sitegrain.rules import SiteRules
 from sitegrain.session import work_dir

@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sitegrain.operators.metrics import LATENCIES_KEPT, attempt_counts, latest, with_rates
 from sitegrain.operators.routing import first_per_final_url
-from sitegrain.operators.upsert import EntityStore, seed_winery
+from sitegrain.operators.store import EntityStore
+from sitegrain.operators.upsert import seed_winery
 from sitegrain.plans.extract import Parts, extract_pages, split_parts
 from sitegrain.plans.ingest import materialize, store_parts
 from sitegrain.rules import SiteRules

@@ -3,9 +3,13 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from sitegrain.operators.upsert import EntityStore, delete_cascade
-from sitegrain.plans.ingest import ingest, process_pages, store_parts
+from sitegrain.operators.store import EntityStore
+from sitegrain.operators.upsert import delete_cascade, merge_wineries
+from sitegrain.operators import houses as H
+from sitegrain.operators.merge import group_wineries
+from sitegrain.plans.ingest import ingest, materialize, process_pages, store_parts
 from sitegrain.rules import SiteRules
+from sitegrain.schemas import WINERY
 from sitegrain.session import work_dir
 from sitegrain.sources.pages import PAGE_SCHEMA, stream_pages
 from sitegrain.sources.tables import Table
@@ -28,7 +32,7 @@ def _store(spark):
 def _content(spark, store):
     sort = lambda df, key: [str(r) for r in df.orderBy(key).collect()]
     media = store.media.read(spark).drop("run_id")
-    return sort(store.wineries.read(spark), "name"), sort(store.products.read(spark), "product_url"), sort(media, "url")
+    return sort(store.houses(), "name"), sort(store.products.read(spark), "product_url"), sort(media, "url")
 
 
 @pytest.fixture(scope="module")
@@ -41,7 +45,7 @@ def batch_result(spark):
 def test_batch_run(spark, batch_result):
     store, (wineries, products, media) = batch_result
     assert len(wineries) == 1 and len(products) == 4
-    w = store.wineries.read(spark).first()
+    w = store.houses().first()
     assert w.description == "Some text note and more" and len(w.history_timeline) == 4 and set(w.family_spirit) == {"Jean-claude Foo", "B"}
     assert {r.winery_id for r in store.products.read(spark).collect()} == {w.id}
 
@@ -147,7 +151,39 @@ def test_deleting_all_houses_empties_the_tables(spark):
     store = _store(spark)
     ingest(spark, page_snapshot(spark), store, RULES, "r", now=_now())
     store.delete_wineries(store.wineries.read(spark).select("id"), "gone")
-    assert store.wineries.read(spark).count() == 0 and store.products.read(spark).count() == 0
+    tables = (store.wineries, store.products, store.milestones, store.members)
+    assert [t.read(spark).count() for t in tables] == [0, 0, 0, 0]
+
+
+def test_houses_as_child_rows_are_those_merged_whole(spark):
+    """Batches of odd houses through the child tables, and through ``merge_wineries``, which holds lists and maps."""
+    part = "page_id long, seq long, pos int, name string, website_url string, source_page_url string, description string, " \
+        "family_spirit map<string,string>, history_timeline array<struct<year:string,event:string>>"
+    twice = [("1900", "a"), ("1900 ", " a"), ("1900", "a")]
+    batches = [
+        [("A", "", {"x": "", "y": "1"}, twice), ("B", "d", {}, [("1", "b"), ("2", "c")]), ("b ", None, {"z": None, "w": "q"}, [("2", "c"), ("3", "d")])],
+        [("A", "new", {"x": "", "y": "", "v": ""}, []), (" B", "e", {"w": "r"}, [("3", "d"), ("4", None)]), ("C", None, {}, twice)],
+        [("C", None, {"m": "n"}, [("1950", "z"), *twice]), ("A", None, {"x": "2"}, [("1800", "first"), ("1900", "a")]), ("D", None, None, None)],
+    ]
+    store, whole, seq = _store(spark), None, 0
+    whole = spark.createDataFrame([], WINERY)
+    for n, batch in enumerate(batches):
+        rows = [(seq + i, seq + i, 0, name, "w", f"p{seq + i}", d, m, t) for i, (name, d, m, t) in enumerate(batch)]
+        seq += len(batch)
+        parts = spark.createDataFrame(rows, part)
+        assert store.upsert_wineries(parts, "r", n, _now()) is True
+        assert store.upsert_wineries(parts, "r", n, _now()) is False
+        whole = materialize(merge_wineries(group_wineries(parts), whole, _now()), "test")
+        shown = lambda df: sorted((r.id, r.name, r.description, r.source_page_url, sorted(r.family_spirit.items(), key=str), [tuple(m) for m in r.history_timeline]) for r in df.collect())
+        assert shown(store.houses()) == shown(whole)
+
+
+def test_no_list_is_collected_on_the_way_into_the_store(spark):
+    parts = process_pages(page_snapshot(spark).where("false"), RULES).parts.winery
+    rows = H.keyed(parts)
+    batch = H.heads(rows)
+    for df in (batch, H.milestones(rows, batch, 0), H.members(rows, batch)):
+        assert "collect_list" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_a_reused_run_says_so_and_losses_are_kept(spark):
