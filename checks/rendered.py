@@ -118,15 +118,15 @@ def french_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 def listing_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Listings of ten parts each; some cards lack a title or a product link."""
-    part = table(spark, sf, "part")
     k = F.col("p_partkey")
+    part = spread(table(spark, sf, "part").withColumn("n", F.floor(k / CARDS_PER_LIST)), "n")
     href = _if(k % 6 == 1, _html("/other/", k), _html("/en/champagnes-et-cuvees/part-", k, "?from=list"))
     card = _html(
         '<div data-elementor-type="loop-item"><p class="elementor-heading-title"><a href="', href, '">',
         _if(k % 7 == 0, " ", F.col("p_name")), '</a></p><div class="elementor-widget-text-editor"><p>listed ',
         F.col("p_type"), '</p></div><img src="/img/', k, '-card.jpg"><img src="/img/', k, '-card.jpg"></div>',
     )
-    lists = part.groupBy(F.floor(k / CARDS_PER_LIST).alias("n")).agg(
+    lists = part.groupBy("n").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), card.alias("c")))), lambda s: s.c), "\n").alias("cards")
     )
     html = _html('<html lang="en"><body>', F.col("cards"), '<a href="/en/">home</a><a href="https://elsewhere.org/">x</a></body></html>')
