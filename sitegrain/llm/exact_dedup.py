@@ -3,8 +3,8 @@
 Rows become a narrow stream of digest, identifier and locator. A streaming aggregation with
 RocksDB state that never expires keeps, for each digest, the row that stays and the number of
 rows seen; the state is then read as a table, and decides. Digests seen more than once are hits:
-their texts, found through a bitmap of the hits, are compared byte by byte, and only where one
-digest has several texts these are told apart by their bytes.
+their texts are compared byte by byte, and only where one digest has several texts these are told
+apart by their bytes.
 
 Defined results: a null text is an empty one; a null ``doc_id`` counts as smaller than any other;
 of rows that share text and ``doc_id`` (repeated rows) every one reports the same decision, and
@@ -20,7 +20,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrain.llm.common import join_groups, keep_rows, stored, whole_text
+from sitegrain.llm.common import keep_rows, stored, whole_text
 from sitegrain.session import work_dir
 
 ROCKSDB = {
@@ -33,9 +33,6 @@ ROCKSDB = {
 }
 
 
-BITS = 1 << 25  # of the bitmap of hits, 4 MB
-
-
 @contextmanager
 def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
     before = {k: spark.conf.get(k, None) for k in wanted}
@@ -108,17 +105,6 @@ def digest_state(
         )
 
 
-def among(rows: DataFrame, hits: DataFrame) -> DataFrame:
-    """The rows whose ``key`` is one of ``hits``. Most others go before the shuffle, by a broadcast bitmap of bounded size."""
-    place = F.pmod(F.xxhash64("key"), F.lit(BITS)) + 1
-    bucket = F.bitmap_bucket_number(place).alias("bucket")
-    maps = hits.groupBy(bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    bit = F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    near = rows.withColumn("bucket", bucket).join(F.broadcast(maps), "bucket").where(F.getbit(byte, (bit % 8).cast("int")) == 1)
-    return near.drop("bucket", "bits").join(hits, "key", "left_semi")
-
-
 def exact_dedup(
     spark: SparkSession, docs: DataFrame, key: Callable[[Column], Column] = sha_key,
     locator: Column | None = None, files_per_batch: int | None = None,
@@ -140,7 +126,7 @@ def exact_dedup(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).withColumn(
         "key", key(F.unhex(F.sha2("text", 256)))
     )
-    classes = among(texts, groups.select("key")).groupBy("key", "text").agg(
+    classes = texts.join(state.where("rows > 1").select("key"), "key", "left_semi").groupBy("key", "text").agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
     clashes = stored(spark, classes.groupBy("key").count().where("count > 1").select("key"), "dedup-clashes")
@@ -152,9 +138,9 @@ def exact_dedup(
         F.lower(F.hex("sha")).alias("text_sha256"),
     ]
     if clashes.isEmpty():
-        return join_groups(rows, groups, "key", "group_size", rows.count()).select(*columns)
+        return rows.join(groups, "key", "left").select(*columns)
     # One digest, several texts: these few rows are matched by their whole text.
-    clear = join_groups(rows.join(clashes, "key", "left_anti"), groups, "key", "group_size", rows.count())
+    clear = rows.join(clashes, "key", "left_anti").join(groups, "key", "left")
     apart = texts.join(clashes, "key", "left_semi").join(classes, ["key", "text"]).withColumn("sha", F.unhex(F.sha2("text", 256)))
     return clear.select(*columns).unionByName(apart.select(*columns))
 

@@ -70,13 +70,6 @@ def test_the_state_decides(spark, odd, monkeypatch):
         assert (r["keep_id"], r["group_size"]) == ((-7, size + 100) if size > 1 else (r["doc_id"], 1))
 
 
-def test_hits_are_found_by_the_bitmap(spark):
-    rows = spark.range(3000).select(F.md5(F.col("id").cast("string")).alias("key"), "id")
-    got = exact_dedup.among(rows, rows.where("id % 7 = 0").select("key"))
-    assert sorted(r["id"] for r in got.collect()) == list(range(0, 3000, 7)) and got.columns == rows.columns
-    assert exact_dedup.among(rows, rows.where("false").select("key")).count() == 0
-
-
 def test_state_goes_on(spark, odd, tmp_path):
     """A second run over the same checkpoint takes new files only, and remembers the old ones."""
     source, held = str(tmp_path / "rows"), str(tmp_path / "state")
