@@ -389,8 +389,9 @@ def _months(url: str, paragraphs: list) -> Result:
 
 
 def _with_rule(spark: SparkSession, sf: str, name: str, field: str, read: Callable) -> DataFrame:
+    """Pages read with one more rule, written: several parts of the result are used, the bodies are parsed once."""
     rule = PythonRule(name, {field: "string"}, ((SR.PRODUCT_DESCRIPTION,),), read)
-    return extract_pages(R.product_pages(spark, sf), R.RULES, (*product_rules_of(R.RULES), rule))
+    return P.materialize(extract_pages(R.product_pages(spark, sf), R.RULES, (*product_rules_of(R.RULES), rule)), "extracted")
 
 
 def _kinds(*tables: tuple[DataFrame, Column, Column]) -> DataFrame:

@@ -144,3 +144,12 @@ def test_python_rules(spark):
     assert [e.rule for e in row.rule_errors] == ["bad", "strange"] and row.rule_errors[0].message.startswith("ZeroDivisionError")
     report = {r.rule: r for r in extraction_report(snapshot.where("page_id = 40"), rules).collect()}
     assert (report["good"].filled, report["good"].media, report["good"].links, report["bad"].failed, report["absent"].applies) == (1, 1, 1, 1, 0)
+
+
+def test_a_rule_runs_once_for_all_kinds_of_its_results(spark):
+    """Fields, media and links of one extraction are read from what was written, not parsed again."""
+    from checks import queries as Q
+
+    for name in ("custom_rule", "rule_errors"):
+        plan = Q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" not in plan
