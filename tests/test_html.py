@@ -1,6 +1,7 @@
 import random
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from sitegrain import rules as R
@@ -164,3 +165,33 @@ def test_large_pages_cost_in_proportion(spark):
     assert (len(got[1].products), len(got[1].media), len(got[2].media)) == (16_000, 16_000, 25_000)
     assert got[1].products[77].name == "n77" and got[1].products[77].product_url.endswith("/77")
     assert time.time() - start < 200  # minutes or hours if anything were compared in pairs
+
+
+def test_usual_markup_is_read_as_by_the_standard_parser(monkeypatch):
+    """Pages of common and odd pieces give the same nodes and hits with and without the short way."""
+    import random
+
+    import pyarrow as pa
+
+    from sitegrain.operators import html as H
+
+    pieces = [
+        "<p>", "</p>", '<div class="a b" id=x>', "<P class='a'>", "</div>", "<br>", "<br/>", "</br>", '<img src="a?b=1&amp;c">', "<script>", "</script >",
+        "var a='</p>'", "&amp;", "&nbsp", "&#65;", "&#x41", "& ", "&T ", "&foo-", "<", "< p", "<!", "<!-- c -->", "<!--->", "<!-- a --->", "<!DOCTYPE html>",
+        "<![CDATA[x]]>", "<?php x ?>", "</>", "</p x>", '<a href="x"b>', "<a href=x/>", "<a b />", "<li", '">', "text ", "<svg:x a:b='1'>", "<p a = 1>", "<p\x0b>",
+    ]
+    pick = random.Random(1)
+    pages = ["".join(pick.choice(pieces) for _ in range(pick.randint(1, 12))) for _ in range(3000)]
+    requests = tuple(N.Hits((s,)) for s in (N.el("p", first_of_type=True), N.el(None, "a"), N.el("div", id="x"), N.el("a", has=("href",))))
+
+    def read():
+        return [c.to_pylist() for c in H._parsed(pa.array(pages), pa.nulls(len(pages), pa.string()), requests, ())]
+
+    short = read()
+    page = '<html><body><p class="a">x &amp; y</p><!-- c --><br></body></html>'
+    assert H._NodeLists(H.Matcher(requests)).page(page) is None
+    with monkeypatch.context() as m:
+        m.setattr(H._NodeLists, "feed", lambda *_: pytest.fail("usual markup needs no standard parser"))
+        assert H._NodeLists(H.Matcher(requests)).page(page) is None
+    monkeypatch.setattr(H._NodeLists, "_usual", lambda self, source: 0)
+    assert short == read()
