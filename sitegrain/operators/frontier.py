@@ -12,6 +12,7 @@ from sitegrain.functions.urls import canonical_page_url, in_scope, normalize_url
 from sitegrain.rules import SiteRules
 from sitegrain.session import work_dir
 
+# Rows carry their wave; ``step`` is the part they were written in, which holds one wave or, under a budget, many.
 FOUND = "key string, wave int"
 DONE = "canon string, page_id long, seq long, key string, wave int"
 FEW = 10_000  # so many URLs are ranked by sorting them
@@ -60,36 +61,36 @@ class Buckets:
     """Tables of the catalog over files below ``state``, bucketed by the column they are joined on.
 
     Spark joins two of them on that column without an exchange, and deals only the other side of a
-    join with anything else. Rows come in parts, one partition ``wave`` for each.
+    join with anything else. Rows come in parts, one partition ``step`` for each.
     """
 
     def __init__(self, spark: SparkSession, state: str, buckets: int):
         self.spark, self.state, self.buckets, self.tag = spark, state, buckets, uuid.uuid4().hex[:12]
         self.names: set[str] = set()
 
-    def write(self, name: str, rows: DataFrame, key: str, wave: int | None = None) -> int:
+    def write(self, name: str, rows: DataFrame, key: str, step: int | None = None) -> int:
         """Add rows and return their number."""
         counted = Observation()
-        # Above the exchange: what lies below is left out of the plan when a wave turns out empty.
+        # Above the exchange: what lies below is left out of the plan when a step turns out empty.
         dealt = rows.repartition(self.buckets, key).observe(counted, F.count(F.lit(1)).alias("n"))
-        self._append(name, dealt, key, wave)
+        self._append(name, dealt, key, step)
         return counted.get["n"]
 
     def create(self, name: str, schema: str, key: str) -> None:
-        """An empty table with a first part that no wave has."""
-        self._append(name, self.spark.createDataFrame([], schema).drop("wave"), key, -1)
+        """An empty table with a first part that no step has."""
+        self._append(name, self.spark.createDataFrame([], schema), key, -1)
 
-    def _append(self, name: str, rows: DataFrame, key: str, wave: int | None) -> None:
-        writer = (rows if wave is None else rows.withColumn("wave", F.lit(wave))).write.format("parquet")
-        if wave is not None:
-            writer = writer.partitionBy("wave")
+    def _append(self, name: str, rows: DataFrame, key: str, step: int | None) -> None:
+        writer = (rows if step is None else rows.withColumn("step", F.lit(step))).write.format("parquet")
+        if step is not None:
+            writer = writer.partitionBy("step")
         writer = writer.bucketBy(self.buckets, key).sortBy(key).option("path", f"{self.state}/{name}")
         writer.mode("append").saveAsTable(f"{name}_{self.tag}")
         self.names.add(name)
 
-    def read(self, name: str, wave: int | None = None) -> DataFrame:
+    def read(self, name: str, step: int | None = None) -> DataFrame:
         rows = self.spark.table(f"{name}_{self.tag}")
-        return rows if wave is None else rows.where(F.col("wave") == wave)
+        return rows if step is None else rows.where(F.col("step") == step)
 
     def close(self) -> None:
         """Take the tables out of the catalog; their files stay."""
@@ -131,6 +132,25 @@ def first_in_line(waiting: DataFrame, budget: int) -> DataFrame:
     return whole.select("wave", "key").unionByName(ranked.where(F.col("rank") <= budget).select("wave", "key"))
 
 
+def in_waves(line: DataFrame, budget: int, first: int, folder: str, parts: int) -> DataFrame:
+    """``key, wave``: the rows ``wave, key`` in line order, ``budget`` of them to a wave, counted from ``first``.
+
+    Dealt by ranges of the order and written, so that places are counted range by range and only the
+    sizes of the ranges reach the driver.
+    """
+    spark, order = line.sparkSession, ["wave", "hash", "key"]
+    dealt = line.withColumn("hash", F.md5("key")).repartitionByRange(parts, *order)
+    dealt.withColumn("part", F.spark_partition_id()).write.parquet(folder)
+    rows = spark.read.schema("wave int, key string, hash string, part int").parquet(folder)
+    before, offsets = 0, []
+    for part, n in sorted(tuple(r) for r in rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()):
+        offsets.append((part, before))
+        before += n
+    starts = F.broadcast(spark.createDataFrame(offsets, "part int, before long"))
+    placed = rows.withColumn("place", F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1).join(starts, "part")
+    return placed.select("key", (F.floor((F.col("before") + F.col("place")) / budget) + first).cast("int").alias("wave"))
+
+
 def expand_frontier(spark: SparkSession, pages: DataFrame, links: DataFrame, seeds: DataFrame,
                     rules: SiteRules, budget: int | None = None, state: str | None = None,
                     buckets: int | None = None) -> Closure:
@@ -140,6 +160,8 @@ def expand_frontier(spark: SparkSession, pages: DataFrame, links: DataFrame, see
     candidate pages, so HTML is read before, once. A URL enters once. Of pages with one
     canonical name only the first that is reached is processed; the others add no links.
     ``budget`` limits how many URLs one wave takes (see ``first_in_line``); the rest wait their turn.
+    What a wave finds queues behind all that wait, so the waves that those waiting fill are known
+    beforehand and are done in one step: steps grow with the depth of the links, not with the waves.
 
     The index of pages, the links, and what was found and done are bucketed by the column they are
     joined on, so a wave moves its own rows only. Each wave is written below ``state`` (the cluster's
@@ -160,29 +182,37 @@ def _expand(spark: SparkSession, tables: Buckets, pages: DataFrame, links: DataF
     scoped = links.where(in_scope(F.col("url"), rules.scope)).select("page_id", F.col("url").alias("key")).distinct()
     tables.write("links", scoped, "page_id")
     n_seeds = seeds.count()
-    waiting = tables.write("found", seeds.select("key").distinct(), "key", 0)
+    start = F.lit(0).alias("wave")
+    waiting = tables.write("found", seeds.select("key").distinct().select("key", start), "key", 0)
     tables.create("done", DONE, "canon")
     tables.create("taken", FOUND, "key")
-    wave = 0
+    step = wave = 0
     while waiting:
+        waves = 1 if budget is None else max(1, waiting // budget)
         if budget is None:
-            frontier = tables.read("found", wave)
+            frontier = tables.read("found", step)
         else:
-            left = tables.read("found").join(tables.read("taken").select("key"), "key", "left_anti")
-            waiting -= tables.write("taken", first_in_line(left, budget).select("key"), "key", wave)
-            frontier = tables.read("taken", wave)
-        first = F.min(F.struct("seq", "page_id", "key")).alias("f")
-        reached = join_pages(frontier.select("key"), tables.read("index")).groupBy("canon").agg(first)
+            left = tables.read("found").join(tables.read("taken").select("key"), "key", "left_anti").select("wave", "key")
+            head = first_in_line(left, waves * budget)
+            if waves == 1:
+                numbered = head.select("key", F.lit(wave).alias("wave"))
+            else:
+                numbered = in_waves(head, budget, wave, f"{tables.state}/line-{step}", tables.buckets)
+            waiting -= tables.write("taken", numbered, "key", step)
+            frontier = tables.read("taken", step)
+        first = F.min(F.struct("wave", "seq", "page_id", "key")).alias("f")
+        reached = join_pages(frontier.select("key", "wave"), tables.read("index")).groupBy("canon").agg(first)
         fresh = reached.join(tables.read("done").select("canon"), "canon", "left_anti")
-        tables.write("done", fresh.select("canon", "f.page_id", "f.seq", "f.key"), "canon", wave)
-        current = tables.read("done", wave).select("page_id")
-        targets = tables.read("links").join(current, "page_id", "left_semi").select("key")
-        added = tables.write("found", new_urls(targets, tables.read("found")), "key", wave + 1)
+        tables.write("done", fresh.select("canon", "f.page_id", "f.seq", "f.key", "f.wave"), "canon", step)
+        current = tables.read("done", step).select("page_id", "wave")
+        targets = tables.read("links").join(current, "page_id").groupBy("key").agg((F.min("wave") + 1).alias("wave"))
+        added = tables.write("found", targets.join(tables.read("found").select("key"), "key", "left_anti"), "key", step + 1)
         waiting = added if budget is None else waiting + added
-        wave += 1
+        step, wave = step + 1, wave + waves
 
     def written(name: str, schema: str) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{tables.state}/{name}")
+        rows = spark.read.schema(schema).parquet(f"{tables.state}/{name}")
+        return rows.drop("step")
 
     return Closure(
         written("found", FOUND), written("done", DONE), written("links", "page_id long, key string"), n_seeds,

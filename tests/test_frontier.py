@@ -83,3 +83,31 @@ def test_buckets_join_without_exchange(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         tables.close()
+
+
+def test_a_budget_needs_few_steps_and_gives_the_waves_of_a_plain_queue(spark, monkeypatch):
+    """Waves filled by those waiting are done in one step: taken, found and done are those of a queue taken wave by wave."""
+    size, budget = 400, 7
+    pages = spark.range(size).select(
+        "id", F.concat(F.lit(SITE + "/en/"), "id").alias("url"), F.concat(F.lit(SITE + "/en/"), F.floor(F.col("id") / 2) * 2).alias("final_url")
+    ).selectExpr("id as page_id", "url", "final_url", "id as seq")
+    targets = {i: [(i * 7 + n) % size for n in (1, 2, 3)] for i in range(size)}
+    links = spark.createDataFrame([(i, f"{SITE}/en/{t}") for i, ts in targets.items() for t in ts], "page_id long, url string")
+    found, taken, done, wave = {f"{SITE}/en/0": 0}, {}, {}, 0
+    while len(taken) < len(found):
+        line = sorted((k for k in found if k not in taken), key=lambda k: (found[k], hashlib.md5(k.encode()).hexdigest(), k))[:budget]
+        taken |= dict.fromkeys(line, wave)
+        for i in sorted(int(k.rsplit("/", 1)[1]) for k in line):
+            if i // 2 not in done:
+                done[i // 2] = (i, wave)
+                for t in targets[i]:
+                    found.setdefault(f"{SITE}/en/{t}", wave + 1)
+        wave += 1
+    steps = []
+    write = FR.Buckets.write
+    monkeypatch.setattr(FR.Buckets, "write", lambda self, name, *a: steps.append(name) or write(self, name, *a))
+    closure = expand_frontier(spark, pages, links, seed_urls(spark, [SITE + "/en/0"]), SiteRules(), budget)
+    assert {r.key: r.wave for r in closure.taken.collect()} == taken
+    assert {r.key: r.wave for r in closure.found.collect()} == found
+    assert {(r.page_id, r.wave) for r in closure.done.collect()} == set(done.values())
+    assert steps.count("taken") < wave / 2
