@@ -15,6 +15,12 @@ from sitegrain.plans.ingest import materialize, store_parts
 from sitegrain.rules import SiteRules
 
 
+def on_all_cores(pages: DataFrame) -> DataFrame:
+    """A batch of few, large files has fewer splits than there are cores: its pages are dealt before they are parsed."""
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages if pages.rdd.getNumPartitions() >= cores else pages.repartition(2 * cores, "page_id")
+
+
 def ingest_batch(store: EntityStore, pages: DataFrame, batch_id: int, run_id: str, rules: SiteRules,
                  now: Column | None = None) -> None:
     """One micro-batch: pages this run has not processed, extracted and merged into the store.
@@ -28,7 +34,7 @@ def ingest_batch(store: EntityStore, pages: DataFrame, batch_id: int, run_id: st
     # A replayed batch must see the pages as its first attempt did: those of other batches.
     known = stored.where((F.col("run_id") == run_id) & (F.col("batch_id") != batch_id))
     new = materialize(fresh.join(known.select("canon"), "canon", "left_anti"), "batch-new")
-    bodies = pages.join(new.select("page_id"), "page_id", "left_semi")
+    bodies = on_all_cores(pages).join(new.select("page_id"), "page_id", "left_semi")
     parts = split_parts(materialize(extract_pages(bodies, rules), "batch-extracted"))
     winery = seed_winery(store.spark, rules).unionByName(parts.winery) if batch_id == 0 else parts.winery
     store_parts(store, Parts(winery, parts.product, parts.media, parts.links, parts.errors), run_id, batch_id, now)

@@ -153,3 +153,15 @@ def test_a_rule_runs_once_for_all_kinds_of_its_results(spark):
     for name in ("custom_rule", "rule_errors"):
         plan = Q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert "MapInArrow" not in plan
+
+
+def test_a_batch_of_few_files_is_dealt_to_all_cores(spark, tmp_path):
+    from sitegrain.streaming.ingest import on_all_cores
+
+    spark.range(100).selectExpr("id as page_id", "'x' as html").coalesce(1).write.parquet(f"{tmp_path}/pages")
+    pages = spark.read.parquet(f"{tmp_path}/pages")
+    cores = spark.sparkContext.defaultParallelism
+    assert pages.rdd.getNumPartitions() < cores <= on_all_cores(pages).rdd.getNumPartitions()
+    assert on_all_cores(pages).distinct().count() == 100
+    many = pages.repartition(3 * cores)
+    assert on_all_cores(many) is many
