@@ -1,9 +1,9 @@
 """Secrets: fixed patterns, and character Markov models for strings that no pattern names.
 
-Two first-order models over printable ASCII are trained from labelled samples: random strings (the
-values that the fixed patterns confirm) and ordinary identifiers (the words of the texts). A
+Two first-order models over printable ASCII are trained from labelled strings: random ones (all
+values that the fixed patterns confirm) and ordinary identifiers (all words of the texts). A
 candidate's mean log-likelihood ratio per transition says which of the two it looks like; the
-threshold is calibrated on the part of the samples that was not trained on. All of it is built-in
+threshold is calibrated on the part of them that was not trained on. All of it is built-in
 column expressions; a model is a table of at most 94 x 94 numbers.
 
 Defined results: a null text is empty; repeated rows are scanned one by one; a text without
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegrain.llm.common import stored, whole_text
-from sitegrain.llm.spans import apart_from, hash_share, located, matches, report
+from sitegrain.llm.spans import apart_from, located, matches, report
 
 # Kinds and patterns of the base. The shortest lengths are part of the patterns:
 # a shorter run is dropped whole, so leaving it out changes no other match.
@@ -54,7 +54,7 @@ def transitions(value: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(value) - 1), lambda i: at(i) * LETTERS + at(i + 1) + 1)
 
 
-def generated(count: int) -> Column:
+def generated() -> Column:
     """Renderings of SHA-256 digests of counters ``id``: hexadecimal, Base64 and upper-case letters and digits."""
     digest = F.sha2(F.col("id").cast("string").cast("binary"), 256)
     base64 = F.base64(F.unhex(digest))
@@ -64,21 +64,16 @@ def generated(count: int) -> Column:
     )
 
 
-def labelled_samples(spark: SparkSession, docs: DataFrame, rows: DataFrame, per_class: int, word_docs: int) -> DataFrame:
-    """Labelled strings: value, random (0/1), held_out. A fourth is held out.
+def labelled_strings(spark: SparkSession, docs: DataFrame, rows: DataFrame, renderings: int) -> DataFrame:
+    """Labelled strings, each once: value, random (0/1), held_out. A fourth is held out.
 
-    Random: about ``per_class`` values that a fixed pattern confirms, and a fourth as many renderings
-    of digests. Ordinary: the words and hyphened or slashed identifiers of about ``word_docs`` documents.
+    Random: every value that a fixed pattern confirms, and about ``renderings`` renderings of digests.
+    Ordinary: the words and hyphened or slashed identifiers of all documents.
     """
     value = F.when(F.col("kind") == 0, F.regexp_extract("value", ASSIGN, 1)).otherwise(F.col("value"))
     secret = rows.where(confirmed(F.col("kind"), F.col("value"))).select(value.alias("value"))
-    random = secret.where(hash_share(F.col("value"), per_class, secret.count())).unionByName(
-        spark.range(max(1, per_class // 12)).select(F.explode(generated(per_class)).alias("value"))
-    )
-    words = (
-        docs.where(hash_share(F.col("doc_id"), word_docs, docs.count()))
-        .select(F.explode(F.regexp_extract_all(whole_text(), F.lit(r"(?<![!-~])[A-Za-z][A-Za-z_/-]{5,}+"), F.lit(0))).alias("value"))
-    )
+    random = secret.unionByName(spark.range(max(1, renderings // 3)).select(F.explode(generated()).alias("value")))
+    words = docs.select(F.explode(F.regexp_extract_all(whole_text(), F.lit(r"(?<![!-~])[A-Za-z][A-Za-z_/-]{5,}+"), F.lit(0))).alias("value"))
     both = random.distinct().withColumn("random", F.lit(1)).unionByName(words.distinct().withColumn("random", F.lit(0)))
     return both.where(F.length("value") >= 6).withColumn("held_out", F.pmod(F.xxhash64("value", F.lit(7)), F.lit(4)) == 0)
 
@@ -112,24 +107,32 @@ def likelihood_ratio(value: Column, weights: list[float]) -> Column:
 
 
 def calibrated(samples: DataFrame, weights: list[float], false_share: float) -> float:
-    """The ratio that at most ``false_share`` of the held-out ordinary strings exceed; never below zero."""
+    """The least ratio, in thousandths, that at most ``false_share`` of the held-out ordinary strings exceed; never below zero.
+
+    Counted in thousandths, so the driver gets a row for each that occurs, whatever the input.
+    """
     held = samples.where("held_out and random = 0").where(F.length("value") >= 12)
-    bound = held.agg(F.percentile(likelihood_ratio(F.col("value"), weights), 1.0 - false_share)).first()[0]
-    return max(0.0, bound or 0.0)
+    place = F.ceil(likelihood_ratio(F.col("value"), weights) * 1000)
+    bins = sorted(tuple(r) for r in held.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n")).collect())
+    above = total = sum(n for _, n in bins)
+    for at, n in bins:
+        above -= n
+        if above <= false_share * total:
+            return max(0.0, at / 1000)
+    return 0.0
 
 
 def scan_secrets(
-    spark: SparkSession, docs: DataFrame, per_class: int = 20_000, word_docs: int = 500, false_share: float = 0.001,
+    spark: SparkSession, docs: DataFrame, renderings: int = 5_000, false_share: float = 0.001,
 ) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
 
-    ``per_class`` and ``word_docs`` bound the samples the models are fitted on (see
-    ``labelled_samples``); scanning covers everything. A candidate that overlaps a span of the base
+    The models are fitted on all values and words (see ``labelled_strings``). A candidate that overlaps a span of the base
     adds nothing; any other one counts as ``random`` if its ratio passes the calibrated threshold
     and it mixes digits with letters.
     """
     rows = stored(spark, located(docs, [*base_matches(), matches(3, F.lit(True), CANDIDATE)]), "secret-matches")
-    samples = stored(spark, labelled_samples(spark, docs, rows, per_class, word_docs), "secret-samples")
+    samples = stored(spark, labelled_strings(spark, docs, rows, renderings), "secret-samples")
     weights = markov_weights(samples)
     threshold = calibrated(samples, weights, false_share)
 

@@ -130,3 +130,18 @@ def test_repeated_words_are_counted_once():
     assert (m["n_words"], m["n_repeat_words"]) == (11, 10)
     m = dict(zip(quality.MEASURES, quality.measure("a " * 7), strict=True))
     assert m["n_repeat_words"] == 7
+
+
+def test_secret_models_are_fitted_on_all_strings(spark):
+    """Every confirmed value and every word counts, however many there are; the threshold is counted exactly."""
+    texts = [f"token={i:05d}xYq{i * 7919 % 99991:05d} word{'abcdefghij'[i % 10] * 3}{'klmnopqrst'[i // 10 % 10] * 3} plainly" for i in range(3000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = spans.located(docs, secret_scan.base_matches())
+    strings = secret_scan.labelled_strings(spark, docs, rows, 300)
+    assert strings.where("random = 0").count() == 101
+    assert strings.where("random = 1").count() == 3000 + 300
+    weights = secret_scan.markov_weights(strings)
+    ratio = secret_scan.likelihood_ratio(F.col("value"), weights)
+    held = strings.where("held_out and random = 0 and length(value) >= 12").select(ratio.alias("r"))
+    limit = secret_scan.calibrated(strings, weights, 0.1)
+    assert held.where(F.col("r") > limit).count() <= 0.1 * held.count()
