@@ -8,12 +8,14 @@ plus sign), are positive; candidates that overlap no confirmed span are negative
 each generator is calibrated on held-out candidates. Spans of the base always stay; a candidate
 that passes its threshold and overlaps none of them is added.
 
-All steps are DataFrame operations and Spark ML; the trees are fitted on a bounded sample
-(``sample_rows``), scoring covers every candidate.
+All steps are DataFrame operations and Spark ML. The trees are fitted on every labelled candidate
+that is not held out, the thresholds are counted over every one that is, and scoring covers all.
+(Where a feature has more values than bins, Spark ML's trees choose the bins' borders from 10,000
+kinds of candidates; what falls between the borders is counted over all.)
 
 Defined results: a null text is empty; repeated rows are scanned one by one; a text without spans
-gives zeros and empty strings; an empty table gives an empty result; where the sample lacks a
-class nothing is added to the base; other columns are not read.
+gives zeros and empty strings; an empty table gives an empty result; where a label
+is missing nothing is added to the base; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegrain.llm.common import stored
-from sitegrain.llm.spans import apart_from, hash_share, located, matches, report
+from sitegrain.llm.spans import apart_from, located, matches, report
 
 # Kinds and patterns of the base. Possessive groups and the tests before them change
 # no match; they keep long runs of letters or digits from being tried again at every place.
@@ -126,21 +128,28 @@ def rewritten(kind: Column, value: Column) -> Column:
     )
 
 
-def labelled_sample(marked: DataFrame, sample_rows: int) -> DataFrame:
-    """About ``sample_rows`` labelled candidates at most, chosen by a hash: generator, features, label, held_out."""
-    label = F.col("base").cast("int")
+def labelled_candidates(marked: DataFrame) -> DataFrame:
+    """All labelled candidates: generator, features, label, held_out, and in ``rows`` how many are alike in these.
+
+    Format and context are small numbers, so candidates alike are counted together: fitting costs in
+    proportion to the kinds of candidates, and still weighs every one of them.
+    """
     usable = marked.where("base or (kind > 3 and free)")
     generator = F.when(F.col("kind").isin(0, 4), 4).otherwise(5)
     varied = usable.select(
-        generator.alias("generator"), label.alias("label"), "before", "after", "uid",
+        generator.alias("generator"), F.col("base").cast("int").alias("label"), "before", "after",
+        (F.pmod(F.xxhash64("uid", F.lit(3)), F.lit(3)) == 0).alias("held_out"),
         F.explode(F.when(F.col("base"), rewritten(F.col("kind"), F.col("value"))).otherwise(F.array("value"))).alias("value"),
     )
-    by_class = {r["label"]: r["count"] for r in varied.groupBy("label").count().collect()}
-    key = F.concat_ws("|", "uid", "value")
-    keep = [
-        (F.col("label") == lit) & hash_share(key, sample_rows // 2, by_class.get(lit, 0)) for lit in (0, 1)
-    ]
-    return features(varied.where(keep[0] | keep[1])).withColumn("held_out", F.pmod(F.xxhash64("uid", F.lit(3)), F.lit(3)) == 0)
+    alike = ["generator", "label", "held_out", *FEATURES]
+    return features(varied).groupBy(*alike).agg(F.count(F.lit(1)).alias("rows")).sortWithinPartitions(*alike)
+
+
+def weighted(fitting: DataFrame, totals: dict[int, int]) -> DataFrame:
+    """Add ``weight``: both labels weigh the same in all, and a candidate weighs one on average."""
+    half = sum(totals.values()) / 2
+    share = F.when(F.col("label") == 1, F.lit(half / totals[1])).otherwise(F.lit(half / totals[0]))
+    return fitting.withColumn("weight", F.col("rows") * share)
 
 
 def calibrated(scored: DataFrame, precision: float) -> dict[int, float]:
@@ -149,7 +158,7 @@ def calibrated(scored: DataFrame, precision: float) -> dict[int, float]:
     Scores are taken in hundredths, so at most 101 rows for each generator reach the driver.
     """
     bins = scored.groupBy("generator", F.floor(F.col("score") * 100).alias("bin")).agg(
-        F.sum("label").alias("good"), F.count(F.lit(1)).alias("all")
+        F.sum(F.col("label") * F.col("rows")).alias("good"), F.sum("rows").alias("all")
     ).collect()
     out = {}
     for g in (4, 5):
@@ -164,27 +173,28 @@ def calibrated(scored: DataFrame, precision: float) -> dict[int, float]:
 
 
 def scan_pii(
-    spark: SparkSession, docs: DataFrame, sample_rows: int = 20_000, precision: float = 0.98, trees: int = 10, depth: int = 4,
+    spark: SparkSession, docs: DataFrame, precision: float = 0.98, trees: int = 10, depth: int = 4,
 ) -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
     rows = stored(spark, located(docs, all_matches()), "pii-matches")
     base = F.col("kind").isNotNull() & confirmed(F.col("kind"), F.col("value"))
     marked = stored(spark, apart_from(rows.withColumn("base", F.coalesce(base, F.lit(False))).repartition("uid"), F.col("base")), "pii-marked")
-    sample = stored(spark, labelled_sample(marked, sample_rows), "pii-sample")
-    fitting = sample.where("not held_out")
+    labelled = stored(spark, labelled_candidates(marked), "pii-labelled")
+    fitting = labelled.where("not held_out")
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="vector")
     chosen = marked.repartition("uid")
-    if fitting.select("label").distinct().count() < 2:
+    totals = {r["label"]: r["n"] for r in fitting.groupBy("label").agg(F.sum("rows").alias("n")).collect()}
+    if len(totals) < 2:
         return report(chosen, F.col("base"), KINDS, 4, ("kind", "start"))
 
     model = GBTClassifier(
-        featuresCol="vector", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.3, minInstancesPerNode=5, seed=1
-    ).fit(vector.transform(fitting).select("vector", "label"))
+        featuresCol="vector", labelCol="label", weightCol="weight", maxIter=trees, maxDepth=depth, stepSize=0.3, minInstancesPerNode=5, seed=1
+    ).fit(vector.transform(weighted(fitting, totals)).select("vector", "label", "weight"))
 
     def scored(df: DataFrame) -> DataFrame:
         return model.transform(vector.transform(df)).withColumn("score", vector_to_array("probability")[1])
 
-    limits = calibrated(scored(sample.where("held_out")).select("generator", "label", "score"), precision)
+    limits = calibrated(scored(labelled.where("held_out")).select("generator", "label", "score", "rows"), precision)
     candidates = marked.where("kind > 3 and free")
     added = scored(features(candidates)).where(
         F.col("score") >= F.when(F.col("kind") == 4, F.lit(limits[4])).otherwise(F.lit(limits[5]))

@@ -55,6 +55,20 @@ def test_trees_add_what_is_written_otherwise(spark):
     assert found[5].count(":") == 2
 
 
+def test_trees_and_thresholds_count_every_candidate(spark):
+    """However many candidates there are, each is counted once for every way to write it, in the fitting or the held-out part."""
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("sum "), F.col("id") + 1_000_000, F.lit(" or mail a@b.cd")).alias("text"))
+    rows = spans.located(docs, pii.all_matches()).withColumn("base", F.coalesce(pii.confirmed(F.col("kind"), F.col("value")), F.lit(False)))
+    labelled = pii.labelled_candidates(spans.apart_from(rows.repartition("uid"), F.col("base"))).cache()
+    counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.sum("rows").alias("n")).collect()}
+    assert counts == {0: 30_000, 1: 3 * 30_000}
+    assert labelled.count() < 1_000
+    weights = pii.weighted(labelled, counts).groupBy("label").agg(F.sum("weight")).collect()
+    assert sorted((r[0], round(r[1])) for r in weights) == [(0, 60_000), (1, 60_000)]
+    held = labelled.where("held_out").withColumn("score", F.when(F.col("label") == 1, 0.75).otherwise(0.25))
+    assert pii.calibrated(held, 0.9) == {4: 0.75, 5: 2.0}
+
+
 def test_secrets(spark, odd, none):
     check_spans(secret_scan.scan_secrets(spark, odd).collect(), brute.secrets, ("assign", "access", "hex"))
     assert secret_scan.scan_secrets(spark, none).count() == 0
