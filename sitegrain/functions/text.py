@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 # The characters str.split()/str.strip() treat as blank: the Unicode set plus four separators.
 BLANK = r"[\s\x1c-\x1f]"
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 NUMBER = r"[0-9]+(?:[.,][0-9]+)?"
 # The spellings of "no single year" on a label.
 NON_VINTAGE = ("non-vintage", "non vintage")
@@ -26,7 +27,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U)^{BLANK}+|{BLANK}+\z", "")
+    return F.trim(c, F.lit(BLANKS))
 
 
 def collapse(c: Column) -> Column:

@@ -179,18 +179,24 @@ def _errors() -> Column:
     return F.concat(F.coalesce(whole, F.array().cast("array<struct<stage:string,message:string>>")), single)
 
 
+def listed(rows: DataFrame, keep: Sequence[Column | str], items: Column | str, name: str) -> DataFrame:
+    """A row for each item of an array, as ``pos`` and ``name``, with the columns ``keep``.
+
+    Unlike with ``explode`` alone, Spark puts no test for empty arrays in front, for which it would
+    work out the array twice.
+    """
+    return rows.select(*keep, F.posexplode_outer(items).alias("pos", name)).where("pos is not null")
+
+
 def split_parts(extracted: DataFrame) -> Parts:
     """The five narrow tables of ``extract_pages``."""
     order = ["page_id", "seq"]
     page_url = F.col("final_url")
-    product = extracted.select(*order, F.posexplode("products").alias("pos", "p")).select(*order, "pos", "p.*")
-    media = extracted.select(
-        *order, page_url.alias("source_page_url"), F.posexplode("media").alias("pos", "m")
-    ).select(*order, "pos", "m.media_type", "m.url", "source_page_url")
+    media = listed(extracted, [*order, page_url.alias("source_page_url")], "media", "m")
     return Parts(
         winery=extracted.where("winery is not null").select(*order, F.lit(0).alias("pos"), "winery.*"),
-        product=product,
-        media=media,
-        links=extracted.select(*order, page_url.alias("src_url"), F.explode("links").alias("url")),
-        errors=extracted.select("page_id", page_url.alias("url"), F.explode(_errors()).alias("e")).select("page_id", "url", "e.*"),
+        product=listed(extracted, order, "products", "p").select(*order, "pos", "p.*"),
+        media=media.select(*order, "pos", "m.media_type", "m.url", "source_page_url"),
+        links=listed(extracted, [*order, page_url.alias("src_url")], "links", "url").drop("pos"),
+        errors=listed(extracted, ["page_id", page_url.alias("url")], _errors(), "e").select("page_id", "url", "e.*"),
     )

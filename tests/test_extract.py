@@ -1,8 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
-from sitegrain.plans.extract import extract_pages, split_parts
+from sitegrain.functions.text import strip
+from sitegrain.plans.extract import extract_pages, listed, split_parts
 from sitegrain.plans.ingest import drop_repeated_pages, process_pages
 from sitegrain.rules import SiteRules
+from sitegrain.sources.pages import page_table
 from tests.fixtures.site import HOST, page_snapshot
 
 RULES = SiteRules(grape_pairs=3)
@@ -165,3 +168,27 @@ def test_a_batch_of_few_files_is_dealt_to_all_cores(spark, tmp_path):
     assert on_all_cores(pages).distinct().count() == 100
     many = pages.repartition(3 * cores)
     assert on_all_cores(many) is many
+
+
+@pytest.mark.parametrize("part", ["product", "media", "links", "errors"])
+def test_no_part_is_worked_out_twice(spark, part):
+    """Spark must not test a list for being empty before it lists it: that would read the page again."""
+    pages = spark.createDataFrame([(1, "https://www.example.com/en/champagnes-et-cuvees/a", "<p>x")], "page_id long, url string, html string")
+    parts = split_parts(extract_pages(page_table(pages), SiteRules()))
+    plan = getattr(parts, part)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("MapInArrow")]
+    assert "Generate" in above
+    assert "Filter" not in above[above.index("Generate"):]
+
+
+def test_lists_give_a_row_for_each_item(spark):
+    """Also for a null item; none for an empty or null list."""
+    rows = spark.createDataFrame([(1, ["a", None, "b"]), (2, []), (3, None)], "id long, items array<string>")
+    got = [tuple(r) for r in listed(rows, ["id"], "items", "item").orderBy("pos").collect()]
+    assert got == [(1, 0, "a"), (1, 1, None), (1, 2, "b")]
+
+
+def test_strip_drops_what_python_drops(spark):
+    texts = [chr(i) + "x" + chr(i) for i in range(1, 0x3100) if not 0xD800 <= i < 0xE000]
+    rows = spark.createDataFrame([(t,) for t in [*texts, "", " \t", "a  b"]], "t string")
+    assert all(r[1] == r[0].strip() for r in rows.select("t", strip(F.col("t"))).collect())
