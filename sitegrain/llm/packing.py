@@ -37,7 +37,6 @@ QUEUES = 1024  # with more sources than this, sources share queues by a hash
 MOST_WINDOWS = 1 << 27  # beyond 4e12 tokens windows grow, so that the sums stay in 64 bits
 END = 1
 REMEMBERED = 1_000_000  # words whose ids a Python worker keeps, some 250 bytes each
-TOGETHER = 2000  # new words encoded as one text
 # No token spans a single blank between two other characters; a blank belongs to what follows it.
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
@@ -124,48 +123,6 @@ def cut(rounds: Rounds, queue: np.ndarray, start: np.ndarray, length: np.ndarray
     return doc[run], token[run] + low - place[run], high - low, s, low - begin(s)
 
 
-def pieces_of(text: str) -> list[str]:
-    """A text cut before each blank between two other characters, where no token goes across."""
-    words = text.split()
-    lone = len(text) - len("".join(words)) == len(words) - 1  # every blank stands alone and inside
-    head, *rest = text.split(" ") if lone else BETWEEN.split(text)
-    return [head, *(" " + p for p in rest)]
-
-
-def token_bytes(tokenizer) -> np.ndarray:
-    """For each id the UTF-8 bytes that a byte-level token stands for."""
-    size = {i: len(t) for t, i in tokenizer.get_vocab(with_added_tokens=False).items()}
-    size |= {i: len(t.content.encode()) for i, t in tokenizer.get_added_tokens_decoder().items()}
-    out = np.zeros(max(size, default=0) + 1, np.int64)
-    out[list(size)] = list(size.values())
-    return out
-
-
-def encoded(tokenizer, sizes: np.ndarray, pieces: list[str], width: str) -> Iterator[tuple[str, bytes]]:
-    """Each piece with its ids.
-
-    Pieces that begin with their only blank are encoded together, as one text of many, and cut by the bytes
-    of their tokens. Where a cut would not fall between two tokens, and all other pieces, come one by one.
-    """
-    alone = [p for p in pieces if p[:1] != " " or len(p) < 2 or p[1].isspace() or p[-1].isspace()]
-    rest = set(alone)
-    usual = [p for p in pieces if p not in rest]
-    item = np.dtype(width).itemsize
-    for at in range(0, len(usual), TOGETHER):
-        some = usual[at:at + TOGETHER]
-        codes = np.array(tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, np.int64)
-        ends = np.cumsum(sizes[codes])
-        wanted = np.cumsum([len(p.encode()) for p in some])
-        last = np.searchsorted(ends, wanted)
-        if len(ends) and ends[-1] == wanted[-1] and (ends[last] == wanted).all():
-            data, cuts = codes.astype(width).tobytes(), [0, *((last + 1) * item).tolist()]
-            yield from zip(some, (data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True)
-        else:
-            alone += some
-    for piece, code in zip(alone, tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-        yield piece, np.array(code.ids, width).tobytes()
-
-
 def tokenised(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int = END, remembered: int = REMEMBERED) -> DataFrame:
     """Stored rows: uid, doc_id, source, shuffle key, tokens, ids (little-endian, 16 bits where they suffice).
 
@@ -185,13 +142,16 @@ def tokenised(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int = E
             from tokenizers import Tokenizer
 
             held["tokenizer"], held["known"] = Tokenizer.from_str(held["content"]), {}
-            held["sizes"] = token_bytes(held["tokenizer"])
         if len(held["known"]) > remembered:
             held["known"] = {}
         known = held["known"]
-        parts = [pieces_of(text) for text in texts]
-        new = set().union(*parts).difference(known)
-        known.update(encoded(held["tokenizer"], held["sizes"], list(new), width))
+        parts = []
+        for text in texts:
+            head, *rest = BETWEEN.split(text)
+            parts.append([head, *(" " + p for p in rest)])
+        new = list(dict.fromkeys(p for ps in parts for p in ps if p not in known))
+        for part, code in zip(new, held["tokenizer"].encode_batch_fast(new, add_special_tokens=False), strict=True):
+            known[part] = np.array(code.ids, width).tobytes()
         last = np.array([end], width).tobytes()
         return [b"".join(map(known.__getitem__, ps)) + last for ps in parts]
 
