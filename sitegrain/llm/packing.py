@@ -18,6 +18,7 @@ lengths are powers of two, so nothing is padded.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -28,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrain.llm.common import prefix_digits, running_start, stored, whole_text
+from sitegrain.llm.common import prefix_digits, running_start, settings, stored, whole_text
 
 SEQUENCE = 2048
 WINDOW = 16 * SEQUENCE  # tokens over which the proportions hold
@@ -37,8 +38,12 @@ QUEUES = 1024  # with more sources than this, sources share queues by a hash
 MOST_WINDOWS = 1 << 27  # beyond 4e12 tokens windows grow, so that the sums stay in 64 bits
 END = 1
 REMEMBERED = 1_000_000  # words whose ids a Python worker keeps, some 250 bytes each
+BATCH = 1024  # texts handed to Python at once
 # No token spans a single blank between two other characters; a blank belongs to what follows it.
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+# Nor does one span a letter and a stop or line end beside it. Only letters of every version of Unicode are named.
+LETTER, STOP = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", ".,;:!?"
+PARTS = re.compile(rf"(?<=[{LETTER}])(?=[{STOP}\n])|(?:(?<=[{STOP}])|(?<=\S\n))(?=[{LETTER}])")
 
 
 class Rounds:
@@ -123,6 +128,97 @@ def cut(rounds: Rounds, queue: np.ndarray, start: np.ndarray, length: np.ndarray
     return doc[run], token[run] + low - place[run], high - low, s, low - begin(s)
 
 
+class Encoder:
+    """Ids of texts as the library gives them, as bytes. A word's ids are remembered, at most about ``remembered`` words.
+
+    ``plain``: the tokenizer cuts texts as GPT-2 does. Then no token spans a blank and what stands before it, if no
+    white space follows the blank, nor a letter and a stop beside it. New words are encoded in such parts: there are
+    fewer of them than of words.
+    """
+
+    def __init__(self, content: str, remembered: int, plain: bool):
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.remembered = Tokenizer.from_str(content), remembered
+        self.width = width_of(self.tokenizer)
+        self.known: dict[str, bytes] = {}  # by word: the ids of a blank and the word
+        self.inner: dict[str, bytes] = {}  # by part: the ids of the part without a blank
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain = plain
+        # Tokens that begin with a blank, which byte-level vocabularies write so.
+        blank = [k for t, k in self.tokenizer.get_vocab().items() if t.startswith("\u0120")]
+        self.begins = np.isin(np.arange(self.tokenizer.get_vocab_size()), blank)
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        codes = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(code.ids, self.width).tobytes() for code in codes]
+
+    def _after_blank(self, words: list[str]) -> list[bytes]:
+        """The ids of a blank and the word for each word; one call for all where no word holds a blank."""
+        if not words:
+            return []
+        (code,) = self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)
+        ids = np.array(code.ids, self.width)
+        first = np.flatnonzero(self.begins[ids])
+        if len(first) != len(words):
+            return self._each([" " + w for w in words])
+        held, at = ids.tobytes(), (first * ids.itemsize).tolist()
+        return [held[a:b] for a, b in zip(at, [*at[1:], len(held)], strict=True)]
+
+    def _learn(self, words: dict[str, None]) -> None:
+        """Remember the ids of new words."""
+        known, inner = self.known, self.inner
+        parts = {w: ps for w in words if not w.isalpha() and " " not in w and len(ps := PARTS.split(w)) > 1}
+        odd = [w for w in words if " " in w]
+        known.update(zip(odd, self._each([" " + w for w in odd]), strict=True))
+        whole = [w for w in words if w not in parts and w not in known]
+        firsts = [f for f in dict.fromkeys([*whole, *(ps[0] for ps in parts.values())]) if f not in known]
+        known.update(zip(firsts, self._after_blank(firsts), strict=True))
+        rest = list(dict.fromkeys(p for ps in parts.values() for p in ps[1:] if p not in inner))
+        inner.update(zip(rest, self._each(rest), strict=True))
+        for word, (first, *others) in parts.items():
+            known[word] = known[first] + b"".join(map(inner.__getitem__, others))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if not self.plain:
+            return self._each(texts)
+        if len(self.known) + len(self.inner) > self.remembered:
+            self.known, self.inner = {}, {}
+        known = self.known
+        heads, words, new = [], [], {}
+        for text in texts:
+            head, *rest = [text] if any(map(text.__contains__, self.special)) else text.split(" ")
+            codes = list(map(known.get, rest))
+            missing = [w for w, ids in zip(rest, codes, strict=True) if ids is None]
+            if any(not w or w[0].isspace() for w in missing):
+                head, *rest = BETWEEN.split(text)
+                codes = list(map(known.get, rest))
+                missing = [w for w, ids in zip(rest, codes, strict=True) if ids is None]
+            heads.append(head)
+            words.append((rest, codes))
+            new.update(dict.fromkeys(missing))
+        self._learn(new)
+        return [
+            h + b"".join([known[w] if ids is None else ids for w, ids in zip(rest, codes, strict=True)])
+            for h, (rest, codes) in zip(self._each(heads), words, strict=True)
+        ]
+
+
+def width_of(tokenizer) -> str:
+    """The numpy type of ids: 16 bits where they suffice."""
+    return "<u2" if tokenizer.get_vocab_size() < 1 << 16 else "<u4"
+
+
+def cuts_as_gpt2(content: str) -> bool:
+    """Whether a tokenizer file cuts whole texts by GPT-2's pattern and by nothing else."""
+    held = json.loads(content)
+    cutter = held.get("pre_tokenizer") or {}
+    return (
+        held.get("normalizer") is None and cutter.get("type") == "ByteLevel"
+        and cutter.get("use_regex", True) and not cutter.get("add_prefix_space", True)
+    )
+
+
 def tokenised(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int = END, remembered: int = REMEMBERED) -> DataFrame:
     """Stored rows: uid, doc_id, source, shuffle key, tokens, ids (little-endian, 16 bits where they suffice).
 
@@ -132,34 +228,19 @@ def tokenised(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int = E
 
     with open(tokenizer, encoding="utf-8") as f:
         content = f.read()
-    width = "<u2" if tokenizers.Tokenizer.from_str(content).get_vocab_size() < 1 << 16 else "<u4"
-    shared = spark.sparkContext.broadcast({"content": content})
+    width = width_of(tokenizers.Tokenizer.from_str(content))
+    shared = spark.sparkContext.broadcast({"content": content, "plain": cuts_as_gpt2(content)})
 
-    def encode(texts: list[str]) -> list[bytes]:
+    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         held = shared.value
-        if "tokenizer" not in held:
+        if "encoder" not in held:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
-
-            held["tokenizer"], held["known"] = Tokenizer.from_str(held["content"]), {}
-        if len(held["known"]) > remembered:
-            held["known"] = {}
-        known = held["known"]
-        parts = []
-        for text in texts:
-            head, *rest = BETWEEN.split(text)
-            parts.append([head, *(" " + p for p in rest)])
-        new = list(dict.fromkeys(p for ps in parts for p in ps if p not in known))
-        for part, code in zip(new, held["tokenizer"].encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[part] = np.array(code.ids, width).tobytes()
+            held["encoder"] = Encoder(held.pop("content"), remembered, held["plain"])
         last = np.array([end], width).tobytes()
-        return [b"".join(map(known.__getitem__, ps)) + last for ps in parts]
-
-    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             out = []
             for at in range(0, len(batch), 256):
-                out += encode(batch.iloc[at:at + 256].tolist())
+                out += [b + last for b in held["encoder"](batch.iloc[at:at + 256].tolist())]
             yield pd.Series(out, dtype=object)
 
     rows = docs.select(
@@ -170,7 +251,11 @@ def tokenised(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int = E
         F.pandas_udf(ids, "binary")(whole_text()).alias("ids"),
     )
     size = np.dtype(width).itemsize
-    return stored(spark, rows.withColumn("tokens", (F.octet_length("ids") / size).cast("long")), "packing-ids")
+    # Texts reach Python in small batches, since each is there several times while it is encoded.
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    with settings(spark, {key: str(min(now, BATCH) if now > 0 else BATCH)}):
+        return stored(spark, rows.withColumn("tokens", (F.octet_length("ids") / size).cast("long")), "packing-ids")
 
 
 def pack(
@@ -192,7 +277,8 @@ def pack(
     ).join(F.broadcast(numbers), "source").select("uid", "queue", "line")
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        # Some rows at a time: their ids are unpacked to 32 bits.
+        for batch in (whole.iloc[at:at + BATCH] for whole in batches for at in range(0, len(whole), BATCH)):
             tokens = batch["tokens"].to_numpy()
             doc, start, length, number, offset = cut(
                 rounds, batch["queue"].to_numpy(), batch["line"].to_numpy(), tokens, sequence

@@ -274,6 +274,30 @@ def check_packed(rows, texts):
         assert length <= 2048 and length & (length - 1) == 0
 
 
+def test_packing_encodes_parts_of_words_once_and_as_the_library_does():
+    with open(BYTES, encoding="utf-8") as f:
+        content = f.read()
+    encoder = packing.Encoder(content, 1000, packing.cuts_as_gpt2(content))
+    library, asked = encoder.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    encoder.tokenizer = Counting()
+    texts = ["one and.\nand one, and! one", "two and, one and."]
+    want = [np.array(e.ids, "<u2").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert encoder(texts) == want
+    assert sum(t.split().count("and") for t in asked) == 2  # with a blank and without, however they stand
+    encoder.tokenizer = library
+    signs = [" ", " ", "  ", "\n", " \n", "\t", "a", "bc", "é", "ß", "漢", "3", ".", ",!", "'s", "'", "\x1c", "\xa0", "\u3000", "<|endoftext|>", "<"]
+    draw = np.random.default_rng(5)
+    odd = ["".join(draw.choice(signs, draw.integers(0, 30))) for _ in range(5000)]
+    plain = packing.Encoder(content, 1000, False)
+    assert [encoder(odd[k:k + 100]) for k in range(0, 5000, 100)] == [plain(odd[k:k + 100]) for k in range(0, 5000, 100)]
+
+
 def test_packing(spark, odd, none):
     check_packed(packing.pack(spark, odd, BYTES).collect(), ODD)
     assert packing.pack(spark, none, BYTES).count() == 0
