@@ -21,6 +21,7 @@ from sitegrain.schemas import PRODUCT, PRODUCT_DETAILS
 TIMELINE_KEY = ("year", "event")
 AWARD_KEY = ("title", "value")
 ARRIVAL = ("seq", "page_id", "pos")
+ORDER, DEAL = "__order", "__deal"
 
 
 def arrival() -> Column:
@@ -118,11 +119,17 @@ def merge_records(rows: DataFrame, key: str, order: Column, scalars: Sequence[st
     is not empty, ``lists`` (with their key fields) and ``maps`` are united. A key with one
     record keeps its list untouched, repeats included.
 
-    The input is read once: each record becomes a row of its scalars and a row for every list item
-    and map entry, tagged by column. These are combined per key, tag and item before they are dealt,
-    so a key with very many records costs a row per distinct item, and then meet once by key.
+    The input is read once: records are dealt by key while they are narrow, as a folded row keeps the
+    order once for every scalar; Spark splits the rows of a key with very many records among tasks.
+    There each record becomes a row of its scalars and a row for every list item and map entry, tagged
+    by column. These are combined per key, tag and item before they are dealt, so a key with very many
+    records costs a row per distinct item and task, and then meet once by key.
     """
     lists = lists or {}
+    # By the key's hash: dealt by the key itself, the rows of one key would have to stay in one task.
+    needed = dict.fromkeys([key, *first, *scalars, *lists, *maps])
+    rows = rows.select(*needed, order.alias(ORDER), F.xxhash64(key).alias(DEAL)).hint("rebalance", DEAL)
+    order = F.col(ORDER)
     kinds = {f.name: f.dataType for f in rows.schema.fields}
     structured = [*lists, *maps]
     width = max([len(f) for f in lists.values()] + [1])

@@ -95,3 +95,29 @@ def test_merge_value_follows_the_type_and_zero_is_a_value(spark):
 def test_all_empty_keeps_the_first_value(spark):
     df = spark.createDataFrame([(1, ""), (2, None), (3, "")], "o int, v string")
     assert df.agg(G.last_non_empty(F.col("v"), F.col("o")).alias("v")).first().v == ""
+
+
+def test_records_are_dealt_narrow_and_those_of_a_frequent_key_to_many_tasks(spark):
+    rows = spark.range(0, 60_000, 1, 6).select(
+        F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 500).cast("string").alias("k"), F.col("id").alias("o"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.array(F.struct((F.col("id") % 4).cast("string").alias("title"), F.lit("v").alias("value"))).alias("a"),
+    )
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",)}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200kb")
+    try:
+        merged = G.merge_records(rows, "k", F.col("o"), scalars=["text"], lists={"a": G.AWARD_KEY})
+        got = {r["k"]: (r["text"], r["n_records"], [x["title"] for x in r["a"]]) for r in merged.collect()}
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    want = {}
+    for r in rows.collect():
+        _, n, titles = want.get(r["k"], (None, 0, []))
+        title = r["a"][0]["title"]
+        want[r["k"]] = (r["text"], n + 1, titles if title in titles else [*titles, title])
+    assert got == want
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.rindex("Generate") < final.rindex("REBALANCE_PARTITIONS_BY_COL")
+    assert "skewed" in final
