@@ -18,6 +18,7 @@ lengths are powers of two, so nothing is padded.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -168,12 +169,19 @@ class Encoder:
     def _learn(self, words: dict[str, None]) -> None:
         """Remember the ids of new words."""
         known, inner = self.known, self.inner
-        parts = {w: ps for w in words if not w.isalpha() and " " not in w and len(ps := PARTS.split(w)) > 1}
-        odd = [w for w in words if " " in w]
+        whole, odd, parts = [], [], {}
+        for word in words:
+            if word.isalpha():
+                whole.append(word)
+            elif " " in word:
+                odd.append(word)
+            elif len(cut_up := PARTS.split(word)) > 1:
+                parts[word] = cut_up
+            else:
+                whole.append(word)
+        whole += dict.fromkeys(ps[0] for ps in parts.values() if ps[0] not in known and ps[0] not in words)
+        known.update(zip(whole, self._after_blank(whole), strict=True))
         known.update(zip(odd, self._each([" " + w for w in odd]), strict=True))
-        whole = [w for w in words if w not in parts and w not in known]
-        firsts = [f for f in dict.fromkeys([*whole, *(ps[0] for ps in parts.values())]) if f not in known]
-        known.update(zip(firsts, self._after_blank(firsts), strict=True))
         rest = list(dict.fromkeys(p for ps in parts.values() for p in ps[1:] if p not in inner))
         inner.update(zip(rest, self._each(rest), strict=True))
         for word, (first, *others) in parts.items():
@@ -239,8 +247,12 @@ def tokenised(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int = E
         last = np.array([end], width).tobytes()
         for batch in texts:
             out = []
-            for at in range(0, len(batch), 256):
-                out += [b + last for b in held["encoder"](batch.iloc[at:at + 256].tolist())]
+            gc.disable()  # nothing here is cyclic, and to look for cycles walks over all words again and again
+            try:
+                for at in range(0, len(batch), 256):
+                    out += [b + last for b in held["encoder"](batch.iloc[at:at + 256].tolist())]
+            finally:
+                gc.enable()
             yield pd.Series(out, dtype=object)
 
     rows = docs.select(
