@@ -4,7 +4,8 @@
 subtree is the slice ``idx..end``. Which nodes a selector finds, what lies inside what and what is
 nearest is looked up by the parser in its one pass over the page (see ``operators.html``): a
 ``Page`` collects these requests while expressions are built, and the column ``found`` holds an
-array of positions for each. No expression searches the nodes.
+array of positions for each, ``texts`` an array of texts where these are asked for. No expression
+searches the nodes.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from sitegrain.functions.text import empty_to_null, let, strip
 
 NODE_TYPE = "array<struct<idx:int,parent:int,end:int,tag:string,attrs:map<string,string>,text:string>>"
 FOUND_TYPE = "array<array<int>>"
+TEXTS_TYPE = "array<array<string>>"
 TEXT = "#text"
 COMMENT = "#comment"
 
@@ -117,7 +119,9 @@ class Page:
 
     nodes: Column = field(default_factory=lambda: F.col("nodes"))
     found: Column = field(default_factory=lambda: F.col("found"))
+    listed: Column = field(default_factory=lambda: F.col("texts"))
     requests: dict[Hits | Spans | Nearest, int] = field(default_factory=dict)
+    read: dict[Hits, int] = field(default_factory=dict)
 
     def ask(self, request: Hits | Spans | Nearest) -> Column:
         """The positions that answer a request."""
@@ -130,6 +134,12 @@ class Page:
     def select_one(self, *alternatives: Sel) -> Column:
         return F.get(self.nodes, F.get(self.ask(Hits(alternatives)), F.lit(0)))
 
+    def texts(self, *alternatives: Sel) -> Column:
+        """``node_text`` of each element that ``select`` gives, read by the parser; blank ones are nulls, so positions hold."""
+        hits = Hits(alternatives)
+        self.ask(hits)
+        return F.get(self.listed, F.lit(self.read.setdefault(hits, len(self.read))))
+
     def has(self, *alternatives: Sel) -> Column:
         """At least one element matches."""
         return F.size(self.ask(Hits(alternatives))) > 0
@@ -176,11 +186,11 @@ def key_values(paired: Column) -> Column:
         firsts = F.filter(s, lambda x, i: (i == 0) | (x.k != F.get(s, i - 1).k))
         lasts = F.filter(s, lambda x, i: (i + 1 == F.size(s)) | (x.k != F.get(s, i + 1).k))
         kept = F.zip_with(firsts, lasts, lambda a, z: F.struct(a.place.alias("place"), a.k.alias("k"), z.v.alias("v")))
-        return F.transform(F.array_sort(kept), lambda x: F.struct(x.k.alias("k"), x.v.alias("v")))
+        return F.transform(F.sort_array(kept), lambda x: F.struct(x.k.alias("k"), x.v.alias("v")))
 
     complete = F.filter(paired, lambda p: p.k.isNotNull() & p.v.isNotNull())
     keyed = F.transform(complete, lambda p, i: F.struct(F.lower(p.k).alias("k"), i.alias("place"), p.v.alias("v")))
-    return let(F.array_sort(keyed), build)
+    return let(F.sort_array(keyed), build)
 
 
 def find_by_patterns(kv: Column, *patterns: str) -> Column:
@@ -208,8 +218,8 @@ def first_per_key(items: Column, key: Callable[[Column], Column]) -> Column:
 
     def build(s: Column) -> Column:
         firsts = F.filter(s, lambda x, i: (i == 0) | ~x.key.eqNullSafe(F.get(s, i - 1).key))
-        kept = F.array_sort(F.transform(firsts, lambda x: F.struct(x.place.alias("place"), x["item"].alias("item"))))
+        kept = F.sort_array(F.transform(firsts, lambda x: F.struct(x.place.alias("place"), x["item"].alias("item"))))
         return F.transform(kept, lambda x: x["item"])
 
     keyed = F.transform(items, lambda x, i: F.struct(key(x).alias("key"), i.alias("place"), x.alias("item")))
-    return let(F.array_sort(keyed), build)
+    return let(F.sort_array(keyed), build)

@@ -61,8 +61,9 @@ def capitalize_words(c: Column) -> Column:
 
 def first_number(c: Column) -> Column:
     """The first integer or decimal in a text; a decimal comma counts as a point."""
-    found = F.regexp_extract(c, f"({NUMBER})", 1)
-    return F.regexp_replace(found, ",", ".").try_cast("double")
+    # A cast that fails costs far more than the search, so nothing empty comes to it.
+    found = empty_to_null(F.regexp_extract(c, f"({NUMBER})", 1))
+    return F.replace(found, F.lit(","), F.lit(".")).try_cast("double")
 
 
 def first_year(c: Column) -> Column:

@@ -7,7 +7,7 @@ with the scheme limited to its legal characters).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,7 +16,11 @@ from sitegrain.functions.text import let
 
 URL_PATTERN = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
-PLAIN_PATH = r"^(?:/[A-Za-z0-9_~%,+@=!$&'()*\-][A-Za-z0-9_~%,+@=!$&'()*.\-]*)+/*$"
+# Root-relative links as nearly all are written, nothing in them to resolve: their path (1) and query (2).
+PLAIN_PATH = (
+    r"^((?:/[A-Za-z0-9_~%,+@=!$&'()*\-][A-Za-z0-9_~%,+@=!$&'()*.\-]*)+)/*"
+    r"(\?[^#\t\r\n]+)?\??(?:#[^\t\r\n]*)?\z"
+)
 
 # Web URLs as nearly all are written: one match gives their stem (1), path (2) and query (3).
 # Anything odd (other schemes, capitals, params, control characters, blanks in front) takes the long way.
@@ -50,11 +54,13 @@ _CONTROLS = "".join(chr(i) for i in range(0x21))
 
 def _clean(u: Column) -> Column:
     """What every URL parser drops first: line breaks and tabs, leading controls and spaces."""
-    return F.ltrim(F.translate(u, "\t\r\n", ""), F.lit(_CONTROLS))
+    for mark in "\t\r\n":
+        u = F.replace(u, F.lit(mark), F.lit(""))
+    return F.ltrim(u, F.lit(_CONTROLS))
 
 
 def _parts(scheme: Column, netloc: Column, path: Column, query: Column, fragment: Column) -> Column:
-    with_params = scheme.rlike(_PARAMS)
+    with_params = path.contains(";") & scheme.rlike(_PARAMS)
     params = F.regexp_extract(path, r";([^/]*)\z", 1)
     return F.struct(
         scheme.alias("scheme"),
@@ -218,9 +224,33 @@ def resolve(base: Column, href: Column) -> Column:
     return _given(href, let(resolve_parts(base, href), whole))
 
 
-def is_plain_path(href: Column) -> Column:
-    """A root-relative path with nothing to resolve or strip but trailing slashes."""
-    return href.rlike(PLAIN_PATH)
+def is_plain_path(base: Column, href: Column) -> Column:
+    """On a web page, a root-relative link with nothing to resolve."""
+    return (base.netloc != "") & base.scheme.isin("http", "https") & href.rlike(PLAIN_PATH)
+
+
+def plain_path_url(base: Column, href: Column, kept: str = "$1") -> Column:
+    """The absolute form of a link that ``is_plain_path``, with the parts ``kept`` of it."""
+    return F.concat(base.scheme, F.lit("://"), base.netloc, F.regexp_replace(href, PLAIN_PATH, kept))
+
+
+def _resolve_quick(base: Column, href: Column, plain: str, web: str, long: Callable[[Column], Column]) -> Column:
+    """Root-relative links and web URLs as nearly all are written are settled by one match, only others taken apart."""
+    return (
+        F.when(is_plain_path(base, href), plain_path_url(base, href, plain))
+        .when(href.rlike(WEB_URL), F.regexp_replace(href, WEB_URL, web))
+        .otherwise(let(resolve_parts(base, href), long))
+    )
+
+
+def resolve_page_url(base: Column, href: Column) -> Column:
+    """``href`` seen from an already split base URL, normalised."""
+    return _resolve_quick(base, href, "$1", "$1", normalized)
+
+
+def resolve_media_url(base: Column, href: Column) -> Column:
+    """As ``resolve_page_url`` but the query stays."""
+    return _resolve_quick(base, href, "$1$2", "$1$3", media_normalized)
 
 
 def absolute_url(base: Column, href: Column) -> Column:

@@ -9,7 +9,7 @@ from sitegrain import rules as R
 from sitegrain.functions import nodes as N
 from sitegrain.functions.nodes import Page
 from sitegrain.functions.text import let
-from sitegrain.functions.urls import in_scope, is_plain_path, normalized, resolve_parts, split_url_once
+from sitegrain.functions.urls import WEB_URL, in_scope, is_plain_path, normalized, plain_path_url, resolve_parts, split_url_once
 from sitegrain.rules import SiteRules
 
 
@@ -43,9 +43,9 @@ def _resolved(base: Column, found: Column, hosts: tuple[str, ...], by_host: Colu
     def target(href: Column) -> Column:
         general = let(resolve_parts(base, href), lambda p: keep(p.netloc, normalized(p)))
         # Most links of most pages: no need to take them apart and put them together again.
-        plain = (base.netloc != "") & base.scheme.isin("http", "https") & is_plain_path(href)
-        own = F.concat(base.scheme, F.lit("://"), base.netloc, F.regexp_replace(href, r"/+\z", ""))
-        return F.when(plain, keep(base.netloc, own)).otherwise(general)
+        own = keep(base.netloc, plain_path_url(base, href))
+        web = F.regexp_replace(href, WEB_URL, "$1")
+        return F.when(is_plain_path(base, href), own).when(~by_host & href.rlike(WEB_URL), web).otherwise(general)
 
     return F.array_distinct(F.filter(F.transform(found, target), lambda u: u.isNotNull()))
 

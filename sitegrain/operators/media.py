@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from sitegrain import rules as R
 from sitegrain.functions import nodes as N
 from sitegrain.functions.nodes import Page
-from sitegrain.functions.text import empty_to_null, let, strip
-from sitegrain.functions.urls import media_normalized, resolve_parts, split_url_once
+from sitegrain.functions.text import BLANK, empty_to_null, let, strip
+from sitegrain.functions.urls import resolve_media_url, split_url_once
 
 IMAGE, VIDEO = "image", "video"
 # Where lazily loaded pictures keep their sources, in order of preference.
 SRCSET_ATTRS = ("srcset", "data-srcset", "data-lazy-srcset")
 SRC_ATTRS = ("src", "data-src", "data-lazy-src", "data-original")
+# A stripped candidate: its URL, and the width in its second word. A text without blanks and commas is one URL.
+FIRST_WORD, WIDTH = rf"(?U)^[^{BLANK[1:-1]}]*", rf"(?U)^[^{BLANK[1:-1]}]+{BLANK}+([+-]?[0-9]+)[wW](?={BLANK}|\z)"
+SEVERAL = rf"(?U)[,{BLANK[1:-1]}]"
 STYLE_URL = r"""url\(["']?([^\n]*?)["']?\)"""
 
 
@@ -22,25 +25,26 @@ def best_srcset(srcset: Column) -> Column:
     """The candidate with the largest ``w`` width; the first one on a tie or without widths."""
 
     def candidate(chunk: Column, i: Column) -> Column:
-        pieces = F.split(strip(chunk), r"(?U)[\s\x1c-\x1f]+", -1)
-        size = F.lower(F.coalesce(F.get(pieces, F.lit(1)), F.lit("")))
-        width = F.when(size.rlike(r"^[+-]?[0-9]+w$"), F.rtrim(size, F.lit("w")).try_cast("bigint"))
-        return F.struct(
-            F.coalesce(width, F.lit(0)).alias("width"), (-i).alias("place"), F.get(pieces, F.lit(0)).alias("url")
-        )
+        # Spark compiles the pattern of a split anew for each row, that of an extraction once.
+        width = F.regexp_extract(chunk, WIDTH, 1).try_cast("bigint")
+        url = F.regexp_extract(chunk, FIRST_WORD, 0)
+        return F.struct(F.coalesce(width, F.lit(0)).alias("width"), (-i).alias("place"), url.alias("url"))
+
+    def best(s: Column) -> Column:
+        listed = F.transform(F.transform(F.split(s, ",", -1), strip), candidate)
+        return F.when(s.rlike(SEVERAL), F.array_max(F.filter(listed, lambda c: c.url != "")).url).when(s != "", s)
 
-    listed = F.transform(F.split(srcset, ",", -1), candidate)
-    return F.array_max(F.filter(listed, lambda c: c.url != "")).url
+    return let(srcset, best)
 
 
 def _first_of(node: Column, names: tuple[str, ...]) -> Column:
     """The first non-empty attribute."""
-    return F.coalesce(*[empty_to_null(N.raw_attr(node, n)) for n in names])
+    return F.coalesce(*[F.when(N.raw_attr(node, n) != "", N.raw_attr(node, n)) for n in names])
 
 
 def best_image_url(img: Column) -> Column:
-    listed = let(strip(F.coalesce(_first_of(img, SRCSET_ATTRS), F.lit(""))), best_srcset)
-    return F.coalesce(listed, *[empty_to_null(N.attr(img, n)) for n in SRC_ATTRS])
+    listed = best_srcset(strip(_first_of(img, SRCSET_ATTRS)))
+    return F.coalesce(listed, *[let(_first_of(img, (n,)), lambda v: F.when(strip(v) != "", strip(v))) for n in SRC_ATTRS])
 
 
 def media_items(page: Page, url: Column, kind: tuple[N.Sel, ...] = R.MEDIA) -> Column:
@@ -54,7 +58,7 @@ def media_items(page: Page, url: Column, kind: tuple[N.Sel, ...] = R.MEDIA) -> C
             & (N.raw_attr(n, "src").isNotNull() | N.raw_attr(n, "srcset").isNotNull()),
         )
         raw = _first_of(F.get(sources, F.lit(0)), ("src", "srcset"))
-        return let(strip(raw), best_srcset)
+        return best_srcset(strip(raw))
 
     def source_url(node: Column, names: tuple[str, str]) -> Column:
         # A source list without a single URL resolves to the page itself.
@@ -79,7 +83,7 @@ def media_items(page: Page, url: Column, kind: tuple[N.Sel, ...] = R.MEDIA) -> C
             .otherwise(styled(node))
         )
         video = (node.tag == "video") | ((node.tag == "source") & (above == "video"))
-        target = let(raw, lambda h: F.when(h.isNotNull(), let(resolve_parts(base, h), media_normalized)))
+        target = let(raw, lambda h: F.when(h.isNotNull(), resolve_media_url(base, h)))
         kinds = F.when(video, VIDEO).otherwise(IMAGE).alias("media_type")
         return let(target, lambda t: F.when(t.isNotNull(), F.struct(kinds, t.alias("url"))))
 

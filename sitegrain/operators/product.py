@@ -11,7 +11,7 @@ from sitegrain import rules as R
 from sitegrain.functions import nodes as N
 from sitegrain.functions.nodes import Page
 from sitegrain.functions.text import first_number, let
-from sitegrain.functions.urls import normalized, page_path, resolve_parts, split_url_once
+from sitegrain.functions.urls import normalized, page_path, resolve_page_url, resolve_parts, split_url_once
 from sitegrain.operators.media import unique_media
 from sitegrain.operators.registry import Rule, on_found
 from sitegrain.rules import SiteRules
@@ -22,16 +22,15 @@ def product_name(page: Page, url: Column) -> Column:
     """The last filled main heading and the first filled paragraph heading of the product block."""
 
     def of_tag(headings: Column, tag: str) -> Column:
-        return F.filter(
-            F.transform(F.filter(headings, lambda n: n.tag == tag), lambda n: N.node_text(page.nodes, n)),
-            lambda t: t.isNotNull(),
-        )
+        return F.filter(headings, lambda h: h.node.tag == tag)
 
     def build(root: Column) -> Column:
-        headings = F.filter(page.select(R.PRODUCT_HEADINGS), lambda n: N.within(n, root))
+        both = F.zip_with(
+            page.select(R.PRODUCT_HEADINGS), page.texts(R.PRODUCT_HEADINGS), lambda n, t: F.struct(n.alias("node"), t.alias("text"))
+        )
         return let(
-            headings,
-            lambda hs: F.concat_ws(" ", N.last(of_tag(hs, "h1")), F.get(of_tag(hs, "p"), F.lit(0))),
+            F.filter(both, lambda h: h.text.isNotNull() & N.within(h.node, root)),
+            lambda hs: F.concat_ws(" ", N.last(of_tag(hs, "h1")).text, F.get(of_tag(hs, "p"), F.lit(0)).text),
         )
 
     roots = page.select(R.PRODUCT_ROOT)
@@ -39,15 +38,14 @@ def product_name(page: Page, url: Column) -> Column:
 
 
 def product_description(page: Page, url: Column) -> Column:
-    paragraphs = page.select(R.PRODUCT_DESCRIPTION)
-    return on_found(paragraphs, lambda ps: F.struct(F.array_join(N.texts(page.nodes, ps), " ").alias("description")))
+    return on_found(page.texts(R.PRODUCT_DESCRIPTION), lambda ts: F.struct(F.array_join(ts, " ").alias("description")))
 
 
 def _grapes(kv: Column) -> list[Column]:
-    """Percentages of the three grapes; later labels win."""
+    """Percentages of the three grapes, from labels ``k`` with numbers ``n``; later labels win."""
 
     def share(test) -> Column:
-        return first_number(N.last(F.filter(kv, lambda p: test(p.k) & first_number(p.v).isNotNull())).v)
+        return N.last(F.filter(kv, lambda p: test(p.k) & p.n.isNotNull())).n
 
     def chardonnay(k):
         return k.contains("chardonnay")
@@ -71,9 +69,10 @@ def left_sheet(page: Page, url: Column, grape_pairs: int | None = None) -> Colum
 
     def build(values: Column) -> Column:
         kv = N.key_values(N.pairs(values if grape_pairs is None else F.slice(values, 1, 2 * grape_pairs)))
-        return let(kv, lambda ps: F.struct(*_grapes(ps), temperature(values).alias("operating_temperature")))
+        numbers = F.transform(kv, lambda p: F.struct(p.k.alias("k"), first_number(p.v).alias("n")))
+        return let(numbers, lambda ps: F.struct(*_grapes(ps), temperature(values).alias("operating_temperature")))
 
-    return on_found(page.select(R.TECH_LEFT), lambda s: let(N.texts(page.nodes, s), build))
+    return on_found(page.texts(R.TECH_LEFT), build)
 
 
 def right_sheet(page: Page, url: Column) -> Column:
@@ -85,14 +84,12 @@ def right_sheet(page: Page, url: Column) -> Column:
             N.find_by_patterns(kv, *R.VINTAGE_KEYS).alias("millennium"),
         )
 
-    labels = page.select(*R.TECH_RIGHT)
-    return on_found(labels, lambda s: let(N.key_values(N.pairs(N.texts(page.nodes, s))), build))
+    return on_found(page.texts(*R.TECH_RIGHT), lambda ts: let(N.key_values(N.pairs(ts)), build))
 
 
 def data_sheet(page: Page, url: Column) -> Column:
     def target(href: Column) -> Column:
-        full = let(split_url_once(url), lambda base: resolve_parts(base, href))
-        return F.when(href != "", let(full, normalized))
+        return F.when(href != "", let(split_url_once(url), lambda base: resolve_page_url(base, href)))
 
     buttons = page.select(R.DATA_SHEET)
     return on_found(
@@ -102,16 +99,16 @@ def data_sheet(page: Page, url: Column) -> Column:
 
 def awards(page: Page, url: Column) -> Column:
     def build(s: Column) -> Column:
-        return F.struct(N.titled_pairs(N.texts(page.nodes, s), "title", "value").alias("awards_and_ratings"))
+        return F.struct(N.titled_pairs(s, "title", "value").alias("awards_and_ratings"))
 
-    return on_found(page.select(R.AWARDS), build)
+    return on_found(page.texts(R.AWARDS), build)
 
 
 def tasting_notes(page: Page, url: Column) -> Column:
     def build(s: Column) -> Column:
-        return F.struct(N.titled_pairs(N.texts(page.nodes, s), "title", "content").alias("tasting_notes"))
+        return F.struct(N.titled_pairs(s, "title", "content").alias("tasting_notes"))
 
-    return on_found(page.select(R.TASTING), build)
+    return on_found(page.texts(R.TASTING), build)
 
 
 GRAPES = ("grape_chardonnay_percent", "grape_pinot_noir_percent", "grape_meunier_percent")
@@ -159,15 +156,15 @@ def listing_cards(page: Page, url: Column, media: Column, rules: SiteRules) -> C
 
         return let(N.attr(node, "href"), lambda h: F.when(h != "", let(resolve_parts(base, h), check)))
 
-    def texts(selected: Column) -> Column:
-        return F.transform(selected, lambda n: N.node_text(page.nodes, F.get(n, F.lit(0))))
+    def first_text(sel: N.Sel) -> Column:
+        return F.transform(page.inside(cards, (sel,), page.texts(sel)), lambda ts: F.get(ts, F.lit(0)))
 
     cards = (R.LISTING_CARD,)
     links = let(split_url_once(url), lambda base: F.transform(page.select(R.LINKS), lambda n: product_link(base, n)))
     parts = F.arrays_zip(
         F.transform(page.inside(cards, (R.LINKS,), links), lambda us: F.get(F.filter(us, lambda u: u.isNotNull()), F.lit(0))).alias("product_url"),
-        texts(page.inside(cards, (R.LISTING_TITLE,), page.select(R.LISTING_TITLE))).alias("name"),
-        texts(page.inside(cards, (R.LISTING_SUMMARY,), page.select(R.LISTING_SUMMARY))).alias("description"),
+        first_text(R.LISTING_TITLE).alias("name"),
+        first_text(R.LISTING_SUMMARY).alias("description"),
         F.transform(page.inside(cards, R.MEDIA, media), unique_media).alias("media"),
     )
     return F.filter(parts, lambda c: c.product_url.isNotNull() & c["name"].isNotNull())
